@@ -1,0 +1,98 @@
+"""Kappa, report, vote and loss against hand-made and brute-force results."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ordinalis.functions.vectors import argmax, smoothed_cross_entropy, softmax
+from ordinalis.operators import agreement, ensemble
+
+
+def brute_kappa(y, p, labels):
+    place = {v: i for i, v in enumerate(labels)}
+    k = len(labels)
+    seen = np.zeros((k, k))
+    for a, b in zip(y, p):
+        seen[place[a], place[b]] += 1
+    weight = np.subtract.outer(np.arange(k), np.arange(k)) ** 2
+    chance = np.outer(seen.sum(1), seen.sum(0)) / seen.sum()
+    return 1 - (weight * seen).sum() / (weight * chance).sum()
+
+
+def pairs(spark, y, p):
+    return spark.createDataFrame(list(zip(y, p)), "y int, p int")
+
+
+@pytest.mark.parametrize("y, p, present, fixed", [
+    ([0, 0, 2, 2, 4, 4], [0, 2, 2, 4, 4, 0], 0.25, 0.25),
+    ([0, 0, 4, 4, 1, 1], [0, 4, 4, 4, 1, 0], 0.444444444, 0.571428571),
+    ([1, 1], [1, 1], None, None)])
+def test_kappa_golden(spark, y, p, present, fixed):
+    df = pairs(spark, y, p)
+    for mode, expected in (("present", present), ("fixed", fixed)):
+        got = agreement.qwk(df, "y", "p", labels=mode).first().qwk
+        assert got is None if expected is None else abs(got - expected) < 1e-8
+    one_pass = agreement.evaluate(df, "y", "p").where("metric = 'qwk'").first().value
+    assert one_pass is None if present is None else abs(one_pass - present) < 1e-8
+
+
+def test_kappa_brute_force_with_odd_labels_and_nulls(spark):
+    rng = np.random.default_rng(3)
+    y = rng.choice([0, 1, 4], 400).tolist()
+    p = [int(v) for v in np.clip(np.array(y) + rng.integers(-2, 3, 400), -1, 6)]
+    df = pairs(spark, [*y, None, 1], [*p, 2, None])
+    labels = sorted(set(y) | set(p))
+    assert agreement.qwk(df, "y", "p").first().qwk == pytest.approx(brute_kappa(y, p, labels), abs=1e-12)
+    full = list(range(min(labels), max(labels) + 1))
+    assert agreement.qwk(df, "y", "p", labels="fixed").first().qwk == pytest.approx(brute_kappa(y, p, full), abs=1e-12)
+
+
+def test_label_outside_the_classes_is_an_error(spark):
+    with pytest.raises(Exception, match="outside 0..4"):
+        agreement.confusion(pairs(spark, [0, 5], [0, 1]), "y", "p").collect()
+
+
+def test_report_always_has_every_class(spark):
+    rows = {r["class"]: r for r in agreement.classification_report(pairs(spark, [0, 0, 2], [0, 2, 2]), "y", "p").collect()}
+    assert list(rows) == ["0", "1", "2", "3", "4", "accuracy", "macro avg", "weighted avg"]
+    assert (rows["0"].precision, rows["0"].recall, rows["0"].support) == (1.0, 0.5, 2)
+    assert (rows["3"].precision, rows["3"].recall, rows["3"].f1, rows["3"].support) == (0.0, 0.0, 0.0, 0)
+    assert rows["accuracy"].f1 == pytest.approx(2 / 3) and rows["weighted avg"].recall == pytest.approx(2 / 3)
+
+
+def test_confusion_is_complete(spark):
+    cells = {(r.y, r.p): r.n for r in agreement.confusion_matrix(pairs(spark, [0, 0, 2], [0, 2, 2]), "y", "p").collect()}
+    assert len(cells) == 25 and cells[0, 2] == 1 and cells[2, 2] == 1 and cells[4, 4] == 0
+
+
+def test_vote_takes_the_smallest_of_a_tie(spark):
+    rows = [(1, v) for v in (3, 2, 3, 2)] + [(2, v) for v in (4, 4, 0)] + [(3, None)]
+    got = {r.id: r.label for r in ensemble.vote_mode(spark.createDataFrame(rows, "id int, label int"), ["id"]).collect()}
+    assert got == {1: 2, 2: 4, 3: None}
+
+
+def test_out_of_fold_rows_must_be_unique(spark):
+    rows = spark.createDataFrame([(0, 1, 2), (1, 1, 3)], "trial int, id int, label int")
+    assert ensemble.oof_scatter(rows).count() == 2
+    with pytest.raises(Exception, match="predicted twice"):
+        ensemble.oof_scatter(rows.unionAll(rows.limit(1))).collect()
+
+
+def test_score_vectors(spark):
+    logits = [[1.0, 3.0, 3.0, 0.0, -2.0], [1000.0, 0.0, 0.0, 0.0, 0.0]]
+    df = spark.createDataFrame([(v, 2) for v in logits], "l array<double>, y int")
+    got = df.select(softmax(F.col("l"), 5).alias("p"), argmax(F.col("l")).alias("k"),
+                    smoothed_cross_entropy(F.col("l"), F.col("y"), 5, 0.3).alias("loss")).collect()
+    for row, raw in zip(got, logits):
+        e = np.exp(np.array(raw) - max(raw))
+        nll = np.log(e.sum()) - (np.array(raw) - max(raw))
+        assert np.allclose(row.p, e / e.sum()) and abs(sum(row.p) - 1) < 1e-9
+        assert row.loss == pytest.approx(0.7 * nll[2] + 0.06 * nll.sum())
+    assert [r.k for r in got] == [1, 0]
+
+
+def test_epoch_loss_weighs_batches_equally(spark):
+    rows = spark.createDataFrame([(1, 0, 0, 0, 1.0), (1, 0, 1, 1, 3.0), (1, 1, 2, 0, 8.0)],
+                                 "epoch int, batch int, y int, p int, loss double")
+    got = agreement.epoch_metrics(rows, "y", "p", "loss", "batch").first()
+    assert got.loss == pytest.approx(5.0) and got.accuracy == pytest.approx(2 / 3)
