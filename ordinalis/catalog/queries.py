@@ -225,19 +225,23 @@ def feature_table(spark, sf_dir):
 
 # --- text model stages ---------------------------------------------------------------------
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.spread(views.table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id")
+
+
 def _profile(spark: SparkSession, sf_dir: str) -> language.LanguageProfile:
-    return language.fit_language_profile(views.table(spark, sf_dir, "documents"))
+    return language.fit_language_profile(_documents(spark, sf_dir))
 
 
 @query
 def detect_language(spark, sf_dir):
-    docs = views.table(spark, sf_dir, "documents")
+    docs = _documents(spark, sf_dir)
     return language.detect_language(docs, "doc_id", "text", _profile(spark, sf_dir))
 
 
 @query
 def language_accuracy(spark, sf_dir):
-    docs = views.table(spark, sf_dir, "documents")
+    docs = _documents(spark, sf_dir)
     found = language.detect_language(docs, "doc_id", "text", _profile(spark, sf_dir))
     return language.language_confusion(docs.select("doc_id", "lang").join(found, "doc_id"))
 

@@ -20,6 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A table small enough to come as fewer scan tasks than there are cores is dealt out to
+    them before heavy work on its texts; a table of many files is left where it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def _d(value) -> Column:
     return (value if isinstance(value, Column) else F.lit(value)).cast("double")
 

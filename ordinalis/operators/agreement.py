@@ -93,22 +93,26 @@ def accuracy(df: DataFrame, y: str, p: str, by: list[str] | None = None) -> Data
     return df.groupBy(*by).agg(F.avg((F.col(y) == F.col(p)).cast("int")).alias("accuracy"))
 
 
-def qwk(df: DataFrame, y: str, p: str, by: list[str] | None = None, labels: str = "present") -> DataFrame:
+def qwk(df: DataFrame, y: str, p: str, by: list[str] | None = None, labels: str = "present",
+        count: str | None = None) -> DataFrame:
     """Quadratic weighted kappa of two integer columns with any label values.
 
+    ``count`` names a column of multiplicities where equal pairs are already merged.
+
     ``fixed`` uses the label values in one aggregate. ``present`` first numbers the labels
     that occur: rows shrink to one per (group, y, p) map-side, and only those are ranked.
     """
     by = by or []
+    n = (F.col(count) if count else F.lit(1)).cast("bigint")
     if labels == "fixed":
-        a, b, n = F.col(y).cast("bigint"), F.col(p).cast("bigint"), F.lit(1).cast("bigint")
+        a, b = F.col(y).cast("bigint"), F.col(p).cast("bigint")
         paired = df.where(F.col(y).isNotNull() & F.col(p).isNotNull())
         return _from_moments(paired, by, n, a, b)
     if labels != "present":
         raise ValueError("labels must be 'present' or 'fixed'")
     pairs = (df.where(F.col(y).isNotNull() & F.col(p).isNotNull())
              .groupBy(*by, F.col(y).alias("_y"), F.col(p).alias("_p"))
-             .agg(F.count(F.lit(1)).alias("_n")))
+             .agg(F.sum(n).alias("_n")))
     sides = pairs.select("*", F.posexplode(F.array("_y", "_p")).alias("_side", "_label"))
     places = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_label")
     ranked = (sides.withColumn("_rank", F.dense_rank().over(places).cast("bigint"))

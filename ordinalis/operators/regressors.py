@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -104,24 +104,58 @@ def round_contributions(model) -> Column:
     return F.zip_with(values, vector_to_array(F.col("_leaf")), lambda v, leaf: F.get(v, leaf.cast("int")))
 
 
-def staged_labels(steps: Column) -> Column:
-    """Rounded running sums of a row's contributions, in Arrow batches.
+def _staged(df: DataFrame, y: str, steps: Column, summary: Callable, schema: str) -> DataFrame:
+    """Per Arrow batch: running sums over the rounds, summarised before anything is shuffled.
 
-    A running sum over an array has no built-in; exploding rounds into rows to use a window
-    would multiply and shuffle the data by the number of rounds.
+    A running sum over an array has no built-in; exploding rounds into rows for a window would
+    multiply the data by the number of rounds.
     """
-    @F.pandas_udf("array<int>")
-    def running(batch: pd.Series) -> pd.Series:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import numpy as np
-        return batch.map(lambda row: np.rint(np.cumsum(row)).astype("int32"))
 
-    return running(steps)
+        for batch in batches:
+            if len(batch):
+                yield summary(batch["y"].to_numpy(), np.stack(batch["steps"]).cumsum(axis=1))
+
+    return df.select(F.col(y).cast("int").alias("y"), steps.alias("steps")).mapInPandas(run, schema)
 
 
 def staged_qwk(df: DataFrame, y: str, steps: Column) -> DataFrame:
-    """(iter, qwk): kappa of the rounded prediction after each round."""
-    rounds = df.select(F.col(y).alias("y"), F.posexplode(staged_labels(steps)).alias("_at", "p"))
-    return qwk(rounds.select("y", "p", (F.col("_at") + 1).alias("iter")), "y", "p", by=["iter"])
+    """(iter, qwk): kappa of the rounded prediction after each round.
+
+    A batch leaves its counts of (iter, y, p): a few numbers per round instead of every row.
+    """
+    def summary(labels, sums):
+        import numpy as np
+
+        rounded = np.rint(sums).astype("int64")
+        low, span = rounded.min(), int(np.ptp(rounded)) + 1
+        lowest, width = labels.min(), int(np.ptp(labels)) + 1
+        place = np.arange(sums.shape[1]) * width + (labels - lowest).astype("int64")[:, None]
+        code = (place * span + (rounded - low)).ravel()
+        if sums.shape[1] * width * span <= 4 * code.size:
+            counts = np.bincount(code)
+            found = counts.nonzero()[0]
+            counts = counts[found]
+        else:  # predictions far apart: too many empty cells to count densely
+            found, counts = np.unique(code, return_counts=True)
+        return pd.DataFrame({"iter": found // span // width + 1, "y": found // span % width + lowest,
+                             "p": found % span + low, "n": counts})
+
+    counts = _staged(df, y, steps, summary, "iter int, y int, p long, n long")
+    return qwk(counts, "y", "p", by=["iter"], count="n")
+
+
+def staged_rmse(df: DataFrame, y: str, steps: Column) -> DataFrame:
+    """(iter, rmse): error after each round, in one pass over the rows."""
+    def summary(labels, sums):
+        import numpy as np
+
+        squares = ((sums - labels[:, None]) ** 2).sum(axis=0)
+        return pd.DataFrame({"iter": np.arange(len(squares)) + 1, "s": squares, "n": len(labels)})
+
+    sums = _staged(df, y, steps, summary, "iter int, s double, n long")
+    return sums.groupBy("iter").agg(F.sqrt(F.sum("s") / F.sum("n")).alias("rmse"))
 
 
 def best_iteration(scores: DataFrame, patience: int, value: str = "qwk", digits: int = 9) -> DataFrame:
@@ -149,13 +183,11 @@ def fit_learner(learner: Learner, train: DataFrame, seed: int, settings: Setting
     model = learner.build(seed, settings).fit(train)
     if validation is None or learner.stop_on is None:
         return Fitted(learner.name, model)
+    scored, steps = _with_leaves(model, validation), round_contributions(model)
     if learner.stop_on == "qwk":
-        scored = _with_leaves(model, validation)
-        scores = staged_qwk(scored, "score", round_contributions(model))
+        scores = staged_qwk(scored, "score", steps)
     else:
-        errors = model.evaluateEachIteration(validation, "squared")
-        scores = train.sparkSession.createDataFrame(
-            [(i + 1, -float(e)) for i, e in enumerate(errors)], "iter int, qwk double")
+        scores = staged_rmse(scored, "score", steps).select("iter", (-F.col("rmse")).alias("qwk"))
     best = best_iteration(scores, settings.patience).first()
     return Fitted(learner.name, model, best["best_iter"])
 

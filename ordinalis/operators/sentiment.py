@@ -12,7 +12,6 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, IDF, PCA, RegexTokenizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.sql import DataFrame, functions as F, types as T
-from pyspark.storagelevel import StorageLevel
 
 from ordinalis.functions.text import fill_null
 from ordinalis.operators.distinct import map_distinct
@@ -44,13 +43,13 @@ def _filled(df: DataFrame, *texts: str) -> DataFrame:
 
 
 def fit_sentiment_model(train: DataFrame, review: str, reply: str, settings: Settings) -> PipelineModel:
-    """Fit on the labelled rows; every pass of the optimiser is a distributed sum."""
+    """Fit on the labelled rows; every pass of the optimiser is a distributed sum.
+
+    The text is read three times (two document frequencies, then the vectors); the optimiser
+    keeps only the sparse vectors, so the raw text is never cached.
+    """
     rows = _filled(train.where(F.col("score").isNotNull()), review, reply).select(review, reply, "score")
-    rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return sentiment_pipeline(review, reply, settings).fit(rows)
-    finally:
-        rows.unpersist()
+    return sentiment_pipeline(review, reply, settings).fit(rows)
 
 
 def loss_history(model: PipelineModel) -> list[float]:

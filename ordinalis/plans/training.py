@@ -59,6 +59,11 @@ def oof_predictions(folded: DataFrame, settings: Settings, seeds: dict[int, int]
     return cut(_union(parts), "oof-predictions")
 
 
+def _folded(train: DataFrame, settings: Settings) -> DataFrame:
+    """The matrix, written once in one folder per fold: a validation pass reads only its own."""
+    return cut(kfold_assign(train, "id", settings.num_folds, settings.seed), "folds", partition_by="fold")
+
+
 @dataclass(frozen=True)
 class CrossValidated:
     labels: DataFrame  # (trial, id, fold, score, label), out of fold
@@ -77,7 +82,7 @@ def cross_validate(predictions: DataFrame, settings: Settings) -> CrossValidated
 
 def kfold_oof(train: DataFrame, settings: Settings, trial: int = 0) -> CrossValidated:
     """One trial over all folds; ``train`` has (id, score, features)."""
-    folded = cut(kfold_assign(train, "id", settings.num_folds, settings.seed), "folds")
+    folded = _folded(train, settings)
     seeds = {trial: settings.trial_seeds()[trial]}
     return cross_validate(oof_predictions(folded, settings, seeds), settings)
 
@@ -113,7 +118,7 @@ def train_ensemble(train: DataFrame, test: DataFrame, settings: Settings) -> Ens
     because every fit reads them.
     """
     seeds = dict(enumerate(settings.trial_seeds()))
-    folded = cut(kfold_assign(train, "id", settings.num_folds, settings.seed), "folds")
+    folded = _folded(train, settings)
     validated = cross_validate(oof_predictions(folded, settings, seeds), settings)
     test_rows = refit_predictions(folded.drop("fold"), cut(test, "test-matrix"), settings, seeds)
     votes = vote_mode(validated.labels, ["id"], num_classes=settings.num_classes, carry=["score"])

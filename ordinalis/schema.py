@@ -30,6 +30,8 @@ NOT_FEATURES = ("sentiment_analysis", "review", "text", "timeToReply", "thumbsUp
                 "review_length", "replyContent", "score", "language", "translated_review",
                 "translate_error", "reviewCreatedVersion")
 
+TEXT_COLUMNS = ("review", "text", "replyContent", "timeToReply", "translated_review", "reviewCreatedVersion")
+
 
 def prob_names(num_classes: int) -> list[str]:
     return [f"{k}_prob" for k in range(num_classes)]

@@ -31,14 +31,16 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/ordinalis/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once and go on from the written table.
 
     Later stages start from files, so a lost executor costs a re-read and not the whole
-    history, and a table used by several branches is computed once.
+    history, and a table used by several branches is computed once. With ``partition_by``,
+    filters on that column (of few values) read only the matching folders.
     """
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -9,6 +9,7 @@ from ordinalis.operators import regressors, sentiment, thresholds
 from ordinalis.plans import features, pipeline, training
 from ordinalis.settings import MODEL_WEIGHTS, Settings, small_settings
 from ordinalis.storage import cut
+from tests.test_agreement import brute_kappa
 
 SMALL = small_settings()
 
@@ -126,3 +127,19 @@ def test_full_size_settings():
     assert full.num_trials * full.num_folds * 4 + full.num_trials * 4 == 440
     assert sum(MODEL_WEIGHTS.values()) == pytest.approx(1.0)
     assert len(features.model_matrix_columns(full)) == 17 + 1
+
+
+def test_staged_curves_match_brute_force(spark):
+    rng = np.random.default_rng(5)
+    y = rng.integers(0, 5, 300)
+    steps = np.concatenate([np.full((300, 1), 2.0), rng.integers(-200, 200, (300, 6)) / 256 + (y[:, None] - 2) / 8], axis=1)
+    steps[0, 1] = 1e6  # one wild prediction must not hurt
+    df = spark.createDataFrame([(int(a), [float(v) for v in s]) for a, s in zip(y, steps)], "y int, s array<double>")
+    sums = steps.cumsum(axis=1)
+    kappas = {r.iter: r.qwk for r in regressors.staged_qwk(df, "y", F.col("s")).collect()}
+    errors = {r.iter: r.rmse for r in regressors.staged_rmse(df, "y", F.col("s")).collect()}
+    for i in range(7):
+        p = np.rint(sums[:, i]).astype(int).tolist()
+        labels = sorted(set(p) | set(y.tolist()))
+        assert kappas[i + 1] == pytest.approx(brute_kappa(y.tolist(), p, labels), abs=1e-12)
+        assert errors[i + 1] == pytest.approx(np.sqrt(((sums[:, i] - y) ** 2).mean()))
