@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ordinalis.catalog import views
 from ordinalis.functions import ordinal, text as tx, vectors
 from ordinalis.operators import agreement, encode, ensemble, language, ranks, regressors, sentiment, thresholds, translate
-from ordinalis.plans import features, pipeline, training
+from ordinalis.plans import features, review_run as whole, training
 from ordinalis.schema import FLAG_COLUMNS, prob_names
 from ordinalis.settings import MODEL_WEIGHTS, Settings, small_settings
 from ordinalis.sources import readers, writers
@@ -206,7 +206,7 @@ def route_language(spark, sf_dir):
 def working_text(spark, sf_dir):
     rows = views.reviews(spark, sf_dir).select("id", "review", F.lit("x").alias("language"),
                                                F.col("replyContent").alias("translated_review"))
-    prepared, working = pipeline.prepare_text(rows, Settings())
+    prepared, working = whole.prepare_text(rows, Settings())
     return prepared.select("id", F.col(working).alias("text"), *[c for c in prepared.columns if c == "language"])
 
 
@@ -550,6 +550,6 @@ def train_ensemble(spark, sf_dir):
 
 
 @query
-def review_pipeline(spark, sf_dir):
-    result = pipeline.review_pipeline(views.reviews(spark, sf_dir), SMALL, _profile(spark, sf_dir), views.lexicon(spark))
+def review_run(spark, sf_dir):
+    result = whole.review_run(views.reviews(spark, sf_dir), SMALL, _profile(spark, sf_dir), views.lexicon(spark))
     return result.run.evaluation

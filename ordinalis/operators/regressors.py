@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ordinalis.operators.agreement import qwk
 from ordinalis.settings import Settings
@@ -161,19 +161,23 @@ def staged_rmse(df: DataFrame, y: str, steps: Column) -> DataFrame:
 def best_iteration(scores: DataFrame, patience: int, value: str = "qwk", digits: int = 9) -> DataFrame:
     """(best_iter, best): first strict maximum before ``patience`` rounds without a better one.
 
-    ``scores`` has one row per boosting round, so one task orders them.
+    ``scores`` has one row per boosting round: a curve short enough for one array, read in order.
     """
-    so_far = Window.partitionBy(F.lit(0)).orderBy("iter").rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy(F.lit(0)).orderBy("iter").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     score = F.coalesce(F.round(value, digits), F.lit(float("-inf")))
-    marked = (scores.select("iter", score.alias("_q"))
-              .withColumn("_better", F.col("_q") > F.coalesce(F.max("_q").over(so_far), F.lit(float("-inf"))))
-              .withColumn("_better", F.col("_better") | (F.col("iter") == 1))
-              .withColumn("_last", F.max(F.when(F.col("_better"), F.col("iter"))).over(upto))
-              .withColumn("_stopped", F.max((F.col("iter") - F.col("_last") >= patience).cast("int")).over(so_far)))
-    running = marked.where(F.coalesce("_stopped", F.lit(0)) == 0)
-    best = F.max_by(F.struct("iter", "_q"), F.struct("_q", -F.col("iter")))
-    return running.agg(best.alias("_b")).select(F.col("_b.iter").alias("best_iter"), F.col("_b._q").alias("best"))
+    curve = scores.agg(F.array_sort(F.collect_list(F.struct("iter", score.alias("q")))).alias("curve"))
+
+    def state(best: Column, at: Column, stopped: Column) -> Column:
+        return F.struct(best.alias("best"), at.cast("int").alias("at"), stopped.alias("stopped"))
+
+    def step(seen: Column, now: Column) -> Column:
+        better = (seen["at"] == 0) | (now["q"] > seen["best"])
+        waited = now["iter"] - seen["at"] >= patience
+        return (F.when(seen["stopped"], seen).when(better, state(now["q"], now["iter"], F.lit(False)))
+                .otherwise(state(seen["best"], seen["at"], waited)))
+
+    start = state(F.lit(float("-inf")), F.lit(0), F.lit(False))
+    found = curve.select(F.aggregate("curve", start, step).alias("_b"))
+    return found.select(F.col("_b.at").alias("best_iter"), F.col("_b.best").alias("best"))
 
 
 def fit_learner(learner: Learner, train: DataFrame, seed: int, settings: Settings,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ordinalis.catalog import views
 from ordinalis.operators import regressors, sentiment, thresholds
-from ordinalis.plans import features, pipeline, training
+from ordinalis.plans import features, review_run as whole, training
 from ordinalis.settings import MODEL_WEIGHTS, Settings, small_settings
 from ordinalis.storage import cut
 from tests.test_agreement import brute_kappa
@@ -54,7 +54,7 @@ def test_plugged_in_scorer_sees_each_pair_once(spark):
 
 def test_cross_fit_scores_every_row_once(reviews):
     settings = small_settings(cross_fit=True)
-    table = pipeline.review_features(reviews, settings, "review")
+    table = whole.review_features(reviews, settings, "review")
     assert table.count() == reviews.count() == table.select("id").distinct().count()
     assert table.where(F.col("probs").isNull() | F.col("pca_1").isNull()).count() == 0
 
@@ -112,7 +112,7 @@ def test_cross_validation_learns(matrix):
 
 
 def test_whole_run(spark, reviews):
-    result = pipeline.review_pipeline(reviews, small_settings(translate=False))
+    result = whole.review_run(reviews, small_settings(translate=False))
     test_ids = {r.id for r in reviews.where("split = 'test'").collect()}
     assert {r.id for r in result.submission.collect()} == test_ids
     values = {(r.metric, r["class"]): r.value for r in result.run.evaluation.collect()}
