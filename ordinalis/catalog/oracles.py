@@ -23,7 +23,7 @@ SELECT id,
     WHEN 4 THEN utext || ' push Keep baguséx' WHEN 5 THEN utext || ' challenging?'
     WHEN 6 THEN '❤️' ELSE utext END AS review,
   CASE WHEN h % 5 = 0 THEN NULL ELSE CAST((h * 13 + length(utext)) % 5 AS INT) END AS score,
-  (h * h) % 97 AS "thumbsUpCount",
+  ((h % 97) * (h % 97)) % 97 AS "thumbsUpCount",
   CAST(h % 4 AS VARCHAR) || '.' || CAST(h % 10 AS VARCHAR) || '.0' AS "reviewCreatedVersion",
   CASE WHEN rtext IS NULL THEN NULL ELSE rtext || CASE h % 9
     WHEN 0 THEN ' SORRY about this Issue' WHEN 1 THEN ' please rate Five Stars'
@@ -55,7 +55,7 @@ def _digitize(value: str, cuts) -> str:
 
 
 LABELLED = (f"{COMBINED}, labelled AS (SELECT id, trial, fold, y, "
-            f"{_digitize('round(prediction, 9)', [f'CAST({t} AS DOUBLE)' for t in START_THRESHOLDS])} AS label FROM combined)")
+            f"{_digitize('prediction', [f'CAST({t} AS DOUBLE)' for t in START_THRESHOLDS])} AS label FROM combined)")
 
 STAGED = f"""staged AS (
 SELECT o.o_orderkey AS id, CAST(o.o_orderkey % 5 AS INT) AS y, i.iter,
@@ -235,7 +235,7 @@ UNION ALL SELECT 'support', class, support FROM report"""
 
 # --- thresholds ---------------------------------------------------------------------------------------------
 
-_BIN = f"CAST(floor(least(greatest(round(prediction, 6) * 256, {LOWEST_BIN}), {HIGHEST_BIN})) AS INT)"
+_BIN = f"CAST(floor(least(greatest(prediction * 256, {LOWEST_BIN}), {HIGHEST_BIN})) AS INT)"
 HISTOGRAM = f"""{COMBINED}, histogram AS (SELECT trial, fold, {_BIN} AS bin, count(*) AS n, CAST(sum(y) AS BIGINT) AS sy,
   CAST(sum(y * y) AS BIGINT) AS syy FROM combined GROUP BY ALL)"""
 TAILS = f"""{HISTOGRAM}, tails AS (SELECT trial, fold, bin,
@@ -372,7 +372,7 @@ ORACLES: dict[str, str] = {
             CROSS JOIN (VALUES {_values(K)}) AS y(k) CROSS JOIN (VALUES {_values(K)}) AS p(k))
         SELECT c.trial, c.y, c.p, count(l.id) AS n FROM cells c LEFT JOIN labelled l ON l.trial = c.trial AND l.y = c.y AND l.label = c.p
         GROUP BY c.trial, c.y, c.p""",
-    "ensemble_test": f"""WITH {BEST} SELECT c.trial, c.id, {_digitize('round(c.prediction, 6)', [f'm.t{k}' for k in range(1, 5)])} AS label
+    "ensemble_test": f"""WITH {BEST} SELECT c.trial, c.id, {_digitize('c.prediction', [f'm.t{k}' for k in range(1, 5)])} AS label
         FROM combined c JOIN means m ON m.trial = c.trial""",
     "evaluate_run": _EVALUATE,
 }

@@ -11,7 +11,7 @@ from ordinalis.functions import ordinal, text as tx, vectors
 from ordinalis.operators import agreement, encode, ensemble, language, ranks, regressors, sentiment, thresholds, translate
 from ordinalis.plans import features, review_run as whole, training
 from ordinalis.schema import FLAG_COLUMNS, prob_names
-from ordinalis.settings import MODEL_WEIGHTS, Settings, small_settings
+from ordinalis.settings import MODEL_WEIGHTS, START_THRESHOLDS, Settings, small_settings
 from ordinalis.sources import readers, writers
 from ordinalis.storage import cut, fresh_path
 
@@ -399,9 +399,7 @@ def _combined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rounded to 9 places before cutting, so that both engines see the same side of a cut."""
-    value = _round("prediction", 9)
-    return _combined(spark, sf_dir).withColumn("label", ordinal.digitize(value, [0.5, 1.5, 2.5, 3.5]))
+    return _combined(spark, sf_dir).withColumn("label", ordinal.digitize(F.col("prediction"), START_THRESHOLDS))
 
 
 @query
@@ -455,26 +453,21 @@ def optimize_thresholds(spark, sf_dir):
     return thresholds.optimize_thresholds(_combined(spark, sf_dir), "y", "prediction", CV)
 
 
-def _exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ensemble value rounded to 6 places: equal in both engines, so that bins are too."""
-    return _combined(spark, sf_dir).withColumn("prediction", _round("prediction"))
-
-
 @query
 def threshold_tail_sums(spark, sf_dir):
-    histogram = thresholds.threshold_histogram(_exact(spark, sf_dir), "y", "prediction", CV)
+    histogram = thresholds.threshold_histogram(_combined(spark, sf_dir), "y", "prediction", CV)
     return thresholds.threshold_tail_sums(histogram, CV)
 
 
 @query
 def threshold_candidates(spark, sf_dir):
-    found = thresholds.threshold_candidates(_exact(spark, sf_dir), "y", "prediction", CV)
+    found = thresholds.threshold_candidates(_combined(spark, sf_dir), "y", "prediction", CV)
     return found.select(*CV, "k", "bin", _round("qwk", 9).alias("qwk"))
 
 
 def _swept_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return thresholds.best_candidates(
-        thresholds.threshold_candidates(_exact(spark, sf_dir), "y", "prediction", CV), CV)
+        thresholds.threshold_candidates(_combined(spark, sf_dir), "y", "prediction", CV), CV)
 
 
 @query
@@ -524,8 +517,7 @@ def argmax_class(spark, sf_dir):
 @query
 def ensemble_test(spark, sf_dir):
     means = thresholds.mean_thresholds(_swept_cuts(spark, sf_dir), ["trial"])
-    rounded = _exact(spark, sf_dir)
-    return ensemble.cut_at(rounded, means, ["trial"]).select("trial", "id", "label")
+    return ensemble.cut_at(_combined(spark, sf_dir), means, ["trial"]).select("trial", "id", "label")
 
 
 @query

@@ -53,7 +53,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select(
         "id", review.alias("review"),
         F.when(h % 5 != 0, ((h * 13 + F.length(u)) % 5).cast("int")).alias("score"),
-        ((h * h) % 97).alias("thumbsUpCount"),
+        (((h % 97) * (h % 97)) % 97).alias("thumbsUpCount"),
         F.concat((h % 4).cast("string"), F.lit("."), (h % 10).cast("string"), F.lit(".0")).alias("reviewCreatedVersion"),
         F.concat(r, tail).alias("replyContent"),
         F.when(r.isNotNull(), days).alias("timeToReply"),

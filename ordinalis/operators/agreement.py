@@ -104,15 +104,14 @@ def qwk(df: DataFrame, y: str, p: str, by: list[str] | None = None, labels: str
     """
     by = by or []
     n = (F.col(count) if count else F.lit(1)).cast("bigint")
+    # a filter on computed labels would compute them twice, so unpaired rows just weigh nothing
+    n = F.when(F.col(y).isNotNull() & F.col(p).isNotNull(), n)
     if labels == "fixed":
-        a, b = F.col(y).cast("bigint"), F.col(p).cast("bigint")
-        paired = df.where(F.col(y).isNotNull() & F.col(p).isNotNull())
-        return _from_moments(paired, by, n, a, b)
+        return _from_moments(df, by, n, F.col(y).cast("bigint"), F.col(p).cast("bigint"))
     if labels != "present":
         raise ValueError("labels must be 'present' or 'fixed'")
-    pairs = (df.where(F.col(y).isNotNull() & F.col(p).isNotNull())
-             .groupBy(*by, F.col(y).alias("_y"), F.col(p).alias("_p"))
-             .agg(F.sum(n).alias("_n")))
+    pairs = (df.groupBy(*by, F.col(y).alias("_y"), F.col(p).alias("_p"))
+             .agg(F.sum(n).alias("_n")).where(F.col("_n").isNotNull()))
     sides = pairs.select("*", F.posexplode(F.array("_y", "_p")).alias("_side", "_label"))
     places = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_label")
     ranked = (sides.withColumn("_rank", F.dense_rank().over(places).cast("bigint"))

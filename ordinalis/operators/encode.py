@@ -11,6 +11,7 @@ PAD, UNK, CLS, SEP, FIRST_WORD = 0, 1, 2, 3, 4
 TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\p{Z}\t\n\x0B\f\r]"
 MAX_TOKEN_CHARS = 100  # longer tokens are UNK, which bounds the vocabulary table in bytes
 MAX_VOCABULARY = 100_000
+ID_RANGE = 1 << 20  # above any token id
 
 
 def tokens(text: Column) -> Column:
@@ -35,28 +36,28 @@ def encode_text_pair(df: DataFrame, id_col: str, review: str, reply: str, vocabu
     """(id, review_ids, review_mask, reply_ids, reply_mask), each ``max_length // 2`` long.
 
     Both texts go through one explode, one broadcast join with the size-bounded vocabulary and
-    one regrouping, in which a row ships at most ``max_length`` small structs.
+    one regrouping. Place and token id travel in one number, so a row ships at most
+    ``max_length`` of them and putting them back in order sorts plain numbers.
     """
     length = max_length // 2
-    room = length - 2
-
-    def tagged(text: str, side: int) -> Column:
-        return F.transform(F.slice(tokens(F.col(text)), 1, room),
-                           lambda t, at: F.struct(F.lit(side).alias("side"), at.alias("at"), t.alias("token")))
-
-    pieces = df.select(id_col, F.explode_outer(F.concat(tagged(review, 0), tagged(reply, 1))).alias("_t"))
-    ids = (pieces.select(id_col, "_t.side", "_t.at", "_t.token")
-           .join(F.broadcast(vocabulary), "token", "left")
-           .withColumn("token_id", F.coalesce("token_id", F.lit(UNK)))
-           .groupBy(id_col)
-           .agg(F.array_sort(F.collect_list(F.when(F.col("side") == 0, F.struct("at", "token_id")))).alias("_a"),
-                F.array_sort(F.collect_list(F.when(F.col("side") == 1, F.struct("at", "token_id")))).alias("_b")))
+    cut_to = lambda text: F.slice(tokens(F.col(text)), 1, length - 2)
+    lists = df.select(id_col, cut_to(review).alias("_a"), cut_to(reply).alias("_b"))
+    pieces = lists.select(id_col, F.size("_a").alias("_n"),
+                          F.posexplode_outer(F.concat("_a", "_b")).alias("_at", "token"))
+    packed = F.col("_at").cast("bigint") * ID_RANGE + F.coalesce("token_id", F.lit(UNK))
+    rows = (pieces.join(F.broadcast(vocabulary), "token", "left").groupBy(id_col)
+            .agg(F.max("_n").alias("_n"), F.sort_array(F.collect_list(packed)).alias("_packed"))
+            .select(id_col, "_n", F.transform("_packed", lambda x: (x % ID_RANGE).cast("int")).alias("_ids")))
+    sides = rows.select(id_col, F.slice("_ids", F.lit(1), F.col("_n")).alias("_a"),
+                        F.slice("_ids", F.col("_n") + 1, F.lit(length)).alias("_b"))
 
     def framed(side: str) -> Column:
-        body = F.concat(F.array(F.lit(CLS)), F.col(f"{side}.token_id"), F.array(F.lit(SEP)))
-        return F.concat(body, F.array_repeat(F.lit(PAD), F.lit(length) - F.size(body)))
+        padding = F.array_repeat(F.lit(PAD), F.lit(length - 2) - F.size(side))
+        return F.concat(F.array(F.lit(CLS)), side, F.array(F.lit(SEP)), padding)
+
+    def mask(side: str) -> Column:
+        used = F.size(side) + 2
+        return F.concat(F.array_repeat(F.lit(1), used), F.array_repeat(F.lit(0), F.lit(length) - used))
 
-    encoded = ids.select(id_col, framed("_a").alias("review_ids"), framed("_b").alias("reply_ids"))
-    mask = lambda name: F.transform(F.col(name), lambda t: (t != PAD).cast("int"))
-    return encoded.select(id_col, "review_ids", mask("review_ids").alias("review_mask"),
-                          "reply_ids", mask("reply_ids").alias("reply_mask"))
+    return sides.select(id_col, framed("_a").alias("review_ids"), mask("_a").alias("review_mask"),
+                        framed("_b").alias("reply_ids"), mask("_b").alias("reply_mask"))
