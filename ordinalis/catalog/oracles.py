@@ -302,6 +302,8 @@ ORACLES: dict[str, str] = {
     "submission": f"""WITH {REVIEWS} SELECT CAST(id AS VARCHAR) AS id, CAST("thumbsUpCount" % 5 AS INT) AS value
         FROM reviews WHERE split = 'test'""",
 
+    "model_roundtrip": f"WITH {REVIEWS} SELECT id, true AS equal FROM reviews",
+
     "clean_text": f"WITH {REVIEWS} SELECT id, {_keywords('review')} AS text FROM reviews",
     "fill_text_nulls": f"WITH {REVIEWS} SELECT id, coalesce(review, '') AS review, {_REPLY} AS \"replyContent\" FROM reviews",
     "emoji_override": f"WITH {REVIEWS} SELECT id, CASE WHEN {_EMOJI} THEN 'great' ELSE review END AS text FROM reviews",

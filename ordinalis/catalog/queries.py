@@ -275,6 +275,17 @@ def fit_sentiment_model(spark, sf_dir):
     return spark.createDataFrame(losses, "iteration int, loss double")
 
 
+@query
+def train_sentiment(spark, sf_dir):
+    """The classifier's training with a holdout: metrics of both parts after each epoch."""
+    train = readers.split_train_test(views.reviews(spark, sf_dir))[0]
+    done = sentiment.train_sentiment(train, "id", "review", "replyContent", small_settings(all_train=False))
+    path = fresh_path(spark, "training-metrics")
+    writers.write_epoch_metrics(done.train_metrics, path, done.validation_metrics)
+    measures = [f"{part}_{m} double" for part in ("train", "val") for m in ("loss", "accuracy", "qwk")]
+    return spark.read.schema("epoch int, " + ", ".join(measures)).option("header", True).csv(path)
+
+
 @query
 def score_sentiment(spark, sf_dir):
     rows, model = _fitted_sentiment(spark, sf_dir)

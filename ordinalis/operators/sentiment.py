@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from operator import add
 
@@ -14,14 +15,17 @@ from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_a
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ordinalis.functions.text import fill_null
+from ordinalis.functions.vectors import argmax, smoothed_cross_entropy
+from ordinalis.operators.agreement import epoch_metrics
 from ordinalis.operators.distinct import map_distinct
-from ordinalis.operators.ranks import kfold_assign
+from ordinalis.operators.ranks import batch_assign, holdout_split, kfold_assign
 from ordinalis.schema import pca_names
 from ordinalis.settings import Settings
+from ordinalis.storage import cut
 
 
-def sentiment_pipeline(review: str, reply: str, settings: Settings) -> Pipeline:
-    """Each text to a TF-IDF vector, both vectors joined, then softmax regression."""
+def text_stages(review: str, reply: str, settings: Settings) -> Pipeline:
+    """Each text to a TF-IDF vector, and both vectors joined."""
     stages = []
     for side, column in (("review", review), ("reply", reply)):
         stages += [
@@ -29,13 +33,7 @@ def sentiment_pipeline(review: str, reply: str, settings: Settings) -> Pipeline:
             HashingTF(inputCol=f"_{side}_words", outputCol=f"_{side}_tf", numFeatures=settings.hash_features),
             IDF(inputCol=f"_{side}_tf", outputCol=f"_{side}_vec"),
         ]
-    return Pipeline(stages=[
-        *stages,
-        VectorAssembler(inputCols=["_review_vec", "_reply_vec"], outputCol="_pair"),
-        LogisticRegression(featuresCol="_pair", labelCol="score", probabilityCol="_probability",
-                           rawPredictionCol="_logits", predictionCol="_class", family="multinomial",
-                           maxIter=settings.sentiment_iterations, regParam=settings.sentiment_reg),
-    ])
+    return Pipeline(stages=[*stages, VectorAssembler(inputCols=["_review_vec", "_reply_vec"], outputCol="_pair")])
 
 
 def _filled(df: DataFrame, *texts: str) -> DataFrame:
@@ -46,10 +44,27 @@ def fit_sentiment_model(train: DataFrame, review: str, reply: str, settings: Set
     """Fit on the labelled rows; every pass of the optimiser is a distributed sum.
 
     The text is read three times (two document frequencies, then the vectors); the optimiser
-    keeps only the sparse vectors, so the raw text is never cached.
+    keeps only the sparse vectors, so the raw text is never cached. Label smoothing is exact:
+    a row counts with s/K for every class and with 1 - s more for its own.
     """
     rows = _filled(train.where(F.col("score").isNotNull()), review, reply).select(review, reply, "score")
-    return sentiment_pipeline(review, reply, settings).fit(rows)
+    texts = text_stages(review, reply, settings).fit(rows)
+    vectors = texts.transform(rows).select("_pair", "score")
+    classes, spread = range(settings.num_classes), settings.label_smoothing / settings.num_classes
+    if settings.label_smoothing:
+        own = F.when(F.col("score") == F.col("_k"), F.lit(1.0 - settings.label_smoothing)).otherwise(F.lit(0.0))
+        vectors = (vectors.withColumn("_k", F.explode(F.array(*[F.lit(k) for k in classes])))
+                   .select("_pair", (own + F.lit(spread)).alias("_weight"), F.col("_k").alias("score")))
+    else:
+        vectors = vectors.withColumn("_weight", F.lit(1.0))
+    # naming all classes keeps the score vector at full length when one does not occur
+    named = {"ml_attr": {"type": "nominal", "name": "score", "vals": [str(k) for k in classes]}}
+    regression = LogisticRegression(
+        featuresCol="_pair", labelCol="score", weightCol="_weight", probabilityCol="_probability",
+        rawPredictionCol="_logits", predictionCol="_class", family="multinomial",
+        maxIter=settings.sentiment_iterations, regParam=settings.sentiment_reg)
+    fitted = regression.fit(vectors.select("_pair", "_weight", F.col("score").alias("score", metadata=named)))
+    return PipelineModel([*texts.stages, fitted])
 
 
 def loss_history(model: PipelineModel) -> list[float]:
@@ -57,12 +72,53 @@ def loss_history(model: PipelineModel) -> list[float]:
     return list(model.stages[-1].summary.objectiveHistory)
 
 
-def score_sentiment(df: DataFrame, model: PipelineModel, review: str, reply: str, num_classes: int = 5) -> DataFrame:
-    """Adds ``probs`` ARRAY<DOUBLE> of the class scores; classes unseen in training score 0."""
+def score_sentiment(df: DataFrame, model: PipelineModel, review: str, reply: str) -> DataFrame:
+    """Adds ``probs`` ARRAY<DOUBLE> of the class scores."""
     scored = model.transform(_filled(df, review, reply))
-    known = vector_to_array("_probability")
-    probs = F.array(*[F.coalesce(F.get(known, F.lit(k)), F.lit(0.0)) for k in range(num_classes)])
-    return scored.select(*df.columns, probs.alias("probs"))
+    return scored.select(*df.columns, vector_to_array("_probability").alias("probs"))
+
+
+@dataclass(frozen=True)
+class SentimentTraining:
+    model: PipelineModel
+    train_metrics: DataFrame  # (epoch, loss, accuracy, qwk)
+    validation_metrics: DataFrame | None  # None when all rows were trained on
+
+
+def train_sentiment(train: DataFrame, id_col: str, review: str, reply: str, settings: Settings) -> SentimentTraining:
+    """Fit with metrics along the way, on all rows or on all but a seeded holdout.
+
+    An epoch is an equal share of the optimiser's iterations; it starts from the same point
+    every time, so the shorter fits are the longer one's earlier states.
+    """
+    rows = train.where(F.col("score").isNotNull())
+    if not settings.all_train:
+        rows = holdout_split(rows, id_col, settings.holdout_share, settings.seed)
+    else:
+        rows = rows.withColumn("is_validation", F.lit(False))
+    rows = cut(rows.select(id_col, review, reply, "score", "is_validation"), "sentiment-rows")
+    fit_rows, held = rows.where(~F.col("is_validation")), rows.where("is_validation")
+    judged = {"train": [], "validation": []}
+    for epoch in range(1, settings.num_epochs + 1):
+        steps = math.ceil(settings.sentiment_iterations * epoch / settings.num_epochs)
+        model = fit_sentiment_model(fit_rows, review, reply, replace(settings, sentiment_iterations=steps))
+        for part, table in (("train", fit_rows), ("validation", held)):
+            if part == "train" or not settings.all_train:
+                batched = batch_assign(table, id_col, settings.batch_size, settings.seed, epoch)
+                judged[part].append(_judge(batched, model, review, reply, settings, epoch))
+    metrics = {part: cut(epoch_metrics(reduce(DataFrame.unionByName, tables), "score", "_p", "_loss", "batch",
+                                       settings.num_classes), "epoch-metrics") if tables else None
+               for part, tables in judged.items()}
+    return SentimentTraining(model, metrics["train"], metrics["validation"])
+
+
+def _judge(df: DataFrame, model: PipelineModel, review: str, reply: str, settings: Settings, epoch: int) -> DataFrame:
+    """(epoch, batch, score, _p, _loss) of one epoch's model."""
+    logits = vector_to_array("_logits")
+    scored = model.transform(_filled(df, review, reply)).withColumn("_scores", logits)
+    loss = smoothed_cross_entropy(F.col("_scores"), F.col("score"), settings.num_classes, settings.label_smoothing)
+    return scored.select(F.lit(epoch).alias("epoch"), "batch", "score", argmax(F.col("_scores")).alias("_p"),
+                         loss.alias("_loss"))
 
 
 def score_with(df: DataFrame, review: str, reply: str, make_predict: Callable, batch_size: int = 256) -> DataFrame:
@@ -84,9 +140,9 @@ def cross_fit_scores(train: DataFrame, rest: DataFrame, id_col: str, review: str
     for fold in range(settings.num_folds):
         model = fit_sentiment_model(folded.where(F.col("fold") != fold), review, reply, settings)
         part = folded.where(F.col("fold") == fold).drop("fold")
-        parts.append(score_sentiment(part, model, review, reply, settings.num_classes))
+        parts.append(score_sentiment(part, model, review, reply))
     full = fit_sentiment_model(train, review, reply, settings)
-    parts.append(score_sentiment(rest, full, review, reply, settings.num_classes))
+    parts.append(score_sentiment(rest, full, review, reply))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

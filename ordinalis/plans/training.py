@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -19,21 +18,27 @@ from ordinalis.settings import Settings
 from ordinalis.storage import cut
 
 
-def _fit_all(jobs: list[Callable[[], Fitted]], spark, threads: int) -> list[Fitted]:
-    """Overlap a few fits: each is a distributed job that leaves gaps between its small steps."""
-    if not jobs:
-        return []
-    with ThreadPool(min(threads, len(jobs))) as pool:
-        return pool.map(inheritable_thread_target(spark)(lambda job: job()), jobs)
-
-
-def score_all(df: DataFrame, models: list[Fitted]) -> DataFrame:
-    """One prediction column per model, in a single pass."""
-    return reduce(lambda rows, model: model.score(rows), models, df)
+def _fit_trials(train: DataFrame, settings: Settings, seeds: dict[int, int],
+                validation: DataFrame | None = None) -> dict[int, list[Fitted]]:
+    """Every learner for every trial's seed. A few fits overlap: each is a distributed job that
+    leaves gaps between its small steps."""
+    jobs = [(learner, seed) for seed in seeds.values() for learner in LEARNERS]
+    fit = lambda job: fit_learner(job[0], train, job[1], settings, validation)
+    with ThreadPool(settings.fit_threads) as pool:
+        fitted = pool.map(inheritable_thread_target(train.sparkSession)(fit), jobs, chunksize=1)
+    width = len(LEARNERS)
+    return {trial: fitted[i * width:(i + 1) * width] for i, trial in enumerate(seeds)}
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+def score_trials(df: DataFrame, models: dict[int, list[Fitted]], keep: list[str]) -> DataFrame:
+    """(trial, keep..., one column per learner): the models of all trials in a single pass."""
+    trials = []
+    for trial, fitted in models.items():
+        for one in fitted:
+            df = replace(one, name=f"_{trial}_{one.name}").score(df)
+        columns = [F.col(f"_{trial}_{one.name}").alias(one.name) for one in fitted]
+        trials.append(F.struct(F.lit(trial).alias("trial"), *columns))
+    return df.select(*keep, F.inline(F.array(*trials)))
 
 
 def oof_predictions(folded: DataFrame, settings: Settings, seeds: dict[int, int]) -> DataFrame:
@@ -42,21 +47,12 @@ def oof_predictions(folded: DataFrame, settings: Settings, seeds: dict[int, int]
     ``folded`` has (id, score, features, fold). Folds are the same in every trial; only the
     learners' seeds change.
     """
-    spark = folded.sparkSession
-    jobs, keys = [], []
-    for trial, seed in seeds.items():
-        for fold in range(settings.num_folds):
-            inside, outside = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
-            for learner in LEARNERS:
-                keys.append((trial, fold))
-                jobs.append(lambda l=learner, a=inside, s=seed, b=outside: fit_learner(l, a, s, settings, b))
-    fitted = _fit_all(jobs, spark, settings.fit_threads)
     parts = []
-    for trial, fold in dict.fromkeys(keys):
-        models = [f for key, f in zip(keys, fitted) if key == (trial, fold)]
-        rows = folded.where(F.col("fold") == fold).withColumn("trial", F.lit(trial))
-        parts.append(score_all(rows, models).select("trial", "fold", "id", "score", *settings.weights))
-    return cut(_union(parts), "oof-predictions")
+    for fold in range(settings.num_folds):
+        inside, outside = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
+        models = _fit_trials(inside, settings, seeds, outside)
+        parts.append(score_trials(outside, models, ["fold", "id", "score"]))
+    return cut(reduce(DataFrame.unionByName, parts), "oof-predictions")
 
 
 def _folded(train: DataFrame, settings: Settings) -> DataFrame:
@@ -97,13 +93,8 @@ class EnsembleRun:
 
 def refit_predictions(train: DataFrame, test: DataFrame, settings: Settings, seeds: dict[int, int]) -> DataFrame:
     """(trial, id, one column per learner): models refitted on all train rows, all rounds."""
-    jobs = [lambda l=learner, s=seed: fit_learner(l, train, s, settings)
-            for seed in seeds.values() for learner in LEARNERS]
-    fitted = _fit_all(jobs, train.sparkSession, settings.fit_threads)
-    width = len(LEARNERS)
-    parts = [score_all(test.withColumn("trial", F.lit(trial)), fitted[i * width:(i + 1) * width])
-             .select("trial", "id", *settings.weights) for i, trial in enumerate(seeds)]
-    return cut(_union(parts), "test-predictions")
+    models = _fit_trials(train, settings, seeds)
+    return cut(score_trials(test, models, ["id"]), "test-predictions")
 
 
 def ensemble_test(predictions: DataFrame, means: DataFrame, weights: dict[str, float]) -> DataFrame:
@@ -114,13 +105,13 @@ def ensemble_test(predictions: DataFrame, means: DataFrame, weights: dict[str, f
 def train_ensemble(train: DataFrame, test: DataFrame, settings: Settings) -> EnsembleRun:
     """All trials: out-of-fold labels, test labels, votes and the final evaluation.
 
-    ``train`` has (id, score, features), ``test`` (id, features). Both are written once,
-    because every fit reads them.
+    ``train`` has (id, score, features) and is written once, because every fit reads it;
+    ``test`` (id, features) is read once.
     """
     seeds = dict(enumerate(settings.trial_seeds()))
     folded = _folded(train, settings)
     validated = cross_validate(oof_predictions(folded, settings, seeds), settings)
-    test_rows = refit_predictions(folded.drop("fold"), cut(test, "test-matrix"), settings, seeds)
+    test_rows = refit_predictions(folded.drop("fold"), test, settings, seeds)
     votes = vote_mode(validated.labels, ["id"], num_classes=settings.num_classes, carry=["score"])
     test_votes = vote_mode(ensemble_test(test_rows, validated.means, settings.weights), ["id"],
                            num_classes=settings.num_classes)

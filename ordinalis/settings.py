@@ -27,6 +27,7 @@ class Settings:
     # two-text classifier
     all_train: bool = True
     holdout_share: float = 0.2
+    num_epochs: int = 3
     batch_size: int = 16
     label_smoothing: float = 0.3
     hash_features: int = 1 << 16

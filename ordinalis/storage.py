@@ -26,9 +26,19 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def _run_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/ordinalis/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark).rstrip('/')}/ordinalis/{name}-{uuid.uuid4().hex}"
+    return f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every table this application cut; call it when no result is read any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_run_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def cut(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from ordinalis.settings import Settings
 
 def score_stream(reviews: DataFrame, model: PipelineModel, settings: Settings, working: str = "review") -> DataFrame:
     """The same plan as in batch, on a streaming table of reviews."""
-    scored = score_sentiment(text_features(reviews, working), model, "text", "replyContent", settings.num_classes)
+    scored = score_sentiment(text_features(reviews, working), model, "text", "replyContent")
     return score_columns(scored, settings.num_classes)
 
 

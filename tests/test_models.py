@@ -143,3 +143,36 @@ def test_staged_curves_match_brute_force(spark):
         labels = sorted(set(p) | set(y.tolist()))
         assert kappas[i + 1] == pytest.approx(brute_kappa(y.tolist(), p, labels), abs=1e-12)
         assert errors[i + 1] == pytest.approx(np.sqrt(((sums[:, i] - y) ** 2).mean()))
+
+
+def test_training_with_holdout_reports_both_parts(reviews):
+    train = reviews.where("split = 'train'")
+    done = sentiment.train_sentiment(train, "id", "review", "replyContent", small_settings(all_train=False))
+    for table in (done.train_metrics, done.validation_metrics):
+        rows = sorted(table.collect(), key=lambda r: r.epoch)
+        assert [r.epoch for r in rows] == [1, 2, 3] and all(0 <= r.accuracy <= 1 and r.loss > 0 for r in rows)
+    losses = [r.loss for r in sorted(done.train_metrics.collect(), key=lambda r: r.epoch)]
+    assert losses[2] < losses[0]  # the smoothed loss is what the fit minimises
+    assert sentiment.train_sentiment(train, "id", "review", "replyContent", SMALL).validation_metrics is None
+
+
+def test_a_missing_class_keeps_the_score_vector_whole(reviews):
+    few = reviews.where("score < 3")
+    model = sentiment.fit_sentiment_model(few, "review", "replyContent", SMALL)
+    rows = sentiment.score_sentiment(reviews, model, "review", "replyContent").collect()
+    assert all(len(r.probs) == 5 and abs(sum(r.probs) - 1) < 1e-9 for r in rows)
+
+
+def test_stages_found_on_disk_are_loaded(spark, reviews, tmp_path):
+    paths = whole.Paths(*[str(tmp_path / n) for n in ("model", "features", "epochs", "report", "submit")])
+    template = reviews.where("split = 'test'").select(F.col("id").cast("string"), F.lit(0).alias("value"))
+    settings = small_settings(translate=False, num_trials=1, num_folds=2, boost_rounds=2, all_train=False)
+    first = whole.review_run(reviews, settings, paths=paths, template=template)
+    expected = sorted(map(str, first.run.evaluation.collect()))
+    assert len(spark.read.option("header", True).csv(paths.epoch_metrics).columns) == 7
+    assert spark.read.csv(paths.submission).count() == template.count()
+    nothing = reviews.where("1 = 0")  # proves that the stage is not built again
+    again = whole.review_run(nothing, settings, paths=whole.Paths(features=paths.features))
+    assert sorted(map(str, again.run.evaluation.collect())) == expected
+    loaded = whole.sentiment_model(nothing, settings, "review", paths)
+    assert len(loaded.stages) == 8
