@@ -49,10 +49,14 @@ def vote_mode(df: DataFrame, by: list[str], label: str = "label", num_classes: i
 
 
 def oof_scatter(parts: DataFrame, trial: str = "trial", id_col: str = "id") -> DataFrame:
-    """Fold outputs as one out-of-fold table; two outputs for one (trial, id) raise."""
+    """Fold outputs as one out-of-fold table; two outputs for one (trial, id) raise.
+
+    Rows are laid out by id alone, which serves this check and a later vote per id alike.
+    """
     keep = [c for c in parts.columns if c not in (trial, id_col)]
-    once = parts.groupBy(trial, id_col).agg(
+    once = parts.repartition(id_col).groupBy(trial, id_col).agg(
         F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in keep])
     problem = F.raise_error(F.concat(F.lit("row predicted twice in one trial: "), F.col(id_col).cast("string")))
-    checked = F.when(F.col("_n") == 1, F.col(id_col)).otherwise(problem).alias(id_col)
-    return once.select(trial, checked, *keep)
+    # a filter, because an unused column would be pruned together with its check
+    checked = once.where(F.when(F.col("_n") == 1, F.lit(True)).otherwise(problem.cast("boolean")))
+    return checked.select(trial, id_col, *keep)

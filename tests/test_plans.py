@@ -43,6 +43,12 @@ def test_scan_reads_only_what_is_asked(spark):
     assert "ReadSchema: struct<o_orderkey:bigint>" in plan
 
 
+def test_checking_and_voting_share_one_shuffle(spark):
+    labels = ensemble.oof_scatter(spark.range(10).selectExpr("0 as trial", "id", "1 as label"))
+    plan = plan_of(ensemble.vote_mode(labels, ["id"]))
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_fold_filter_reads_one_folder(spark):
     table = storage.cut(spark.range(100).withColumn("fold", (F.col("id") % 5).cast("int")), "t", partition_by="fold")
     one = table.where("fold = 3")
