@@ -5,10 +5,11 @@ from __future__ import annotations
 from ordinalis.catalog.views import LEXICON, LOGITS, MODELS, ROUNDS, TRIALS
 from ordinalis.functions.text import EMOJI_ONLY, REPLY_PATTERNS
 from ordinalis.operators.encode import MAX_TOKEN_CHARS
-from ordinalis.operators.thresholds import HIGHEST_BIN, LOWEST_BIN
+from ordinalis.operators.thresholds import LOWEST_BIN, highest_bin
 from ordinalis.settings import MODEL_WEIGHTS, START_THRESHOLDS, Settings
 
 K = 5
+HIGHEST_BIN = highest_bin()
 
 
 def _values(count: int, first: int = 0) -> str:

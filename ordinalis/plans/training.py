@@ -12,21 +12,23 @@ from pyspark.sql import DataFrame, functions as F
 from ordinalis.operators.ensemble import cut_at, ensemble_weighted, oof_scatter, vote_mode
 from ordinalis.operators.agreement import evaluate
 from ordinalis.operators.ranks import kfold_assign
-from ordinalis.operators.regressors import LEARNERS, Fitted, fit_learner
+from ordinalis.operators.regressors import LEARNERS, Fitted, Learner, fit_learner
 from ordinalis.operators.thresholds import mean_thresholds, optimize_thresholds
 from ordinalis.settings import Settings
 from ordinalis.storage import cut
 
+Learners = tuple[Learner, ...]
 
-def _fit_trials(train: DataFrame, settings: Settings, seeds: dict[int, int],
+
+def _fit_trials(train: DataFrame, settings: Settings, seeds: dict[int, int], learners: Learners,
                 validation: DataFrame | None = None) -> dict[int, list[Fitted]]:
     """Every learner for every trial's seed. A few fits overlap: each is a distributed job that
     leaves gaps between its small steps."""
-    jobs = [(learner, seed) for seed in seeds.values() for learner in LEARNERS]
+    jobs = [(learner, seed) for seed in seeds.values() for learner in learners]
     fit = lambda job: fit_learner(job[0], train, job[1], settings, validation)
     with ThreadPool(settings.fit_threads) as pool:
         fitted = pool.map(inheritable_thread_target(train.sparkSession)(fit), jobs, chunksize=1)
-    width = len(LEARNERS)
+    width = len(learners)
     return {trial: fitted[i * width:(i + 1) * width] for i, trial in enumerate(seeds)}
 
 
@@ -41,7 +43,8 @@ def score_trials(df: DataFrame, models: dict[int, list[Fitted]], keep: list[str]
     return df.select(*keep, F.inline(F.array(*trials)))
 
 
-def oof_predictions(folded: DataFrame, settings: Settings, seeds: dict[int, int]) -> DataFrame:
+def oof_predictions(folded: DataFrame, settings: Settings, seeds: dict[int, int],
+                    learners: Learners = LEARNERS) -> DataFrame:
     """(trial, fold, id, score, one column per learner) for every row and trial.
 
     ``folded`` has (id, score, features, fold). Folds are the same in every trial; only the
@@ -50,7 +53,7 @@ def oof_predictions(folded: DataFrame, settings: Settings, seeds: dict[int, int]
     parts = []
     for fold in range(settings.num_folds):
         inside, outside = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
-        models = _fit_trials(inside, settings, seeds, outside)
+        models = _fit_trials(inside, settings, seeds, learners, outside)
         parts.append(score_trials(outside, models, ["fold", "id", "score"]))
     return cut(reduce(DataFrame.unionByName, parts), "oof-predictions")
 
@@ -71,16 +74,18 @@ def cross_validate(predictions: DataFrame, settings: Settings) -> CrossValidated
     """Ensemble, search thresholds per trial and fold, cut, and average the thresholds."""
     combined = ensemble_weighted(predictions, settings.weights)
     by = ["trial", "fold"]
-    cuts = cut(optimize_thresholds(combined, "score", "prediction", by), "fold-thresholds")
-    labels = cut_at(combined, cuts, by).select("trial", "id", "fold", "score", "label")
-    return CrossValidated(oof_scatter(labels), cuts, mean_thresholds(cuts, ["trial"]))
+    start = settings.start_thresholds()
+    cuts = cut(optimize_thresholds(combined, "score", "prediction", by, start), "fold-thresholds")
+    labels = cut_at(combined, cuts, by, count=len(start)).select("trial", "id", "fold", "score", "label")
+    return CrossValidated(oof_scatter(labels), cuts, mean_thresholds(cuts, ["trial"], len(start)))
 
 
-def kfold_oof(train: DataFrame, settings: Settings, trial: int = 0) -> CrossValidated:
+def kfold_oof(train: DataFrame, settings: Settings, trial: int = 0,
+              learners: Learners = LEARNERS) -> CrossValidated:
     """One trial over all folds; ``train`` has (id, score, features)."""
     folded = _folded(train, settings)
     seeds = {trial: settings.trial_seeds()[trial]}
-    return cross_validate(oof_predictions(folded, settings, seeds), settings)
+    return cross_validate(oof_predictions(folded, settings, seeds, learners), settings)
 
 
 @dataclass(frozen=True)
@@ -91,18 +96,21 @@ class EnsembleRun:
     evaluation: DataFrame  # (metric, class, value)
 
 
-def refit_predictions(train: DataFrame, test: DataFrame, settings: Settings, seeds: dict[int, int]) -> DataFrame:
+def refit_predictions(train: DataFrame, test: DataFrame, settings: Settings, seeds: dict[int, int],
+                      learners: Learners = LEARNERS) -> DataFrame:
     """(trial, id, one column per learner): models refitted on all train rows, all rounds."""
-    models = _fit_trials(train, settings, seeds)
+    models = _fit_trials(train, settings, seeds, learners)
     return cut(score_trials(test, models, ["id"]), "test-predictions")
 
 
-def ensemble_test(predictions: DataFrame, means: DataFrame, weights: dict[str, float]) -> DataFrame:
+def ensemble_test(predictions: DataFrame, means: DataFrame, settings: Settings) -> DataFrame:
     """(trial, id, label): weighted predictions cut at their trial's mean thresholds."""
-    return cut_at(ensemble_weighted(predictions, weights), means, ["trial"]).select("trial", "id", "label")
+    combined = ensemble_weighted(predictions, settings.weights)
+    return cut_at(combined, means, ["trial"], count=settings.num_classes - 1).select("trial", "id", "label")
 
 
-def train_ensemble(train: DataFrame, test: DataFrame, settings: Settings) -> EnsembleRun:
+def train_ensemble(train: DataFrame, test: DataFrame, settings: Settings,
+                   learners: Learners = LEARNERS) -> EnsembleRun:
     """All trials: out-of-fold labels, test labels, votes and the final evaluation.
 
     ``train`` has (id, score, features) and is written once, because every fit reads it;
@@ -110,9 +118,9 @@ def train_ensemble(train: DataFrame, test: DataFrame, settings: Settings) -> Ens
     """
     seeds = dict(enumerate(settings.trial_seeds()))
     folded = _folded(train, settings)
-    validated = cross_validate(oof_predictions(folded, settings, seeds), settings)
-    test_rows = refit_predictions(folded.drop("fold"), test, settings, seeds)
+    validated = cross_validate(oof_predictions(folded, settings, seeds, learners), settings)
+    test_rows = refit_predictions(folded.drop("fold"), test, settings, seeds, learners)
     votes = vote_mode(validated.labels, ["id"], num_classes=settings.num_classes, carry=["score"])
-    test_votes = vote_mode(ensemble_test(test_rows, validated.means, settings.weights), ["id"],
+    test_votes = vote_mode(ensemble_test(test_rows, validated.means, settings), ["id"],
                            num_classes=settings.num_classes)
     return EnsembleRun(validated, votes, test_votes, evaluate(votes, "score", "label", settings.num_classes))

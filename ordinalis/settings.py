@@ -47,6 +47,10 @@ class Settings:
     forest_depth: int = 7
     fit_threads: int = 4
 
+    def start_thresholds(self) -> tuple[float, ...]:
+        """Where the threshold search starts: half way between neighbouring classes."""
+        return tuple(k + 0.5 for k in range(self.num_classes - 1))
+
     def trial_seeds(self) -> list[int]:
         """One learner seed per trial: the base seed times 1, 2, 3, ..."""
         return [self.seed * (trial + 1) for trial in range(self.num_trials)]

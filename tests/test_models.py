@@ -176,3 +176,16 @@ def test_stages_found_on_disk_are_loaded(spark, reviews, tmp_path):
     assert sorted(map(str, again.run.evaluation.collect())) == expected
     loaded = whole.sentiment_model(nothing, settings, "review", paths)
     assert len(loaded.stages) == 8
+
+
+def test_any_regressor_and_class_count(spark, matrix):
+    from pyspark.ml.regression import LinearRegression
+
+    line = regressors.Learner("line", lambda seed, settings: LinearRegression(featuresCol="features", labelCol="score"))
+    learners = (line, regressors.LEARNERS[0])
+    three = matrix.withColumn("score", F.least("score", F.lit(2)))
+    settings = small_settings(num_classes=3, num_trials=1, num_folds=2, weights={"line": 0.25, "boost_a": 0.75})
+    got = training.train_ensemble(three, three.select("id", "features"), settings, learners)
+    assert {r.label for r in got.votes.collect()} <= {0, 1, 2}
+    assert got.test_votes.count() == three.count() and "t3" not in got.validated.cuts.columns
+    assert got.evaluation.where("metric = 'qwk'").first().value > 0.8
