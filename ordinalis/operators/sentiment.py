@@ -132,6 +132,17 @@ def score_with(df: DataFrame, review: str, reply: str, make_predict: Callable, b
                         lambda pairs: pairs.withColumn("probs", predict(review, reply)))
 
 
+def score_encoded(encoded: DataFrame, id_col: str, make_predict: Callable, max_length: int = 512,
+                  batch_size: int = 64) -> DataFrame:
+    """(id, probs) from a plugged-in model over ``encode_text_pair`` rows: ``make_predict()`` returns
+    ``predict(review_ids, review_mask, reply_ids, reply_mask) -> float array [n, K]``, each
+    argument an int array [n, max_length // 2]."""
+    inputs = ("review_ids", "review_mask", "reply_ids", "reply_mask")
+    predict = predict_batch_udf(make_predict, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size,
+                                input_tensor_shapes=[[max_length // 2]] * len(inputs))
+    return encoded.select(id_col, predict(*inputs).alias("probs"))
+
+
 def cross_fit_scores(train: DataFrame, rest: DataFrame, id_col: str, review: str, reply: str,
                      settings: Settings) -> DataFrame:
     """Train rows scored by the model that did not see their fold, other rows by a full fit."""

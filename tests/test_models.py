@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ordinalis.catalog import views
-from ordinalis.operators import regressors, sentiment, thresholds
+from ordinalis.operators import encode, regressors, sentiment, thresholds
 from ordinalis.plans import features, review_run as whole, training
 from ordinalis.settings import MODEL_WEIGHTS, Settings, small_settings
 from ordinalis.storage import cut
@@ -189,3 +189,19 @@ def test_any_regressor_and_class_count(spark, matrix):
     assert {r.label for r in got.votes.collect()} <= {0, 1, 2}
     assert got.test_votes.count() == three.count() and "t3" not in got.validated.cuts.columns
     assert got.evaluation.where("metric = 'qwk'").first().value > 0.8
+
+
+def test_model_over_token_ids(spark):
+    rows = spark.createDataFrame([(1, "a b a", "c"), (2, None, "a"), (3, "b", None)], "id int, review string, reply string")
+    vocabulary = encode.build_vocabulary(rows, ["review", "reply"], 10)
+    encoded = encode.encode_text_pair(rows, "id", "review", "reply", vocabulary, 12)
+
+    def make_predict():
+        import numpy as np
+
+        def predict(review_ids, review_mask, reply_ids, reply_mask):
+            return np.stack([review_mask.sum(axis=1), reply_mask.sum(axis=1), (review_ids > 3).sum(axis=1)], axis=1).astype(float)
+        return predict
+
+    got = {r.id: r.probs for r in sentiment.score_encoded(encoded, "id", make_predict, 12).collect()}
+    assert got == {1: [5.0, 3.0, 3.0], 2: [2.0, 3.0, 0.0], 3: [3.0, 2.0, 1.0]}
