@@ -9,7 +9,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ordinalis.llm import bpe, counts, packing
+from ordinalis.llm import bpe, counts, fingerprints, languages, neighbours, packing, substrings, urls, warc
+from ordinalis.storage import fresh_path
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
@@ -29,6 +30,19 @@ def _vocabulary(spark: SparkSession):
     return bpe.share_vocabulary(spark, public_tokenizers.path(VOCABULARY))
 
 
+@query
+def op1_block_neighbours(spark, sf_dir):
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+@query
+def op2_warc_bundles(spark, sf_dir):
+    records = warc.with_revisits(_table(spark, sf_dir, "pages"), "page_id", F.col("html"), least_bytes=0)
+    manifest = warc.write_bundles(records, fresh_path(spark, "warc"), id_col="page_id", url_col="url")
+    return (warc.read_records(manifest, id_col="page_id")
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
 @query
 def op3_bpe_roundtrip(spark, sf_dir):
     vocabulary = _vocabulary(spark)
@@ -40,6 +54,16 @@ def op3_bpe_roundtrip(spark, sf_dir):
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+URL_RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/"))
+
+
+@query
+def op5_url_templates(spark, sf_dir):
+    judged = urls.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
 @query
 def op6_token_counts(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -47,6 +71,18 @@ def op6_token_counts(spark, sf_dir):
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def held_out(id_col: str = "doc_id"):
+    return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(5)) == 0
+
+
+@query
+def op7_language_id(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    models = languages.fit(docs.where(~F.coalesce(held_out(), F.lit(False))))
+    found = languages.identify(docs.select("doc_id", "text", held_out().alias("held_out")), models)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def packed(spark: SparkSession, docs: DataFrame) -> DataFrame:
     vocabulary = _vocabulary(spark)
     pieces = packing.pack(docs, lambda text: bpe.loaded(vocabulary).encode(text), END_ID)
@@ -57,3 +93,16 @@ def packed(spark: SparkSession, docs: DataFrame) -> DataFrame:
 @query
 def op8_window_packing(spark, sf_dir):
     return packed(spark, _table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_substring_dedup(spark, sf_dir):
+    kept = substrings.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op10_chunk_fingerprints(spark, sf_dir):
+    compared = fingerprints.edit_comparison(_table(spark, sf_dir, "documents"))
+    return compared.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint",
+                           "edited_fingerprint", "near_edited", "near_next")
