@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ordinalis.llm import bpe, counts, fingerprints, languages, neighbours, packing, substrings, urls, warc
+from ordinalis.llm import bpe, counts, fingerprints, jaccard, languages, neighbours, packing, substrings, urls, warc
 from ordinalis.storage import fresh_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -54,6 +54,11 @@ def op3_bpe_roundtrip(spark, sf_dir):
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op4_ngram_jaccard(spark, sf_dir):
+    return jaccard.similar_components(_table(spark, sf_dir, "documents"))
+
+
 URL_RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
              ("block", "net", "/es/"), ("block", "net", "/fr/"))
 
