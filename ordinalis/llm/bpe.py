@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,9 @@ from ordinalis.llm.common import Recent
 #: White space of str.split that the split pattern of a vocabulary file doesn't know.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
+#: Cuts a worker remembers, in each of two generations; about 200 bytes each.
+CACHED_CUTS = 1_000_000
+
 #: A pair of tokens is looked up as one number.
 _SIDE = 1 << 24
 
@@ -60,10 +64,10 @@ class WordEndBpe:
         by_spelling = {s: rank for rank, s in enumerate(self._spelled)}
         self._automaton = ahocorasick.Automaton()
         for spelled, rank in by_spelling.items():
-            self._automaton.add_word(spelled, rank)
+            self._automaton.add_word(spelled, (1 - len(spelled), rank))
         self._automaton.make_automaton()
         self._shorter = [self._longest_prefix(s, by_spelling) for s in self._spelled]
-        self._compatible = Recent(self._check_pair, 200_000)
+        self._compatible = Recent(self._check_pair, 100_000)
 
         special = {t["content"]: t["id"] for t in file["added_tokens"]}
         self._special = special
@@ -80,9 +84,9 @@ class WordEndBpe:
         self._offsets = np.concatenate([[0], np.cumsum([len(n) for n in names])]).astype(np.int64)
         self._packed = [number.to_bytes(4, "little") for number in range(top)]
 
-        self._piece_ids = Recent(self._encode_piece)
-        self._cut_ids = Recent(self._encode_cut, 250_000)
-        self._cut_counts = Recent(self.count_cut, 250_000)
+        self._piece_ids = Recent(self._encode_piece, 50_000)
+        self._cut_ids = Recent(self._encode_cut, CACHED_CUTS)
+        self._cut_counts = Recent(self.count_cut, CACHED_CUTS)
 
     @staticmethod
     def _refuse_others(file: dict, model: dict) -> None:
@@ -136,11 +140,15 @@ class WordEndBpe:
     def _encode_piece(self, piece: str) -> bytes:
         data = piece.encode("utf-8")
         spelled = data[:-1].decode("latin-1") + chr(256 + data[-1])
+        compatible = self._compatible
+        kept = [rank for _, (_, rank) in self._automaton.iter_long(spelled)]  # the longest at every step
+        if all([compatible[a * _SIDE + b] for a, b in pairwise(kept)]):
+            return b"".join([self._packed[self._id[t]] for t in kept])
         longest = [0] * len(spelled)
         length = self._length
-        for end, rank in self._automaton.iter(spelled):
-            longest[end + 1 - length[rank]] = rank  # matches come by their end, so the longest stays
-        kept, at, dead, compatible = [], 0, set(), self._compatible
+        for end, (back, rank) in self._automaton.iter(spelled):
+            longest[end + back] = rank  # matches come by their end, so the longest stays
+        kept, at, dead = [], 0, set()
         token = longest[0]
         while True:
             end = at + length[token]
@@ -156,23 +164,24 @@ class WordEndBpe:
                 at -= length[token]
 
     def _encode_cut(self, cut: str) -> bytes:
-        parts = self._at_special.split(cut) if self._at_special and "<" in cut else [cut]
-        out = []
-        for part in parts:
-            if part in self._special:
-                out.append(self._packed[self._special[part]])
-            elif part:
-                if not part.isascii():
-                    part = unicodedata.normalize("NFC", part)
-                # letter by letter where a capital sigma's small form would depend on its place
-                part = part.lower() if "Σ" not in part else "".join(map(str.lower, part))
-                if part.isalpha():
-                    out.append(self._piece_ids[part])
-                elif part[:-1].isalpha() and not part[-1].isalnum():  # a word and a sign
-                    out += [self._piece_ids[part[:-1]], self._piece_ids[part[-1]]]
-                else:
-                    out += [self._piece_ids[piece] for piece in self._pieces.findall(part)]
-        return b"".join(out)
+        if "<" in cut and self._at_special:
+            parts = self._at_special.split(cut)
+            if len(parts) > 1:
+                return b"".join([self._packed[self._special[p]] if p in self._special else self._encode_cut(p) for p in parts])
+        if cut.isascii():
+            low = cut.lower()
+        else:
+            low = unicodedata.normalize("NFC", cut)
+            # letter by letter where a capital sigma's small form would depend on its place
+            low = low.lower() if "Σ" not in low else "".join(map(str.lower, low))
+            if not unicodedata.is_normalized("NFC", low):
+                return b"".join([self._piece_ids[piece] for piece in self._pieces.findall(low)])
+        if low.isalpha():
+            return self._encode_piece(low) if low == cut else self._cut_ids[low]
+        word = low[:-1]
+        if word.isalpha() and not low[-1].isalnum():  # a word and a sign: the word has its own place in the cache
+            return self._cut_ids[word] + self._piece_ids[low[-1]]
+        return b"".join([self._piece_ids[piece] for piece in self._pieces.findall(low)])
 
     def cuts(self, text: str | None) -> list[str]:
         """The text cut at white space."""
@@ -192,7 +201,7 @@ class WordEndBpe:
 
     def know_counts(self, known: dict[str, int]) -> None:
         """Counts that are never forgotten, looked up before the cache of the others."""
-        self._cut_counts = _Known(known, Recent(self.count_cut, 250_000))
+        self._cut_counts = _Known(known, Recent(self.count_cut, CACHED_CUTS))
 
     def decode(self, ids: np.ndarray, step: int = 1 << 18) -> str:
         """Token strings joined by a space, copied out of one blob by the offset table."""
