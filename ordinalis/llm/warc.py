@@ -45,13 +45,16 @@ def with_revisits(pages: DataFrame, id_col: str, payload: Column, least_bytes: i
     responses; a null id revisits any other. The payload counts as empty where it is null.
     """
     rows = pages.withColumn("_payload", F.coalesce(payload, F.lit(""))).withColumn("_sha1", F.sha1("_payload"))
-    large = F.octet_length("_payload") >= least_bytes
-    firsts = (rows.where(large).groupBy("_sha1").agg(F.min(id_col).alias("_first"), F.count(F.lit(1)).alias("_n"))
-              .where("_n > 1").drop("_n"))
-    again = F.coalesce(large & F.col("_first").isNotNull() & ~F.col(id_col).eqNullSafe(F.col("_first")), F.lit(False))
-    return (rows.join(firsts, "_sha1", "left")
-            .withColumn("record_type", F.when(again, "revisit").otherwise("response"))
-            .withColumn("refers_to", F.when(again, F.col("_first"))).drop("_first"))
+    # only digests and ids meet by digest, as a third of all rows may share one; payloads meet by id
+    seen = (rows.where(F.octet_length("_payload") >= least_bytes).select(F.col(id_col).alias("_page"), F.col("_sha1").alias("_digest"))
+            .distinct())
+    firsts = (seen.groupBy(F.col("_digest").alias("_same")).agg(F.min("_page").alias("_first"), F.count(F.lit(1)).alias("_n"))
+              .where("_n > 1 and _first is not null").drop("_n"))
+    again = (seen.join(firsts, seen["_digest"] == firsts["_same"])
+             .where(~F.col("_page").eqNullSafe(F.col("_first"))).select("_page", "_digest", "_first"))
+    marked = rows.join(again, F.col(id_col).eqNullSafe(F.col("_page")) & (F.col("_sha1") == F.col("_digest")), "left")
+    return (marked.withColumn("record_type", F.when(F.col("_first").isNotNull(), "revisit").otherwise("response"))
+            .withColumn("refers_to", F.col("_first")).drop("_page", "_digest", "_first"))
 
 
 def _urn(key) -> str:
