@@ -108,7 +108,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, *, id_col: str =
             .groupBy("_id").agg(F.min("_vector").alias("_vector"), F.max("_query").alias("_query"))
             .withColumn("_dim", F.size("_vector")))
     n, asked = rows.agg(F.count(F.lit(1)), F.count(F.when(F.col("_query"), 1))).first()
-    blocks = max(shuffle_partitions(spark) if n > block_rows else 1, math.ceil(n / block_rows))
+    blocks = max(1, math.ceil(n / block_rows))  # of a fixed size: a tile returns k rows a query
     query_blocks = max(1, math.ceil(asked / query_rows))
 
     def block(of: int, seed: int) -> Column:
