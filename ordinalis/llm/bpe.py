@@ -22,15 +22,15 @@ from itertools import pairwise
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ordinalis.llm.common import Recent
+from ordinalis.llm.common import Recent, with_column, worker_state
 
 #: White space of str.split that the split pattern of a vocabulary file doesn't know.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
 #: Cuts a worker remembers, in each of two generations; about 200 bytes each.
-CACHED_CUTS = 1_000_000
+CACHED_CUTS = 200_000
 
 #: A pair of tokens is looked up as one number.
 _SIDE = 1 << 24
@@ -39,7 +39,7 @@ _SIDE = 1 << 24
 class WordEndBpe:
     """The tables of one vocabulary file (its JSON text) and the two directions."""
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, cached_cuts: int = CACHED_CUTS):
         import ahocorasick
         import regex
 
@@ -85,14 +85,16 @@ class WordEndBpe:
         self._packed = [number.to_bytes(4, "little") for number in range(top)]
 
         self._piece_ids = Recent(self._encode_piece, 50_000)
-        self._cut_ids = Recent(self._encode_cut, CACHED_CUTS)
-        self._cut_counts = Recent(self.count_cut, CACHED_CUTS)
+        self._cut_ids = Recent(self._encode_cut, cached_cuts)
+        self._cut_counts = Recent(self.count_cut, cached_cuts)
+        self._cached_cuts = cached_cuts
+        self.known_from = None  # the table that ``know_counts`` was last told
 
     @staticmethod
     def _refuse_others(file: dict, model: dict) -> None:
-        steps = [n["type"] for n in file["normalizer"]["normalizers"]]
-        if (model["type"] != "BPE" or not model["end_of_word_suffix"] or file["decoder"] is not None
-                or steps != ["NFC", "Replace", "Lowercase"] or model["dropout"] or model["ignore_merges"]):
+        steps = [n["type"] for n in (file["normalizer"] or {}).get("normalizers", [])]
+        if (model["type"] != "BPE" or not model.get("end_of_word_suffix") or file["decoder"] is not None
+                or steps != ["NFC", "Replace", "Lowercase"] or model.get("dropout") or model.get("ignore_merges")):
             raise ValueError("not a lower-casing BPE vocabulary with word ends and without a decoder")
 
     @staticmethod
@@ -201,7 +203,7 @@ class WordEndBpe:
 
     def know_counts(self, known: dict[str, int]) -> None:
         """Counts that are never forgotten, looked up before the cache of the others."""
-        self._cut_counts = _Known(known, Recent(self.count_cut, CACHED_CUTS))
+        self._cut_counts = _Known(known, Recent(self.count_cut, self._cached_cuts))
 
     def decode(self, ids: np.ndarray, step: int = 1 << 18) -> str:
         """Token strings joined by a space, copied out of one blob by the offset table."""
@@ -223,16 +225,9 @@ class _Known(dict):
         return self._rest[key]
 
 
-_LOADED: dict[int, WordEndBpe] = {}
-
-
-def loaded(vocabulary: Broadcast) -> WordEndBpe:
+def loaded(vocabulary: Broadcast, cached_cuts: int = CACHED_CUTS) -> WordEndBpe:
     """The tables, built once per Python worker."""
-    key = hash(vocabulary.value)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = WordEndBpe(vocabulary.value)
-    return _LOADED[key]
+    return worker_state(("vocabulary", hash(vocabulary.value), cached_cuts), lambda: WordEndBpe(vocabulary.value, cached_cuts))
 
 
 def share_vocabulary(spark: SparkSession, path: str, most_bytes: int = 64 << 20) -> Broadcast:
@@ -244,10 +239,12 @@ def share_vocabulary(spark: SparkSession, path: str, most_bytes: int = 64 << 20)
     return spark.sparkContext.broadcast(text)
 
 
-def encode(text: Column | str, vocabulary: Broadcast) -> Column:
-    """array<int> of the ids of each whole text; null and empty texts give an empty array."""
+def encode(docs: DataFrame, vocabulary: Broadcast, *, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+    """``docs`` with the ids of each whole text (array<int>); null and empty texts have none.
+
+    A column named ``ids_col`` is replaced. The other columns travel along, so select first.
+    """
 
-    @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
         bpe = loaded(vocabulary)
         found = [bpe.encode(t.as_py()) for t in texts]
@@ -255,17 +252,16 @@ def encode(text: Column | str, vocabulary: Broadcast) -> Column:
         flat = np.concatenate([*found, np.zeros(0, "<u4")]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
-    return ids(text)
+    return with_column(docs, text_col, ids_col, "array<int>", ids)
 
 
-def decode(ids: Column | str, vocabulary: Broadcast) -> Column:
-    """The text of each array of ids; null gives null."""
+def decode(coded: DataFrame, vocabulary: Broadcast, *, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
+    """``coded`` with the text of each array of ids; null ids give a null text."""
 
-    @F.arrow_udf("string")
     def texts(arrays: pa.Array) -> pa.Array:
-        bpe = loaded(vocabulary)
+        bpe, arrays = loaded(vocabulary), arrays.fill_null([])
         flat, ends = arrays.values.to_numpy(zero_copy_only=False), arrays.offsets.to_numpy()
-        found = [bpe.decode(flat[a:b].astype(np.int64)) for a, b in zip(ends[:-1], ends[1:])]
-        return pa.array(found, pa.string(), mask=np.asarray(arrays.is_null()))
+        return pa.array([bpe.decode(flat[a:b].astype(np.int64)) for a, b in zip(ends[:-1], ends[1:])], pa.string())
 
-    return texts(ids)
+    decoded = with_column(coded, ids_col, text_col, "string", texts)
+    return decoded.withColumn(text_col, F.when(F.col(ids_col).isNotNull(), F.col(text_col)))

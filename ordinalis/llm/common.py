@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 #: A word is a run of anything but the six white-space characters of ASCII.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -39,6 +41,19 @@ class Recent(dict):
         return value
 
 
+_STATE: dict = {}
+
+
+def worker_state(name, build: Callable):
+    """What an operator keeps in this Python worker between batches, made by ``build`` when first
+    asked for. Workers serve one stage after another, so another operator's state goes first:
+    no more than one bounded cache is held at a time."""
+    if name not in _STATE:
+        _STATE.clear()
+        _STATE[name] = build()
+    return _STATE[name]
+
+
 def words_of(text: str | None) -> list[str]:
     """The words of ``WORD_PATTERN``. ``str.split`` knows more white space than ASCII's six;
     texts that hold any of that are matched by the pattern itself."""
@@ -80,6 +95,26 @@ def run_hashes(words: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
+def with_column(df: DataFrame, of: str, name: str, kind: str, values: Callable[[pa.Array], pa.Array],
+                rows: int = 256) -> DataFrame:
+    """``df`` with column ``name`` computed from ``of`` by Python, ``rows`` at a time.
+
+    Small steps matter where a value is many times as large as its text: no more than one
+    step's values are held at once, whatever the size of Spark's Arrow batches.
+    """
+    kept = [c for c in df.columns if c != name]
+    schema = StructType([*df.select(*kept).schema, *StructType.fromDDL(f"`{name}` {kind}")])
+    at = kept.index(of)
+
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, rows):
+                some = batch.slice(start, rows)
+                yield pa.RecordBatch.from_arrays([*some.columns, values(some.column(at))], names=schema.names)
+
+    return df.select(*kept).mapInArrow(steps, schema)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -17,14 +17,16 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ordinalis.llm.bpe import WordEndBpe, loaded
+from ordinalis.llm.summary import most_frequent
+from ordinalis.storage import cut
 
 #: Entries of the broadcast table: at most this many pre-tokens of at most LONGEST letters.
 TABLE_SIZE = 1 << 16
 LONGEST = 32
 
 
-def frequent_pretokens(texts: DataFrame, text_col: str, vocabulary: Broadcast, table_size: int = TABLE_SIZE) -> DataFrame:
-    """(cut, n): the most frequent pre-tokens over all texts, at most ``table_size``.
+def frequent_pretokens(texts: DataFrame, text_col: str, vocabulary: Broadcast, table_size: int = TABLE_SIZE) -> list[str]:
+    """The most frequent pre-tokens over all texts, at most ``table_size``.
 
     A task keeps at most ``4 * table_size`` counters: when there are more, those below their
     median go (they may be undercounted, which costs speed only). It passes on its
@@ -38,36 +40,30 @@ def frequent_pretokens(texts: DataFrame, text_col: str, vocabulary: Broadcast, t
                 seen.update(bpe.cuts(text.as_py()))
                 if len(seen) > 4 * table_size:
                     seen = Counter(dict(seen.most_common(2 * table_size)))
-        top = [(cut, n) for cut, n in seen.most_common(table_size // 4) if n > 1 and len(cut) <= LONGEST]
+        top = [(c, n) for c, n in seen.most_common(table_size // 4) if n > 1 and len(c) <= LONGEST]
         yield pa.RecordBatch.from_pydict({"cut": [c for c, _ in top], "n": [n for _, n in top]},
                                          schema=pa.schema([("cut", pa.string()), ("n", pa.int64())]))
 
-    return (texts.select(text_col).mapInArrow(summary, "cut string, n long")
-            .groupBy("cut").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "cut").limit(table_size))
+    counts = texts.select(text_col).mapInArrow(summary, "cut string, n long").groupBy("cut").agg(F.sum("n").alias("n"))
+    return most_frequent(cut(counts, "pretokens"), "cut", "n", table_size)
 
 
 def length_table(texts: DataFrame, text_col: str, vocabulary: Broadcast, table_size: int = TABLE_SIZE) -> Broadcast:
     """The broadcast table: the cuts in one string and their token counts in one byte each."""
     bpe = WordEndBpe(vocabulary.value)
-    cuts = [row["cut"] for row in frequent_pretokens(texts, text_col, vocabulary, table_size).collect()]
-    known = [(cut, n) for cut in cuts if (n := bpe.count_cut(cut)) < 256]
+    known = [(c, n) for c in frequent_pretokens(texts, text_col, vocabulary, table_size) if (n := bpe.count_cut(c)) < 256]
     return texts.sparkSession.sparkContext.broadcast((" ".join(c for c, _ in known), bytes(n for _, n in known)))
 
 
-_TABLE_IN_USE: list = []
-
-
 def token_count(text: Column | str, vocabulary: Broadcast, table: Broadcast) -> Column:
     """long: the tokens of each whole text; null and empty texts have 0."""
 
     @F.arrow_udf("long")
     def count(texts: pa.Array) -> pa.Array:
         bpe = loaded(vocabulary)
-        if _TABLE_IN_USE[:] != [bpe, table.value]:
-            cuts, lengths = table.value
+        if bpe.known_from is not table.value:
+            cuts, lengths = bpe.known_from = table.value
             bpe.know_counts(dict(zip(cuts.split(" "), lengths)) if cuts else {})
-            _TABLE_IN_USE[:] = [bpe, table.value]
         return pa.array([bpe.count(t.as_py()) for t in texts], pa.int64())
 
     return count(text)

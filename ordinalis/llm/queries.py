@@ -46,8 +46,8 @@ def op2_warc_bundles(spark, sf_dir):
 @query
 def op3_bpe_roundtrip(spark, sf_dir):
     vocabulary = _vocabulary(spark)
-    coded = _table(spark, sf_dir, "documents").select("doc_id", bpe.encode("text", vocabulary).alias("ids"))
-    texts = coded.withColumn("decoded", bpe.decode("ids", vocabulary))
+    coded = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary).drop("text")
+    texts = bpe.decode(coded, vocabulary)
     return texts.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
@@ -90,7 +90,8 @@ def op7_language_id(spark, sf_dir):
 
 def packed(spark: SparkSession, docs: DataFrame) -> DataFrame:
     vocabulary = _vocabulary(spark)
-    pieces = packing.pack(docs, lambda text: bpe.loaded(vocabulary).encode(text), END_ID)
+    # packing runs one Python worker a core and little else in it, so there is room for more cuts
+    pieces = packing.pack(docs, lambda text: bpe.loaded(vocabulary, 800_000).encode(text), END_ID)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset")
 
