@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, functions as F
 
 from ordinalis.storage import cut
 
+EDGES_PER_FILE = 200_000
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the smallest of its neighbourhood."""
@@ -36,7 +40,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     before = mark(now)
     while before[0]:
-        now = cut(_small_star(_large_star(now)), "edges")
+        # few edges need few files, whatever the number of shuffle partitions
+        files = math.ceil(before[0] / EDGES_PER_FILE)
+        now = cut(_small_star(_large_star(now)).coalesce(files), "edges")
         after = mark(now)
         if tuple(after) == tuple(before):
             break

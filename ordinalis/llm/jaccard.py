@@ -1,20 +1,22 @@
 """N-gram Jaccard join: exact links between similar texts by T-occurrence search.
 
-Texts become sets of hashed word shingles; texts with equal sets are one class. All sets are
-sorted in one global order, rare shingles first (those that are frequent over all texts go
-last). Two sets that are similar enough share a shingle among the first few of each, their
-prefixes. Prefix shingles that only one class has are dropped; the others make candidates:
+Texts become sets of hashed word shingles; texts with equal sets are one class. Sets are
+sorted by hash. Two sets that are similar enough share shingles among the first of each,
+their prefixes, and not only one: at least ``shared_at_least``.
+Prefix shingles that only one class has are dropped, then classes with too few left, and what
+remains makes candidates:
 
-- lists of at most ``SHORT_LIST`` classes give pairs, which must share as many prefix
-  shingles as their sizes demand (shingles on longer lists may make up what is missing);
-- longer lists tie all their classes together.
+- lists of at most ``SHORT_LIST`` classes give pairs, which must share enough prefix
+  shingles (those on longer lists may make up what is missing);
+- longer lists tie together those of their classes that could share enough by long lists alone.
 
 The connected parts of the candidates are blocks: similar classes are never in different
 ones. In a block every set is searched in an inverted index of the others by DivideSkip: its
 short lists are merged by a heap, the long ones only probed by binary search for the sets
 found so far, and what reaches the required overlap is linked. Sets already connected aren't
 compared again. A block that is too large for one task is cut into tiles, and each pair of
-tiles is one task. Links are exact; the order and the lists decide the work only.
+tiles is one task. A shingle that a third of all texts have (a common line) is a long list that
+hardly any class is tied by, as a line is a small part of what similar texts share.
 """
 
 from __future__ import annotations
@@ -26,25 +28,23 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ordinalis.llm.common import WORD_PATTERN, Recent, run_hashes, size_at_most, words_of
+from ordinalis.llm.common import WORD_PATTERN, Recent, run_hashes, size_at_most, worker_state, words_of
 from ordinalis.llm.graph import components
-from ordinalis.llm.summary import Frequent, most_frequent
 from ordinalis.storage import cut
 
 SHINGLE = 5
 SHORT_LIST = 64
-#: Shingles that go last: at most so many, found in at least so many texts.
-FREQUENT, FREQUENT_TEXTS = 1 << 16, 32
+#: Short texts have prefixes of at least so many shingles, or all they have.
+LEAST_PREFIX = 48
+#: The bound on shared prefix shingles fails for a similar pair with at most exp(-RARE) = 1e-15.
+RARE = 34.5
 #: A tile holds about so many sets and shingles.
 TILE_SETS, TILE_SHINGLES = 8192, 4_000_000
 #: Rows that may be broadcast to select others; more are joined by a shuffle.
 _BROADCAST_ROWS = 2_000_000
 
-_LAST = np.uint64(1 << 63)
-
 
 def _lower_hash(word: str) -> bytes:
     import xxhash
@@ -52,22 +52,11 @@ def _lower_hash(word: str) -> bytes:
     return xxhash.xxh3_64_digest(word.encode("utf-8", "surrogatepass").lower())  # bytes.lower knows A-Z only
 
 
-_WORD_BYTES = Recent(_lower_hash, 250_000)
-
-
 def shingle_set(text: str | None, k: int = SHINGLE) -> np.ndarray:
     """Sorted hashes of the distinct runs of k words; of the whole text where it has fewer."""
-    words = np.frombuffer(b"".join(map(_WORD_BYTES.__getitem__, words_of(text))), "<u8")
-    return np.unique(run_hashes(words, min(k, len(words))) >> np.uint64(1)) if len(words) else words
-
-
-def in_order(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The set in the global order: by hash, frequent shingles after all others."""
-    if not len(frequent):
-        return tokens
-    at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-    last = frequent[at] == tokens
-    return np.concatenate([tokens[~last], tokens[last] | _LAST])
+    known = worker_state("lower-case words", lambda: Recent(_lower_hash, 100_000))
+    words = np.frombuffer(b"".join(map(known.__getitem__, words_of(text))), "<u8")
+    return np.unique(run_hashes(words, min(k, len(words)))) if len(words) else words
 
 
 def class_of(tokens: np.ndarray) -> int:
@@ -78,94 +67,104 @@ def class_of(tokens: np.ndarray) -> int:
 
 
 def prefix_length(n: int) -> int:
-    """A similar set shares at least one of this many first shingles."""
-    return n - (3 * n + 3) // 4 + 1
+    """How many first shingles of a set are listed: enough to share one with any similar set."""
+    return max(n - (3 * n + 3) // 4 + 1, min(n, LEAST_PREFIX))
 
 
-def describe(docs: DataFrame, k: int) -> DataFrame:
-    """(_id, _key, n, class, token, texts): a row per text, and each task's most frequent shingles
-    (token not null). Equal sets have equal classes; an empty set has class null."""
+def shared_at_least(n: Column) -> Column:
+    """Of its prefix, how many shingles a set of ``n`` shares with the prefix of a similar set, if
+    its own prefix ends first.
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        summary = Frequent(4 * FREQUENT)
-        kind = None
-        for batch in batches:
-            kind = batch.schema
-            sizes, classes, some = [], [], []
-            for text in batch.column(2):
-                tokens = shingle_set(text.as_py(), k)
-                sizes.append(len(tokens))
-                classes.append(class_of(tokens) if len(tokens) else None)
-                some.append(tokens)
-                if len(some) == 256:
-                    summary.add(np.concatenate(some))
-                    some = []
-            summary.add(np.concatenate([*some, np.zeros(0, np.uint64)]))
-            none = pa.nulls(len(sizes), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
-                                              pa.array(classes, pa.int64()), none, none], names=_DESCRIBED)
-        if kind is not None:
-            tokens, counts = summary.top(FREQUENT // 4)
-            none = pa.nulls(len(tokens), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(tokens), kind.field(0).type), none, none, none,
-                                              pa.array(tokens.view(np.int64)), pa.array(counts)], names=_DESCRIBED)
+    A similar set lacks at most a quarter of the n, so at most that many of the prefix. And
+    as the order is by hash, the prefix is a random part of the set: that fewer are shared than
+    three quarters by sqrt(RARE / 2 * length) has probability exp(-RARE) at most (Hoeffding).
+    """
+    length = F.greatest(n - F.floor((3 * n + 3) / 4) + 1, F.least(n, F.lit(LEAST_PREFIX)))
+    by_chance = F.floor(0.75 * length - F.sqrt(RARE / 2 * length))
+    return F.greatest(F.lit(1), length - F.floor(n / 4), by_chance).cast("long")
 
-    id_type = dict(docs.dtypes)["_id"]
-    return docs.select("_id", "_key", "_text").mapInArrow(
-        rows, f"_id {id_type}, _key long, n long, class long, token long, texts long")
+
+def least_shared(n: Column) -> Column:
+    """The least of ``shared_at_least`` over all sizes that a similar set may have. It rises up to
+    LEAST_PREFIX, falls up to four times that, and rises again."""
+    low, high, dip = F.ceil(3 * n / 4), F.floor(4 * n / 3), F.lit(4 * LEAST_PREFIX)
+    inside = F.when((low < dip) & (high > dip), shared_at_least(dip))
+    return F.least(shared_at_least(low), shared_at_least(n), shared_at_least(high), inside)
 
 
-_DESCRIBED = ["_id", "_key", "n", "class", "token", "texts"]
+_ROWS = ["_id", "_key", "n", "class", "token"]
 
 
-def prefixes(docs: DataFrame, k: int, frequent: Broadcast) -> DataFrame:
-    """(token, class, n): the prefix of every set, once a task for copies that it has seen."""
+def describe(docs: DataFrame, k: int) -> DataFrame:
+    """(_id, _key, n, class, token): one row per text without token, and for each set a row per
+    prefix shingle without _id and _key, once a task for copies that it has seen.
+
+    Equal sets have equal classes; an empty set has class null.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            found, classes, sizes = [], [], []
-            for text in batch.column(0):
+            sizes, classes, new, listed = [], [], [], []
+            for text in batch.column(2):
                 tokens = shingle_set(text.as_py(), k)
-                if not len(tokens) or (name := class_of(tokens)) in seen:
-                    continue
-                if len(seen) < 200_000:
-                    seen.add(name)
-                found.append(in_order(tokens, frequent.value)[:prefix_length(len(tokens))])
-                classes.append(name)
                 sizes.append(len(tokens))
-            lengths = [len(f) for f in found]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64)),
-                 pa.array(np.repeat(np.array(classes, np.int64), lengths)), pa.array(np.repeat(np.array(sizes, np.int32), lengths))],
-                names=["token", "class", "n"])
+                classes.append(name := class_of(tokens) if len(tokens) else None)
+                if name is not None and name not in seen:
+                    if len(seen) < 200_000:
+                        seen.add(name)
+                    new.append((name, len(tokens)))
+                    listed.append(tokens[:prefix_length(len(tokens))])
+            none = pa.nulls(len(sizes), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
+                                              pa.array(classes, pa.int64()), none], names=_ROWS)
+            lengths = [len(x) for x in listed]
+            token = np.concatenate([*listed, np.zeros(0, np.uint64)]).view(np.int64)
+            name, n = (np.repeat(np.array([x[i] for x in new], np.int64), lengths) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(token), batch.schema.field(0).type), pa.nulls(len(token), pa.int64()),
+                                              pa.array(n), pa.array(name), pa.array(token)], names=_ROWS)
+
+    id_type = dict(docs.dtypes)["_id"]
+    return docs.select("_id", "_key", "_text").mapInArrow(rows, f"_id {id_type}, _key long, n long, class long, token long")
+
 
-    return docs.select("_text").mapInArrow(rows, "token long, class long, n int")
+def _peeled(lists: DataFrame) -> DataFrame:
+    """Without classes that share too few prefix shingles to have a partner, and without shingles
+    that only one of the others has."""
+    kept = lists.groupBy("class").agg(F.count(F.lit(1)).alias("_shared"), F.first("n").alias("_n"))
+    kept = kept.where(F.col("_shared") >= least_shared(F.col("_n"))).select("class")
+    rest = cut(lists.join(kept, "class"), "peeled-lists")
+    often = rest.groupBy("token").agg(F.count(F.lit(1)).alias("_df")).where("_df > 1").select("token")
+    return cut(rest.join(often, "token"), "prefix-lists")
 
 
 def candidate_edges(postings: DataFrame) -> DataFrame:
-    """(a, b): pairs of classes that may be similar, or that tie a block together."""
-    shared = cut(postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("token"), "shared-shingles")
-    if size_at_most(shared, _BROADCAST_ROWS):
-        shared = F.broadcast(shared)
-    lists = cut(postings.join(shared, "token").distinct(), "prefix-lists")
-    sizes = cut(lists.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.min("class").alias("hub")).where("df > 1"), "list-sizes")
+    """(a, b): pairs of classes that may be similar, or that tie a block together.
+
+    ``postings`` (token, class, n) may hold a row more than once.
+    """
+    shared = postings.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low != high").select("token")
+    lists = cut(postings.join(cut(shared, "shared-shingles"), "token").distinct(), "prefix-lists")
+    for _ in range(2):
+        lists = _peeled(lists)
+    sizes = cut(lists.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "list-sizes")
     short = lists.join(sizes.where(F.col("df") <= SHORT_LIST).select("token"), "token")
-    long = cut(lists.join(sizes.where(F.col("df") > SHORT_LIST), "token"), "long-lists")
-    spare = long.groupBy("class").agg(F.count(F.lit(1)).alias("spare"))
+    long = cut(lists.join(sizes.where(F.col("df") > SHORT_LIST).select("token"), "token"), "long-lists")
+    spare = cut(long.groupBy("class").agg(F.count(F.lit(1)).alias("spare"), F.first("n").alias("n")), "long-shared")
 
     left = short.select("token", F.col("class").alias("a"), F.col("n").alias("na"))
     right = short.select("token", F.col("class").alias("b"), F.col("n").alias("nb"))
     alike = (4 * F.least("na", "nb") >= 3 * F.greatest("na", "nb")) & (F.col("a") < F.col("b"))
     pairs = (left.join(right, "token").where(alike).groupBy("a", "b")
              .agg(F.count(F.lit(1)).alias("common"), F.first("na").alias("na"), F.first("nb").alias("nb")))
-    # of the sets' common shingles at most so many are not in both prefixes
-    larger = F.greatest("na", "nb")
-    needed = F.ceil((3 * (F.col("na") + F.col("nb"))) / 7) - (F.floor((3 * larger + 3) / 4) - 1)
+    needed = F.least(shared_at_least(F.col("na")), shared_at_least(F.col("nb")))
     enough = F.col("common") + F.least(F.coalesce("sa", F.lit(0)), F.coalesce("sb", F.lit(0))) >= needed
     pairs = (pairs.join(spare.select(F.col("class").alias("a"), F.col("spare").alias("sa")), "a", "left")
              .join(spare.select(F.col("class").alias("b"), F.col("spare").alias("sb")), "b", "left").where(enough))
-    tied = long.where("class != hub").select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
+
+    able = long.join(spare.where(F.col("spare") >= least_shared(F.col("n"))).select("class"), "class").select("token", "class")
+    hubs = able.groupBy("token").agg(F.min("class").alias("hub"))
+    tied = able.join(hubs, "token").where("class != hub").select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
     return pairs.select("a", "b").unionByName(tied)
 
 
@@ -240,12 +239,12 @@ def _search(table: pa.Table, i: int, j: int) -> pa.Table:
                      "b": pa.array([classes[right[o]] for _, o in links], pa.int64())})
 
 
-def class_links(docs: DataFrame, classes: DataFrame, k: int, frequent: Broadcast) -> DataFrame:
+def class_links(docs: DataFrame, postings: DataFrame, classes: DataFrame, k: int) -> DataFrame:
     """(a, b) between classes, enough of them to connect whatever is similar.
 
     ``classes`` has class, n, and of one text with that set _id and _key.
     """
-    edges = cut(candidate_edges(cut(prefixes(docs, k, frequent), "prefixes")), "candidates")
+    edges = cut(candidate_edges(postings), "candidates")
     blocks = components(edges)  # node, component
     members = cut(blocks.withColumnRenamed("node", "class").join(classes, "class"), "block-members")
     size = members.groupBy("component").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
@@ -256,7 +255,7 @@ def class_links(docs: DataFrame, classes: DataFrame, k: int, frequent: Broadcast
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens = [in_order(shingle_set(t.as_py(), k), frequent.value).tobytes() for t in batch.column("_text")]
+            tokens = [shingle_set(t.as_py(), k).tobytes() for t in batch.column("_text")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("class", "component", "tiles", "tile")),
                                               pa.array(tokens, pa.binary())], names=["class", "component", "tiles", "tile", "tokens"])
 
@@ -280,14 +279,12 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataF
     and text, group is null for a text without shingles."""
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), _key(id_col, text_col))
     described = cut(describe(rows, k), "shingle-sets")
-    counts = described.where("token is not null").groupBy("token").agg(F.sum("texts").alias("texts"))
-    last = np.array(most_frequent(counts, "token", "texts", FREQUENT, FREQUENT_TEXTS), np.int64).view(np.uint64)
-    frequent = docs.sparkSession.sparkContext.broadcast(np.sort(last))
     texts = described.where("token is null").select("_id", "_key", F.col("n").alias("n_shingles"), "class")
     classes = cut(texts.where("class is not null").groupBy("class").agg(
         F.min("_id").alias("smallest"), F.min(F.struct("_id", "_key")).alias("one"), F.first("n_shingles").alias("n"))
         .select("class", "smallest", "n", "one.*"), "shingle-classes")
-    links = cut(class_links(rows, classes.select("class", "n", "_id", "_key"), k, frequent), "links")
+    postings = described.where("token is not null").select("token", "class", "n")
+    links = cut(class_links(rows, postings, classes.select("class", "n", "_id", "_key"), k), "links")
     reached = components(links).withColumnRenamed("node", "class")
     groups = classes.join(reached, "class", "left").withColumn("group", F.coalesce("component", "class"))
     lowest = groups.groupBy("group").agg(F.min("smallest").alias("component_id"))

@@ -1,34 +1,10 @@
-"""Frequent items over all rows in bounded memory: a summary per task, summed by Spark."""
+"""The most frequent items of a table of counts, without sorting it."""
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 
-class Frequent:
-    """Counts of 64-bit items with at most ``most`` counters: when there are more, the smaller
-    half goes, so an item may be undercounted or missing, but never a very frequent one."""
-
-    def __init__(self, most: int):
-        self._most = most
-        self._items, self._counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-
-    def add(self, items: np.ndarray) -> None:
-        new, counts = np.unique(items, return_counts=True)
-        both = np.concatenate([self._items, new])
-        self._items, where = np.unique(both, return_inverse=True)
-        self._counts = np.bincount(where, np.concatenate([self._counts, counts]), len(self._items)).astype(np.int64)
-        if len(self._items) > self._most:
-            keep = np.sort(np.argpartition(self._counts, -self._most // 2)[-self._most // 2:])
-            self._items, self._counts = self._items[keep], self._counts[keep]
-
-    def top(self, n: int, least: int = 2) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(-self._counts, kind="stable")[:n]
-        order = order[self._counts[order] >= least]
-        return self._items[order], self._counts[order]
-
-
 def most_frequent(counts: DataFrame, item: str, n: str, most: int, least: int = 1) -> list:
     """At most ``most`` items with the highest counts, at least ``least``, brought to the driver.
 
