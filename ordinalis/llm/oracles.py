@@ -1,3 +1,65 @@
-"""DuckDB SQL for the queries of this folder that SQL can express."""
+"""DuckDB SQL for the queries of this folder that SQL can express.
 
-LLM_ORACLES: dict[str, str] = {}
+The others are tested against brute force: token ids and counts against the tokenizers
+library, packed pieces token by token, URL templates against plain loops, fingerprints against
+a byte-wise hash, language models against a plain model and held-out accuracy.
+"""
+
+# Every pair of a query and another usable vector, the products added up in order.
+_NEIGHBOURS = """WITH usable AS (
+SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+  FROM usable q JOIN usable c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+SELECT query_id, CAST(r AS INT) AS rank, vec_id, score FROM ranked WHERE r <= 20"""
+
+# A digest's 160 bits in 32 groups of five, each a letter of the base32 alphabet.
+_ARCHIVE = """WITH hashed AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
+bits AS (SELECT page_id, hex, strlen(payload) AS n, list_aggregate(list_transform(range(1, 41), lambda i:
+    substr('0000000100100011010001010110011110001001101010111100110111101111',
+           4 * (instr('0123456789abcdef', substr(hex, i, 1)) - 1) + 1, 4)), 'string_agg', '') AS b FROM hashed),
+based AS (SELECT page_id, hex, n, list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + 16 * CAST(substr(b, 5 * i + 1, 1) AS INT) + 8 * CAST(substr(b, 5 * i + 2, 1) AS INT) + 4 * CAST(substr(b, 5 * i + 3, 1) AS INT)
+      + 2 * CAST(substr(b, 5 * i + 4, 1) AS INT) + CAST(substr(b, 5 * i + 5, 1) AS INT), 1)), 'string_agg', '') AS digest FROM bits),
+firsts AS (SELECT hex, min(page_id) AS one FROM hashed GROUP BY hex)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = one THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> one THEN one END AS refers_to FROM based JOIN firsts USING (hex)"""
+
+_WORDS = r"regexp_extract_all(coalesce({text}, ''), '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# All pairs that share a shingle, counted; then the smallest id that links lead to.
+_JACCARD = f"""WITH RECURSIVE docs AS (SELECT doc_id, {_WORDS.format(text=_LOWER)} AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, list_aggregate(list_slice(w, i, i + 4), 'string_agg', ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM docs WHERE len(w) > 0) t),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+near AS (SELECT x, y FROM common c JOIN sizes p ON p.doc_id = c.x JOIN sizes q ON q.doc_id = c.y
+  WHERE 100 * c.n >= 75 * (p.n + q.n - c.n)),
+links AS (SELECT x, y FROM near UNION ALL SELECT y, x FROM near),
+reached(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.y FROM reached r JOIN links l ON l.x = r.other),
+lowest AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, l.component_id FROM documents d
+JOIN lowest l ON l.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id"""
+
+# Windows of 35 words by their text; a word goes if one of the 35 windows that hold it occurs twice.
+_SUBSTRINGS = f"""WITH docs AS (SELECT doc_id, {_WORDS.format(text='text')} AS w FROM documents),
+windows AS (SELECT doc_id, i, list_aggregate(list_slice(w, i, i + 34), 'string_agg', ' ') AS t
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM docs WHERE len(w) >= 35) x),
+marked AS (SELECT doc_id, i, count(*) OVER (PARTITION BY t) > 1 AS again FROM windows),
+placed AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM docs),
+covered AS (SELECT p.doc_id, p.word, p.p, coalesce(bool_or(m.again) OVER (PARTITION BY p.doc_id ORDER BY p.p
+  ROWS BETWEEN 34 PRECEDING AND CURRENT ROW), false) AS gone FROM placed p LEFT JOIN marked m ON m.doc_id = p.doc_id AND m.i = p.p),
+summed AS (SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE gone) AS r, string_agg(word, ' ' ORDER BY p) FILTER (WHERE NOT gone) AS kept
+  FROM covered GROUP BY doc_id)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_words, coalesce(s.r, 0) AS n_removed, sha256(coalesce(s.kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN summed s ON s.doc_id = d.doc_id"""
+
+LLM_ORACLES: dict[str, str] = {
+    "op1_block_neighbours": _NEIGHBOURS,
+    "op2_warc_bundles": _ARCHIVE,
+    "op4_ngram_jaccard": _JACCARD,
+    "op9_substring_dedup": _SUBSTRINGS,
+}

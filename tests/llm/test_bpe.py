@@ -1,0 +1,109 @@
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from ordinalis.llm import bpe, counts, queries
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+LIBRARY = Tokenizer.from_file(PATH)
+OWN = bpe.WordEndBpe(open(PATH, encoding="utf-8").read())
+ODD = [None, "", "   ", "a<|endoftext|>B<|startoftext|>", "it's  we'll", "ΟΔΟΣ ΑΣ", "İstanbul ǅ", "é é", "a\x1cb\x85c d",
+       "😀中文123", "x" * 3000, "ab" * 4000, "<|endoftext", "'", "'s", "Word, word; (word)"]
+
+
+def same(text):
+    expected = LIBRARY.encode(text, add_special_tokens=False).ids
+    got = OWN.encode(text)
+    assert got.tolist() == expected
+    assert OWN.count(text) == len(expected)
+    assert OWN.decode(got.astype("int64")) == LIBRARY.decode(expected, skip_special_tokens=False)
+
+
+@pytest.mark.parametrize("text", [t for t in ODD if t is not None])
+def test_odd_texts_match_the_library(text):
+    same(text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="abcdeinothrsABÉß'’.,!<|>019 \n\x1ćΣσ中😀", max_size=80))
+def test_any_text_matches_the_library(text):
+    same(text)
+
+
+def test_long_unbroken_words_match_the_library():
+    rng = random.Random(1)
+    for _ in range(50):
+        same("".join(rng.choices("abcdeinthrs", k=rng.randint(1, 800))))
+
+
+def test_decoding_in_steps_is_the_same():
+    ids = OWN.encode("some words to decode in steps").astype("int64")
+    assert OWN.decode(ids, step=2) == OWN.decode(ids)
+
+
+def test_other_vocabularies_are_refused():
+    with pytest.raises(ValueError):
+        bpe.WordEndBpe(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read())
+
+
+@pytest.fixture(scope="module")
+def vocabulary(spark):
+    return bpe.share_vocabulary(spark, PATH)
+
+
+def odd_table(spark):
+    rows = [(i % 14, text, "clash") for i, text in enumerate([*ODD, "same", "same"])]
+    return spark.createDataFrame(rows, "doc_id long, text string, ids string").repartition(3)
+
+
+def test_encode_and_decode_columns(spark, vocabulary):
+    coded = bpe.decode(bpe.encode(odd_table(spark), vocabulary), vocabulary)
+    assert coded.columns == ["doc_id", "text", "ids", "decoded"]
+    rows = coded.collect()
+    assert len(rows) == len(ODD) + 2
+    for row in rows:
+        ids = LIBRARY.encode(row.text or "", add_special_tokens=False).ids
+        assert (row.ids, row.decoded) == (ids, LIBRARY.decode(ids, skip_special_tokens=False))
+    empty = spark.createDataFrame([], "text string")
+    assert bpe.decode(bpe.encode(empty, vocabulary), vocabulary).collect() == []
+
+
+def test_null_ids_decode_to_null(spark, vocabulary):
+    rows = spark.createDataFrame([([320],), (None,), ([],)], "ids array<int>").coalesce(1)
+    assert [r.decoded for r in bpe.decode(rows, vocabulary).collect()] == ["a</w>", None, ""]
+
+
+def test_token_counts_with_any_table(spark, vocabulary):
+    docs = odd_table(spark).withColumnRenamed("ids", "n_tokens")
+    for size in (4, 1 << 16):
+        table = counts.length_table(docs, "text", vocabulary, size)
+        for row in counts.with_token_counts(docs, vocabulary, table=table, limit=5).collect():
+            n = len(LIBRARY.encode(row.text or "", add_special_tokens=False).ids)
+            assert (row.n_tokens, row.n_bytes, row.over_limit) == (n, len((row.text or "").encode()), n > 5)
+    assert counts.with_token_counts(docs.limit(0), vocabulary).collect() == []
+
+
+def test_frequent_pretokens_are_bounded(spark, vocabulary):
+    docs = spark.createDataFrame([("a a a b b " + " ".join(f"w{i}" for i in range(200)),)] * 4, "text string").repartition(2)
+    assert 2 <= len(counts.frequent_pretokens(docs, "text", vocabulary, 8)) <= 8
+
+
+def test_queries_match_the_library(spark, sf_dir):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    ids = dict(zip(texts, (e.ids for e in LIBRARY.encode_batch(list(texts.values()), add_special_tokens=False))))
+
+    def sha(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    found = queries.op3_bpe_roundtrip(spark, sf_dir).collect()
+    assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in found} == {
+        k: (len(v), sha(" ".join(map(str, v))), sha(LIBRARY.decode(v, skip_special_tokens=False))) for k, v in ids.items()}
+    counted = queries.op6_token_counts(spark, sf_dir).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in counted} == {
+        k: (len(texts[k].encode()), len(v), len(v) > 2048) for k, v in ids.items()}
+    assert queries.op6_token_counts(spark, sf_dir).select(F.count_distinct("doc_id")).first()[0] == len(texts)

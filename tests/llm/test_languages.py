@@ -1,0 +1,99 @@
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from ordinalis.llm import languages, queries
+
+
+def plain_model(counts):
+    """Kneser-Ney by recursion over dictionaries, independent of the sorted arrays."""
+    discounts = []
+    for table in counts:
+        once, twice = list(table.values()).count(1), list(table.values()).count(2)
+        discounts.append(min(max(once / (once + 2 * twice), 0.1), 0.9) if once else 0.1)
+
+    def probability(gram):
+        order = len(gram)
+        if order == 0:
+            return 1 / 1000
+        table, d = counts[order - 1], discounts[order - 1]
+        total = sum(n for g, n in table.items() if g[:-1] == gram[:-1])
+        if not total:
+            return probability(gram[1:])
+        kinds = sum(1 for g in table if g[:-1] == gram[:-1])
+        return max(table.get(gram, 0) - d, 0) / total + d * kinds / total * probability(gram[1:])
+
+    return probability
+
+
+def test_scores_match_a_plain_model(spark):
+    texts = spark.createDataFrame([("abra cadabra abba", "x"), ("cab abra", "x")], "text string, lang string")
+    tables = [{r.gram: r.n for r in t.collect()} for t in languages.gram_counts(texts, "text", "lang")]
+    probability = plain_model(tables)
+    scorer = languages.Scorer(["x"], [languages.kneser_ney(tables)])
+    for text in ("abra", "cadab zzz", "é", "Abba ABRA b"):
+        padded = [f"{languages._BORDER * 3}{w}{languages._BORDER}" for w in text.lower().split()]
+        expected = sum(math.log(probability(p[i - 3:i + 1])) for p in padded for i in range(3, len(p)))
+        sizes, sums = scorer.score([text])
+        assert sums[0, 0] == pytest.approx(expected, rel=1e-4)
+        assert sizes[0] == sum(len(p) - 3 for p in padded)
+
+
+def test_a_forgetful_scorer_agrees():
+    tables = [{"a": 3, "b": 1}, {"ab": 2, "ba": 1}, {"aba": 2, "bab": 1}, {"abab": 2}]
+    model = languages.kneser_ney(tables)
+    words = ["".join(random.Random(i).choices("ab", k=5)) for i in range(200)]
+    large, small = languages.Scorer(["x"], [model]), languages.Scorer(["x"], [model], limit=3)
+    for i in range(0, 200, 10):
+        text = " ".join(words[i:i + 10])
+        assert small.score([text])[1] == pytest.approx(large.score([text])[1])
+
+
+def corpus(spark):
+    rng = random.Random(3)
+    vocabularies = {"xx": ["lorem", "ipsum", "dolor", "amet"], "yy": ["schön", "über", "straße", "größe"]}
+    rows = [(i, " ".join(rng.choices(vocabularies[lang], k=rng.randint(3, 40))), lang)
+            for i, lang in enumerate(rng.choices(["xx", "yy"], k=400))]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+
+
+def test_odd_texts(spark):
+    models = languages.fit(corpus(spark))
+    rows = [(None, None), (1, ""), (2, "123 ²³ !?"), (3, "lorem"), (4, "ÜBER STRASSE schön"), (5, "lorem ipsum " * 20_000),
+            (6, "qzx wvk jjj pqx " * 30), (3, "lorem")]
+    df = spark.createDataFrame([(*r, "clash", "zz") for r in rows], "doc_id long, text string, score string, lang string")
+    got = languages.identify(df, models)
+    assert got.columns == ["doc_id", "text", "score", "lang", "lang_pred", "cross_entropy", "rejected"]
+    found = [(r.lang_pred, r.rejected) for r in got.collect()]
+    assert found == [("und", True)] * 3 + [("xx", False), ("yy", False), ("xx", False), (found[6][0], True), ("xx", False)]
+    assert all(0 <= r.score <= 1 for r in got.collect())
+    assert languages.identify(df.limit(0), models).collect() == []
+
+
+def test_nothing_to_learn_from(spark):
+    rows = spark.createDataFrame([(1, "text", None), (2, None, "xx")], "doc_id long, text string, lang string")
+    for labelled in (rows, rows.limit(0), spark.createDataFrame([(1, "...", "xx")], "doc_id long, text string, lang string")):
+        assert {r.lang_pred for r in languages.identify(rows, languages.fit(labelled)).collect()} == {"und"}
+
+
+def test_query_predicts_held_out_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    found = queries.op7_language_id(spark, sf_dir)
+    assert found.columns[:4] == ["doc_id", "held_out", "lang_pred", "score"]
+    joined = found.join(docs, "doc_id").cache()
+    assert joined.count() == docs.count()
+    held = joined.where("held_out")
+    assert held.where("lang = lang_pred").count() >= 0.98 * held.count()
+    assert joined.where("rejected").count() == 0  # every document is written in a learned language
+    assert joined.where(F.col("score").between(0, 1)).count() == docs.count()
+
+
+def test_labels_of_held_out_documents_are_never_read(spark, sf_dir, tmp_path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    changed = docs.withColumn("lang", F.when(queries.held_out(), "??").otherwise(F.col("lang"))).withColumn("source", F.lit("s"))
+    changed.write.parquet(f"{tmp_path}/documents.parquet")
+    columns = ["doc_id", "lang_pred", "rejected"]
+    assert (sorted(map(tuple, queries.op7_language_id(spark, str(tmp_path)).select(columns).collect()))
+            == sorted(map(tuple, queries.op7_language_id(spark, sf_dir).select(columns).collect())))

@@ -1,0 +1,86 @@
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from ordinalis.llm import queries
+from tests.llm.test_jaccard import brute as components
+from tests.llm.test_substrings import brute as removed
+
+
+@pytest.fixture(scope="module")
+def stages(spark, sf_dir, tmp_path_factory):
+    """The rows before the first stage and after each, written in between as the driver does."""
+    folder = tmp_path_factory.mktemp("stages")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+        found.append(docs)
+    return found
+
+
+def texts(df):
+    return {r.doc_id: r.text for r in df.collect()}
+
+
+def test_all_but_the_last_return_the_columns_of_documents(stages):
+    assert len(corpus_pipeline.STAGES) == 4
+    for df in stages[1:-1]:
+        assert df.dtypes == stages[0].dtypes
+
+
+def test_language_stage_keeps_clean_documents(stages):
+    assert stages[1].count() == stages[0].count()
+
+
+def test_one_document_of_each_group_stays(stages):
+    before = sorted(texts(stages[1]).items())
+    assert sorted(texts(stages[2])) == [key for key, n, lowest in components(before) if not n or key == lowest]
+
+
+def test_repeated_passages_are_gone(stages):
+    before, after = texts(stages[2]), texts(stages[3])
+    for (key, text), (_, n, kept) in zip(before.items(), removed(list(before.values()), 35)):
+        assert after[key] == (kept if n else text)
+    assert all(r.n_chars == len(r.text) for r in stages[3].collect())
+
+
+def test_packed_pieces_hold_every_token(spark, stages):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(queries.public_tokenizers.path(queries.VOCABULARY))
+    pieces = defaultdict(list)
+    for r in stages[4].collect():
+        pieces[r.doc_id].append(r)
+    for key, text in texts(stages[3]).items():
+        ids, at = np.array([*library.encode(text or "", add_special_tokens=False).ids, 2], "<u4"), 0
+        for r in sorted(pieces[key], key=lambda r: r.start):
+            assert (r.start, r.ids_crc32) == (at, zlib.crc32(ids[at:at + r.length].tobytes()))
+            at += r.length
+        assert at == len(ids)
+
+
+def test_run_gives_the_last_stage(spark, sf_dir, stages):
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    whole = corpus_pipeline.run(spark, sf_dir)
+    assert whole.columns == stages[4].columns
+    assert whole.groupBy("doc_id").max("doc_tokens").collect().__len__() == stages[4].select("doc_id").distinct().count()
+
+
+def test_odd_documents_pass_through_all_stages(spark, tmp_path):
+    rows = [(1, "plain words in a text that goes on", "en", "s", 3), (2, None, "en", None, None), (3, "", None, "s", 0), (4, "12 34", "en", "s", 5),
+            (None, "plain words in another text that goes on", "en", "s", 1), (1, "plain words in a text that goes on", "en", "s", 3)]
+    for name, some in (("odd", rows), ("empty", [])):
+        path = str(tmp_path / name)
+        spark.createDataFrame(some, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{path}/documents.parquet")
+        found = corpus_pipeline.run(spark, path).collect()
+        assert {r.doc_id for r in found} == ({1, None} if some else set())
+
+
+def test_names_are_plain():
+    assert all(re.fullmatch(r"[a-z_]+", name) for name, _ in corpus_pipeline.STAGES)

@@ -1,0 +1,106 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from ordinalis.llm import queries, substrings
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def brute(texts, length):
+    split = [words(t) for t in texts]
+    seen = Counter(tuple(w[i:i + length]) for w in split for i in range(len(w) - length + 1))
+    out = []
+    for w in split:
+        gone = [False] * len(w)
+        for i in range(len(w) - length + 1):
+            if seen[tuple(w[i:i + length])] > 1:
+                gone[i:i + length] = [True] * length
+        out.append((len(w), sum(gone), " ".join(x for x, g in zip(w, gone) if not g)))
+    return out
+
+
+def mixture(seed, n=150):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(60)]
+
+    def some(least, most):
+        return rng.choices(vocabulary, k=rng.randint(least, most))
+
+    passages, line = [some(30, 60) for _ in range(6)], some(20, 20)
+    texts = []
+    for _ in range(n):
+        text = some(0, 60) + (rng.choice(passages) if rng.random() < 0.4 else []) + (line if rng.random() < 0.6 else []) + some(0, 60)
+        texts.append(" ".join(text))
+    for _ in range(n // 3):  # near copies
+        text = rng.choice(texts[:n]).split(" ")
+        text[rng.randrange(len(text))] = "edit"
+        texts.append(" ".join(text))
+    return texts + [None, "", " \t", " ".join(["again"] * 200), "é\x1cé\x85 x " * 30, " ".join(some(20_000, 20_000))] + texts[:3]
+
+
+@pytest.mark.parametrize("seed,length", [(1, 35), (2, 12), (3, 35)])
+def test_against_brute_force(spark, seed, length, monkeypatch):
+    if seed == 3:  # every mixed anchor is hot, or the shards are many
+        monkeypatch.setattr(substrings, "MOST_SEGMENTS", 3)
+        monkeypatch.setattr(substrings, "_BROADCAST_DOCS", 0)
+    texts = mixture(seed)
+    df = spark.createDataFrame([(i, t, "clash", 1) for i, t in enumerate(texts)], "doc_id long, text string, n_words string, _id int").repartition(4)
+    df = df.withColumnRenamed("_id", "other")
+    got = substrings.remove_repeats(df, length=length).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in got} == dict(enumerate(brute(texts, length)))
+    for r in got:
+        kept = list(words(texts[r.doc_id]))
+        for span in reversed(r.removed_spans):
+            del kept[span.start:span.end]
+        assert " ".join(kept) == r.kept_text
+
+
+def test_repeated_rows_shared_ids_and_null_ids(spark):
+    long, other = " ".join(f"a{i}" for i in range(50)), " ".join(f"b{i}" for i in range(50))
+    df = spark.createDataFrame([(1, long), (1, long), (1, other), (None, other + " end"), (2, "alone")], "doc_id long, text string")
+    got = sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_text) for r in substrings.remove_repeats(df).collect())
+    assert got == [("1", 50, 50, ""), ("1", 50, 50, ""), ("1", 50, 50, ""), ("2", 1, 0, "alone"), ("None", 51, 50, "end")]
+    assert substrings.remove_repeats(df.limit(0)).collect() == []
+
+
+def test_index_against_brute_force():
+    rng = np.random.default_rng(0)
+    for _ in range(150):
+        length = int(rng.integers(3, 8))
+        base = rng.integers(1, 4, 200).astype(np.uint64)
+        segments = []
+        for _ in range(int(rng.integers(2, 12))):
+            start, n = int(rng.integers(0, 150)), int(rng.integers(length, 2 * length + 3))
+            segment = base[start:start + n].copy()
+            if rng.random() < 0.5:
+                segment[rng.integers(0, n)] = 9
+            segments.append(segment)
+        windows = np.array([len(s) - length + 1 for s in segments])
+        seen = Counter(tuple(s[i:i + length]) for s, n in zip(segments, windows) for i in range(n))
+        found = substrings.FmIndex(segments, max(map(len, segments))).repeated(np.arange(len(segments)), windows, length)
+        for s, n, mask in zip(segments, windows, found):
+            assert mask.tolist() == [seen[tuple(s[i:i + length])] > 1 for i in range(n)]
+
+
+def test_segments_do_not_depend_on_their_place():
+    rng = np.random.default_rng(1)
+    text = rng.integers(0, 1 << 60, 500).astype(np.uint64)
+    moved = np.concatenate([rng.integers(0, 1 << 60, 77).astype(np.uint64), text])
+    own, its = substrings.segments_of(text, 35), substrings.segments_of(moved, 35)
+    assert own[3].sum() == 466
+    assert set(own[1][1:].tolist()) <= set(its[1].tolist())
+
+
+def test_query_over_all_documents(spark, sf_dir):
+    import hashlib
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    expected = brute([r.text for r in docs], 35)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in queries.op9_substring_dedup(spark, sf_dir).collect()}
+    assert got == {r.doc_id: (n, gone, hashlib.sha256(kept.encode()).hexdigest()) for r, (n, gone, kept) in zip(docs, expected)}
