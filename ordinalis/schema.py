@@ -25,8 +25,8 @@ SUBMISSION_SCHEMA = T.StructType([
 FLAG_COLUMNS = ("has_5star", "has_issues", "has_sorry", "has_transactions",
                 "has_thanks", "has_bank_handle", "has_phone", "has_question_mark")
 
-# Columns of the feature table that never reach the regressors.
-NOT_FEATURES = ("sentiment_analysis", "review", "text", "timeToReply", "thumbsUpCount",
+# Columns of the feature table that never reach the regressors.
+NOT_FEATURES = ("review", "text", "timeToReply", "thumbsUpCount",
                 "review_length", "replyContent", "score", "language", "translated_review",
                 "translate_error", "reviewCreatedVersion")
 

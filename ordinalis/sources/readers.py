@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from ordinalis.schema import REVIEW_SCHEMA, SUBMISSION_SCHEMA, TEST_SCHEMA
 from ordinalis.storage import path_complete
@@ -15,21 +15,68 @@ NA_TOKENS = ("#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "
              "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
-def load_reviews(spark: SparkSession, path: str, schema: StructType = REVIEW_SCHEMA,
-                 multi_line: bool = True, na_tokens: tuple[str, ...] = NA_TOKENS) -> DataFrame:
-    """Header CSV with quoted, possibly multi-line text.
+#: Columns a file may have besides those of its schema; they are kept where they are there.
+OPTIONAL_COLUMNS = ("translated_review", "language", "translate_error")
+
+
+def _parsed(cell: Column, kind: DataType, on_bad: str) -> Column:
+    """The cell as a number: ``4`` and ``4.0`` are the integer 4; others fail, or are null on request."""
+    if kind.typeName() == "string":
+        return cell
+    number = cell.try_cast("double")
+    value = F.coalesce(cell.try_cast(kind), F.when(number == F.floor(number), number.try_cast(kind)))
+    if on_bad == "null":
+        return value
+    problem = F.raise_error(F.concat(F.lit(f"not a value of type {kind.simpleString()}: "), cell)).cast(kind)
+    return F.when(cell.isNotNull() & value.isNull(), problem).otherwise(value)
 
-    A multi-line file is read by one task, so large inputs should come as many files, or as
-    Parquet. Set ``multi_line=False`` for texts without line breaks: files then split.
+
+def load_reviews(spark: SparkSession, path: str, schema: StructType = REVIEW_SCHEMA,
+                 multi_line: bool = True, na_tokens: tuple[str, ...] = NA_TOKENS, on_bad: str = "fail") -> DataFrame:
+    """CSV with a header and quoted, possibly multi-line text; columns are found by name.
+
+    The schema's columns come first, whatever their order in the file, then those of
+    ``OPTIONAL_COLUMNS`` that are there; a missing column is an error, and so is a file of the
+    folder with another header. A cell that isn't the number it should be fails the job
+    (``on_bad="null"``: is null). A multi-line file is read by one task, so large inputs should
+    come as many files, or as Parquet. Set ``multi_line=False`` for texts without line breaks:
+    files then split.
     """
-    df = (spark.read.schema(schema).option("header", True).option("multiLine", multi_line)
-          .option("escape", '"').csv(path))
-    texts = [f.name for f in schema.fields if f.dataType.typeName() == "string"]
-    return df.withColumns({c: F.when(~F.col(c).isin(*na_tokens), F.col(c)) for c in texts}) if na_tokens else df
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+    header = reader.csv(path).columns
+    if missing := [f.name for f in schema.fields if f.name not in header]:
+        raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+    texts = StructType([StructField(c, StringType()) for c in header])
+    df = reader.schema(texts).option("enforceSchema", False).csv(path)
+
+    def cell(name: str) -> Column:
+        column = F.col(f"`{name}`")
+        return F.when(~column.isin(*na_tokens), column) if na_tokens else column
+
+    kept = [_parsed(cell(f.name), f.dataType, on_bad).alias(f.name) for f in schema.fields]
+    return df.select(*kept, *[cell(c).alias(c) for c in OPTIONAL_COLUMNS if c in header])
 
 
 def load_reviews_parquet(spark: SparkSession, path: str, schema: StructType = REVIEW_SCHEMA) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    """The same from Parquet: by name, cast to the schema, optional columns kept."""
+    df = spark.read.parquet(path)
+    if missing := [f.name for f in schema.fields if f.name not in df.columns]:
+        raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
+                     *[c for c in OPTIONAL_COLUMNS if c in df.columns])
+
+
+def check_ids(df: DataFrame, id_col: str = "id") -> DataFrame:
+    """``df`` itself, once it is known that its ids are neither null nor repeated.
+
+    Every stage joins and groups by id, so a repeated one would mix texts. One aggregate over
+    the ids alone, combined map-side.
+    """
+    ids = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
+    bad = ids.where(F.col(id_col).isNull() | (F.col("n") > 1)).limit(3).collect()
+    if bad:
+        raise ValueError("ids must be unique and not null: " + ", ".join(f"{r[0]} ({r['n']} rows)" for r in bad))
+    return df
 
 
 def union_train_test(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -38,8 +85,12 @@ def union_train_test(train: DataFrame, test: DataFrame) -> DataFrame:
             .unionByName(test.withColumn("split", F.lit("test")), allowMissingColumns=True))
 
 
-def load_train_test(spark: SparkSession, train_path: str, test_path: str) -> DataFrame:
-    return union_train_test(load_reviews(spark, train_path), load_reviews(spark, test_path, TEST_SCHEMA))
+def load_train_test(spark: SparkSession, train_path: str, test_path: str, file_format: str = "csv",
+                    check: bool = True, **options) -> DataFrame:
+    """Both files as one table whose ids have been checked; ``file_format`` is csv or parquet."""
+    load = {"csv": load_reviews, "parquet": load_reviews_parquet}[file_format]
+    both = union_train_test(load(spark, train_path, **options), load(spark, test_path, TEST_SCHEMA, **options))
+    return check_ids(both) if check else both
 
 
 def split_train_test(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -12,7 +12,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
     Only a local-mode session that names none gets a folder of its own; on a cluster a
-    machine-local folder would lose data with its executor, so that is an error.
+    machine-local folder would lose data with its executor, so that is an error. Whether a
+    ``file:`` path is a mount that all machines share can't be seen from here.
     """
     context = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -58,3 +59,19 @@ def path_complete(spark: SparkSession, path: str) -> bool:
     """True when a Spark job finished writing ``path`` (its ``_SUCCESS`` marker exists)."""
     marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
+def _file(spark: SparkSession, path: str):
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return name.getFileSystem(spark._jsc.hadoopConfiguration()), name
+
+
+def mark_complete(spark: SparkSession, path: str) -> None:
+    """For what is written in several jobs: say that all of them are done."""
+    system, name = _file(spark, f"{path.rstrip('/')}/_COMPLETE")
+    system.create(name, True).close()
+
+
+def marked_complete(spark: SparkSession, path: str) -> bool:
+    system, name = _file(spark, f"{path.rstrip('/')}/_COMPLETE")
+    return system.exists(name)

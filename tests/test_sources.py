@@ -7,9 +7,9 @@ from ordinalis.catalog import views
 from ordinalis.operators import agreement, sentiment
 from ordinalis.plans import features
 from ordinalis.schema import REVIEW_SCHEMA, TEST_SCHEMA
-from ordinalis.settings import small_settings
 from ordinalis.sources import readers, writers
 from ordinalis.streaming import scoring
+from tests.small import small_settings
 
 SMALL = small_settings()
 
@@ -32,6 +32,57 @@ def test_csv_reads_quotes_line_breaks_and_missing_words(spark, tmp_path):
     assert (got[1].split, got[9].split) == ("train", "test")
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "t.csv").write_text(
+        'translated_review,score,id,review,thumbsUpCount,language,reviewCreatedVersion,timeToReply,replyContent,else\n'
+        'hello,4.0,7,salut,3,fr,1.0,1 days,ok,x\n,NA,8,b,9007199254740993,,,,,\n')
+    got = {r.id: r for r in readers.load_reviews(spark, str(tmp_path / "t.csv")).collect()}
+    assert (got[7].review, got[7].score, got[7].translated_review, got[7].language) == ("salut", 4, "hello", "fr")
+    assert (got[8].score, got[8].thumbsUpCount, got[8].translated_review) == (None, 9007199254740993, None)
+    assert "else" not in got[7].asDict()
+
+
+@pytest.mark.parametrize("cell", ["4.5", "four", "99999999999"])
+def test_bad_cells_fail_or_are_null_on_request(spark, tmp_path, cell):
+    (tmp_path / "t.csv").write_text("id,review,score,thumbsUpCount,reviewCreatedVersion,replyContent,timeToReply\n"
+                                    f"1,a,{cell},1,,,\n")
+    with pytest.raises(Exception, match="not a value of type int"):
+        readers.load_reviews(spark, str(tmp_path / "t.csv")).collect()
+    assert readers.load_reviews(spark, str(tmp_path / "t.csv"), on_bad="null").first().score is None
+
+
+def test_missing_columns_and_other_headers_are_refused(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("id,review\n1,a\n")
+    with pytest.raises(ValueError, match="lacks the columns score"):
+        readers.load_reviews(spark, str(tmp_path / "t.csv"))
+    header = "id,review,score,thumbsUpCount,reviewCreatedVersion,replyContent,timeToReply"
+    (tmp_path / "two").mkdir()
+    (tmp_path / "two" / "a.csv").write_text(f"{header}\n1,a,1,1,,,\n")
+    (tmp_path / "two" / "b.csv").write_text(header.replace("id,review", "review,id") + "\na,1,1,1,,,\n")
+    with pytest.raises(Exception):
+        readers.load_reviews(spark, str(tmp_path / "two"), multi_line=False).collect()
+
+
+def test_parquet_route_and_id_check(spark, reviews, tmp_path):
+    train, test = readers.split_train_test(reviews)
+    train.withColumn("language", F.lit("en")).select(*reversed([*train.columns, "language"])).write.parquet(str(tmp_path / "a"))
+    test.drop("score").write.parquet(str(tmp_path / "b"))
+    both = readers.load_train_test(spark, str(tmp_path / "a"), str(tmp_path / "b"), "parquet")
+    assert both.count() == reviews.count() and "language" in both.columns
+    with pytest.raises(ValueError, match="unique and not null"):
+        readers.load_train_test(spark, str(tmp_path / "a"), str(tmp_path / "a"), "parquet")
+
+
+def test_an_interrupted_save_is_no_model(spark, reviews, tmp_path):
+    import shutil
+
+    path = str(tmp_path / "m")
+    writers.save_model(sentiment.fit_sentiment_model(reviews, "review", "replyContent", SMALL), path)
+    assert writers.model_complete(spark, path)
+    shutil.copytree(f"{path}/metadata", str(tmp_path / "half" / "metadata"))
+    assert not writers.model_complete(spark, str(tmp_path / "half"))
+
+
 def test_schemas_differ_only_in_the_label():
     assert set(REVIEW_SCHEMA.names) - set(TEST_SCHEMA.names) == {"score"}
 
