@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ordinalis.operators.lookup import lookup_join, most_counted
+from ordinalis.storage import cut
+
 # Ids of the special tokens; vocabulary words follow.
 PAD, UNK, CLS, SEP, FIRST_WORD = 0, 1, 2, 3, 4
 
 # A run of letters and digits, or one other character that is not blank.
 TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\p{Z}\t\n\x0B\f\r]"
-MAX_TOKEN_CHARS = 100  # longer tokens are UNK, which bounds the vocabulary table in bytes
-MAX_VOCABULARY = 100_000
 ID_RANGE = 1 << 20  # above any token id
 
 
@@ -19,24 +20,23 @@ def tokens(text: Column) -> Column:
 
 
 def build_vocabulary(df: DataFrame, texts: list[str], size: int) -> DataFrame:
-    """(token, token_id): the most frequent tokens of all texts, ties by token."""
-    if size > MAX_VOCABULARY:
-        raise ValueError(f"a vocabulary holds at most {MAX_VOCABULARY} tokens")
-    counts = (df.select(F.explode(F.concat(*[tokens(F.col(c)) for c in texts])).alias("token"))
-              .where(F.length("token") <= MAX_TOKEN_CHARS)
-              .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
-    order = [F.col("n").desc(), F.col("token").asc()]
-    top = counts.orderBy(*order).limit(size)  # bounded, so one task can number it
-    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))
-    return top.select("token", (place + (FIRST_WORD - 1)).cast("int").alias("token_id"))
+    """(token, token_id): the ``size`` most frequent tokens of all texts, ties by token.
+
+    Numbering sorts ``size`` rows in one task; it is the model's vocabulary size, a parameter.
+    """
+    counts = cut(df.select(F.explode(F.concat(*[tokens(F.col(c)) for c in texts])).alias("token"))
+                 .groupBy("token").agg(F.count(F.lit(1)).alias("n")), "token-counts")
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.col("n").desc(), F.col("token").asc()))
+    numbered = most_counted(counts, "token", size).select("token", (place + (FIRST_WORD - 1)).cast("int").alias("token_id"))
+    return cut(numbered, "vocabulary")
 
 
 def encode_text_pair(df: DataFrame, id_col: str, review: str, reply: str, vocabulary: DataFrame,
                      max_length: int = 512) -> DataFrame:
     """(id, review_ids, review_mask, reply_ids, reply_mask), each ``max_length // 2`` long.
 
-    Both texts go through one explode, one broadcast join with the size-bounded vocabulary and
-    one regrouping. Place and token id travel in one number, so a row ships at most
+    Both texts go through one explode, one join with the vocabulary (broadcast if it is
+    measured small) and one regrouping. Place and token id travel in one number, so a row ships at most
     ``max_length`` of them and putting them back in order sorts plain numbers.
     """
     length = max_length // 2
@@ -45,7 +45,7 @@ def encode_text_pair(df: DataFrame, id_col: str, review: str, reply: str, vocabu
     pieces = lists.select(id_col, F.size("_a").alias("_n"),
                           F.posexplode_outer(F.concat("_a", "_b")).alias("_at", "token"))
     packed = F.col("_at").cast("bigint") * ID_RANGE + F.coalesce("token_id", F.lit(UNK))
-    rows = (pieces.join(F.broadcast(vocabulary), "token", "left").groupBy(id_col)
+    rows = (lookup_join(pieces, vocabulary, ["token"]).groupBy(id_col)
             .agg(F.max("_n").alias("_n"), F.sort_array(F.collect_list(packed)).alias("_packed"))
             .select(id_col, "_n", F.transform("_packed", lambda x: (x % ID_RANGE).cast("int")).alias("_ids")))
     sides = rows.select(id_col, F.slice("_ids", F.lit(1), F.col("_n")).alias("_a"),

@@ -7,9 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from ordinalis.functions.ordinal import digitize, weighted_sum
 from ordinalis.settings import START_THRESHOLDS
 
-MAX_GROUPS_BROADCAST = 100_000  # (trial, fold) pairs; far above any configured run
-
-
 def ensemble_weighted(df: DataFrame, weights: dict[str, float], output: str = "prediction") -> DataFrame:
     """Wide predictions: one column per model, summed in place."""
     return df.withColumn(output, weighted_sum(weights))
@@ -26,10 +23,7 @@ def cut_at(df: DataFrame, cuts: DataFrame, by: list[str], value: str = "predicti
            output: str = "label", count: int = len(START_THRESHOLDS)) -> DataFrame:
     """Class labels from each group's own thresholds t1..tK (one row per group)."""
     names = [f"t{i + 1}" for i in range(count)]
-    table = cuts.select(*by, *names)
-    if table.limit(MAX_GROUPS_BROADCAST + 1).count() <= MAX_GROUPS_BROADCAST:
-        table = F.broadcast(table)
-    joined = df.join(table, by, "left")
+    joined = df.join(cuts.select(*by, *names), by, "left")  # Spark sees the size when it has run the cuts
     return joined.withColumn(output, digitize(F.col(value), [F.col(n) for n in names])).drop(*names)
 
 
@@ -38,9 +32,12 @@ def vote_mode(df: DataFrame, by: list[str], label: str = "label", num_classes: i
     """(by, label): most frequent class, the smallest on ties.
 
     Class counters instead of collected labels: fixed-size buffers, summed map-side.
-    ``carry`` columns are constant per group and are kept.
+    ``carry`` columns are constant per group and are kept. A label that is no class raises.
     """
-    counts = [F.count_if(F.col(label) == k).alias(f"_c{k}") for k in range(num_classes)]
+    value = F.col(label)
+    strange = F.raise_error(F.concat(F.lit("label outside the classes: "), value.cast("string"))).cast("int")
+    value = F.when(value.isNull() | value.between(0, num_classes - 1), value).otherwise(strange)
+    counts = [F.count_if(value == k).alias(f"_c{k}") for k in range(num_classes)]
     kept = [F.first(c, ignorenulls=True).alias(c) for c in carry or []]
     votes = df.groupBy(*by).agg(*counts, *kept)
     tally = F.array(*[F.col(f"_c{k}") for k in range(num_classes)])
