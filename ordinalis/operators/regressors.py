@@ -3,14 +3,20 @@
 Spark's boosted trees have no L1/L2 leaf penalties and no bagging interval, so those settings
 of common boosting libraries have no twin here. ``build`` may return any ``pyspark.ml``
 regressor instead; staged stopping applies to GBTRegressor models only.
+
+Boosting that may stop early runs in blocks of rounds: each block is fitted to what the
+blocks before it leave over, its rounds are judged on the validation rows, and no further
+block is fitted once patience has run out. The first tree of a block counts in full, as the
+first tree of any such model does.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import re
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.ml.feature import VectorAssembler
@@ -20,16 +26,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ordinalis.operators.agreement import qwk
 from ordinalis.settings import Settings
-from ordinalis.storage import shared_dir
+from ordinalis.storage import cut, shared_dir
 
 CHECKPOINT_EVERY = 10
 
 
 def impute_days(df: DataFrame) -> DataFrame:
     """Trees reject nulls: -1 for a missing ``days_to_reply`` and an indicator beside it."""
-    return df.withColumns({
-        "days_missing": F.col("days_to_reply").isNull().cast("int"),
-        "days_to_reply": F.coalesce("days_to_reply", F.lit(-1).cast("bigint"))})
+    return impute(df, {"days_to_reply": "days_missing"})
+
+
+def impute(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """-1 for each missing value, and for each column (key) an indicator (value) beside it."""
+    filled = {c: F.coalesce(F.col(f"`{c}`"), F.lit(-1).cast(df.schema[c].dataType)) for c in columns}
+    return df.withColumns({flag: F.col(f"`{c}`").isNull().cast("int") for c, flag in columns.items()} | filled)
 
 
 def assemble(df: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
@@ -73,19 +83,27 @@ LEARNERS = (
 
 @dataclass(frozen=True)
 class Fitted:
-    """A fitted regressor and how many of its rounds count (None: all)."""
+    """A fitted regressor, in blocks for boosting, and how many rounds count (None: all)."""
 
     name: str
-    model: object
+    blocks: tuple
     rounds: int | None = None
 
     def score(self, df: DataFrame) -> DataFrame:
         """Adds the prediction under the learner's name."""
-        if self.rounds is None or self.rounds >= len(self.model.treeWeights):
-            return self.model.copy({self.model.predictionCol: self.name}).transform(df)
-        steps = F.slice(round_contributions(self.model), 1, self.rounds)
-        total = F.aggregate(steps, F.lit(0.0), lambda a, b: a + b)
-        return _with_leaves(self.model, df).withColumn(self.name, total).drop("_leaf", "_prediction")
+        left, total, kept = self.rounds, F.lit(0.0), [*df.columns]
+        for i, model in enumerate(self.blocks):
+            if left is not None and left <= 0:
+                break
+            if left is None or left >= len(model.treeWeights):
+                df = model.copy({model.predictionCol: f"_block{i}"}).transform(df)
+            else:
+                steps = F.slice(round_contributions(model), 1, left)
+                df = (_with_leaves(model, df).withColumn(f"_block{i}", F.aggregate(steps, F.lit(0.0), lambda a, b: a + b))
+                      .drop("_leaf", "_prediction"))
+            total = total + F.col(f"_block{i}")
+            left = None if left is None else left - len(model.treeWeights)
+        return df.withColumn(self.name, total).select(*[c for c in kept if c != self.name], self.name)
 
 
 def _with_leaves(model, df: DataFrame) -> DataFrame:
@@ -146,18 +164,6 @@ def staged_qwk(df: DataFrame, y: str, steps: Column) -> DataFrame:
     return qwk(counts, "y", "p", by=["iter"], count="n")
 
 
-def staged_rmse(df: DataFrame, y: str, steps: Column) -> DataFrame:
-    """(iter, rmse): error after each round, in one pass over the rows."""
-    def summary(labels, sums):
-        import numpy as np
-
-        squares = ((sums - labels[:, None]) ** 2).sum(axis=0)
-        return pd.DataFrame({"iter": np.arange(len(squares)) + 1, "s": squares, "n": len(labels)})
-
-    sums = _staged(df, y, steps, summary, "iter int, s double, n long")
-    return sums.groupBy("iter").agg(F.sqrt(F.sum("s") / F.sum("n")).alias("rmse"))
-
-
 def best_iteration(scores: DataFrame, patience: int, value: str = "qwk", digits: int = 9) -> DataFrame:
     """(best_iter, best): first strict maximum before ``patience`` rounds without a better one.
 
@@ -181,19 +187,47 @@ def best_iteration(scores: DataFrame, patience: int, value: str = "qwk", digits:
 
 
 def fit_learner(learner: Learner, train: DataFrame, seed: int, settings: Settings,
-                validation: DataFrame | None = None) -> Fitted:
-    """Fit on (features, score); with validation rows, keep the best rounds on them."""
+                validation: DataFrame | None = None, rounds: int | None = None) -> Fitted:
+    """Fit on (features, score). With validation rows, boosting stops when patience runs out and
+    keeps the best rounds; without them it runs ``rounds``, or all rounds of the settings."""
     shared_dir(train.sparkSession)  # boosting checkpoints go to the shared folder
-    model = learner.build(seed, settings).fit(train)
-    if validation is None or learner.stop_on is None:
-        return Fitted(learner.name, model)
-    scored, steps = _with_leaves(model, validation), round_contributions(model)
-    if learner.stop_on == "qwk":
-        scores = staged_qwk(scored, "score", steps)
-    else:
-        scores = staged_rmse(scored, "score", steps).select("iter", (-F.col("rmse")).alias("qwk"))
-    best = best_iteration(scores, settings.patience).first()
-    return Fitted(learner.name, model, best["best_iter"])
+    if learner.stop_on is None:
+        return Fitted(learner.name, (learner.build(seed, settings).fit(train),))
+    if validation is None:
+        settings = replace(settings, boost_rounds=rounds or settings.boost_rounds)
+        return Fitted(learner.name, (learner.build(seed, settings).fit(train),), settings.boost_rounds)
+    return _fit_until_patience(learner, train, seed, settings, validation)
+
+
+def _fit_until_patience(learner: Learner, train: DataFrame, seed: int, settings: Settings,
+                        validation: DataFrame) -> Fitted:
+    """``score`` of both tables becomes what is left over; ``_y`` and ``_base`` keep label and sum."""
+    train = train.select("features", F.col("score").cast("double").alias("score"))
+    held = validation.select("features", F.col("score").alias("_y"), F.col("score").cast("double").alias("score"),
+                             F.lit(0.0).alias("_base"))
+    blocks, curve, done = [], [], 0
+    while done < settings.boost_rounds:
+        size = min(settings.round_block, settings.boost_rounds - done)
+        model = learner.build(seed + done, replace(settings, boost_rounds=size)).fit(train)
+        blocks.append(model)
+        curve += [(done + i, value) for i, value in _block_curve(learner, model, held)]
+        done += size
+        scores = train.sparkSession.createDataFrame(curve, "iter int, qwk double")
+        best = best_iteration(scores, settings.patience).first()["best_iter"]
+        if done - best >= settings.patience or done >= settings.boost_rounds:
+            return Fitted(learner.name, tuple(blocks), best)
+        # written, so that a block neither predicts with all blocks before it nor depends on them
+        train = cut(model.transform(train).select("features", (F.col("score") - F.col("prediction")).alias("score")), "left-over")
+        held = cut(model.transform(held).select("features", "_y", (F.col("score") - F.col("prediction")).alias("score"),
+                                                (F.col("_base") + F.col("prediction")).alias("_base")), "left-over-held")
+
+
+def _block_curve(learner: Learner, model, held: DataFrame) -> list[tuple[int, float | None]]:
+    """(round of the block, its score on the validation rows), larger is better."""
+    if learner.stop_on == "rmse":
+        return [(i, -math.sqrt(error)) for i, error in enumerate(model.evaluateEachIteration(held, "squared"), 1)]
+    steps = F.transform(round_contributions(model), lambda step, i: step + F.when(i == 0, F.col("_base")).otherwise(0.0))
+    return [(r["iter"], r["qwk"]) for r in staged_qwk(_with_leaves(model, held), "_y", steps).collect()]
 
 
 def predict_long(df: DataFrame, fitted: list[Fitted], keep: list[str]) -> DataFrame:

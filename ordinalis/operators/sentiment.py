@@ -40,16 +40,18 @@ def _filled(df: DataFrame, *texts: str) -> DataFrame:
     return df.withColumns({c: fill_null(F.col(c)) for c in texts})
 
 
-def fit_sentiment_model(train: DataFrame, review: str, reply: str, settings: Settings) -> PipelineModel:
-    """Fit on the labelled rows; every pass of the optimiser is a distributed sum.
+def fit_text_stages(rows: DataFrame, review: str, reply: str, settings: Settings) -> PipelineModel:
+    """The document frequencies of both texts; ``rows`` have no missing texts."""
+    return text_stages(review, reply, settings).fit(rows)
 
-    The text is read three times (two document frequencies, then the vectors); the optimiser
-    keeps only the sparse vectors, so the raw text is never cached. Label smoothing is exact:
-    a row counts with s/K for every class and with 1 - s more for its own.
+
+def fit_classifier(vectors: DataFrame, settings: Settings):
+    """The classifier alone, on (_pair, score); every pass of the optimiser is a distributed sum.
+
+    Label smoothing is exact: a row counts with s/K for every class and with 1 - s more for its
+    own. The optimiser therefore keeps K weighted copies of each sparse vector in its cache
+    (memory, then disk), which is what it needs room for.
     """
-    rows = _filled(train.where(F.col("score").isNotNull()), review, reply).select(review, reply, "score")
-    texts = text_stages(review, reply, settings).fit(rows)
-    vectors = texts.transform(rows).select("_pair", "score")
     classes, spread = range(settings.num_classes), settings.label_smoothing / settings.num_classes
     if settings.label_smoothing:
         own = F.when(F.col("score") == F.col("_k"), F.lit(1.0 - settings.label_smoothing)).otherwise(F.lit(0.0))
@@ -63,8 +65,18 @@ def fit_sentiment_model(train: DataFrame, review: str, reply: str, settings: Set
         featuresCol="_pair", labelCol="score", weightCol="_weight", probabilityCol="_probability",
         rawPredictionCol="_logits", predictionCol="_class", family="multinomial",
         maxIter=settings.sentiment_iterations, regParam=settings.sentiment_reg)
-    fitted = regression.fit(vectors.select("_pair", "_weight", F.col("score").alias("score", metadata=named)))
-    return PipelineModel([*texts.stages, fitted])
+    return regression.fit(vectors.select("_pair", "_weight", F.col("score").alias("score", metadata=named)))
+
+
+def fit_sentiment_model(train: DataFrame, review: str, reply: str, settings: Settings) -> PipelineModel:
+    """Fit text stages and classifier on the labelled rows.
+
+    The text is read three times (two document frequencies, then the vectors); the optimiser
+    keeps only the sparse vectors, so the raw text is never cached.
+    """
+    rows = _filled(train.where(F.col("score").isNotNull()), review, reply).select(review, reply, "score")
+    texts = fit_text_stages(rows, review, reply, settings)
+    return PipelineModel([*texts.stages, fit_classifier(texts.transform(rows).select("_pair", "score"), settings)])
 
 
 def loss_history(model: PipelineModel) -> list[float]:
@@ -89,33 +101,35 @@ def train_sentiment(train: DataFrame, id_col: str, review: str, reply: str, sett
     """Fit with metrics along the way, on all rows or on all but a seeded holdout.
 
     An epoch is an equal share of the optimiser's iterations; it starts from the same point
-    every time, so the shorter fits are the longer one's earlier states.
+    every time, so the shorter fits are the longer one's earlier states. The text stages are
+    fitted once and the vectors written once; each epoch fits and judges the classifier only.
     """
     rows = train.where(F.col("score").isNotNull())
     if not settings.all_train:
         rows = holdout_split(rows, id_col, settings.holdout_share, settings.seed)
     else:
         rows = rows.withColumn("is_validation", F.lit(False))
-    rows = cut(rows.select(id_col, review, reply, "score", "is_validation"), "sentiment-rows")
-    fit_rows, held = rows.where(~F.col("is_validation")), rows.where("is_validation")
+    rows = _filled(rows.select(id_col, review, reply, "score", "is_validation"), review, reply)
+    texts = fit_text_stages(rows.where(~F.col("is_validation")), review, reply, settings)
+    vectors = cut(texts.transform(rows).select(id_col, "_pair", "score", "is_validation"), "text-vectors")
+    fit_rows, held = vectors.where(~F.col("is_validation")), vectors.where("is_validation")
     judged = {"train": [], "validation": []}
     for epoch in range(1, settings.num_epochs + 1):
         steps = math.ceil(settings.sentiment_iterations * epoch / settings.num_epochs)
-        model = fit_sentiment_model(fit_rows, review, reply, replace(settings, sentiment_iterations=steps))
+        classifier = fit_classifier(fit_rows.select("_pair", "score"), replace(settings, sentiment_iterations=steps))
         for part, table in (("train", fit_rows), ("validation", held)):
             if part == "train" or not settings.all_train:
                 batched = batch_assign(table, id_col, settings.batch_size, settings.seed, epoch)
-                judged[part].append(_judge(batched, model, review, reply, settings, epoch))
+                judged[part].append(_judge(batched, classifier, settings, epoch))
     metrics = {part: cut(epoch_metrics(reduce(DataFrame.unionByName, tables), "score", "_p", "_loss", "batch",
                                        settings.num_classes), "epoch-metrics") if tables else None
                for part, tables in judged.items()}
-    return SentimentTraining(model, metrics["train"], metrics["validation"])
+    return SentimentTraining(PipelineModel([*texts.stages, classifier]), metrics["train"], metrics["validation"])
 
 
-def _judge(df: DataFrame, model: PipelineModel, review: str, reply: str, settings: Settings, epoch: int) -> DataFrame:
-    """(epoch, batch, score, _p, _loss) of one epoch's model."""
-    logits = vector_to_array("_logits")
-    scored = model.transform(_filled(df, review, reply)).withColumn("_scores", logits)
+def _judge(vectors: DataFrame, classifier, settings: Settings, epoch: int) -> DataFrame:
+    """(epoch, batch, score, _p, _loss) of one epoch's classifier."""
+    scored = classifier.transform(vectors).withColumn("_scores", vector_to_array("_logits"))
     loss = smoothed_cross_entropy(F.col("_scores"), F.col("score"), settings.num_classes, settings.label_smoothing)
     return scored.select(F.lit(epoch).alias("epoch"), "batch", "score", argmax(F.col("_scores")).alias("_p"),
                          loss.alias("_loss"))
@@ -145,14 +159,17 @@ def score_encoded(encoded: DataFrame, id_col: str, make_predict: Callable, max_l
 
 def cross_fit_scores(train: DataFrame, rest: DataFrame, id_col: str, review: str, reply: str,
                      settings: Settings) -> DataFrame:
-    """Train rows scored by the model that did not see their fold, other rows by a full fit."""
-    folded = kfold_assign(train, id_col, settings.num_folds, settings.seed)
+    """Train rows scored by the model that did not see their fold, other rows by a full fit.
+
+    The rows are written in one folder per fold, so scoring a fold reads only its own.
+    """
+    folded = cut(kfold_assign(train, id_col, settings.num_folds, settings.seed), "cross-fit", partition_by="fold")
     parts = []
     for fold in range(settings.num_folds):
         model = fit_sentiment_model(folded.where(F.col("fold") != fold), review, reply, settings)
         part = folded.where(F.col("fold") == fold).drop("fold")
         parts.append(score_sentiment(part, model, review, reply))
-    full = fit_sentiment_model(train, review, reply, settings)
+    full = fit_sentiment_model(folded, review, reply, settings)
     parts.append(score_sentiment(rest, full, review, reply))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 

@@ -2,60 +2,65 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
-from functools import reduce
+from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, functions as F
 
 from ordinalis.operators.ensemble import cut_at, ensemble_weighted, oof_scatter, vote_mode
-from ordinalis.operators.agreement import evaluate
+from ordinalis.operators.agreement import evaluate, qwk
 from ordinalis.operators.ranks import kfold_assign
 from ordinalis.operators.regressors import LEARNERS, Fitted, Learner, fit_learner
 from ordinalis.operators.thresholds import mean_thresholds, optimize_thresholds
 from ordinalis.settings import Settings
-from ordinalis.storage import cut
+from ordinalis.storage import cut, fresh_path, path_complete
 
 Learners = tuple[Learner, ...]
 
 
-def _fit_trials(train: DataFrame, settings: Settings, seeds: dict[int, int], learners: Learners,
-                validation: DataFrame | None = None) -> dict[int, list[Fitted]]:
-    """Every learner for every trial's seed. A few fits overlap: each is a distributed job that
-    leaves gaps between its small steps."""
-    jobs = [(learner, seed) for seed in seeds.values() for learner in learners]
-    fit = lambda job: fit_learner(job[0], train, job[1], settings, validation)
+def _each(spark, settings: Settings, jobs: list, run) -> None:
+    """A few jobs overlap: each is a chain of distributed fits that leaves gaps between its steps."""
     with ThreadPool(settings.fit_threads) as pool:
-        fitted = pool.map(inheritable_thread_target(train.sparkSession)(fit), jobs, chunksize=1)
-    width = len(learners)
-    return {trial: fitted[i * width:(i + 1) * width] for i, trial in enumerate(seeds)}
+        pool.map(inheritable_thread_target(spark)(lambda job: run(*job)), jobs, chunksize=1)
 
 
-def score_trials(df: DataFrame, models: dict[int, list[Fitted]], keep: list[str]) -> DataFrame:
-    """(trial, keep..., one column per learner): the models of all trials in a single pass."""
-    trials = []
-    for trial, fitted in models.items():
-        for one in fitted:
-            df = replace(one, name=f"_{trial}_{one.name}").score(df)
-        columns = [F.col(f"_{trial}_{one.name}").alias(one.name) for one in fitted]
-        trials.append(F.struct(F.lit(trial).alias("trial"), *columns))
-    return df.select(*keep, F.inline(F.array(*trials)))
+def _write_scores(df: DataFrame, fitted: list[Fitted], keep: list[str], path: str) -> None:
+    """keep..., one column per learner, and the rounds that each of them kept."""
+    for one in fitted:
+        df = one.score(df)
+    rounds = F.create_map(*[F.lit(x) for one in fitted for x in (one.name, one.rounds or 0)])
+    df.select(*keep, *[one.name for one in fitted], rounds.alias("rounds")).write.mode("overwrite").parquet(path)
+
+
+def _scores(spark, path: str, keys: str, learners: Learners) -> DataFrame:
+    columns = "".join(f", `{learner.name}` double" for learner in learners)
+    return spark.read.schema(f"{keys}{columns}, rounds map<string, int>").parquet(path)
 
 
 def oof_predictions(folded: DataFrame, settings: Settings, seeds: dict[int, int],
-                    learners: Learners = LEARNERS) -> DataFrame:
-    """(trial, fold, id, score, one column per learner) for every row and trial.
+                    learners: Learners = LEARNERS, path: str | None = None) -> DataFrame:
+    """(trial, fold, id, score, one column per learner, rounds) for every row and trial.
 
     ``folded`` has (id, score, features, fold). Folds are the same in every trial; only the
-    learners' seeds change.
+    learners' seeds change. The models of one fold and trial score their rows, which are
+    written under ``path``, and are dropped; at most ``fit_threads`` such sets exist at a time.
+    A run that is started again with the same ``path`` fits only what isn't there yet.
     """
-    parts = []
-    for fold in range(settings.num_folds):
-        inside, outside = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
-        models = _fit_trials(inside, settings, seeds, learners, outside)
-        parts.append(score_trials(outside, models, ["fold", "id", "score"]))
-    return cut(reduce(DataFrame.unionByName, parts), "oof-predictions")
+    spark = folded.sparkSession
+    path = path or fresh_path(spark, "oof-predictions")
+
+    def run(fold: int, trial: int) -> None:
+        target = f"{path}/fold={fold}/trial={trial}"
+        if not path_complete(spark, target):
+            inside, outside = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
+            fitted = [fit_learner(learner, inside, seeds[trial], settings, outside) for learner in learners]
+            _write_scores(outside, fitted, ["id", "score"], target)
+
+    _each(spark, settings, [(fold, trial) for fold in range(settings.num_folds) for trial in seeds], run)
+    score = folded.schema["score"].dataType.simpleString()
+    keys = f"id {folded.schema['id'].dataType.simpleString()}, score {score}, trial int, fold int"
+    return _scores(spark, path, keys, learners).where(F.col("trial").isin(*seeds))
 
 
 def _folded(train: DataFrame, settings: Settings) -> DataFrame:
@@ -68,6 +73,7 @@ class CrossValidated:
     labels: DataFrame  # (trial, id, fold, score, label), out of fold
     cuts: DataFrame  # (trial, fold, t1..t4, qwk)
     means: DataFrame  # (trial, t1..t4)
+    mean_cut: DataFrame  # (trial, qwk) out of fold, cut at the mean thresholds instead of the fold's own
 
 
 def cross_validate(predictions: DataFrame, settings: Settings) -> CrossValidated:
@@ -77,15 +83,17 @@ def cross_validate(predictions: DataFrame, settings: Settings) -> CrossValidated
     start = settings.start_thresholds()
     cuts = cut(optimize_thresholds(combined, "score", "prediction", by, start), "fold-thresholds")
     labels = cut_at(combined, cuts, by, count=len(start)).select("trial", "id", "fold", "score", "label")
-    return CrossValidated(oof_scatter(labels), cuts, mean_thresholds(cuts, ["trial"], len(start)))
+    means = mean_thresholds(cuts, ["trial"], len(start))
+    mean_cut = qwk(cut_at(combined, means, ["trial"], count=len(start)), "score", "label", ["trial"])
+    return CrossValidated(oof_scatter(labels), cuts, means, mean_cut)
 
 
 def kfold_oof(train: DataFrame, settings: Settings, trial: int = 0,
-              learners: Learners = LEARNERS) -> CrossValidated:
+              learners: Learners = LEARNERS, path: str | None = None) -> CrossValidated:
     """One trial over all folds; ``train`` has (id, score, features)."""
     folded = _folded(train, settings)
     seeds = {trial: settings.trial_seeds()[trial]}
-    return cross_validate(oof_predictions(folded, settings, seeds, learners), settings)
+    return cross_validate(oof_predictions(folded, settings, seeds, learners, path), settings)
 
 
 @dataclass(frozen=True)
@@ -97,10 +105,27 @@ class EnsembleRun:
 
 
 def refit_predictions(train: DataFrame, test: DataFrame, settings: Settings, seeds: dict[int, int],
-                      learners: Learners = LEARNERS) -> DataFrame:
-    """(trial, id, one column per learner): models refitted on all train rows, all rounds."""
-    models = _fit_trials(train, settings, seeds, learners)
-    return cut(score_trials(test, models, ["id"]), "test-predictions")
+                      learners: Learners = LEARNERS, validated: DataFrame | None = None) -> DataFrame:
+    """(trial, id, one column per learner, rounds): models refitted on all train rows.
+
+    They run all rounds, or with ``refit_rounds="mean_best"`` the mean of those the trial's
+    folds kept, read from ``validated``, the out-of-fold predictions.
+    """
+    spark = train.sparkSession
+    path = fresh_path(spark, "test-predictions")
+    best: dict[int, dict[str, int]] = {}
+    if settings.refit_rounds == "mean_best" and validated is not None:
+        kept = validated.select("trial", "fold", F.explode("rounds").alias("name", "n")).distinct()
+        for row in kept.groupBy("trial", "name").agg(F.round(F.avg("n")).cast("int").alias("n")).collect():
+            best.setdefault(row["trial"], {})[row["name"]] = max(1, row["n"])
+
+    def run(trial: int) -> None:
+        fitted = [fit_learner(learner, train, seeds[trial], settings, rounds=best.get(trial, {}).get(learner.name))
+                  for learner in learners]
+        _write_scores(test, fitted, ["id"], f"{path}/trial={trial}")
+
+    _each(spark, settings, [(trial,) for trial in seeds], run)
+    return _scores(spark, path, f"id {train.schema['id'].dataType.simpleString()}, trial int", learners)
 
 
 def ensemble_test(predictions: DataFrame, means: DataFrame, settings: Settings) -> DataFrame:
@@ -110,16 +135,17 @@ def ensemble_test(predictions: DataFrame, means: DataFrame, settings: Settings)
 
 
 def train_ensemble(train: DataFrame, test: DataFrame, settings: Settings,
-                   learners: Learners = LEARNERS) -> EnsembleRun:
+                   learners: Learners = LEARNERS, path: str | None = None) -> EnsembleRun:
     """All trials: out-of-fold labels, test labels, votes and the final evaluation.
 
     ``train`` has (id, score, features) and is written once, because every fit reads it;
-    ``test`` (id, features) is read once.
+    ``test`` (id, features) is read once a trial. ``path`` keeps the out-of-fold predictions.
     """
     seeds = dict(enumerate(settings.trial_seeds()))
     folded = _folded(train, settings)
-    validated = cross_validate(oof_predictions(folded, settings, seeds, learners), settings)
-    test_rows = refit_predictions(folded.drop("fold"), test, settings, seeds, learners)
+    predictions = oof_predictions(folded, settings, seeds, learners, path)
+    validated = cross_validate(predictions, settings)
+    test_rows = refit_predictions(folded.drop("fold"), test, settings, seeds, learners, predictions)
     votes = vote_mode(validated.labels, ["id"], num_classes=settings.num_classes, carry=["score"])
     test_votes = vote_mode(ensemble_test(test_rows, validated.means, settings), ["id"],
                            num_classes=settings.num_classes)

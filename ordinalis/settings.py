@@ -25,6 +25,7 @@ class Settings:
     vocab_size: int = 30_000
 
     # two-text classifier
+    clean_before_fit: bool = False  # keyword cleaning before the classifier learns, not only before it scores
     all_train: bool = True
     holdout_share: float = 0.2
     num_epochs: int = 3
@@ -43,6 +44,8 @@ class Settings:
     weights: dict[str, float] = field(default_factory=lambda: dict(MODEL_WEIGHTS))
     boost_rounds: int = 1000
     patience: int = 100
+    round_block: int = 20  # rounds fitted before patience is looked at again
+    refit_rounds: str = "all"  # or "mean_best": the folds' mean best round of the trial
     forest_trees: int = 80
     forest_depth: int = 7
     fit_threads: int = 4
@@ -54,11 +57,3 @@ class Settings:
     def trial_seeds(self) -> list[int]:
         """One learner seed per trial: the base seed times 1, 2, 3, ..."""
         return [self.seed * (trial + 1) for trial in range(self.num_trials)]
-
-
-def small_settings(**changes) -> Settings:
-    """The same run with few trials, folds and rounds, for tests and smoke checks."""
-    base = dict(num_trials=2, num_folds=3, boost_rounds=5, forest_trees=10, forest_depth=5,
-                patience=3, sentiment_iterations=5, hash_features=1 << 12)
-    base.update(changes)
-    return Settings(**base)

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from ordinalis.catalog import views
 from ordinalis.operators import encode, regressors, sentiment, thresholds
 from ordinalis.plans import features, review_run as whole, training
-from ordinalis.settings import MODEL_WEIGHTS, Settings, small_settings
+from ordinalis.settings import MODEL_WEIGHTS, Settings
 from ordinalis.storage import cut
+from tests.small import small_settings
 from tests.test_agreement import brute_kappa
 
 SMALL = small_settings()
@@ -74,11 +75,12 @@ def test_components_match_svd(spark):
 def test_contributions_add_up_to_the_prediction(matrix):
     settings = small_settings(boost_rounds=6)
     fitted = regressors.fit_learner(regressors.LEARNERS[0], matrix, 42, settings)
-    steps = regressors.round_contributions(fitted.model)
-    scored = regressors._with_leaves(fitted.model, matrix)
+    model = fitted.blocks[0]
+    steps = regressors.round_contributions(model)
+    scored = regressors._with_leaves(model, matrix)
     total = F.aggregate(steps, F.lit(0.0), lambda a, b: a + b)
     assert scored.where(F.abs(total - F.col("_prediction")) > 1e-9).count() == 0
-    part = regressors.Fitted("x", fitted.model, 2).score(matrix)
+    part = regressors.Fitted("x", (model,), 2).score(matrix)
     two = F.aggregate(F.slice(steps, 1, 2), F.lit(0.0), lambda a, b: a + b)
     both = part.select("id", "x").join(scored.select("id", two.alias("two")), "id")
     assert both.where(F.abs(F.col("x") - F.col("two")) > 1e-12).count() == 0
@@ -126,7 +128,7 @@ def test_full_size_settings():
     assert full.trial_seeds() == [42 * i for i in range(1, 11)]
     assert full.num_trials * full.num_folds * 4 + full.num_trials * 4 == 440
     assert sum(MODEL_WEIGHTS.values()) == pytest.approx(1.0)
-    assert len(features.model_matrix_columns(full)) == 17 + 1
+    assert len(features.model_matrix_columns(full)) == 17 + 2
 
 
 def test_staged_curves_match_brute_force(spark):
@@ -137,12 +139,10 @@ def test_staged_curves_match_brute_force(spark):
     df = spark.createDataFrame([(int(a), [float(v) for v in s]) for a, s in zip(y, steps)], "y int, s array<double>")
     sums = steps.cumsum(axis=1)
     kappas = {r.iter: r.qwk for r in regressors.staged_qwk(df, "y", F.col("s")).collect()}
-    errors = {r.iter: r.rmse for r in regressors.staged_rmse(df, "y", F.col("s")).collect()}
     for i in range(7):
         p = np.rint(sums[:, i]).astype(int).tolist()
         labels = sorted(set(p) | set(y.tolist()))
         assert kappas[i + 1] == pytest.approx(brute_kappa(y.tolist(), p, labels), abs=1e-12)
-        assert errors[i + 1] == pytest.approx(np.sqrt(((sums[:, i] - y) ** 2).mean()))
 
 
 def test_training_with_holdout_reports_both_parts(reviews):
@@ -164,7 +164,7 @@ def test_a_missing_class_keeps_the_score_vector_whole(reviews):
 
 
 def test_stages_found_on_disk_are_loaded(spark, reviews, tmp_path):
-    paths = whole.Paths(*[str(tmp_path / n) for n in ("model", "features", "epochs", "report", "submit")])
+    paths = whole.Paths(**{n: str(tmp_path / n) for n in ("model", "features", "predictions", "epoch_metrics", "report", "submission")})
     template = reviews.where("split = 'test'").select(F.col("id").cast("string"), F.lit(0).alias("value"))
     settings = small_settings(translate=False, num_trials=1, num_folds=2, boost_rounds=2, all_train=False)
     first = whole.review_run(reviews, settings, paths=paths, template=template)
@@ -205,3 +205,117 @@ def test_model_over_token_ids(spark):
 
     got = {r.id: r.probs for r in sentiment.score_encoded(encoded, "id", make_predict, 12).collect()}
     assert got == {1: [5.0, 3.0, 3.0], 2: [2.0, 3.0, 0.0], 3: [3.0, 2.0, 1.0]}
+
+
+def counted(learner, built):
+    """The learner, noting how many rounds each of its fits may run."""
+    def build(seed, settings):
+        built.append((seed, settings.boost_rounds))
+        return learner.build(seed, settings)
+    return regressors.Learner(learner.name, build, learner.stop_on)
+
+
+@pytest.mark.parametrize("learner", regressors.LEARNERS[:3], ids=lambda learner: learner.name)
+def test_boosting_stops_before_the_maximum(matrix, learner):
+    built = []
+    train, held = matrix.where("id % 5 != 0"), matrix.where("id % 5 = 0")
+    settings = small_settings(boost_rounds=200, patience=4, round_block=4)
+    fitted = regressors.fit_learner(counted(learner, built), train, 42, settings, held)
+    trees = sum(len(m.treeWeights) for m in fitted.blocks)
+    assert trees == sum(rounds for _, rounds in built) < 200 and 1 <= fitted.rounds <= trees - 4
+    error = fitted.score(held).agg(F.avg(F.pow(F.col(learner.name) - F.col("score"), 2))).first()[0]
+    assert error < 0.2
+
+
+def test_blocks_add_up(matrix):
+    """The first rounds of several blocks are their predictions' sum."""
+    settings = small_settings(boost_rounds=9, patience=100, round_block=3)
+    noisy = matrix.withColumn("score", F.col("score") + (F.col("id") % 5).cast("int") - 2)
+    fitted = regressors.fit_learner(regressors.LEARNERS[1], noisy, 42, settings, noisy)
+    assert len(fitted.blocks) == 3 and 7 <= fitted.rounds <= 9
+    both = regressors.Fitted("two", fitted.blocks, 5).score(regressors.Fitted("one", fitted.blocks, 3).score(matrix))
+    steps = regressors.round_contributions(fitted.blocks[1])
+    after = regressors._with_leaves(fitted.blocks[1], both).withColumn("sum", F.col("one") + steps[0] + steps[1])
+    assert after.where(F.abs(F.col("sum") - F.col("two")) > 1e-9).count() == 0
+
+
+def test_every_learner_gets_its_trials_seed(matrix):
+    built = []
+    learners = tuple(counted(learner, built) for learner in regressors.LEARNERS)
+    settings = small_settings(num_folds=2, boost_rounds=1, patience=1, round_block=1, fit_threads=1)
+    training.oof_predictions(training._folded(matrix, settings), settings, {0: 42, 1: 84}, learners)
+    assert sorted({seed for seed, _ in built}) == [42, 84] and len(built) == 2 * 2 * 4
+
+
+def test_a_stopped_run_goes_on_where_it_was(matrix, tmp_path):
+    built = []
+    learners = (counted(regressors.LEARNERS[3], built),)
+    settings = small_settings(num_folds=2, forest_trees=2, fit_threads=1)
+    folded = training._folded(matrix, settings)
+    first = training.oof_predictions(folded, settings, {0: 42}, learners, str(tmp_path / "oof"))
+    expected = sorted(map(str, first.collect()))
+    (tmp_path / "oof" / "fold=1" / "trial=0" / "_SUCCESS").unlink()
+    again = training.oof_predictions(folded, settings, {0: 42}, learners, str(tmp_path / "oof"))
+    assert sorted(map(str, again.collect())) == expected and len(built) == 3
+
+
+def test_one_folds_models_at_most_score_a_table(matrix, monkeypatch):
+    widths = []
+    monkeypatch.setattr(training, "_write_scores", lambda df, fitted, keep, path: widths.append(len(fitted)))
+    monkeypatch.setattr(training, "_scores", lambda *a: matrix.withColumn("trial", F.lit(0)))
+    settings = small_settings(num_folds=2, boost_rounds=1, patience=1, round_block=1)
+    training.oof_predictions(training._folded(matrix, settings), settings, {0: 42, 1: 84})
+    assert widths == [4] * 4
+
+
+def test_refits_run_the_mean_of_the_kept_rounds(spark, matrix):
+    built = []
+    learners = (counted(regressors.LEARNERS[0], built),)
+    kept = spark.createDataFrame([(0, 0, {"boost_a": 2}), (0, 1, {"boost_a": 5})], "trial int, fold int, rounds map<string, int>")
+    settings = small_settings(refit_rounds="mean_best")
+    training.refit_predictions(matrix, matrix.drop("score"), settings, {0: 42}, learners, kept)
+    assert built in ([(42, 3)], [(42, 4)])
+
+
+def test_missing_values_are_imputed_with_indicators(spark):
+    rows = spark.createDataFrame([(1, None, 0.5), (2, 4, None)], "id int, days_to_reply long, review_importance double")
+    got = regressors.impute(rows, features.IMPUTED).orderBy("id").collect()
+    assert [(r.days_to_reply, r.days_missing, r.review_importance, r.importance_missing) for r in got] == [(-1, 1, 0.5, 0), (4, 0, -1.0, 1)]
+
+
+def test_a_run_with_missing_numbers(reviews):
+    holes = reviews.withColumn("thumbsUpCount", F.when(F.col("id") % 3 != 0, F.col("thumbsUpCount")))
+    settings = small_settings(translate=False, num_trials=1, num_folds=2, boost_rounds=2, round_block=2)
+    assert whole.review_run(holes, settings).submission.count() == reviews.where("split = 'test'").count()
+
+
+def test_repeated_and_missing_ids_are_refused(spark, reviews):
+    for wrong in (reviews.unionByName(reviews.limit(1)), reviews.withColumn("id", F.when(F.col("id") > 0, F.col("id")))
+                  .unionByName(reviews.limit(1).withColumn("id", F.lit(None).cast("long")))):
+        with pytest.raises(ValueError, match="unique and not null"):
+            whole.review_run(wrong, small_settings(translate=False))
+
+
+def test_text_stages_are_fitted_once(reviews, monkeypatch):
+    fits = []
+    real = sentiment.fit_text_stages
+    monkeypatch.setattr(sentiment, "fit_text_stages", lambda *a: fits.append(1) or real(*a))
+    sentiment.train_sentiment(reviews.where("split = 'train'"), "id", "review", "replyContent", small_settings(all_train=False))
+    assert fits == [1]
+
+
+def test_plugged_in_detector_sees_each_text_once(spark):
+    from ordinalis.operators import language
+
+    rows = spark.createDataFrame([(i, ["a", "bb", None][i % 3]) for i in range(30)], "id int, review string")
+    got = language.detect_with(rows, "review", lambda: lambda texts: ["x" if len(t) == 1 else "y" for t in texts]).collect()
+    assert {(r.review, r.language) for r in got} == {("a", "x"), ("bb", "y"), (None, "unknown")} and len(got) == 30
+
+
+def test_translated_stage_is_kept(spark, reviews, tmp_path):
+    paths = whole.Paths(translated=str(tmp_path / "translated"))
+    models = whole.PlugIns(lambda: lambda texts: ["fr"] * len(texts), lambda texts, lang: [t.upper() for t in texts])
+    made, working = whole.prepare_text(reviews, Settings(), paths=paths, plug_ins=models)
+    assert working == "translated_review" and made.where("translated_review != upper(review)").count() == 0
+    again, _ = whole.prepare_text(reviews.where("1 = 0"), Settings(), paths=paths, plug_ins=models)
+    assert again.count() == reviews.count()
