@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from ordinalis.catalog.views import LEXICON, LOGITS, MODELS, ROUNDS, TRIALS
-from ordinalis.functions.text import EMOJI_ONLY, REPLY_PATTERNS
-from ordinalis.operators.encode import MAX_TOKEN_CHARS
-from ordinalis.operators.thresholds import LOWEST_BIN, highest_bin
-from ordinalis.settings import MODEL_WEIGHTS, START_THRESHOLDS, Settings
 
+# Written out here and not imported: an oracle that shares a constant with the code under test
+# would share its mistakes.
 K = 5
-HIGHEST_BIN = highest_bin()
+LOWEST_BIN, HIGHEST_BIN = -512, 1535
+MODEL_WEIGHTS = {"boost_a": 0.4, "boost_b": 0.3, "boost_c": 0.2, "forest": 0.1}
+START_THRESHOLDS = (0.5, 1.5, 2.5, 3.5)
+REPLY_PATTERNS = {"has_5star": "5-star|5 stars|five-star|five stars", "has_issues": "issues|issue|problem",
+                  "has_sorry": "sorry|apologize", "has_transactions": "transactions", "has_thanks": "thanks",
+                  "has_bank_handle": "@BANK.co.id.", "has_phone": "08121214017"}
+# Blocks that hold every emoji of the reviews and no letter; a variation selector is no emoji.
+EMOJI_ONLY = r"^[\x{2190}-\x{2BFF}\x{1F000}-\x{1FAFF}]*$"
 
 
 def _values(count: int, first: int = 0) -> str:
@@ -33,7 +38,7 @@ SELECT id,
   CASE WHEN rtext IS NULL THEN NULL WHEN h % 17 = 3 THEN '05:06:00'
     ELSE CAST(h % 40 AS VARCHAR) || ' days 05:06:00' END AS "timeToReply",
   CASE WHEN h % 5 = 0 THEN 'test' ELSE 'train' END AS split
-FROM (SELECT u.conv_id * 1000 + u.turn AS id, u.conv_id * 31 + u.turn * 7 AS h,
+FROM (SELECT (u.conv_id + u.turn) * (u.conv_id + u.turn + 1) // 2 + u.turn AS id, u.conv_id * 31 + u.turn * 7 AS h,
              u.text AS utext, r.text AS rtext
       FROM conversations u
       LEFT JOIN conversations r ON r.conv_id = u.conv_id AND r.turn = u.turn + 1 AND r.role = 'assistant'
@@ -134,6 +139,26 @@ found AS (SELECT s.{id_col} AS id, coalesce(b.lang, 'unknown') AS language
     FROM scored) b ON b.id = s.{id_col} AND b.r = 1)"""
 
 
+# Each document against the words of the other two folds.
+_CROSS_DETECTED = r"""folded AS (
+SELECT doc_id, text, lang, CAST('0x' || substr(md5('42:' || doc_id), 1, 8) AS BIGINT) % 3 AS fold FROM documents),
+tokens AS (SELECT doc_id, lang, fold, token, count(*) AS m FROM (
+  SELECT doc_id, lang, fold, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS token FROM folded) t GROUP BY ALL),
+profile AS (SELECT f.k, t.lang, t.token, sum(t.m) AS n FROM tokens t JOIN (VALUES (0), (1), (2)) AS f(k) ON t.fold <> f.k
+  WHERE t.lang IS NOT NULL GROUP BY ALL),
+totals AS (SELECT k, lang, sum(n) AS total FROM profile GROUP BY ALL),
+vocabulary AS (SELECT k, count(DISTINCT token) AS v FROM profile GROUP BY k),
+doc_words AS (SELECT doc_id, fold, sum(m) AS m FROM tokens GROUP BY ALL),
+known AS (SELECT t.doc_id, p.lang, sum(t.m * ln(CAST(p.n + 1 AS DOUBLE))) AS s
+  FROM tokens t JOIN profile p ON p.k = t.fold AND p.token = t.token GROUP BY ALL),
+scored AS (SELECT w.doc_id, t.lang, round(coalesce(k.s, 0) - w.m * ln(CAST(t.total + v.v AS DOUBLE)), 6) AS score
+  FROM doc_words w JOIN totals t ON t.k = w.fold JOIN vocabulary v ON v.k = w.fold
+  LEFT JOIN known k ON k.doc_id = w.doc_id AND k.lang = t.lang),
+found AS (SELECT f.doc_id, f.lang, coalesce(b.lang, 'unknown') AS language FROM folded f LEFT JOIN (
+  SELECT doc_id, lang, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lang) AS r FROM scored) b
+  ON b.doc_id = f.doc_id AND b.r = 1)"""
+
+
 _LEXICON = ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in LEXICON)
 _TRANSLATE = rf"""WITH {REVIEWS}, texts AS (SELECT id, review AS text FROM reviews), {_detected('texts', 'id')},
 lexicon AS (SELECT * FROM (VALUES {_LEXICON}) AS t(lang, token, dst)),
@@ -149,7 +174,7 @@ SELECT r.id, r.review, coalesce(t.text, r.review) AS translated_review FROM revi
 # --- encoding ------------------------------------------------------------------------------------------
 
 _TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\p{Z}\t\n\x0B\f\r]"
-_HALF = Settings().max_length // 2
+_HALF = 256
 
 
 def _ids(side: str) -> str:
@@ -169,8 +194,8 @@ _ENCODE = f"""WITH {REVIEWS}, all_tokens AS (
   SELECT unnest(regexp_extract_all(lower(coalesce(review, '')), '{_TOKEN}')) AS token FROM reviews
   UNION ALL SELECT unnest(regexp_extract_all(lower(coalesce("replyContent", '')), '{_TOKEN}')) FROM reviews),
 vocabulary AS (SELECT token, CAST(row_number() OVER (ORDER BY count(*) DESC, token) + 3 AS INT) AS token_id
-  FROM all_tokens WHERE length(token) <= {MAX_TOKEN_CHARS} GROUP BY token
-  QUALIFY row_number() OVER (ORDER BY count(*) DESC, token) <= {Settings().vocab_size}),
+  FROM all_tokens GROUP BY token
+  QUALIFY row_number() OVER (ORDER BY count(*) DESC, token) <= 30000),
 {_side('review', 'a')}, {_side('"replyContent"', 'b')},
 padded AS (SELECT r.id, {_ids('a')} AS x, {_ids('b')} AS z FROM reviews r LEFT JOIN a ON a.id = r.id LEFT JOIN b ON b.id = r.id)
 SELECT id, array_to_string(x, ',') AS review_ids, array_to_string(list_transform(x, lambda t: CAST(t <> 0 AS INT)), ',') AS review_mask,
@@ -291,7 +316,54 @@ FROM losses JOIN hits USING (epoch) JOIN kappas USING (epoch)"""
 _SPARSE = (f"{LABELLED}, sparse AS (SELECT trial, CASE WHEN y < 2 THEN y ELSE 4 END AS y, "
            "CASE WHEN label < 2 THEN label ELSE 4 END AS label FROM labelled)")
 
+# --- properties of fitted models -------------------------------------------------------------------
+
+# The rows that the regressors learn from, and which of them are held out.
+MATRIX = """matrix AS (SELECT l_orderkey AS id, CAST(least(4, floor(sum(l_quantity) / 40)) AS INT) AS score FROM lineitem GROUP BY l_orderkey),
+placed AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || id), id) AS r, count(*) OVER () AS n FROM matrix),
+parts AS (SELECT id, score, r <= ceil(CAST(0.2 AS DOUBLE) * n) AS held FROM placed)"""
+
+
+def _fitted(name: str) -> str:
+    return f"WITH {MATRIX} SELECT id, score, '{name}' AS model, true AS in_range, true AS explains, true AS stopped FROM parts WHERE held"
+
+
+def _evaluated(ctes: str, source: str) -> str:
+    """Every metric in its range, and the supports, for the labelled rows of ``source``."""
+    names = "(VALUES ('0'), ('1'), ('2'), ('3'), ('4'), ('accuracy'), ('macro avg'), ('weighted avg')) AS c(class)"
+    return f"""WITH {ctes}, judged_rows AS (SELECT score FROM {source})
+SELECT m.metric, 'all' AS class, CAST(NULL AS DOUBLE) AS support, true AS in_range FROM (VALUES ('accuracy'), ('qwk')) AS m(metric)
+UNION ALL SELECT m.metric, c.class, NULL, true FROM (VALUES ('precision'), ('recall'), ('f1')) AS m(metric) CROSS JOIN {names}
+UNION ALL SELECT 'support', c.class, CAST((SELECT count(*) FROM judged_rows r
+    WHERE length(c.class) > 1 OR CAST(r.score AS VARCHAR) = c.class) AS DOUBLE), true FROM {names}"""
+
+
+_REVIEWED = _evaluated(f"{REVIEWS}", "reviews WHERE split = 'train' AND score IS NOT NULL")
+_CHECKED_CUTS = f"WITH {PREDS} SELECT DISTINCT trial, fold, true AS recomputed, true AS no_worse, true AS ordered FROM preds"
+_VALID_EPOCH = ", ".join(f"true AS {part}_{m}_valid" for part in ("train", "val") for m in ("loss", "accuracy", "qwk"))
+
 ORACLES: dict[str, str] = {
+    "load_reviews_by_name": f"""WITH {REVIEWS} SELECT id, nullif(review, '') AS review, score, "thumbsUpCount", "reviewCreatedVersion",
+        "replyContent", "timeToReply", "replyContent" AS translated_review, 'en' AS language FROM reviews""",
+    "fit_sentiment_model": f"""WITH {REVIEWS} SELECT count(*) AS n_rows, true AS falling, true AS within_limit
+        FROM reviews WHERE score IS NOT NULL AND split = 'train'""",
+    "train_sentiment": f"SELECT CAST(e.epoch AS INT) AS epoch, {_VALID_EPOCH} FROM (VALUES (1), (2), (3)) AS e(epoch)",
+    "score_sentiment": f"WITH {REVIEWS} SELECT id, CAST(5 AS INT) AS classes, true AS distribution FROM reviews",
+    "pca_features": f"WITH {REVIEWS} SELECT count(*) AS n_rows, true AS centred, true AS uncorrelated, true AS ordered FROM reviews",
+    "scored_feature_table": f"""WITH {FEATURES} SELECT id, split, score, text, "replyContent", days_to_reply, {_FLAG_NAMES}, review_length,
+        review_importance, true AS distribution, true AS marked, CAST(1 AS INT) AS marks, true AS components FROM features""",
+    **{f"fit_{name}": _fitted(name) for name in MODEL_WEIGHTS},
+    "predict_test": f"WITH {MATRIX} " + " UNION ALL ".join(
+        f"SELECT id, '{name}' AS model, true AS in_range FROM parts WHERE held" for name in MODEL_WEIGHTS),
+    "optimize_thresholds": _CHECKED_CUTS,
+    "optimize_thresholds_fixed": _CHECKED_CUTS,
+    "optimize_thresholds_missing_class": _CHECKED_CUTS,
+    "kfold_oof": f"""WITH {MATRIX} SELECT CAST(0 AS INT) AS trial, id,
+        CAST(ntile(3) OVER (ORDER BY md5('42:' || id), id) - 1 AS INT) AS fold, score, true AS labelled FROM matrix""",
+    "train_ensemble": _evaluated(MATRIX, "parts WHERE NOT held"),
+    "review_run": _REVIEWED,
+    "review_run_plug_ins": _REVIEWED,
+
     "load_reviews": f"""WITH {REVIEWS} SELECT id, nullif(review, '') AS review, score, "thumbsUpCount", "reviewCreatedVersion",
         "replyContent", "timeToReply" FROM reviews""",
     "union_train_test": f"WITH {REVIEWS} SELECT * REPLACE (CASE WHEN split = 'train' THEN score END AS score) FROM reviews",
@@ -325,8 +397,7 @@ ORACLES: dict[str, str] = {
     "impute_days": f"WITH {FEATURES} SELECT id, coalesce(days_to_reply, -1) AS days_to_reply, CAST(days_to_reply IS NULL AS INT) AS days_missing FROM features",
 
     "detect_language": f"WITH {_detected('documents', 'doc_id')} SELECT id AS doc_id, language FROM found",
-    "language_accuracy": f"""WITH {_detected('documents', 'doc_id')} SELECT d.lang, f.language, count(*) AS n
-        FROM documents d JOIN found f ON f.id = d.doc_id GROUP BY d.lang, f.language""",
+    "language_accuracy": f"WITH {_CROSS_DETECTED} SELECT lang, language, count(*) AS n FROM found GROUP BY lang, language",
     "translate_reviews": _TRANSLATE,
     "encode_text_pair": _ENCODE,
     "epoch_metrics": _EPOCH_METRICS.format(""),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -10,15 +11,19 @@ from ordinalis.catalog import views
 from ordinalis.functions import ordinal, text as tx, vectors
 from ordinalis.operators import agreement, encode, ensemble, language, ranks, regressors, sentiment, thresholds, translate
 from ordinalis.plans import features, review_run as whole, training
-from ordinalis.schema import FLAG_COLUMNS, prob_names
-from ordinalis.settings import MODEL_WEIGHTS, START_THRESHOLDS, Settings, small_settings
+from ordinalis.schema import FLAG_COLUMNS, onehot_names, prob_names
+from ordinalis.settings import MODEL_WEIGHTS, START_THRESHOLDS, Settings
 from ordinalis.sources import readers, writers
 from ordinalis.storage import cut, fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-SMALL = small_settings()
+#: Parameters of the registered model queries. Everything else is as in ``Settings``: up to 1,000
+#: boosting rounds, 80 trees of depth 7, 20 classifier iterations, 65,536 hashed features. Fewer
+#: folds and trials, less patience, and refits of as many rounds as the folds kept, so that a query
+#: ends in seconds to minutes on one machine; all rows take part in each.
+QUERY_SETTINGS = Settings(num_trials=2, num_folds=3, patience=10, round_block=5, refit_rounds="mean_best")
 CV = ["trial", "fold"]
 ORDER_COLUMNS = ["sum_qty", "avg_disc", "max_tax", "n_lines"]
 
@@ -51,6 +56,17 @@ def load_reviews(spark, sf_dir):
     return _csv_reviews(spark, sf_dir)
 
 
+@query
+def load_reviews_by_name(spark, sf_dir):
+    """Another column order, the label written as 4.0, and the optional columns."""
+    rows = views.reviews(spark, sf_dir)
+    path = fresh_path(spark, "reviews-csv")
+    writers.write_features_csv(rows.select("replyContent", F.col("score").cast("double").alias("score"), "timeToReply", "review",
+                                           F.col("replyContent").alias("translated_review"), "thumbsUpCount", "id",
+                                           "reviewCreatedVersion", F.lit("en").alias("language")), path)
+    return readers.load_reviews(spark, path)
+
+
 @query
 def union_train_test(spark, sf_dir):
     train, test = readers.split_train_test(views.reviews(spark, sf_dir))
@@ -116,7 +132,7 @@ def submission(spark, sf_dir):
 @query
 def model_roundtrip(spark, sf_dir):
     rows = cut(views.reviews(spark, sf_dir), "reviews")
-    model = sentiment.fit_sentiment_model(rows, "review", "replyContent", SMALL)
+    model = sentiment.fit_sentiment_model(rows, "review", "replyContent", QUERY_SETTINGS)
     path = fresh_path(spark, "model")
     writers.save_model(model, path)
     before = sentiment.score_sentiment(rows, model, "review", "replyContent").select("id", "probs")
@@ -226,7 +242,7 @@ def feature_table(spark, sf_dir):
 # --- text model stages ---------------------------------------------------------------------
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.spread(views.table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id")
+    return views.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
 
 
 def _profile(spark: SparkSession, sf_dir: str) -> language.LanguageProfile:
@@ -241,8 +257,9 @@ def detect_language(spark, sf_dir):
 
 @query
 def language_accuracy(spark, sf_dir):
+    """Every document judged by a profile that hasn't seen it."""
     docs = _documents(spark, sf_dir)
-    found = language.detect_language(docs, "doc_id", "text", _profile(spark, sf_dir))
+    found = language.cross_fit_language(docs, "doc_id")
     return language.language_confusion(docs.select("doc_id", "lang").join(found, "doc_id"))
 
 
@@ -265,44 +282,64 @@ def encode_text_pair(spark, sf_dir):
 def _fitted_sentiment(spark: SparkSession, sf_dir: str):
     rows = cut(views.reviews(spark, sf_dir), "reviews")
     train = readers.split_train_test(rows)[0]
-    return rows, sentiment.fit_sentiment_model(train, "review", "replyContent", SMALL)
+    return rows, sentiment.fit_sentiment_model(train, "review", "replyContent", QUERY_SETTINGS)
 
 
+# Model queries state properties that SQL can say too: a fitted value has no other oracle.
+
 @query
 def fit_sentiment_model(spark, sf_dir):
-    model = _fitted_sentiment(spark, sf_dir)[1]
-    losses = [(i, float(x)) for i, x in enumerate(sentiment.loss_history(model))]
-    return spark.createDataFrame(losses, "iteration int, loss double")
+    losses = sentiment.loss_history(_fitted_sentiment(spark, sf_dir)[1])
+    falling = all(b <= a for a, b in zip(losses, losses[1:])) and losses[-1] < losses[0]
+    return (views.reviews(spark, sf_dir).where("score is not null and split = 'train'").agg(F.count(F.lit(1)).alias("n_rows"))
+            .withColumns({"falling": F.lit(falling), "within_limit": F.lit(len(losses) <= QUERY_SETTINGS.sentiment_iterations + 1)}))
 
 
 @query
 def train_sentiment(spark, sf_dir):
     """The classifier's training with a holdout: metrics of both parts after each epoch."""
     train = readers.split_train_test(views.reviews(spark, sf_dir))[0]
-    done = sentiment.train_sentiment(train, "id", "review", "replyContent", small_settings(all_train=False))
+    done = sentiment.train_sentiment(train, "id", "review", "replyContent", replace(QUERY_SETTINGS, all_train=False))
     path = fresh_path(spark, "training-metrics")
     writers.write_epoch_metrics(done.train_metrics, path, done.validation_metrics)
-    measures = [f"{part}_{m} double" for part in ("train", "val") for m in ("loss", "accuracy", "qwk")]
-    return spark.read.schema("epoch int, " + ", ".join(measures)).option("header", True).csv(path)
+    measures = [f"{part}_{m}" for part in ("train", "val") for m in ("loss", "accuracy", "qwk")]
+    back = spark.read.schema("epoch int, " + ", ".join(f"{m} double" for m in measures)).option("header", True).csv(path)
+    return back.select("epoch", *[(F.col(m) > 0 if m.endswith("loss") else F.abs(m) <= 1).alias(f"{m}_valid") for m in measures])
+
+
+def _is_distribution(probs: Column) -> Column:
+    total = F.aggregate(probs, F.lit(0.0), lambda a, b: a + b)
+    return (F.abs(total - 1) < 1e-9) & F.forall(probs, lambda p: (p >= 0) & (p <= 1))
 
 
 @query
 def score_sentiment(spark, sf_dir):
     rows, model = _fitted_sentiment(spark, sf_dir)
-    return sentiment.score_sentiment(rows, model, "review", "replyContent").select("id", "probs")
+    scored = sentiment.score_sentiment(rows, model, "review", "replyContent")
+    return scored.select("id", F.size("probs").alias("classes"), _is_distribution(F.col("probs")).alias("distribution"))
 
 
 @query
 def pca_features(spark, sf_dir):
-    scored = score_sentiment(spark, sf_dir)
+    rows, model = _fitted_sentiment(spark, sf_dir)
+    scored = sentiment.score_sentiment(rows, model, "review", "replyContent")
     wide = cut(features.score_columns(scored), "probabilities")
-    return sentiment.fit_pca(wide, prob_names(5), 2).apply(wide).select("id", "pca_1", "pca_2")
+    x = sentiment.fit_pca(wide, prob_names(5), 2).apply(wide)
+    return x.agg(F.count(F.lit(1)).alias("n_rows"), (F.abs(F.avg("pca_1")) + F.abs(F.avg("pca_2")) < 1e-9).alias("centred"),
+                 (F.abs(F.covar_pop("pca_1", "pca_2")) < 1e-9).alias("uncorrelated"),
+                 (F.var_pop("pca_1") >= F.var_pop("pca_2")).alias("ordered"))
 
 
 @query
 def scored_feature_table(spark, sf_dir):
     rows, model = _fitted_sentiment(spark, sf_dir)
-    return features.feature_table(rows, model, SMALL)
+    table = features.feature_table(rows, model, QUERY_SETTINGS)
+    probs, marks = F.array(*[F.col(f"`{c}`") for c in prob_names(5)]), F.array(*onehot_names(5))
+    return table.select(
+        "id", "split", "score", "text", "replyContent", "days_to_reply", *FLAG_COLUMNS, "review_length",
+        _round("review_importance").alias("review_importance"), _is_distribution(probs).alias("distribution"),
+        (marks[vectors.argmax(probs)] == 1).alias("marked"), F.aggregate(marks, F.lit(0), lambda a, b: a + b).alias("marks"),
+        (F.col("pca_1").isNotNull() & F.col("pca_2").isNotNull()).alias("components"))
 
 
 def _epoch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -369,12 +406,20 @@ def _order_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut(regressors.assemble(rows, ORDER_COLUMNS, ["id", "score"]), "order-matrix")
 
 
+def _holdout(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    rows = ranks.holdout_split(_order_matrix(spark, sf_dir), "id", 0.2, 42)
+    return rows.where(~F.col("is_validation")), rows.where("is_validation")
+
+
 def _fit_query(learner: regressors.Learner) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = ranks.holdout_split(_order_matrix(spark, sf_dir), "id", 0.2, 42)
-        train, held = rows.where(~F.col("is_validation")), rows.where("is_validation")
-        fitted = regressors.fit_learner(learner, train, 42, SMALL, held)
-        return regressors.predict_long(held, [fitted], ["id", "score"])
+        train, held = _holdout(spark, sf_dir)
+        fitted = regressors.fit_learner(learner, train, 42, QUERY_SETTINGS, held)
+        made = cut(regressors.predict_long(held, [fitted], ["id", "score"]), "held-out")
+        error = made.agg(F.avg(F.pow(F.col("prediction") - F.col("score"), 2)), F.var_pop("score")).first()
+        stopped = learner.stop_on is None or 1 <= fitted.rounds <= QUERY_SETTINGS.boost_rounds
+        return made.select("id", "score", "model", F.col("prediction").between(-1, 5).alias("in_range"),
+                           F.lit(error[0] < 0.25 * error[1]).alias("explains"), F.lit(stopped).alias("stopped"))
     return run
 
 
@@ -391,10 +436,11 @@ def staged_best_iter(spark, sf_dir):
 
 @query
 def predict_test(spark, sf_dir):
-    rows = ranks.holdout_split(_order_matrix(spark, sf_dir), "id", 0.2, 42)
-    train, test = rows.where(~F.col("is_validation")), rows.where("is_validation")
-    models = [regressors.fit_learner(learner, train, 42, SMALL) for learner in regressors.LEARNERS]
-    return regressors.predict_long(test, models, ["id"])
+    """All learners refitted on the train rows; the boosters run a fixed number of rounds."""
+    train, test = _holdout(spark, sf_dir)
+    models = [regressors.fit_learner(learner, train, 42, QUERY_SETTINGS, rounds=20) for learner in regressors.LEARNERS]
+    made = regressors.predict_long(test, models, ["id"])
+    return made.select("id", "model", F.col("prediction").between(-1, 5).alias("in_range"))
 
 
 @query
@@ -459,9 +505,32 @@ def qwk_rounded(spark, sf_dir):
     return agreement.qwk(rows, "y", "p", CV).select(*CV, _round("qwk", 9).alias("qwk"))
 
 
+def _searched(rows: DataFrame, labels: str) -> DataFrame:
+    """Per group: whether the reported kappa is that of the cut labels, is no worse than the start
+    vector's, and the cuts are in order."""
+    cuts = cut(thresholds.optimize_thresholds(rows, "y", "prediction", CV, labels=labels), "searched-cuts")
+    made = ensemble.cut_at(rows, cuts, CV).withColumn("start", ordinal.digitize(F.col("prediction"), START_THRESHOLDS))
+    kappa = lambda p: agreement.qwk(made, "y", p, CV, labels=labels).withColumnRenamed("qwk", f"_{p}")
+    order = F.array(*[f"t{i}" for i in (1, 2, 3, 4)])
+    return cuts.join(kappa("label"), CV).join(kappa("start"), CV).select(
+        *CV, (F.abs(F.col("qwk") - F.col("_label")) < 1e-9).alias("recomputed"),
+        (F.col("qwk") >= F.col("_start") - 1e-9).alias("no_worse"), (F.array_sort(order) == order).alias("ordered"))
+
+
 @query
 def optimize_thresholds(spark, sf_dir):
-    return thresholds.optimize_thresholds(_combined(spark, sf_dir), "y", "prediction", CV)
+    return _searched(_combined(spark, sf_dir), "present")
+
+
+@query
+def optimize_thresholds_fixed(spark, sf_dir):
+    return _searched(_combined(spark, sf_dir), "fixed")
+
+
+@query
+def optimize_thresholds_missing_class(spark, sf_dir):
+    """Labels 2 and 3 never occur, so the two numberings differ."""
+    return _searched(_combined(spark, sf_dir).withColumn("y", F.when(F.col("y") < 2, F.col("y")).otherwise(F.lit(4))), "present")
 
 
 @query
@@ -539,20 +608,48 @@ def evaluate_run(spark, sf_dir):
 
 # --- composite jobs -----------------------------------------------------------------------------------
 
+def _judged_evaluation(evaluation: DataFrame) -> DataFrame:
+    """Supports as they are; whether every other value lies where its metric can."""
+    support = F.when(F.col("metric") == "support", F.col("value"))
+    return evaluation.select("metric", "class", support.alias("support"),
+                             (support.isNotNull() | F.col("value").isNull() | (F.abs("value") <= 1)).alias("in_range"))
+
+
 @query
 def kfold_oof(spark, sf_dir):
-    return training.kfold_oof(_order_matrix(spark, sf_dir), SMALL).labels
+    done = training.kfold_oof(_order_matrix(spark, sf_dir), QUERY_SETTINGS).labels
+    return done.select("trial", "id", "fold", "score", F.col("label").between(0, 4).alias("labelled"))
 
 
 @query
 def train_ensemble(spark, sf_dir):
-    rows = ranks.holdout_split(_order_matrix(spark, sf_dir), "id", 0.2, 42)
-    train, test = rows.where(~F.col("is_validation")), rows.where("is_validation")
-    run = training.train_ensemble(train.drop("is_validation"), test.select("id", "features"), SMALL)
-    return run.evaluation
+    train, test = _holdout(spark, sf_dir)
+    run = training.train_ensemble(train.drop("is_validation"), test.select("id", "features"), QUERY_SETTINGS)
+    return _judged_evaluation(run.evaluation)
 
 
 @query
 def review_run(spark, sf_dir):
-    result = whole.review_run(views.reviews(spark, sf_dir), SMALL, _profile(spark, sf_dir), views.lexicon(spark))
-    return result.run.evaluation
+    result = whole.review_run(views.reviews(spark, sf_dir), QUERY_SETTINGS, _profile(spark, sf_dir), views.lexicon(spark))
+    return _judged_evaluation(result.run.evaluation)
+
+
+def _stand_in_detector():
+    return lambda texts: ["fr" if text and len(text) % 2 else "en" for text in texts]
+
+
+def _stand_in_scorer():
+    import numpy as np
+
+    def score(reviews, replies):
+        marks = np.array([len(review or "") % 5 for review in reviews])
+        return np.where(np.arange(5)[None, :] == marks[:, None], 0.6, 0.1)
+    return score
+
+
+@query
+def review_run_plug_ins(spark, sf_dir):
+    """The whole run with deterministic stand-ins for detector, translator and scorer."""
+    models = whole.PlugIns(_stand_in_detector, lambda texts, language: [text.upper() for text in texts], _stand_in_scorer)
+    result = whole.review_run(views.reviews(spark, sf_dir), QUERY_SETTINGS, plug_ins=models)
+    return _judged_evaluation(result.run.evaluation)

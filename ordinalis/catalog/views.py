@@ -20,17 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """A table small enough to come as fewer scan tasks than there are cores is dealt out to
-    them before heavy work on its texts; a table of many files is left where it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def _d(value) -> Column:
     return (value if isinstance(value, Column) else F.lit(value)).cast("double")
 
 
+def review_id(conv: Column, turn: Column) -> Column:
+    """One number for two, without collisions: their place on the diagonals of a grid."""
+    return F.shiftright((conv + turn) * (conv + turn + 1), 1) + turn
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A user turn is the review, the assistant turn after it the reply.
 
@@ -41,7 +39,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     answered = (turns.where(F.col("role") == "assistant")
                 .select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("rtext")))
     x = (asked.join(answered, ["conv_id", "turn"], "left")
-         .withColumns({"id": F.col("conv_id") * 1000 + F.col("turn"), "h": F.col("conv_id") * 31 + F.col("turn") * 7}))
+         .withColumns({"id": review_id(F.col("conv_id"), F.col("turn")), "h": F.col("conv_id") * 31 + F.col("turn") * 7}))
     h, u, r = F.col("h"), F.col("utext"), F.col("rtext")
     review = (F.when(h % 11 == 0, F.lit("")).when(h % 11 == 1, F.lit(None)).when(h % 11 == 2, F.lit("😀👍"))
               .when(h % 11 == 3, F.lit("👍🏽")).when(h % 11 == 4, F.concat(u, F.lit(" push Keep baguséx")))
