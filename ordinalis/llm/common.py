@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import math
 import re
 from collections.abc import Callable, Iterator
 
@@ -10,11 +13,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ordinalis.storage import cut
+
 #: A word is a run of anything but the six white-space characters of ASCII.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 _WORDS = re.compile(WORD_PATTERN)
-_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+#: White space that str.split knows besides those six.
+_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 class Recent(dict):
@@ -49,28 +55,29 @@ def worker_state(name, build: Callable):
     asked for. Workers serve one stage after another, so another operator's state goes first:
     no more than one bounded cache is held at a time."""
     if name not in _STATE:
-        _STATE.clear()
+        if _STATE:
+            _STATE.clear()
+            _give_back()
         _STATE[name] = build()
     return _STATE[name]
 
 
+def _give_back() -> None:
+    """Return freed memory to the machine, which the worker's allocators would keep for later."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def words_of(text: str | None) -> list[str]:
-    """The words of ``WORD_PATTERN``. ``str.split`` knows more white space than ASCII's six;
-    texts that hold any of that are matched by the pattern itself."""
+    """The words of ``WORD_PATTERN``: by str.split, unless the text holds white space that only it knows."""
     if not text:
         return []
-    if text.isascii():
-        return _WORDS.findall(text) if _OTHER_SPACE.search(text) else text.split()
     return _WORDS.findall(text) if _OTHER_SPACE.search(text) else text.split()
 
 
-def word_hash(word: str) -> int:
-    """64 bits that are the same in every process."""
-    import xxhash
-
-    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-
-
 #: Odd constants (the golden ratio and two primes of a well-known mixer), fixed values.
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -84,6 +91,30 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_SPACES = np.zeros(256, bool)
+_SPACES[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A"):ord("Z") + 1] += 32
+
+
+def word_hashes(text: str | None, lower: bool = False) -> np.ndarray:
+    """64 bits for each of the text's words, the same in every process; ``lower`` takes A-Z as a-z.
+
+    Every byte and its place in the word give a random-looking number; a word's are summed.
+    """
+    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+    inside = ~_SPACES[data]
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    lengths = edges[1::2] - edges[::2]
+    if not len(lengths):
+        return np.zeros(0, np.uint64)
+    letters = (_LOWER[data] if lower else data)[inside].astype(np.uint64)
+    first = np.cumsum(lengths) - lengths
+    place = (np.arange(len(letters)) - np.repeat(first, lengths)).astype(np.uint64)
+    numbers = mix(letters + (place << np.uint64(8)) + _GOLD)
+    return mix(np.add.reduceat(numbers, first) + lengths.astype(np.uint64) * _GOLD)
+
+
 def run_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """The hash of every run of ``k`` consecutive word hashes; order counts."""
     if len(words) < k:
@@ -102,6 +133,7 @@ def with_column(df: DataFrame, of: str, name: str, kind: str, values: Callable[[
     Small steps matter where a value is many times as large as its text: no more than one
     step's values are held at once, whatever the size of Spark's Arrow batches.
     """
+    small_batches(df.sparkSession)
     kept = [c for c in df.columns if c != name]
     schema = StructType([*df.select(*kept).schema, *StructType.fromDDL(f"`{name}` {kind}")])
     at = kept.index(of)
@@ -115,10 +147,24 @@ def with_column(df: DataFrame, of: str, name: str, kind: str, values: Callable[[
     return df.select(*kept).mapInArrow(steps, schema)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let no more than ``rows`` rows go to a Python worker at a time, for this session: with whole
+    texts in them, Spark's usual 10,000 take as much memory as all that an operator keeps."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= rows:
+        spark.conf.set(name, rows)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def cut_small(df: DataFrame, name: str, rows: int) -> DataFrame:
+    """``cut`` for a table of at most ``rows`` rows: written by so few tasks that files are not tiny,
+    however many shuffle partitions there are. The number of tasks grows with the rows."""
+    return cut(df.coalesce(max(8, math.ceil(rows / 250_000))), name)
+
+
 def size_at_most(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` (already written, so counting is cheap) is small enough to broadcast."""
     return df.count() <= rows

@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, functions as F
 
-from ordinalis.storage import cut
-
-EDGES_PER_FILE = 200_000
+from ordinalis.llm.common import cut_small
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -33,16 +29,15 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Aggregates are combined map-side and joins may be split, so a node of any degree is fine.
     """
     low, high = F.least(a, b), F.greatest(a, b)
-    now = cut(edges.select(low.alias("a"), high.alias("b")).where("a != b").distinct(), "edges")
+    now = edges.select(low.alias("a"), high.alias("b")).where("a != b").distinct()
+    now = cut_small(now, "edges", edges.count())
 
     def mark(table: DataFrame):
         return table.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long"))).first()
 
     before = mark(now)
     while before[0]:
-        # few edges need few files, whatever the number of shuffle partitions
-        files = math.ceil(before[0] / EDGES_PER_FILE)
-        now = cut(_small_star(_large_star(now)).coalesce(files), "edges")
+        now = cut_small(_small_star(_large_star(now)), "edges", before[0])
         after = mark(now)
         if tuple(after) == tuple(before):
             break

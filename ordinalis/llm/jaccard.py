@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ordinalis.llm.common import WORD_PATTERN, Recent, run_hashes, size_at_most, worker_state, words_of
+from ordinalis.llm.common import WORD_PATTERN, cut_small, run_hashes, size_at_most, small_batches, word_hashes, worker_state
 from ordinalis.llm.graph import components
 from ordinalis.storage import cut
 
@@ -46,16 +46,9 @@ TILE_SETS, TILE_SHINGLES = 8192, 4_000_000
 _BROADCAST_ROWS = 2_000_000
 
 
-def _lower_hash(word: str) -> bytes:
-    import xxhash
-
-    return xxhash.xxh3_64_digest(word.encode("utf-8", "surrogatepass").lower())  # bytes.lower knows A-Z only
-
-
 def shingle_set(text: str | None, k: int = SHINGLE) -> np.ndarray:
     """Sorted hashes of the distinct runs of k words; of the whole text where it has fewer."""
-    known = worker_state("lower-case words", lambda: Recent(_lower_hash, 100_000))
-    words = np.frombuffer(b"".join(map(known.__getitem__, words_of(text))), "<u8")
+    words = word_hashes(text, lower=True)
     return np.unique(run_hashes(words, min(k, len(words)))) if len(words) else words
 
 
@@ -103,6 +96,7 @@ def describe(docs: DataFrame, k: int) -> DataFrame:
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("shingles", dict)  # nothing is kept, but what an operator before kept goes
         seen: set[int] = set()
         for batch in batches:
             sizes, classes, new, listed = [], [], [], []
@@ -128,14 +122,14 @@ def describe(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("_id", "_key", "_text").mapInArrow(rows, f"_id {id_type}, _key long, n long, class long, token long")
 
 
-def _peeled(lists: DataFrame) -> DataFrame:
+def _peeled(lists: DataFrame, rows: int) -> DataFrame:
     """Without classes that share too few prefix shingles to have a partner, and without shingles
     that only one of the others has."""
     kept = lists.groupBy("class").agg(F.count(F.lit(1)).alias("_shared"), F.first("n").alias("_n"))
     kept = kept.where(F.col("_shared") >= least_shared(F.col("_n"))).select("class")
-    rest = cut(lists.join(kept, "class"), "peeled-lists")
+    rest = cut_small(lists.join(kept, "class"), "peeled-lists", rows)
     often = rest.groupBy("token").agg(F.count(F.lit(1)).alias("_df")).where("_df > 1").select("token")
-    return cut(rest.join(often, "token"), "prefix-lists")
+    return cut_small(rest.join(often, "token"), "prefix-lists", rows)
 
 
 def candidate_edges(postings: DataFrame) -> DataFrame:
@@ -144,13 +138,15 @@ def candidate_edges(postings: DataFrame) -> DataFrame:
     ``postings`` (token, class, n) may hold a row more than once.
     """
     shared = postings.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low != high").select("token")
-    lists = cut(postings.join(cut(shared, "shared-shingles"), "token").distinct(), "prefix-lists")
+    rows = postings.count()
+    lists = cut_small(postings.join(cut_small(shared, "shared-shingles", rows), "token").distinct(), "prefix-lists", rows)
     for _ in range(2):
-        lists = _peeled(lists)
-    sizes = cut(lists.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "list-sizes")
+        rows = lists.count()
+        lists = _peeled(lists, rows)
+    sizes = cut_small(lists.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "list-sizes", rows)
     short = lists.join(sizes.where(F.col("df") <= SHORT_LIST).select("token"), "token")
-    long = cut(lists.join(sizes.where(F.col("df") > SHORT_LIST).select("token"), "token"), "long-lists")
-    spare = cut(long.groupBy("class").agg(F.count(F.lit(1)).alias("spare"), F.first("n").alias("n")), "long-shared")
+    long = cut_small(lists.join(sizes.where(F.col("df") > SHORT_LIST).select("token"), "token"), "long-lists", rows)
+    spare = cut_small(long.groupBy("class").agg(F.count(F.lit(1)).alias("spare"), F.first("n").alias("n")), "long-shared", rows)
 
     left = short.select("token", F.col("class").alias("a"), F.col("n").alias("na"))
     right = short.select("token", F.col("class").alias("b"), F.col("n").alias("nb"))
@@ -165,22 +161,8 @@ def candidate_edges(postings: DataFrame) -> DataFrame:
     able = long.join(spare.where(F.col("spare") >= least_shared(F.col("n"))).select("class"), "class").select("token", "class")
     hubs = able.groupBy("token").agg(F.min("class").alias("hub"))
     tied = able.join(hubs, "token").where("class != hub").select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
-    return pairs.select("a", "b").unionByName(tied)
-
-
-class _Forest:
-    """Union-find over positions."""
-
-    def __init__(self, n: int):
-        self._above = list(range(n))
-
-    def root(self, i: int) -> int:
-        while self._above[i] != i:
-            self._above[i] = i = self._above[self._above[i]]
-        return i
-
-    def join(self, i: int, j: int) -> None:
-        self._above[self.root(i)] = self.root(j)
+    # a list of SHORT_LIST classes leaves at most half as many pairs for each of them
+    return cut_small(pairs.select("a", "b").unionByName(tied), "candidates", rows)
 
 
 def divide_skip(queries: list[np.ndarray], indexed: list[np.ndarray], same: bool) -> list[tuple[int, int]]:
@@ -194,7 +176,7 @@ def divide_skip(queries: list[np.ndarray], indexed: list[np.ndarray], same: bool
     tokens, holder = tokens[order], holder[order]
     names, start = np.unique(tokens, return_index=True)
     end = np.append(start[1:], len(tokens))
-    forest, links = _Forest(len(indexed) + (0 if same else len(queries))), []
+    connected, links = np.arange(len(indexed) + (0 if same else len(queries))), []
     for q, own in enumerate(queries):
         me = q if same else len(indexed) + q
         at = np.minimum(np.searchsorted(names, own), len(names) - 1)
@@ -206,25 +188,30 @@ def divide_skip(queries: list[np.ndarray], indexed: list[np.ndarray], same: bool
         longest = int(end[at[-1]] - start[at[-1]])
         skipped = min(least - 1, int(least / (0.01 * np.log2(longest + 1) + 1)))
         near = (4 * np.minimum(sizes, len(own)) >= 3 * np.maximum(sizes, len(own)))
-        lists = []
+        short = []
         for i in at[:len(at) - skipped]:
             some = holder[start[i]:end[i]]
-            some = some[near[some]]
-            lists.append((some[some < q] if same else some).tolist())
+            short.append(some[near[some] & (some < q)] if same else some[near[some]])
         probes = [holder[start[i]:end[i]] for i in at[len(at) - skipped:]]
-        for other, times in groupby(heapq.merge(*lists)):
-            common = sum(1 for _ in times)
-            if common < least - skipped or forest.root(other) == forest.root(me):
-                continue
-            needed = -(-3 * (len(own) + int(sizes[other])) // 7)
-            for left, some in zip(range(len(probes), 0, -1), probes):
-                if common >= needed or common + left < needed:
+        last = -1
+        while last is not None:  # after a link, whatever is connected now leaves the lists
+            short = [some[(some > last) & (connected[some] != connected[me])] for some in short]
+            last = None
+            for other, times in groupby(heapq.merge(*(some.tolist() for some in short))):
+                common = sum(1 for _ in times)
+                if common < least - skipped:
+                    continue
+                needed = -(-3 * (len(own) + int(sizes[other])) // 7)
+                for left, some in zip(range(len(probes), 0, -1), probes):
+                    if common >= needed or common + left < needed:
+                        break
+                    place = bisect_left(some, other)
+                    common += place < len(some) and some[place] == other
+                if common >= needed:
+                    connected[connected == connected[other]] = connected[me]
+                    links.append((q, other))
+                    last = other
                     break
-                place = bisect_left(some, other)
-                common += place < len(some) and some[place] == other
-            if common >= needed:
-                forest.join(me, other)
-                links.append((q, other))
     return links
 
 
@@ -244,14 +231,15 @@ def class_links(docs: DataFrame, postings: DataFrame, classes: DataFrame, k: int
 
     ``classes`` has class, n, and of one text with that set _id and _key.
     """
-    edges = cut(candidate_edges(postings), "candidates")
-    blocks = components(edges)  # node, component
-    members = cut(blocks.withColumnRenamed("node", "class").join(classes, "class"), "block-members")
+    blocks = components(candidate_edges(postings))  # node, component
+    sets_in_blocks = blocks.count()
+    members = cut_small(blocks.withColumnRenamed("node", "class").join(classes, "class"), "block-members", sets_in_blocks)
     size = members.groupBy("component").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
     tiles = F.greatest(F.ceil(F.col("sets") / TILE_SETS), F.ceil(F.col("shingles") / TILE_SHINGLES)).cast("int")
     placed = members.join(size.select("component", tiles.alias("tiles")), "component")
-    wanted = cut(placed.select("_id", "_key", "class", "component", "tiles",
-                               F.pmod(F.xxhash64("class"), F.col("tiles")).cast("int").alias("tile")), "wanted-sets")
+    wanted = cut_small(placed.select("_id", "_key", "class", "component", "tiles",
+                                     F.pmod(F.xxhash64("class"), F.col("tiles")).cast("int").alias("tile")),
+                       "wanted-sets", sets_in_blocks)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,21 +265,23 @@ def class_links(docs: DataFrame, postings: DataFrame, classes: DataFrame, k: int
 def similar_groups(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     """(_id, _key, n_shingles, component_id, group) for every row of ``docs``; _key is the hash of id
     and text, group is null for a text without shingles."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), _key(id_col, text_col))
     described = cut(describe(rows, k), "shingle-sets")
     texts = described.where("token is null").select("_id", "_key", F.col("n").alias("n_shingles"), "class")
-    classes = cut(texts.where("class is not null").groupBy("class").agg(
+    rows_in_all = texts.count()
+    classes = cut_small(texts.where("class is not null").groupBy("class").agg(
         F.min("_id").alias("smallest"), F.min(F.struct("_id", "_key")).alias("one"), F.first("n_shingles").alias("n"))
-        .select("class", "smallest", "n", "one.*"), "shingle-classes")
+        .select("class", "smallest", "n", "one.*"), "shingle-classes", rows_in_all)
     postings = described.where("token is not null").select("token", "class", "n")
     links = cut(class_links(rows, postings, classes.select("class", "n", "_id", "_key"), k), "links")
     reached = components(links).withColumnRenamed("node", "class")
     groups = classes.join(reached, "class", "left").withColumn("group", F.coalesce("component", "class"))
     lowest = groups.groupBy("group").agg(F.min("smallest").alias("component_id"))
-    of_class = cut(groups.select("class", "group").join(lowest, "group"), "class-groups")
+    of_class = cut_small(groups.select("class", "group").join(lowest, "group"), "class-groups", rows_in_all)
     own = F.when(F.col("class").isNull(), F.col("_id")).otherwise(F.col("component_id"))
-    return cut(texts.join(of_class, "class", "left").withColumn("component_id", own)
-               .select("_id", "_key", "n_shingles", "component_id", "group"), "text-groups")
+    return cut_small(texts.join(of_class, "class", "left").withColumn("component_id", own)
+                     .select("_id", "_key", "n_shingles", "component_id", "group"), "text-groups", rows_in_all)
 
 
 def _key(id_col: str, text_col: str) -> Column:
