@@ -17,6 +17,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ordinalis.llm.bpe import WordEndBpe, loaded
+from ordinalis.llm.common import small_batches
 from ordinalis.llm.summary import most_frequent
 from ordinalis.storage import cut
 
@@ -75,6 +76,7 @@ def with_token_counts(docs: DataFrame, vocabulary: Broadcast, text_col: str = "t
 
     Null texts count as empty. Columns of these names are replaced; an empty table stays empty.
     """
+    small_batches(docs.sparkSession)
     table = table or length_table(docs, text_col, vocabulary)
     return (docs.withColumn("n_bytes", F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long"))
             .withColumn("n_tokens", token_count(text_col, vocabulary, table))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from ordinalis.llm.common import mix, shuffle_partitions
+from ordinalis.llm.common import mix, shuffle_partitions, small_batches
 
 LEAST, NORMAL, MOST = 32, 128, 512
 _STRICT, _LOOSE = np.uint32(0xFF000000), np.uint32(0xFC000000)
@@ -121,6 +121,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, rows: Callable, schem
     bucket before it. Of equal ids the smaller text comes first, null ids come last.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     buckets = 4 * shuffle_partitions(spark)
     ids = docs.select(F.col(id_col).alias("_id")).where("_id is not null")
     ranges = (ids.repartitionByRange(buckets, "_id").groupBy(F.spark_partition_id().alias("_part"))

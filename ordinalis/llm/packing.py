@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from ordinalis.llm.common import small_batches
 from ordinalis.storage import fresh_path
 
 #: Partitions whose leftovers are merged together: at most so many times ``open_windows`` windows.
@@ -94,6 +95,7 @@ def pack(docs: DataFrame, encode: Callable[[str | None], np.ndarray], end_id: in
     """
     if length & (length - 1):
         raise ValueError("length must be a power of two")
+    small_batches(docs.sparkSession)
     id_type = dict(docs.dtypes)[id_col]
     layout = (f"_key {id_type}, start long, length long, ids binary, doc_tokens long, _group int, _window int, "
               "sequence_id long, offset long")

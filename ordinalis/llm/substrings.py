@@ -23,28 +23,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ordinalis.llm.common import Recent, mix, run_hashes, size_at_most, word_hash, words_of
+from ordinalis.llm.common import cut_small, mix, run_hashes, size_at_most, small_batches, word_hashes, worker_state, words_of
 from ordinalis.storage import cut
 
 WINDOW = 35
 ANCHOR = 8
 MOST_SEGMENTS = 4096
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 500_000
 
 #: Documents whose ids may be broadcast to select texts; more are found by a join.
 _BROADCAST_DOCS = 2_000_000
 
-_WORD_BYTES = Recent(lambda word: word_hash(word).to_bytes(8, "little"), 250_000)
-
 #: An odd base and its inverse modulo 2**64: hashes of stretches by differences of sums.
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def hashed_words(text: str | None) -> np.ndarray:
-    return np.frombuffer(b"".join(map(_WORD_BYTES.__getitem__, words_of(text))), "<u8")
-
-
 def _powers(base: int, n: int) -> np.ndarray:
     factors = np.full(n, base, np.uint64)
     factors[:1] = 1
@@ -173,10 +167,11 @@ def repeated_windows(docs: DataFrame, length: int = WINDOW, shard_words: int = S
     """
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("anchors", dict)  # nothing is kept, but what an operator before kept goes
         for batch in batches:
             columns, sizes = [], []
             for text in batch.column(2):
-                columns.append(segments_of(hashed_words(text.as_py()), length))
+                columns.append(segments_of(word_hashes(text.as_py()), length))
                 sizes.append(len(columns[-1][0]))
             of = pa.array(np.repeat(np.arange(len(sizes)), sizes))
             anchor, digest, first, count = (np.concatenate(c) for c in zip(*columns))
@@ -190,7 +185,7 @@ def repeated_windows(docs: DataFrame, length: int = WINDOW, shard_words: int = S
         for batch in batches:
             rows = {"_id": [], "_key": [], "anchor": [], "first": [], "windows": [], "copies": [], "words": [], "window": []}
             for key, hash_, text, wanted in zip(*(c.to_pylist() for c in batch.columns)):
-                words = hashed_words(text)
+                words = word_hashes(text)
                 for w in wanted:
                     part = words[w["first"]:w["first"] + w["windows"] + length - 1]
                     own = [None] if not w["hot"] else run_hashes(part, length).view(np.int64).tolist()
@@ -223,20 +218,22 @@ def repeated_windows(docs: DataFrame, length: int = WINDOW, shard_words: int = S
     id_type = dict(docs.dtypes)["_id"]
     seen = cut(docs.select("_id", "_key", "_text").mapInArrow(
         anchors, f"_id {id_type}, _key long, anchor long, digest long, first int, windows int"), "anchors")
-    often = cut(seen.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high"))
-                .where("n > 1").select("anchor", (F.col("low") != F.col("high")).alias("mixed")), "repeated-anchors")
-    shared = cut(seen.join(often, "anchor"), "shared-anchors")
+    rows = seen.count()
+    often = cut_small(seen.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high"))
+                .where("n > 1").select("anchor", (F.col("low") != F.col("high")).alias("mixed")), "repeated-anchors", rows)
+    shared = cut_small(seen.join(often, "anchor"), "shared-anchors", rows)
+    rows = shared.count()
     span = [F.col("first").alias("a"), (F.col("first") + F.col("windows")).alias("b")]
     equal = shared.where(~F.col("mixed")).select("_id", "_key", *span)
 
     one = F.min(F.struct("_id", "_key", "first", "windows")).alias("one")
-    distinct = cut(shared.where("mixed").groupBy("anchor", "digest").agg(F.count(F.lit(1)).alias("copies"), one)
-                   .select("anchor", "digest", "copies", "one.*"), "distinct-segments")
+    distinct = cut_small(shared.where("mixed").groupBy("anchor", "digest").agg(F.count(F.lit(1)).alias("copies"), one)
+                   .select("anchor", "digest", "copies", "one.*"), "distinct-segments", rows)
     copied = (shared.where("mixed").join(distinct.where("copies > 1").select("anchor", "digest"), ["anchor", "digest"], "left_semi")
               .select("_id", "_key", *span))
     kinds = distinct.groupBy("anchor").agg((F.count(F.lit(1)) > MOST_SEGMENTS).alias("hot"))
-    wanted = cut(distinct.join(kinds, "anchor").groupBy("_id", "_key").agg(F.collect_list(
-        F.struct("anchor", "first", "windows", "copies", "hot")).alias("wanted")), "wanted-segments")
+    wanted = cut_small(distinct.join(kinds, "anchor").groupBy("_id", "_key").agg(F.collect_list(
+        F.struct("anchor", "first", "windows", "copies", "hot")).alias("wanted")), "wanted-segments", rows)
     total = wanted.select(F.explode("wanted").alias("w")).agg(F.sum(F.col("w.windows") + length)).first()[0] or 0
     texts = docs.select("_id", "_key", "_text")
     if size_at_most(wanted, _BROADCAST_DOCS):  # only the texts that are wanted are shuffled
@@ -253,8 +250,8 @@ def repeated_windows(docs: DataFrame, length: int = WINDOW, shard_words: int = S
     single = parts.where("window is not null")
     twice = single.groupBy("anchor", "window").agg(F.sum("copies").alias("n")).where("n > 1").select("anchor", "window")
     hot = single.join(twice, ["anchor", "window"], "left_semi").select("_id", "_key", F.col("first").alias("a"), (F.col("first") + 1).alias("b"))
-    return cut(equal.unionByName(copied).unionByName(searched).unionByName(hot)
-               .groupBy("_id", "_key").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "repeated-windows")
+    return cut_small(equal.unionByName(copied).unionByName(searched).unionByName(hot)
+                     .groupBy("_id", "_key").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "repeated-windows", rows)
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = WINDOW) -> DataFrame:
@@ -266,6 +263,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     Repeated rows are separate documents, so their windows repeat. Columns of these names
     are replaced; an empty table stays empty.
     """
+    small_batches(docs.sparkSession)
     # the id may be null, and rows may share an id: the hash of both tells texts apart
     rows = docs.withColumns({"_id": F.col(id_col), "_text": F.col(text_col), "_key": F.xxhash64(F.col(id_col), F.col(text_col))})
     spans = repeated_windows(rows.select("_id", "_key", "_text"), length)

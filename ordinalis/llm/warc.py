@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ordinalis.llm.common import small_batches
 from ordinalis.storage import cut
 
 FRAME_BYTES = 256 << 10
@@ -163,6 +164,7 @@ def write_bundles(records: DataFrame, folder: str, *, id_col: str, url_col: str,
     The manifest is itself written once, so reading it never writes a bundle again. An empty
     table writes no bundle.
     """
+    small_batches(records.sparkSession)
     id_type = dict(records.dtypes)[id_col]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
