@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ordinalis.llm.common import mix
+from ordinalis.llm.common import mix, small_batches, worker_state
 from ordinalis.storage import cut
 
 ORDER = 4
@@ -55,7 +55,7 @@ def _hash_windows(codes: np.ndarray, k: int) -> np.ndarray:
 
 def _hash_gram(gram: str) -> int:
     codes = np.array([0] * (ORDER - len(gram)) + [ord(c) for c in gram], np.uint64)
-    return int(_hash_windows(codes, len(gram))[0]) if gram else 0
+    return int(_hash_windows(codes, len(gram))[0])
 
 
 @dataclass
@@ -77,7 +77,7 @@ class LetterModel:
             found = keys[at] == wanted
             out[open_places[found]] += values[at[found]]
             open_places = open_places[~found]
-            if order > 1 and len(open_places):
+            if len(open_places):
                 keys, values = self.contexts[order - 1]
                 wanted = context_hashes[order - 1][open_places]
                 at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
@@ -142,7 +142,7 @@ def gram_counts(texts: DataFrame, text_col: str, lang_col: str) -> list[DataFram
 class Scorer:
     """Word and text scores against all models, with a bounded memory of words."""
 
-    def __init__(self, languages: list[str], models: list[LetterModel], limit: int = 200_000):
+    def __init__(self, languages: list[str], models: list[LetterModel], limit: int = 150_000):
         self.languages, self._models, self._limit = languages, models, limit
         self._forget()
 
@@ -153,8 +153,8 @@ class Scorer:
     def _score_words(self, words: list[str]) -> np.ndarray:
         """Sums of log probabilities over the letters of each word and its end."""
         out = []
-        for s in range(0, len(words), 20_000):
-            some = words[s:s + 20_000]
+        for s in range(0, len(words), 4000):
+            some = words[s:s + 4000]
             joined = "".join([_BORDER * (ORDER - 1) + w + _BORDER for w in some])
             codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
             hashes = [_hash_windows(codes, k) for k in range(1, ORDER + 1)]
@@ -163,9 +163,9 @@ class Scorer:
             places = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
             # a gram's context of k - 1 letters ends one place before the gram itself
             before = np.concatenate([np.zeros(1, np.uint64), codes[:-1]])
-            contexts = [None] + [_hash_windows(before, k) for k in range(1, ORDER)]
+            contexts = [_hash_windows(before, k) for k in range(ORDER)]
             starts = np.cumsum(sizes) - sizes
-            own, of = [h[places] for h in hashes], [None] + [h[places] for h in contexts[1:]]
+            own, of = [h[places] for h in hashes], [h[places] for h in contexts]
             out.append(np.stack([np.add.reduceat(m.log_probabilities(own, of), starts) for m in self._models], axis=1))
         return np.concatenate(out).astype(np.float32)
 
@@ -193,14 +193,9 @@ class Scorer:
         return sizes, sums
 
 
-_SCORERS: dict[int, Scorer] = {}
-
-
 def _scorer(models: Broadcast) -> Scorer:
-    if models.value["key"] not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[models.value["key"]] = Scorer(models.value["languages"], models.value["models"])
-    return _SCORERS[models.value["key"]]
+    found = models.value
+    return worker_state(("languages", found["key"]), lambda: Scorer(found["languages"], found["models"]))
 
 
 def _entropies(text: Column | str, models: Broadcast) -> Column:
@@ -236,7 +231,7 @@ class LanguageModels:
 
 
 def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        per_language: int = SAMPLE_PER_LANGUAGE, toward_foreign: float = 0.5) -> LanguageModels:
+        per_language: int = SAMPLE_PER_LANGUAGE, toward_foreign: float = 0.75) -> LanguageModels:
     """Learn from texts with a label; others, and texts without letters, take no part.
 
     About ``per_language`` texts of each language are learned from (a hash of the id decides,
@@ -244,6 +239,7 @@ def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     from their mean entropy to the mean of the second best model, which hasn't seen their language.
     """
     spark = labelled.sparkSession
+    small_batches(spark)
     rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     sizes = {r[0]: r[1] for r in rows.groupBy(F.col(lang_col).cast("string")).count().collect()}
     languages = sorted(sizes)
@@ -294,6 +290,7 @@ def identify(docs: DataFrame, models: LanguageModels, text_col: str = "text") ->
     if models.broadcast is None:
         return (docs.withColumn("lang_pred", F.lit(UNKNOWN)).withColumn("score", F.lit(0.0))
                 .withColumn("cross_entropy", F.lit(None).cast("double")).withColumn("rejected", F.lit(True)))
+    small_batches(docs.sparkSession)
     names = F.array(*map(F.lit, models.languages))
     border = F.array(*[F.lit(level) for level, _ in models.levels])
     noise = F.array(*[F.lit(scatter) for _, scatter in models.levels])
