@@ -98,7 +98,7 @@ def packed(spark: SparkSession, docs: DataFrame, cached_cuts: int = bpe.CACHED_C
 @query
 def op8_window_packing(spark, sf_dir):
     # an executor that does nothing else has room for more cuts
-    return packed(spark, _table(spark, sf_dir, "documents"), 800_000)
+    return packed(spark, _table(spark, sf_dir, "documents"), 1_000_000)
 
 
 @query
