@@ -319,3 +319,27 @@ def test_translated_stage_is_kept(spark, reviews, tmp_path):
     assert working == "translated_review" and made.where("translated_review != upper(review)").count() == 0
     again, _ = whole.prepare_text(reviews.where("1 = 0"), Settings(), paths=paths, plug_ins=models)
     assert again.count() == reviews.count()
+
+
+def test_refitted_rounds_are_those_the_folds_kept(spark, monkeypatch):
+    """The registered query: no booster runs a number of rounds that no validation fold has found."""
+    from ordinalis.catalog import queries
+
+    kept, refitted = {}, {}
+    fit = regressors.fit_learner
+
+    def noted(learner, train, seed, settings, validation=None, rounds=None):
+        fitted = fit(learner, train, seed, settings, validation, rounds)
+        if learner.stop_on and validation is not None:
+            kept.setdefault(learner.name, []).append(fitted.rounds)
+        elif learner.stop_on:
+            refitted[learner.name] = fitted.rounds
+        return fitted
+
+    monkeypatch.setattr(regressors, "fit_learner", noted)
+    monkeypatch.setattr(training, "fit_learner", noted)
+    monkeypatch.setattr(queries, "QUERY_SETTINGS", small_settings(refit_rounds="mean_best", boost_rounds=8, patience=4))
+    rows = queries.QUERIES["predict_test"](spark, "/root/testdata/sf0.001").collect()
+    assert {r.model for r in rows} == set(MODEL_WEIGHTS) and all(r.in_range for r in rows)
+    assert {name: max(1, round(np.mean(n))) for name, n in kept.items()} == refitted and len(refitted) == 3
+    assert all(len(n) == 3 for n in kept.values())
