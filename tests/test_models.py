@@ -343,3 +343,13 @@ def test_refitted_rounds_are_those_the_folds_kept(spark, monkeypatch):
     assert {r.model for r in rows} == set(MODEL_WEIGHTS) and all(r.in_range for r in rows)
     assert {name: max(1, round(np.mean(n))) for name, n in kept.items()} == refitted and len(refitted) == 3
     assert all(len(n) == 3 for n in kept.values())
+
+
+def test_registered_queries_keep_the_full_patience():
+    """Only folds, trials and the rounds of refits are smaller than in ``Settings``."""
+    from dataclasses import asdict
+
+    from ordinalis.catalog.queries import QUERY_SETTINGS
+
+    full, used = asdict(Settings()), asdict(QUERY_SETTINGS)
+    assert {name for name in full if full[name] != used[name]} == {"num_trials", "num_folds", "refit_rounds"}
