@@ -24,7 +24,7 @@ from pyspark.sql.types import StructType
 
 from ordinalis.llm.common import mix, shuffle_partitions, small_batches
 
-LEAST, NORMAL, MOST = 32, 128, 512
+LEAST, NORMAL, MOST = 32, 48, 128
 _STRICT, _LOOSE = np.uint32(0xFF000000), np.uint32(0xFC000000)
 
 #: One random-looking number per byte value, from the mixer of ``common``.

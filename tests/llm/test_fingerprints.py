@@ -77,3 +77,11 @@ def test_query_over_all_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy(F.desc("doc_id")).select("doc_id", "text").collect()
     found = sorted(map(tuple, queries.op10_chunk_fingerprints(spark, sf_dir).collect()), key=str)
     assert found == sorted([(k, n, hashlib.sha256(edit.encode()).hexdigest(), *rest) for k, n, edit, *rest in expected(list(map(tuple, docs)))], key=str)
+
+
+def test_short_texts_are_seen_finely_enough():
+    """Half of each text is kept; nearly all texts of some 400 bytes must still show it."""
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("abcdefghijklmnop ", k=rng.randint(350, 450))) for _ in range(300)]
+    near = [fp.containment(fp.chunk_weights(a), fp.chunk_weights(fp.edited(a, b))) for a, b in zip(texts, texts[1:])]
+    assert sum(n == 0 for n in near) < 0.05 * len(near)
