@@ -97,15 +97,16 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, *, id_col: str =
     """(query_id, rank, id_col, score): the k largest inner products of each query, ties to the
     smaller id; all candidates where there are fewer.
 
-    Unusable vectors and null ids take no part. Of repeated rows, or several vectors of one
-    id, the smallest vector counts. Vectors meet only those of their own dimension. ``is_query``
+    Unusable vectors and null ids take no part. Rows equal in id and vector count once; several
+    vectors of one id all take part, as candidates and as queries whose products are ranked
+    together, but never meet each other. Vectors meet only those of their own dimension. ``is_query``
     may use the id column; an empty table gives no rows.
     """
     spark = vectors.sparkSession
     rows = (vectors.select(F.col(id_col).cast("long").alias("_id"), F.col(vector_col).cast("array<double>").alias("_vector"),
                            is_query.alias("_query"))
             .where(F.col("_id").isNotNull() & usable(F.col("_vector")))
-            .groupBy("_id").agg(F.min("_vector").alias("_vector"), F.max("_query").alias("_query"))
+            .groupBy("_id", "_vector").agg(F.max("_query").alias("_query"))
             .withColumn("_dim", F.size("_vector")))
     n, asked = rows.agg(F.count(F.lit(1)), F.count(F.when(F.col("_query"), 1))).first()
     blocks = max(1, math.ceil(n / block_rows))  # of a fixed size: a tile returns k rows a query

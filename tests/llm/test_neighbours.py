@@ -62,3 +62,12 @@ def test_bounds_hold_for_every_pair():
 def test_query_over_all_embeddings(spark, sf_dir):
     rows = {r.vec_id: [float(x) for x in r.embedding] for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()}
     compare(queries.op1_block_neighbours(spark, sf_dir), brute(rows, lambda q: q % 20 == 0, 20))
+
+
+@pytest.mark.parametrize("block_rows", [8192, 2])
+def test_every_vector_of_a_repeated_id_takes_part(spark, block_rows):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 2.0]), (1, [5.0, 1.0]), (1, [1.0, 4.0]), (2, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(df, F.col("vec_id") % 20 == 0, 4, block_rows=block_rows).orderBy("rank").collect()
+    pairs = sorted((-sum(a * b for a, b in zip(v, w)), i) for q, v in rows for i, w in rows if q == 0 != i)[:4]
+    assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in got] == [(0, n, i, -s) for n, (s, i) in enumerate(pairs, 1)]
