@@ -38,7 +38,7 @@ class Recent(dict):
         value = self._old.get(key)
         if value is None:
             value = self._compute(key)
-            if isinstance(key, str) and len(key) > self._longest:
+            if isinstance(key, (str, bytes)) and len(key) > self._longest:
                 return value
         if len(self) >= self._limit:
             self._old = dict(self)

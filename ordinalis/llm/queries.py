@@ -9,7 +9,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ordinalis.llm import bpe, counts, fingerprints, jaccard, languages, neighbours, packing, substrings, urls, warc
+from ordinalis.llm import (bpe, byteranks, completion, counts, fingerprints, importance, jaccard, languages, neighbours, packing,
+                           substrings, urls, warc, zones)
 from ordinalis.storage import fresh_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -112,3 +113,29 @@ def op10_chunk_fingerprints(spark, sf_dir):
     compared = fingerprints.edit_comparison(_table(spark, sf_dir, "documents"))
     return compared.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint",
                            "edited_fingerprint", "near_edited", "near_next")
+
+
+BYTE_VOCABULARY = "byte_bpe_50k.json"
+BYTE_END_ID = 0
+
+
+@query
+def op11_bin_completion(spark, sf_dir):
+    vocabulary = bpe.share_vocabulary(spark, public_tokenizers.path(BYTE_VOCABULARY))
+    pattern = public_tokenizers.PATTERN
+    pieces = completion.pack_whole(_table(spark, sf_dir, "documents"), lambda text: byteranks.loaded(vocabulary, pattern).encode(text),
+                                   BYTE_END_ID)
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+@query
+def op12_importance_resampling(spark, sf_dir):
+    drawn = importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 10)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_zone_clusters(spark, sf_dir):
+    found = zones.cluster(_table(spark, sf_dir, "embeddings"), k=16, rounds=3)
+    centroid = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", centroid.alias("centroid_sha256"))
