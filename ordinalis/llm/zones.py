@@ -25,7 +25,7 @@ from ordinalis.llm.common import small_batches
 from ordinalis.storage import cut
 
 #: Vectors of a block: few enough for tight boxes, enough for array operations.
-BLOCK = 256
+BLOCK = 64
 
 #: Bits of each component that the curve follows.
 CURVE_BITS = 4
