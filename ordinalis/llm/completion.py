@@ -103,24 +103,25 @@ def _fillings(left: np.ndarray, largest: int, capacity: int, slack: int, width:
                 if reach[j] >> rest - times * s & 1:
                     yield from exactly(rest - times * s, j, (*taken, (s, times)))
 
+    unused = sum(1 << s for s in sizes)
     found, seen = [], 0
     for waste in range(0, min(slack, room) + 1):
         if not reach[-1] >> room - waste & 1:
             continue
         for filling in exactly(room - waste, len(sizes), ()):
             seen += 1
-            if not _dominated(filling, waste, sizes, counts):
+            if not _dominated(filling, waste, unused, counts):
                 found.append((waste, filling))
             if len(found) >= width or seen >= 8 * width or (filling == ((room, 1),)):
                 return found
     return found
 
 
-def _dominated(filling: tuple, waste: int, sizes: list[int], counts: dict[int, int]) -> bool:
+def _dominated(filling: tuple, waste: int, unused: int, counts: dict[int, int]) -> bool:
     """Whether one unused piece could take the place of some of the filling's: of shorter ones that
-    fit into its place, or of two or more that are exactly as long."""
-    taken = dict(filling)
-    free = sum(1 << s for s in sizes if counts[s] > taken.get(s, 0))
+    fit into its place, or of two or more that are exactly as long. ``unused`` has a bit for each
+    length that there is."""
+    free = unused & ~sum(1 << s for s, times in filling if times == counts[s])
     sums = several = 0  # bits for the sums of one or more, and of two or more pieces
     for s, times in filling:
         for _ in range(times):

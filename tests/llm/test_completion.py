@@ -87,10 +87,14 @@ def plain_best_fit_count(counts):
 
 
 def test_dominated_fillings():
-    assert completion._dominated(((3, 1), (2, 1)), 0, [2, 3, 5], {2: 1, 3: 1, 5: 1})  # 5 takes the place of both
-    assert completion._dominated(((3, 1),), 1, [3, 4], {3: 1, 4: 1})
-    assert not completion._dominated(((3, 1),), 0, [3, 4], {3: 1, 4: 1})
-    assert not completion._dominated(((3, 1), (2, 1)), 0, [2, 3], {2: 4, 3: 4})
+    def dominated(filling, waste, counts):
+        return completion._dominated(filling, waste, sum(1 << s for s in counts), counts)
+
+    assert dominated(((3, 1), (2, 1)), 0, {2: 1, 3: 1, 5: 1})  # 5 takes the place of both
+    assert dominated(((3, 1),), 1, {3: 1, 4: 1})
+    assert not dominated(((3, 1),), 0, {3: 1, 4: 1})
+    assert not dominated(((3, 1), (2, 1)), 0, {2: 4, 3: 4})
+    assert not dominated(((4, 1), (2, 1)), 1, {2: 1, 4: 1})
 
 
 def checked(rows, wanted, length):
