@@ -358,6 +358,12 @@ ORACLES: dict[str, str] = {
     "optimize_thresholds": _CHECKED_CUTS,
     "optimize_thresholds_fixed": _CHECKED_CUTS,
     "optimize_thresholds_missing_class": _CHECKED_CUTS,
+    "kfold_oof_kept": f"""WITH {MATRIX},
+runs AS (SELECT * FROM (VALUES (0, 3, 3), (1, 2, 2), (2, 3, 0)) AS r(run, folds, fitted)),
+folded AS (SELECT run, fitted, id, CASE WHEN folds = 3 THEN ntile(3) OVER (PARTITION BY run ORDER BY md5('42:' || id), id)
+    ELSE ntile(2) OVER (PARTITION BY run ORDER BY md5('42:' || id), id) END - 1 AS fold FROM matrix, runs)
+SELECT CAST(run AS INT) AS run, CAST(fold AS INT) AS fold, count(id) AS n, count(DISTINCT id) AS ids, CAST(max(fitted) AS INT) AS fitted,
+  true AS as_first FROM folded GROUP BY run, fold""",
     "kfold_oof": f"""WITH {MATRIX} SELECT CAST(0 AS INT) AS trial, id,
         CAST(ntile(3) OVER (ORDER BY md5('42:' || id), id) - 1 AS INT) AS fold, score, true AS labelled FROM matrix""",
     "train_ensemble": _evaluated(MATRIX, "parts WHERE NOT held"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -446,6 +447,36 @@ def _refitted(train: DataFrame, test: DataFrame, settings: Settings) -> DataFram
     return made.select("id", F.inline(F.array(*pairs)))
 
 
+@query
+def kfold_oof_kept(spark, sf_dir):
+    """Out-of-fold predictions kept at one path: 3 folds, then 2, then 3 again, of which nothing is
+    fitted twice. Every run has each row once, in its own folds, with the fit it would have alone."""
+    path = fresh_path(spark, "kept-folds")
+    matrix = _order_matrix(spark, sf_dir)
+    seeds, forest = {0: QUERY_SETTINGS.trial_seeds()[0]}, regressors.LEARNERS[3]
+    fits = []
+
+    def build(seed, settings):
+        fits.append(seed)
+        return forest.build(seed, settings)
+
+    learners = (regressors.Learner(forest.name, build),)
+    runs = []
+    for run, folds in enumerate((3, 2, 3)):
+        settings = replace(QUERY_SETTINGS, num_folds=folds)
+        folded = training._folded(matrix, settings)
+        fits.clear()
+        rows = training.oof_predictions(folded, settings, seeds, learners, path)
+        built = len(fits) - folds  # describing a learner builds it once a fold, without fitting
+        runs.append(rows.select(F.lit(run).alias("run"), "fold", "id", "forest", F.lit(built).alias("fitted")))
+    rows = reduce(DataFrame.unionByName, runs)
+    first = runs[0].select("id", "fold", F.col("forest").alias("_first"))
+    same = rows.join(first, ["id", "fold"], "left").withColumn("same", F.col("run") == 1)
+    return (same.groupBy("run", "fold").agg(
+        F.count("id").alias("n"), F.count_distinct("id").alias("ids"), F.max("fitted").cast("int").alias("fitted"),
+        F.bool_and(F.col("same") | (F.col("forest") == F.col("_first"))).alias("as_first")))
+
+
 @query
 def predict_test(spark, sf_dir):
     """All learners refitted on the train rows, with the folds' mean best rounds."""

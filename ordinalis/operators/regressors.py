@@ -30,6 +30,15 @@ from ordinalis.storage import cut, shared_dir
 
 CHECKPOINT_EVERY = 10
 
+#: Rows one task of a fit handles. A round is a handful of jobs, one per level of its tree, so a
+#: small table fits fastest in one task; a large one keeps its partitions.
+ROWS_PER_TASK = 20_000
+
+
+def few_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, which has ``rows`` rows, in no more tasks than they are worth."""
+    return df.coalesce(max(1, math.ceil(rows / ROWS_PER_TASK)))
+
 
 def impute_days(df: DataFrame) -> DataFrame:
     """Trees reject nulls: -1 for a missing ``days_to_reply`` and an indicator beside it."""
@@ -138,8 +147,8 @@ def _staged(df: DataFrame, y: str, steps: Column, summary: Callable, schema: str
     return df.select(F.col(y).cast("int").alias("y"), steps.alias("steps")).mapInPandas(run, schema)
 
 
-def staged_qwk(df: DataFrame, y: str, steps: Column) -> DataFrame:
-    """(iter, qwk): kappa of the rounded prediction after each round.
+def staged_counts(df: DataFrame, y: str, steps: Column) -> DataFrame:
+    """(iter, y, p, n): how often a label meets a rounded prediction after each round.
 
     A batch leaves its counts of (iter, y, p): a few numbers per round instead of every row.
     """
@@ -160,8 +169,12 @@ def staged_qwk(df: DataFrame, y: str, steps: Column) -> DataFrame:
         return pd.DataFrame({"iter": found // span // width + 1, "y": found // span % width + lowest,
                              "p": found % span + low, "n": counts})
 
-    counts = _staged(df, y, steps, summary, "iter int, y int, p long, n long")
-    return qwk(counts, "y", "p", by=["iter"], count="n")
+    return _staged(df, y, steps, summary, "iter int, y int, p long, n long")
+
+
+def staged_qwk(df: DataFrame, y: str, steps: Column) -> DataFrame:
+    """(iter, qwk): kappa of the rounded prediction after each round."""
+    return qwk(staged_counts(df, y, steps), "y", "p", by=["iter"], count="n")
 
 
 def best_iteration(scores: DataFrame, patience: int, value: str = "qwk", digits: int = 9) -> DataFrame:
@@ -203,31 +216,69 @@ def _fit_until_patience(learner: Learner, train: DataFrame, seed: int, settings:
                         validation: DataFrame) -> Fitted:
     """``score`` of both tables becomes what is left over; ``_y`` and ``_base`` keep label and sum."""
     train = train.select("features", F.col("score").cast("double").alias("score"))
-    held = validation.select("features", F.col("score").alias("_y"), F.col("score").cast("double").alias("score"),
+    held = validation.select("features", F.col("score").cast("double").alias("score"), F.col("score").alias("_y"),
                              F.lit(0.0).alias("_base"))
-    blocks, curve, done = [], [], 0
-    while done < settings.boost_rounds:
-        size = min(settings.round_block, settings.boost_rounds - done)
-        model = learner.build(seed + done, replace(settings, boost_rounds=size)).fit(train)
+    blocks, curve, best = [], [], 0
+    while True:
+        done = len(curve)
+        # no round is fitted that the rule would not look at
+        size = min(settings.round_block, settings.boost_rounds - done, max(best, 1) + settings.patience - done)
+        model = _without_checkpoints(learner.build(seed + done, replace(settings, boost_rounds=size))).fit(train)
         blocks.append(model)
-        curve += [(done + i, value) for i, value in _block_curve(learner, model, held)]
-        done += size
-        scores = train.sparkSession.createDataFrame(curve, "iter int, qwk double")
-        best = best_iteration(scores, settings.patience).first()["best_iter"]
-        if done - best >= settings.patience or done >= settings.boost_rounds:
+        curve += _block_curve(learner, model, held)
+        best = _best_round(curve, settings.patience)
+        if len(curve) - best >= settings.patience or len(curve) >= settings.boost_rounds:
             return Fitted(learner.name, tuple(blocks), best)
-        # written, so that a block neither predicts with all blocks before it nor depends on them
-        train = cut(model.transform(train).select("features", (F.col("score") - F.col("prediction")).alias("score")), "left-over")
-        held = cut(model.transform(held).select("features", "_y", (F.col("score") - F.col("prediction")).alias("score"),
-                                                (F.col("_base") + F.col("prediction")).alias("_base")), "left-over-held")
-
-
-def _block_curve(learner: Learner, model, held: DataFrame) -> list[tuple[int, float | None]]:
-    """(round of the block, its score on the validation rows), larger is better."""
+        # written, both parts by one job, so that a block neither predicts with all blocks before it
+        # nor depends on them
+        left, moved = F.col("score") - F.col("prediction"), F.col("_base") + F.col("prediction")
+        both = (model.transform(train).select("features", left.alias("score"), F.lit(False).alias("held"))
+                .unionByName(model.transform(held).select("features", left.alias("score"), "_y", moved.alias("_base"),
+                                                          F.lit(True).alias("held")), allowMissingColumns=True))
+        both = cut(both, "left-over", partition_by="held")
+        train = both.where(~F.col("held")).select("features", "score")
+        held = both.where("held").select("features", "score", "_y", "_base")
+
+
+def _without_checkpoints(estimator):
+    """A block starts from a written table and is short, so its own history needs no cutting."""
+    return estimator.copy({estimator.checkpointInterval: -1}) if estimator.hasParam("checkpointInterval") else estimator
+
+
+def _best_round(curve: list[float | None], patience: int, digits: int = 9) -> int:
+    """The rule of ``best_iteration`` for a curve that is on the driver already."""
+    best, at = -math.inf, 0
+    for i, value in enumerate(curve, 1):
+        value = -math.inf if value is None else round(value, digits)
+        if at == 0 or value > best:
+            best, at = value, i
+        elif i - at >= patience:
+            break
+    return at
+
+
+def _block_curve(learner: Learner, model, held: DataFrame) -> list[float | None]:
+    """The score on the validation rows after each round of the block, larger is better."""
     if learner.stop_on == "rmse":
-        return [(i, -math.sqrt(error)) for i, error in enumerate(model.evaluateEachIteration(held, "squared"), 1)]
+        return [-math.sqrt(error) for error in model.evaluateEachIteration(held, "squared")]
     steps = F.transform(round_contributions(model), lambda step, i: step + F.when(i == 0, F.col("_base")).otherwise(0.0))
-    return [(r["iter"], r["qwk"]) for r in staged_qwk(_with_leaves(model, held), "_y", steps).collect()]
+    counts = staged_counts(_with_leaves(model, held), "_y", steps)
+    return _kappas(counts.groupBy("iter", "y", "p").agg(F.sum("n").alias("n")).collect(), len(model.treeWeights))
+
+
+def _kappas(counts: list, rounds: int) -> list[float | None]:
+    """``agreement.qwk`` of each round, from its pairs of a label and a prediction: so few after a
+    block's rounds that another job would only cost time."""
+    import numpy as np
+
+    found = []
+    for i in range(1, rounds + 1):
+        y, p, n = (np.array([r[c] for r in counts if r["iter"] == i]) for c in ("y", "p", "n"))
+        place = np.unique(np.concatenate([y, p]), return_inverse=True)[1].astype(float)
+        a, b, n, total = place[:len(y)], place[len(y):], n.astype(float), float(n.sum())
+        bottom = total * ((n * a * a).sum() + (n * b * b).sum()) - 2 * (n * a).sum() * (n * b).sum()
+        found.append(float(1 - total * (n * (a - b) ** 2).sum() / bottom) if bottom else None)
+    return found
 
 
 def predict_long(df: DataFrame, fitted: list[Fitted], keep: list[str]) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
+from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, functions as F
@@ -11,10 +12,11 @@ from pyspark.sql import DataFrame, functions as F
 from ordinalis.operators.ensemble import cut_at, ensemble_weighted, oof_scatter, vote_mode
 from ordinalis.operators.agreement import evaluate, qwk
 from ordinalis.operators.ranks import kfold_assign
-from ordinalis.operators.regressors import LEARNERS, Fitted, Learner, fit_learner
+from ordinalis.operators.regressors import LEARNERS, Fitted, Learner, few_tasks, fit_learner
 from ordinalis.operators.thresholds import mean_thresholds, optimize_thresholds
 from ordinalis.settings import Settings
-from ordinalis.storage import cut, fresh_path, path_complete
+from ordinalis.sources.stages import described, fingerprint, keep, kept
+from ordinalis.storage import cut, fresh_path
 
 Learners = tuple[Learner, ...]
 
@@ -25,17 +27,45 @@ def _each(spark, settings: Settings, jobs: list, run) -> None:
         pool.map(inheritable_thread_target(spark)(lambda job: run(*job)), jobs, chunksize=1)
 
 
-def _write_scores(df: DataFrame, fitted: list[Fitted], keep: list[str], path: str) -> None:
+def _with_scores(df: DataFrame, fitted: list[Fitted], keep: list[str]) -> DataFrame:
     """keep..., one column per learner, and the rounds that each of them kept."""
     for one in fitted:
         df = one.score(df)
     rounds = F.create_map(*[F.lit(x) for one in fitted for x in (one.name, one.rounds or 0)])
-    df.select(*keep, *[one.name for one in fitted], rounds.alias("rounds")).write.mode("overwrite").parquet(path)
+    return df.select(*keep, *[one.name for one in fitted], rounds.alias("rounds"))
 
 
-def _scores(spark, path: str, keys: str, learners: Learners) -> DataFrame:
+def _write_scores(df: DataFrame, fitted: list[Fitted], keep: list[str], path: str, **constants: int) -> None:
+    made = _with_scores(df, fitted, keep)
+    made.withColumns({name: F.lit(value) for name, value in constants.items()}).write.parquet(path)
+
+
+def _scores(spark, folders: list[str], keys: str, learners: Learners) -> DataFrame:
     columns = "".join(f", `{learner.name}` double" for learner in learners)
-    return spark.read.schema(f"{keys}{columns}, rounds map<string, int>").parquet(path)
+    return spark.read.schema(f"{keys}{columns}, rounds map<string, int>").parquet(*folders)
+
+
+class _Gathered:
+    """Fits of several learners that end in any order; the last of a set hands them all over."""
+
+    def __init__(self, learners: Learners):
+        self._order, self._sets, self._lock = [learner.name for learner in learners], {}, Lock()
+
+    def add(self, key, fitted: Fitted) -> list[Fitted] | None:
+        with self._lock:
+            found = self._sets.setdefault(key, {})
+            found[fitted.name] = fitted
+            if len(found) < len(self._order):
+                return None
+            del self._sets[key]
+            return [found[name] for name in self._order]
+
+
+def _learner_parts(learner: Learner, seed: int, settings: Settings) -> dict:
+    """What tells one learner's fit from another's: its estimator with all parameters."""
+    estimator = learner.build(seed, settings)
+    values = {p.name: v for p, v in estimator.extractParamMap().items()}
+    return {"name": learner.name, "stop_on": learner.stop_on, "class": type(estimator).__name__, "parameters": values}
 
 
 def oof_predictions(folded: DataFrame, settings: Settings, seeds: dict[int, int],
@@ -44,23 +74,45 @@ def oof_predictions(folded: DataFrame, settings: Settings, seeds: dict[int, int]
 
     ``folded`` has (id, score, features, fold). Folds are the same in every trial; only the
     learners' seeds change. The models of one fold and trial score their rows, which are
-    written under ``path``, and are dropped; at most ``fit_threads`` such sets exist at a time.
-    A run that is started again with the same ``path`` fits only what isn't there yet.
+    written, and are dropped; at most ``fit_threads`` fits run at a time.
+
+    With ``path`` each fold of a trial is a kept stage, named by the rows, folds, learners, seed and
+    stopping rule it came from: a run that is started again fits only what isn't there
+    yet, one with other folds, seeds, learners or rows fits its own, and neither reads the other's.
     """
     spark = folded.sparkSession
-    path = path or fresh_path(spark, "oof-predictions")
-
-    def run(fold: int, trial: int) -> None:
-        target = f"{path}/fold={fold}/trial={trial}"
-        if not path_complete(spark, target):
-            inside, outside = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
-            fitted = [fit_learner(learner, inside, seeds[trial], settings, outside) for learner in learners]
-            _write_scores(outside, fitted, ["id", "score"], target)
-
-    _each(spark, settings, [(fold, trial) for fold in range(settings.num_folds) for trial in seeds], run)
+    scratch = fresh_path(spark, "oof-predictions")
+    rows = {r["fold"]: r["n"] for r in folded.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    common = {} if path is None else {"matrix": fingerprint(folded), "folds": settings.num_folds,
+                                      "patience": settings.patience, "round_block": settings.round_block}
+
+    def made_from(fold: int, trial: int) -> dict:
+        return described(common | {"fold": fold, "trial": trial,
+                                   "learners": [_learner_parts(one, seeds[trial], settings) for one in learners]})
+
+    places = [(fold, trial) for fold in range(settings.num_folds) for trial in seeds]
+    parts = {place: made_from(*place) for place in places} if path else {}
+    folders = {place: kept(spark, path, parts[place]) if path else None for place in places}
+    gathered = _Gathered(learners)
+
+    def run(fold: int, trial: int, learner: Learner) -> None:
+        inside, outside = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
+        held = rows.get(fold, 0)
+        outside = few_tasks(outside, held)
+        one = fit_learner(learner, few_tasks(inside, sum(rows.values()) - held), seeds[trial], settings, outside)
+        fitted = gathered.add((fold, trial), one)
+        if fitted:
+            write = lambda folder: _write_scores(outside, fitted, ["id", "score"], folder, trial=trial, fold=fold)
+            if path:
+                folders[fold, trial] = keep(spark, path, parts[fold, trial], write)
+            else:
+                folders[fold, trial] = f"{scratch}/{fold}-{trial}"
+                write(folders[fold, trial])
+
+    _each(spark, settings, [(*place, learner) for place in places if folders[place] is None for learner in learners], run)
     score = folded.schema["score"].dataType.simpleString()
     keys = f"id {folded.schema['id'].dataType.simpleString()}, score {score}, trial int, fold int"
-    return _scores(spark, path, keys, learners).where(F.col("trial").isin(*seeds))
+    return _scores(spark, list(folders.values()), keys, learners)
 
 
 def _folded(train: DataFrame, settings: Settings) -> DataFrame:
@@ -115,17 +167,21 @@ def refit_predictions(train: DataFrame, test: DataFrame, settings: Settings, see
     path = fresh_path(spark, "test-predictions")
     best: dict[int, dict[str, int]] = {}
     if settings.refit_rounds == "mean_best" and validated is not None:
-        kept = validated.select("trial", "fold", F.explode("rounds").alias("name", "n")).distinct()
-        for row in kept.groupBy("trial", "name").agg(F.round(F.avg("n")).cast("int").alias("n")).collect():
+        kept_rounds = validated.select("trial", "fold", F.explode("rounds").alias("name", "n")).distinct()
+        for row in kept_rounds.groupBy("trial", "name").agg(F.round(F.avg("n")).cast("int").alias("n")).collect():
             best.setdefault(row["trial"], {})[row["name"]] = max(1, row["n"])
+    train = few_tasks(train, train.count())
+    gathered = _Gathered(learners)
 
-    def run(trial: int) -> None:
-        fitted = [fit_learner(learner, train, seeds[trial], settings, rounds=best.get(trial, {}).get(learner.name))
-                  for learner in learners]
-        _write_scores(test, fitted, ["id"], f"{path}/trial={trial}")
+    def run(trial: int, learner: Learner) -> None:
+        rounds = best.get(trial, {}).get(learner.name)
+        fitted = gathered.add(trial, fit_learner(learner, train, seeds[trial], settings, rounds=rounds))
+        if fitted:
+            _write_scores(test, fitted, ["id"], f"{path}/{trial}", trial=trial)
 
-    _each(spark, settings, [(trial,) for trial in seeds], run)
-    return _scores(spark, path, f"id {train.schema['id'].dataType.simpleString()}, trial int", learners)
+    _each(spark, settings, [(trial, learner) for trial in seeds for learner in learners], run)
+    keys = f"id {train.schema['id'].dataType.simpleString()}, trial int"
+    return _scores(spark, [f"{path}/{trial}" for trial in seeds], keys, learners)
 
 
 def ensemble_test(predictions: DataFrame, means: DataFrame, settings: Settings) -> DataFrame:
@@ -139,7 +195,8 @@ def train_ensemble(train: DataFrame, test: DataFrame, settings: Settings,
     """All trials: out-of-fold labels, test labels, votes and the final evaluation.
 
     ``train`` has (id, score, features) and is written once, because every fit reads it;
-    ``test`` (id, features) is read once a trial. ``path`` keeps the out-of-fold predictions.
+    ``test`` (id, features) is read once a trial. ``path`` keeps the out-of-fold predictions, each
+    under what it was made from.
     """
     seeds = dict(enumerate(settings.trial_seeds()))
     folded = _folded(train, settings)

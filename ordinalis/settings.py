@@ -48,7 +48,7 @@ class Settings:
     refit_rounds: str = "all"  # or "mean_best": the folds' mean best round of the trial
     forest_trees: int = 80
     forest_depth: int = 7
-    fit_threads: int = 4
+    fit_threads: int = 8  # fits that run at a time, each a chain of small jobs
 
     def start_thresholds(self) -> tuple[float, ...]:
         """Where the threshold search starts: half way between neighbouring classes."""

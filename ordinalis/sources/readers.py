@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from ordinalis.schema import REVIEW_SCHEMA, SUBMISSION_SCHEMA, TEST_SCHEMA
+from ordinalis.sources import stages
 from ordinalis.storage import path_complete
 
 # Cell texts that mean "missing" in a review file, besides the empty cell.
@@ -102,8 +103,16 @@ def load_submission_template(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SUBMISSION_SCHEMA).option("header", False).csv(path)
 
 
-def materialize_or_load(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Read ``path`` if a finished table is there, else build and write it first."""
+def materialize_or_load(spark: SparkSession, path: str, build: Callable[[], DataFrame],
+                        made_from: dict | None = None) -> DataFrame:
+    """Read the stage at ``path`` if it is finished, else build and write it first.
+
+    With ``made_from`` (what went into it; tables, settings and functions are described by
+    ``stages.described``) only a stage made from exactly that is read, and others at the same
+    path stay as they are. Without it, ``path`` is one table that is taken as it is.
+    """
+    if made_from is not None:
+        return stages.keep_table(spark, path, stages.described(made_from), build)
     if not path_complete(spark, path):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

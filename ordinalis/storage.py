@@ -75,3 +75,28 @@ def mark_complete(spark: SparkSession, path: str) -> None:
 def marked_complete(spark: SparkSession, path: str) -> bool:
     system, name = _file(spark, f"{path.rstrip('/')}/_COMPLETE")
     return system.exists(name)
+
+
+def write_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Publish a small text file: it is there whole or not at all. False if it was there before."""
+    system, name = _file(spark, path)
+    draft = name.suffix(f".{uuid.uuid4().hex}.draft")
+    stream = system.create(draft, False)
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+    if not system.exists(name) and system.rename(draft, name):
+        return True
+    system.delete(draft, False)
+    return False
+
+
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, or None if there is none."""
+    system, name = _file(spark, path)
+    if not system.exists(name):
+        return None
+    stream = system.open(name)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()

@@ -1,7 +1,10 @@
 """Classifier, components, regressors, early stopping and the composite jobs."""
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from ordinalis.catalog import views
@@ -163,7 +166,7 @@ def test_a_missing_class_keeps_the_score_vector_whole(reviews):
     assert all(len(r.probs) == 5 and abs(sum(r.probs) - 1) < 1e-9 for r in rows)
 
 
-def test_stages_found_on_disk_are_loaded(spark, reviews, tmp_path):
+def test_stages_found_on_disk_are_loaded(spark, reviews, tmp_path, monkeypatch):
     paths = whole.Paths(**{n: str(tmp_path / n) for n in ("model", "features", "predictions", "epoch_metrics", "report", "submission")})
     template = reviews.where("split = 'test'").select(F.col("id").cast("string"), F.lit(0).alias("value"))
     settings = small_settings(translate=False, num_trials=1, num_folds=2, boost_rounds=2, all_train=False)
@@ -171,16 +174,23 @@ def test_stages_found_on_disk_are_loaded(spark, reviews, tmp_path):
     expected = sorted(map(str, first.run.evaluation.collect()))
     assert len(spark.read.option("header", True).csv(paths.epoch_metrics).columns) == 7
     assert spark.read.csv(paths.submission).count() == template.count()
-    nothing = reviews.where("1 = 0")  # proves that the stage is not built again
-    again = whole.review_run(nothing, settings, paths=whole.Paths(features=paths.features))
-    assert sorted(map(str, again.run.evaluation.collect())) == expected
-    loaded = whole.sentiment_model(nothing, settings, "review", paths)
-    assert len(loaded.stages) == 8
 
+    def unexpected(*a, **k):
+        raise AssertionError("a kept stage was made again")
+
+    with monkeypatch.context() as patched:  # the same input: nothing is fitted again
+        for module, name in [(whole, "fit_sentiment_model"), (whole, "train_sentiment"), (whole, "feature_table")]:
+            patched.setattr(module, name, unexpected)
+        again = whole.review_run(reviews, settings, paths=paths)
+        assert sorted(map(str, again.run.evaluation.collect())) == expected
+        other = replace(settings, num_classes=4)
+        with pytest.raises(AssertionError, match="made again"):
+            whole.review_run(reviews, other, paths=whole.Paths(features=paths.features))
+        with pytest.raises(AssertionError, match="made again"):
+            whole.review_run(reviews.where("id > 3"), settings, paths=whole.Paths(features=paths.features))
 
-def test_any_regressor_and_class_count(spark, matrix):
-    from pyspark.ml.regression import LinearRegression
 
+def test_any_regressor_and_class_count(spark, matrix):
     line = regressors.Learner("line", lambda seed, settings: LinearRegression(featuresCol="features", labelCol="score"))
     learners = (line, regressors.LEARNERS[0])
     three = matrix.withColumn("score", F.least("score", F.lit(2)))
@@ -227,6 +237,26 @@ def test_boosting_stops_before_the_maximum(matrix, learner):
     assert error < 0.2
 
 
+def test_no_round_is_fitted_beyond_patience(matrix):
+    built = []
+    train, held = matrix.where("id % 5 != 0"), matrix.where("id % 5 = 0")
+    fitted = regressors.fit_learner(counted(regressors.LEARNERS[0], built), train, 42,
+                                    small_settings(boost_rounds=200, patience=7, round_block=5), held)
+    assert sum(rounds for _, rounds in built) == fitted.rounds + 7
+
+
+def test_curve_on_the_driver_follows_the_same_rules(spark):
+    """``_kappas`` and ``_best_round`` against ``staged_qwk`` and ``best_iteration``."""
+    rows = cut(views.staged(spark, "/root/testdata/sf0.001"), "staged")
+    counts = regressors.staged_counts(rows, "y", F.col("increments")).groupBy("iter", "y", "p").agg(F.sum("n").alias("n")).collect()
+    scores = regressors.staged_qwk(rows, "y", F.col("increments"))
+    curve = [r.qwk for r in scores.orderBy("iter").collect()]
+    assert regressors._kappas(counts, len(curve)) == pytest.approx(curve, abs=1e-12)
+    for curve, patience in [(curve, 10), ([0.1, 0.5, 0.5, 0.4], 100), ([0.1, 0.5, 0.4, 0.3, 0.9], 2), ([0.9, 0.1, 0.1], 1), ([None, None, 0.2], 5)]:
+        table = spark.createDataFrame([(i + 1, q) for i, q in enumerate(curve)], "iter int, qwk double")
+        assert regressors._best_round(curve, patience) == regressors.best_iteration(table, patience).first().best_iter
+
+
 def test_blocks_add_up(matrix):
     """The first rounds of several blocks are their predictions' sum."""
     settings = small_settings(boost_rounds=9, patience=100, round_block=3)
@@ -254,18 +284,50 @@ def test_a_stopped_run_goes_on_where_it_was(matrix, tmp_path):
     folded = training._folded(matrix, settings)
     first = training.oof_predictions(folded, settings, {0: 42}, learners, str(tmp_path / "oof"))
     expected = sorted(map(str, first.collect()))
-    (tmp_path / "oof" / "fold=1" / "trial=0" / "_SUCCESS").unlink()
+    assert len(built) == 2 * 2  # once to describe the learner of each fold, once to fit it
+    next((tmp_path / "oof").glob("manifest-*.json")).unlink()  # one fold did not get to its end
     again = training.oof_predictions(folded, settings, {0: 42}, learners, str(tmp_path / "oof"))
-    assert sorted(map(str, again.collect())) == expected and len(built) == 3
+    assert sorted(map(str, again.collect())) == expected and len(built) == 4 + 2 + 1
+
+
+def test_runs_on_one_path_do_not_mix(spark, matrix, tmp_path):
+    """Other folds (both ways), seeds, learners, rounds or rows: each run gets what it would get alone."""
+    path, forest = str(tmp_path / "oof"), regressors.LEARNERS[3:]
+    base = small_settings(num_folds=3, forest_trees=2, forest_depth=3)
+    deeper = replace(base, forest_depth=4)
+    fewer = matrix.where("id % 7 != 0")
+    other = matrix.withColumn("score", F.when(F.col("id") == matrix.first().id, F.lit(0)).otherwise(F.col("score")))
+    line = (regressors.Learner("forest", lambda seed, settings: LinearRegression(featuresCol="features", labelCol="score")),)
+    runs = [(matrix, base, {0: 42}, forest), (matrix, replace(base, num_folds=2), {0: 42}, forest),
+            (matrix, replace(base, num_folds=4), {0: 42}, forest), (matrix, base, {0: 7}, forest), (matrix, deeper, {0: 42}, forest),
+            (fewer, base, {0: 42}, forest), (other, base, {0: 42}, forest), (matrix, base, {0: 42}, line), (matrix, base, {0: 42}, forest)]
+    for rows, settings, seeds, learners in runs:
+        folded = training._folded(rows, settings)
+        shared = training.oof_predictions(folded, settings, seeds, learners, path).collect()
+        alone = training.oof_predictions(folded, settings, seeds, learners).collect()
+        assert sorted(map(str, shared)) == sorted(map(str, alone))
+        assert {r.fold for r in shared} == set(range(settings.num_folds)) and len(shared) == rows.count()
+
+
+def test_more_trials_use_those_that_are_there(matrix, tmp_path):
+    built = []
+    learners = (counted(regressors.LEARNERS[3], built),)
+    settings = small_settings(num_folds=2, forest_trees=2)
+    folded, path = training._folded(matrix, settings), str(tmp_path / "oof")
+    training.oof_predictions(folded, settings, {0: 42}, learners, path)
+    built.clear()
+    got = training.oof_predictions(folded, settings, {0: 42, 1: 84}, learners, path)
+    assert [seed for seed, _ in built].count(42) == 2 and [seed for seed, _ in built].count(84) == 4
+    assert got.groupBy("trial").count().where(F.col("count") == matrix.count()).count() == 2
 
 
 def test_one_folds_models_at_most_score_a_table(matrix, monkeypatch):
     widths = []
-    monkeypatch.setattr(training, "_write_scores", lambda df, fitted, keep, path: widths.append(len(fitted)))
+    monkeypatch.setattr(training, "_write_scores", lambda df, fitted, keep, path, **at: widths.append([f.name for f in fitted]))
     monkeypatch.setattr(training, "_scores", lambda *a: matrix.withColumn("trial", F.lit(0)))
     settings = small_settings(num_folds=2, boost_rounds=1, patience=1, round_block=1)
     training.oof_predictions(training._folded(matrix, settings), settings, {0: 42, 1: 84})
-    assert widths == [4] * 4
+    assert widths == [list(MODEL_WEIGHTS)] * 4
 
 
 def test_refits_run_the_mean_of_the_kept_rounds(spark, matrix):
@@ -317,8 +379,28 @@ def test_translated_stage_is_kept(spark, reviews, tmp_path):
     models = whole.PlugIns(lambda: lambda texts: ["fr"] * len(texts), lambda texts, lang: [t.upper() for t in texts])
     made, working = whole.prepare_text(reviews, Settings(), paths=paths, plug_ins=models)
     assert working == "translated_review" and made.where("translated_review != upper(review)").count() == 0
-    again, _ = whole.prepare_text(reviews.where("1 = 0"), Settings(), paths=paths, plug_ins=models)
-    assert again.count() == reviews.count()
+    calls = []
+    noted = whole.PlugIns(models.detector, lambda texts, lang: calls.append(1) or texts, version="1")
+    named = lambda: whole.PlugIns(models.detector, lambda texts, lang: [t.upper() for t in texts], version="2")
+    assert whole.prepare_text(reviews, Settings(), paths=paths, plug_ins=models)[0].count() == reviews.count()
+    folders = lambda: len(list((tmp_path / "translated").glob("data-*")))
+    assert folders() == 1
+    empty, _ = whole.prepare_text(reviews.where("1 = 0"), Settings(), paths=paths, plug_ins=models)
+    assert empty.count() == 0 and folders() == 2  # another input is another stage
+    same, _ = whole.prepare_text(reviews, Settings(), paths=paths, plug_ins=noted)
+    assert same.where("translated_review != review").count() == 0 and folders() == 3  # and so is another model
+    for _ in range(2):
+        whole.prepare_text(reviews, Settings(), paths=paths, plug_ins=named())
+    assert folders() == 4  # a version tells models apart, whatever they pickle to
+
+
+def test_learners_can_be_plugged_into_the_whole_run(reviews):
+    line = lambda name: regressors.Learner(name, lambda seed, settings: LinearRegression(featuresCol="features", labelCol="score"))
+    settings = small_settings(translate=False, num_trials=1, num_folds=2, weights={"one": 0.5, "two": 0.5})
+    result = whole.review_run(reviews, settings, plug_ins=whole.PlugIns(learners=(line("one"), line("two"))))
+    assert result.submission.count() == reviews.where("split = 'test'").count()
+    with pytest.raises(ValueError, match="must name the learners"):
+        whole.review_run(reviews, small_settings(translate=False), plug_ins=whole.PlugIns(learners=(line("one"),)))
 
 
 def test_refitted_rounds_are_those_the_folds_kept(spark, monkeypatch):
