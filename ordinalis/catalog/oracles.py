@@ -372,6 +372,8 @@ SELECT CAST(run AS INT) AS run, CAST(fold AS INT) AS fold, count(id) AS n, count
 
     "load_reviews": f"""WITH {REVIEWS} SELECT id, nullif(review, '') AS review, score, "thumbsUpCount", "reviewCreatedVersion",
         "replyContent", "timeToReply" FROM reviews""",
+    "load_reviews_split": f"""WITH {REVIEWS} SELECT id, nullif(review, '') AS review, score, "thumbsUpCount", "reviewCreatedVersion",
+        "replyContent", "timeToReply" FROM reviews""",
     "union_train_test": f"WITH {REVIEWS} SELECT * REPLACE (CASE WHEN split = 'train' THEN score END AS score) FROM reviews",
     "load_submission_template": f"WITH {REVIEWS} SELECT CAST(id AS VARCHAR) AS id, CAST(0 AS INT) AS value FROM reviews WHERE split = 'test'",
     "materialize_or_load": f"WITH {REVIEWS} SELECT id, split, score FROM reviews",

@@ -68,6 +68,20 @@ def load_reviews_by_name(spark, sf_dir):
     return readers.load_reviews(spark, path)
 
 
+@query
+def load_reviews_split(spark, sf_dir):
+    """One file, read in splits of 16 KB that cut through cells with line breaks."""
+    path = fresh_path(spark, "reviews-csv")
+    writers.write_features_csv(_review_columns(views.reviews(spark, sf_dir)).coalesce(1), path)
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, 16 << 10)
+    try:
+        return cut(readers.load_reviews(spark, path, split_files=True), "reviews")
+    finally:
+        spark.conf.set(name, before)
+
+
 @query
 def union_train_test(spark, sf_dir):
     train, test = readers.split_train_test(views.reviews(spark, sf_dir))

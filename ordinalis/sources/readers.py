@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from ordinalis.schema import REVIEW_SCHEMA, SUBMISSION_SCHEMA, TEST_SCHEMA
-from ordinalis.sources import stages
+from ordinalis.sources import splitcsv, stages
 from ordinalis.storage import path_complete
 
 # Cell texts that mean "missing" in a review file, besides the empty cell.
@@ -33,22 +33,26 @@ def _parsed(cell: Column, kind: DataType, on_bad: str) -> Column:
 
 
 def load_reviews(spark: SparkSession, path: str, schema: StructType = REVIEW_SCHEMA,
-                 multi_line: bool = True, na_tokens: tuple[str, ...] = NA_TOKENS, on_bad: str = "fail") -> DataFrame:
+                 multi_line: bool = True, na_tokens: tuple[str, ...] = NA_TOKENS, on_bad: str = "fail",
+                 split_files: bool = False) -> DataFrame:
     """CSV with a header and quoted, possibly multi-line text; columns are found by name.
 
     The schema's columns come first, whatever their order in the file, then those of
     ``OPTIONAL_COLUMNS`` that are there; a missing column is an error, and so is a file of the
     folder with another header. A cell that isn't the number it should be fails the job
-    (``on_bad="null"``: is null). A multi-line file is read by one task, so large inputs should
-    come as many files, or as Parquet. Set ``multi_line=False`` for texts without line breaks:
-    files then split.
+    (``on_bad="null"``: is null). Spark reads a multi-line file in one task. ``split_files=True``
+    reads it in many, by two scans (``splitcsv``); quotes must then pair in every file, and stand
+    around whole cells only. Set ``multi_line=False`` for texts without line breaks.
     """
     reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     header = reader.csv(path).columns
     if missing := [f.name for f in schema.fields if f.name not in header]:
         raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
-    texts = StructType([StructField(c, StringType()) for c in header])
-    df = reader.schema(texts).option("enforceSchema", False).csv(path)
+    if split_files:
+        df = splitcsv.cells(splitcsv.records(spark, path), header)
+    else:
+        texts = StructType([StructField(c, StringType()) for c in header])
+        df = reader.schema(texts).option("enforceSchema", False).csv(path)
 
     def cell(name: str) -> Column:
         column = F.col(f"`{name}`")
