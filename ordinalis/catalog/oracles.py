@@ -355,6 +355,8 @@ ORACLES: dict[str, str] = {
     **{f"fit_{name}": _fitted(name) for name in MODEL_WEIGHTS},
     "predict_test": f"WITH {MATRIX} " + " UNION ALL ".join(
         f"SELECT id, '{name}' AS model, true AS in_range FROM parts WHERE held" for name in MODEL_WEIGHTS),
+    "refine_thresholds": """SELECT DISTINCT CAST(t.trial AS INT) AS trial, true AS recomputed, true AS no_worse, true AS ordered
+        FROM orders, range(10) AS t(trial)""",
     "optimize_thresholds": _CHECKED_CUTS,
     "optimize_thresholds_fixed": _CHECKED_CUTS,
     "optimize_thresholds_missing_class": _CHECKED_CUTS,

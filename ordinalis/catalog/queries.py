@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ordinalis.catalog import views
 from ordinalis.functions import ordinal, text as tx, vectors
-from ordinalis.operators import agreement, encode, ensemble, language, ranks, regressors, sentiment, thresholds, translate
+from ordinalis.operators import agreement, encode, ensemble, language, ranks, refine, regressors, sentiment, thresholds, translate
 from ordinalis.plans import features, review_run as whole, training
 from ordinalis.schema import FLAG_COLUMNS, onehot_names, prob_names
 from ordinalis.settings import MODEL_WEIGHTS, START_THRESHOLDS, Settings
@@ -589,6 +589,20 @@ def optimize_thresholds_missing_class(spark, sf_dir):
     return _searched(_combined(spark, sf_dir).withColumn("y", F.when(F.col("y") < 2, F.col("y")).otherwise(F.lit(4))), "present")
 
 
+@query
+def refine_thresholds(spark, sf_dir):
+    """Per trial: the checks of ``optimize_thresholds``, and no less than the cuts on edges of 1/256 reach."""
+    rows = cut(_combined(spark, sf_dir), "combined")
+    fine = cut(refine.refine_thresholds(rows, "y", "prediction", ["trial"]), "refined-cuts")
+    coarse = thresholds.optimize_thresholds(rows, "y", "prediction", ["trial"]).select("trial", F.col("qwk").alias("_coarse"))
+    made = ensemble.cut_at(rows, fine, ["trial"])
+    again = agreement.qwk(made, "y", "label", ["trial"]).withColumnRenamed("qwk", "_again")
+    order = F.array(*[f"t{i}" for i in (1, 2, 3, 4)])
+    return fine.join(coarse, "trial").join(again, "trial").select(
+        "trial", (F.abs(F.col("qwk") - F.col("_again")) < 1e-9).alias("recomputed"),
+        (F.col("qwk") >= F.col("_coarse") - 1e-12).alias("no_worse"), (F.array_sort(order) == order).alias("ordered"))
+
+
 @query
 def threshold_tail_sums(spark, sf_dir):
     histogram = thresholds.threshold_histogram(_combined(spark, sf_dir), "y", "prediction", CV)

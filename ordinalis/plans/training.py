@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from ordinalis.operators.ensemble import cut_at, ensemble_weighted, oof_scatter, vote_mode
 from ordinalis.operators.agreement import evaluate, qwk
 from ordinalis.operators.ranks import kfold_assign
+from ordinalis.operators.refine import refine_thresholds
 from ordinalis.operators.regressors import LEARNERS, Fitted, Learner, few_tasks, fit_learner
 from ordinalis.operators.thresholds import mean_thresholds, optimize_thresholds
 from ordinalis.settings import Settings
@@ -133,7 +134,8 @@ def cross_validate(predictions: DataFrame, settings: Settings) -> CrossValidated
     combined = ensemble_weighted(predictions, settings.weights)
     by = ["trial", "fold"]
     start = settings.start_thresholds()
-    cuts = cut(optimize_thresholds(combined, "score", "prediction", by, start), "fold-thresholds")
+    search = refine_thresholds if settings.full_thresholds else optimize_thresholds
+    cuts = cut(search(combined, "score", "prediction", by, start), "fold-thresholds")
     labels = cut_at(combined, cuts, by, count=len(start)).select("trial", "id", "fold", "score", "label")
     means = mean_thresholds(cuts, ["trial"], len(start))
     mean_cut = qwk(cut_at(combined, means, ["trial"], count=len(start)), "score", "label", ["trial"])

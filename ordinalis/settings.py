@@ -48,6 +48,7 @@ class Settings:
     refit_rounds: str = "all"  # or "mean_best": the folds' mean best round of the trial
     forest_trees: int = 80
     forest_depth: int = 7
+    full_thresholds: bool = False  # cut between any two predictions instead of on edges of 1/256
     fit_threads: int = 8  # fits that run at a time, each a chain of small jobs
 
     def start_thresholds(self) -> tuple[float, ...]:
