@@ -155,6 +155,17 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(name, rows)
 
 
+def spare_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores as it takes not to be a column of ``df``."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

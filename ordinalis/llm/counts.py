@@ -18,20 +18,25 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ordinalis.llm.bpe import WordEndBpe, loaded
 from ordinalis.llm.common import small_batches
-from ordinalis.llm.summary import most_frequent
 from ordinalis.storage import cut
 
 #: Entries of the broadcast table: at most this many pre-tokens of at most LONGEST letters.
 TABLE_SIZE = 1 << 16
 LONGEST = 32
 
+#: Texts that the table is fitted on, and tasks that count them.
+SAMPLE_TEXTS = 20_000
+SAMPLE_TASKS = 8
 
-def frequent_pretokens(texts: DataFrame, text_col: str, vocabulary: Broadcast, table_size: int = TABLE_SIZE) -> list[str]:
-    """The most frequent pre-tokens over all texts, at most ``table_size``.
 
-    A task keeps at most ``4 * table_size`` counters: when there are more, those below their
-    median go (they may be undercounted, which costs speed only). It passes on its
-    ``table_size // 4`` largest, so what is shuffled depends on the number of tasks, not of words.
+def frequent_pretokens(texts: DataFrame, text_col: str, vocabulary: Broadcast, table_size: int = TABLE_SIZE,
+                       sample: int = SAMPLE_TEXTS) -> list[str]:
+    """The most frequent pre-tokens of a sample of about ``sample`` texts, at most ``table_size``.
+
+    A hash of the row's place draws the sample over all rows, so copies don't crowd it; the table
+    decides speed only, so a sample is enough. It is written and counted by at most eight tasks,
+    each with at most ``4 * table_size`` counters (when there are more, those below their
+    median go); their ``table_size // 4`` largest are added up here, and no pre-token is shuffled.
     """
 
     def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,8 +50,16 @@ def frequent_pretokens(texts: DataFrame, text_col: str, vocabulary: Broadcast, t
         yield pa.RecordBatch.from_pydict({"cut": [c for c, _ in top], "n": [n for _, n in top]},
                                          schema=pa.schema([("cut", pa.string()), ("n", pa.int64())]))
 
-    counts = texts.select(text_col).mapInArrow(summary, "cut string, n long").groupBy("cut").agg(F.sum("n").alias("n"))
-    return most_frequent(cut(counts, "pretokens"), "cut", "n", table_size)
+    rows = texts.select(F.col(text_col).alias("_text"))
+    share = sample / max(texts.count(), 1)
+    if share < 1:
+        drawn = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30)) < int(share * (1 << 30))
+        rows = rows.withColumn("_drawn", drawn).where("_drawn").drop("_drawn")
+    drawn_texts = cut(rows, "pretoken-sample").coalesce(SAMPLE_TASKS)
+    total = Counter()
+    for row in drawn_texts.mapInArrow(summary, "cut string, n long").collect():  # SAMPLE_TASKS * table_size // 4 at most
+        total[row["cut"]] += row["n"]
+    return [c for c, _ in total.most_common(table_size)]
 
 
 def length_table(texts: DataFrame, text_col: str, vocabulary: Broadcast, table_size: int = TABLE_SIZE) -> Broadcast:

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ordinalis.llm.common import WORD_PATTERN, cut_small, run_hashes, size_at_most, small_batches, word_hashes, worker_state
+from ordinalis.llm.common import WORD_PATTERN, cut_small, run_hashes, size_at_most, small_batches, spare_names, word_hashes, worker_state
 from ordinalis.llm.graph import components
 from ordinalis.storage import cut
 
@@ -128,7 +128,7 @@ def _peeled(lists: DataFrame, rows: int) -> DataFrame:
     kept = lists.groupBy("class").agg(F.count(F.lit(1)).alias("_shared"), F.first("n").alias("_n"))
     kept = kept.where(F.col("_shared") >= least_shared(F.col("_n"))).select("class")
     rest = cut_small(lists.join(kept, "class"), "peeled-lists", rows)
-    often = rest.groupBy("token").agg(F.count(F.lit(1)).alias("_df")).where("_df > 1").select("token")
+    often = cut_small(rest.groupBy("token").agg(F.count(F.lit(1)).alias("_df")).where("_df > 1").select("token"), "shared-shingles", rows)
     return cut_small(rest.join(often, "token"), "prefix-lists", rows)
 
 
@@ -159,7 +159,7 @@ def candidate_edges(postings: DataFrame) -> DataFrame:
              .join(spare.select(F.col("class").alias("b"), F.col("spare").alias("sb")), "b", "left").where(enough))
 
     able = long.join(spare.where(F.col("spare") >= least_shared(F.col("n"))).select("class"), "class").select("token", "class")
-    hubs = able.groupBy("token").agg(F.min("class").alias("hub"))
+    hubs = cut_small(able.groupBy("token").agg(F.min("class").alias("hub")), "hubs", rows)
     tied = able.join(hubs, "token").where("class != hub").select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
     # a list of SHORT_LIST classes leaves at most half as many pairs for each of them
     return cut_small(pairs.select("a", "b").unionByName(tied), "candidates", rows)
@@ -234,7 +234,8 @@ def class_links(docs: DataFrame, postings: DataFrame, classes: DataFrame, k: int
     blocks = components(candidate_edges(postings))  # node, component
     sets_in_blocks = blocks.count()
     members = cut_small(blocks.withColumnRenamed("node", "class").join(classes, "class"), "block-members", sets_in_blocks)
-    size = members.groupBy("component").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
+    size = cut_small(members.groupBy("component").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles")),
+                     "block-sizes", sets_in_blocks)
     tiles = F.greatest(F.ceil(F.col("sets") / TILE_SETS), F.ceil(F.col("shingles") / TILE_SHINGLES)).cast("int")
     placed = members.join(size.select("component", tiles.alias("tiles")), "component")
     wanted = cut_small(placed.select("_id", "_key", "class", "component", "tiles",
@@ -277,7 +278,7 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataF
     links = cut(class_links(rows, postings, classes.select("class", "n", "_id", "_key"), k), "links")
     reached = components(links).withColumnRenamed("node", "class")
     groups = classes.join(reached, "class", "left").withColumn("group", F.coalesce("component", "class"))
-    lowest = groups.groupBy("group").agg(F.min("smallest").alias("component_id"))
+    lowest = cut_small(groups.groupBy("group").agg(F.min("smallest").alias("component_id")), "lowest-ids", rows_in_all)
     of_class = cut_small(groups.select("class", "group").join(lowest, "group"), "class-groups", rows_in_all)
     own = F.when(F.col("class").isNull(), F.col("_id")).otherwise(F.col("component_id"))
     return cut_small(texts.join(of_class, "class", "left").withColumn("component_id", own)
@@ -303,13 +304,16 @@ def similar_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE) -> DataFrame:
-    """``docs`` with one text of each component, that with the smallest id; texts without
-    shingles all stay."""
+    """``docs`` with one text of each component, that with the smallest id (a null one last); texts
+    without shingles, null ones too, all stay. Of rows equal in id and text that stay, one is kept
+    if they have shingles. Columns may have any names; an empty table stays empty.
+    """
     found = similar_groups(docs, id_col, text_col, k)
     first = F.min(F.struct(F.col("_id").isNull().alias("unknown"), "_id", "_key")).alias("one")
     kept = found.where("group is not null").groupBy("group").agg(first).select("one._id", "one._key")
-    kept = cut(kept.select(F.col("_id").alias("_of"), F.col("_key").alias("_its")), "kept-texts")
-    rows = docs.withColumns({"_id": F.col(id_col), "_key": _key(id_col, text_col)})
-    one = (rows.join(kept, F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_key") == F.col("_its")))
-           .dropDuplicates(["_id", "_key"]).drop("_id", "_key", "_of", "_its"))
+    own, key, of, its = spare_names(docs, "_id", "_key", "_of", "_its")
+    kept = cut(kept.select(F.col("_id").alias(of), F.col("_key").alias(its)), "kept-texts")
+    rows = docs.withColumns({own: F.col(id_col), key: _key(id_col, text_col)})
+    one = (rows.join(kept, F.col(own).eqNullSafe(F.col(of)) & (F.col(key) == F.col(its)))
+           .dropDuplicates([own, key]).drop(own, key, of, its))
     return one.unionByName(docs.where(~F.coalesce(F.col(text_col).rlike(WORD_PATTERN), F.lit(False))))

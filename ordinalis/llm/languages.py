@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ordinalis.llm.common import mix, small_batches, worker_state
+from ordinalis.llm.common import mix, small_batches, spare_names, worker_state
 from ordinalis.storage import cut
 
 ORDER = 4
@@ -285,20 +285,22 @@ def identify(docs: DataFrame, models: LanguageModels, text_col: str = "text") ->
     """``docs`` with lang_pred, score (0 to 1), cross_entropy and rejected.
 
     A null text, or one without a letter, is ``und`` with score 0 and rejected; so is every
-    text when there was nothing to learn from. Columns of these names are replaced.
+    text when there was nothing to learn from. Columns of these names are replaced; others may have
+    any names; an empty table stays empty.
     """
     if models.broadcast is None:
         return (docs.withColumn("lang_pred", F.lit(UNKNOWN)).withColumn("score", F.lit(0.0))
                 .withColumn("cross_entropy", F.lit(None).cast("double")).withColumn("rejected", F.lit(True)))
     small_batches(docs.sparkSession)
+    e, = spare_names(docs, "_e")
     names = F.array(*map(F.lit, models.languages))
     border = F.array(*[F.lit(level) for level, _ in models.levels])
     noise = F.array(*[F.lit(scatter) for _, scatter in models.levels])
-    place, letters = F.col("_e.best") + 1, F.col("_e.letters")
+    place, letters = F.col(e)["best"] + 1, F.col(e)["letters"]
     # few letters scatter more around any level
     most = F.element_at(border, place) + 3 * F.element_at(noise, place) / F.sqrt(letters)
     known = letters > 0
-    return (docs.withColumn("_e", _entropies(text_col, models.broadcast))
+    return (docs.withColumn(e, _entropies(text_col, models.broadcast))
             .withColumn("lang_pred", F.when(known, F.element_at(names, place)).otherwise(UNKNOWN))
-            .withColumn("score", F.col("_e.score")).withColumn("cross_entropy", F.when(known, F.col("_e.entropy")))
-            .withColumn("rejected", ~known | (F.col("_e.entropy") > most)).drop("_e"))
+            .withColumn("score", F.col(e)["score"]).withColumn("cross_entropy", F.when(known, F.col(e)["entropy"]))
+            .withColumn("rejected", ~known | (F.col(e)["entropy"] > most)).drop(e))

@@ -39,10 +39,10 @@ def usable(vector: Column) -> Column:
 def quantise(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(int8 rows, scales, norms of the quantised rows, norms of the errors); norms are rounded up."""
     scales = np.abs(rows).max(axis=1) / 127
-    small = np.rint(rows / np.where(scales > 0, scales, 1)[:, None]).astype(np.int8)
-    back = small * scales[:, None]
-    up = 1 + 1e-9
-    return small, scales, np.linalg.norm(back, axis=1) * up, np.linalg.norm(rows - back, axis=1) * up
+    steps = rows / np.where(scales > 0, scales, 1)[:, None]  # 127 at most, so that no square overflows
+    small = np.rint(steps).astype(np.int8)
+    up, norms = scales * (1 + 1e-9), np.linalg.norm(small, axis=1)
+    return small, scales, norms * up, (np.linalg.norm(steps - small, axis=1) + 1e-12 * norms) * up
 
 
 def int8_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -68,17 +68,21 @@ def exact_products(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -
 def best_of_tile(query_ids, queries, ids, vectors, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query id, id, score) of each query's k best candidates in the tile, its own id left out."""
     small_q, scale_q, norm_q, error_q = quantise(queries)
-    small, scale, _, error = quantise(vectors)
-    norms = np.linalg.norm(vectors, axis=1) * (1 + 1e-9)
-    about = int8_products(small_q, small) * scale_q[:, None] * scale
-    margin = error_q[:, None] * norms + norm_q[:, None] * error
-    margin += 1e-12 * (np.abs(about) + margin)
+    small, scale, norm, error = quantise(vectors)
+    with np.errstate(over="ignore", invalid="ignore"):  # bounds beyond all doubles bound nothing
+        norms = norm + error
+        about = int8_products(small_q, small) * scale_q[:, None] * scale
+        margin = error_q[:, None] * norms + norm_q[:, None] * error
+        margin += 1e-12 * (np.abs(about) + margin)
+        sure = np.isfinite(about) & np.isfinite(margin)
+        lower, upper = np.where(sure, about - margin, -np.inf), np.where(sure, about + margin, np.inf)
     own = query_ids[:, None] == ids
-    lower = np.where(own, -np.inf, about - margin)
-    upper = np.where(own, -np.inf, about + margin)
+    lower = np.where(own, -np.inf, lower)
     floor = np.partition(lower, max(0, len(ids) - k), axis=1)[:, max(0, len(ids) - k)]
     i, j = np.nonzero((upper >= floor[:, None]) & ~own)
-    scores = exact_products(queries, vectors, i, j)
+    with np.errstate(over="ignore", invalid="ignore"):
+        scores = exact_products(queries, vectors, i, j)
+    scores[np.isnan(scores)] = np.inf
     order = np.lexsort((ids[j], -scores, i))
     i, j, scores = i[order], j[order], scores[order]
     place = np.arange(len(i)) - np.searchsorted(i, i)
@@ -99,7 +103,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, *, id_col: str =
 
     Unusable vectors and null ids take no part. Rows equal in id and vector count once; several
     vectors of one id all take part, as candidates and as queries whose products are ranked
-    together, but never meet each other. Vectors meet only those of their own dimension. ``is_query``
+    together, but never meet each other. Products that overflow are infinite, and so are those
+    of infinite parts of both signs. Vectors meet only those of their own dimension. ``is_query``
     may use the id column; an empty table gives no rows.
     """
     spark = vectors.sparkSession

@@ -23,7 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ordinalis.llm.common import cut_small, mix, run_hashes, size_at_most, small_batches, word_hashes, worker_state, words_of
+from ordinalis.llm.common import (cut_small, mix, run_hashes, size_at_most, small_batches, spare_names, word_hashes,
+                                   worker_state, words_of)
 from ordinalis.storage import cut
 
 WINDOW = 35
@@ -231,7 +232,7 @@ def repeated_windows(docs: DataFrame, length: int = WINDOW, shard_words: int = S
                    .select("anchor", "digest", "copies", "one.*"), "distinct-segments", rows)
     copied = (shared.where("mixed").join(distinct.where("copies > 1").select("anchor", "digest"), ["anchor", "digest"], "left_semi")
               .select("_id", "_key", *span))
-    kinds = distinct.groupBy("anchor").agg((F.count(F.lit(1)) > MOST_SEGMENTS).alias("hot"))
+    kinds = cut_small(distinct.groupBy("anchor").agg((F.count(F.lit(1)) > MOST_SEGMENTS).alias("hot")), "anchor-kinds", rows)
     wanted = cut_small(distinct.join(kinds, "anchor").groupBy("_id", "_key").agg(F.collect_list(
         F.struct("anchor", "first", "windows", "copies", "hot")).alias("wanted")), "wanted-segments", rows)
     total = wanted.select(F.explode("wanted").alias("w")).agg(F.sum(F.col("w.windows") + length)).first()[0] or 0
@@ -265,8 +266,9 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     """
     small_batches(docs.sparkSession)
     # the id may be null, and rows may share an id: the hash of both tells texts apart
-    rows = docs.withColumns({"_id": F.col(id_col), "_text": F.col(text_col), "_key": F.xxhash64(F.col(id_col), F.col(text_col))})
-    spans = repeated_windows(rows.select("_id", "_key", "_text"), length)
+    own, words, key, of, its, some, made = spare_names(docs, "_id", "_text", "_key", "_of", "_its", "_spans", "_out")
+    rows = docs.withColumns({own: F.col(id_col), words: F.col(text_col), key: F.xxhash64(F.col(id_col), F.col(text_col))})
+    spans = repeated_windows(rows.select(F.col(own).alias("_id"), F.col(key).alias("_key"), F.col(words).alias("_text")), length)
 
     @F.arrow_udf("kept_text string, n_words long, n_removed long, removed_spans array<struct<start: int, end: int>>")
     def apply(texts: pa.Array, found: pa.Array) -> pa.Array:
@@ -287,8 +289,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         return pa.array(out, pa.struct([("kept_text", pa.string()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
                                         ("removed_spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))]))
 
-    marked = rows.join(spans.select(F.col("_id").alias("_of"), F.col("_key").alias("_its"), "spans"),
-                       F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_key") == F.col("_its")), "left")
+    marked = rows.join(spans.select(F.col("_id").alias(of), F.col("_key").alias(its), F.col("spans").alias(some)),
+                       F.col(own).eqNullSafe(F.col(of)) & (F.col(key) == F.col(its)), "left")
     names = ("kept_text", "n_words", "n_removed", "removed_spans")
-    done = marked.withColumn("_out", apply("_text", "spans"))
-    return done.withColumns({n: F.col("_out")[n] for n in names}).drop("_id", "_of", "_its", "_key", "_text", "spans", "_out")
+    done = marked.withColumn(made, apply(words, some))
+    return done.withColumns({n: F.col(made)[n] for n in names}).drop(own, words, key, of, its, some, made)

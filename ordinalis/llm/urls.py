@@ -17,6 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ordinalis.llm.common import spare_names
 from ordinalis.storage import cut
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -60,14 +61,17 @@ def path_form(path: Column) -> Column:
 
 
 def path_templates(labelled: DataFrame, *, max_children: int = 32, max_depth: int = 8, z: float = 1.96,
-                   least_labels: int = 5, prior: float = 0.1, strength: float = 5.0) -> DataFrame:
+                   least_labels: int = 5, prior: float = 0.1, strength: float = 5.0,
+                   unlabelled: float = 0.1) -> DataFrame:
     """(host, form, template, pages, labelled, bad, purity) from (host, form, bad).
 
-    ``bad`` is 1, 0 or null (no label). Segments beyond ``max_depth`` are one wildcard. A
-    node's children become one wildcard when there are more than ``max_children`` of them;
-    else each child with ``least_labels`` labels that a two-share test (``z``) can't tell from
-    the node's labelled pages as a whole joins the node's merged branch. Children with fewer
-    labels stay apart, so a page is never rejected for what its neighbours are.
+    ``bad`` is 1, 0 or null (no label). Segments beyond ``max_depth`` are one wildcard. Each child
+    of a node with ``least_labels`` labels that a two-share test (``z``) can't tell from the node's
+    labelled pages as a whole joins the node's merged branch; one that it can stays apart, however many
+    children there are. Of a node with more than ``max_children`` children those with fewer labels
+    become one wildcard; of others they stay apart. A template's purity is drawn to ``prior`` by
+    ``strength`` pages and by each page without a label, which weighs ``unlabelled``: a few
+    labels decide little about many pages that have none.
     """
     rows = labelled.groupBy("host", "form").agg(
         F.count(F.lit(1)).alias("pages"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
@@ -85,15 +89,18 @@ def path_templates(labelled: DataFrame, *, max_children: int = 32, max_depth: in
         spread = F.sqrt(whole * (1 - whole) / F.col("_l"))
         alike = (F.col("_l") >= least_labels) & (F.col("_l") < F.col("_all")) & (F.abs(share - whole) <= z * spread)
         named = (children.join(nodes, ["host", "template"])
-                 .withColumn("_as", F.when(F.col("_k") > max_children, "*").when(alike, "+").otherwise(F.col("_child")))
+                 .withColumn("_as", F.when((F.col("_k") > max_children) & (F.col("_l") < least_labels), "*").when(alike, "+").otherwise(F.col("_child")))
                  .select("host", "template", "_child", "_as"))
         # a path that has ended keeps its template: its _child is null and finds no partner
         rows = cut(rows.join(named, ["host", "template", "_child"], "left")
                    .withColumn("template", F.when(F.col("_as").isNull(), F.col("template"))
                                .otherwise(F.concat("template", F.lit("/"), "_as"))).drop("_child", "_as"), "url-tree")
-    of_template = rows.groupBy("host", "template").agg(F.sum("labelled").alias("_l"), F.sum("bad").alias("_b"))
-    purity = (F.col("_b") + prior * strength) / (F.col("_l") + strength)
-    return (rows.join(of_template.withColumn("purity", purity).drop("_l", "_b"), ["host", "template"])
+    of_template = rows.groupBy("host", "template").agg(
+        F.sum("labelled").alias("_l"), F.sum("bad").alias("_b"), F.sum("pages").alias("_p"))
+    smooth = strength + unlabelled * (F.col("_p") - F.col("_l"))
+    purity = (F.col("_b") + prior * smooth) / (F.col("_l") + smooth)
+    of_template = cut(of_template.select("host", "template", purity.alias("purity")), "url-purity")
+    return (rows.join(of_template, ["host", "template"])
             .select("host", "form", "template", "pages", "labelled", "bad", "purity"))
 
 
@@ -104,14 +111,16 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], *, url_col: s
     ``label`` (1 bad, 0 good, null) teaches the tree; without it the pages that a rule
     decides are the labelled ones. A null url, or one without ``://``, has an empty host and
     path. Columns of these names are replaced; repeated rows are judged alike and count each.
+    An empty table stays empty.
     """
     url = F.col(url_col)
+    said, shape = spare_names(pages, "_says", "_form")
     rows = pages.withColumns({"host": host_of(url), "path": path_of(url)})
     name, says = best_rule(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumns({"rule": name, "_says": says, "_form": path_form(F.col("path"))})
-    bad = label if label is not None else F.when(F.col("_says") == "block", 1).when(F.col("_says") == "allow", 0)
-    templates = cut(path_templates(rows.select("host", F.col("_form").alias("form"), bad.cast("int").alias("bad")), **tree)
-                    .select("host", F.col("form").alias("_form"), "template", "purity"), "url-templates")
+    rows = rows.withColumns({"rule": name, said: says, shape: path_form(F.col("path"))})
+    bad = label if label is not None else F.when(F.col(said) == "block", 1).when(F.col(said) == "allow", 0)
+    templates = cut(path_templates(rows.select("host", F.col(shape).alias("form"), bad.cast("int").alias("bad")), **tree)
+                    .select("host", F.col("form").alias(shape), "template", "purity"), "url-templates")
     by_template = F.when(F.col("purity") >= threshold, "block").otherwise("allow")
-    return (rows.drop("template", "purity").join(templates, ["host", "_form"], "left")
-            .withColumn("verdict", F.coalesce("_says", by_template)).drop("_says", "_form"))
+    return (rows.drop("template", "purity").join(templates, ["host", shape], "left")
+            .withColumn("verdict", F.coalesce(said, by_template)).drop(said, shape))

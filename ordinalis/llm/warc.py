@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ordinalis.llm.common import small_batches
+from ordinalis.llm.common import small_batches, spare_names
 from ordinalis.storage import cut
 
 FRAME_BYTES = 256 << 10
@@ -44,18 +44,23 @@ def with_revisits(pages: DataFrame, id_col: str, payload: Column, least_bytes: i
     Of rows with equal payloads of at least ``least_bytes`` bytes the smallest id is the
     response and rows with other ids revisit it; equal ids with equal payloads are all
     responses; a null id revisits any other. The payload counts as empty where it is null.
+    Columns of the four names added are replaced, others stay; repeated rows are records of
+    their own, and an empty table stays empty.
     """
+    page, digest, first = spare_names(pages, "_page", "_digest", "_first")
     rows = pages.withColumn("_payload", F.coalesce(payload, F.lit(""))).withColumn("_sha1", F.sha1("_payload"))
     # only digests and ids meet by digest, as a third of all rows may share one; payloads meet by id
-    seen = (rows.where(F.octet_length("_payload") >= least_bytes).select(F.col(id_col).alias("_page"), F.col("_sha1").alias("_digest"))
+    seen = (rows.where(F.octet_length("_payload") >= least_bytes).select(F.col(id_col).alias(page), F.col("_sha1").alias(digest))
             .distinct())
-    firsts = (seen.groupBy(F.col("_digest").alias("_same")).agg(F.min("_page").alias("_first"), F.count(F.lit(1)).alias("_n"))
-              .where("_n > 1 and _first is not null").drop("_n"))
-    again = (seen.join(firsts, seen["_digest"] == firsts["_same"])
-             .where(~F.col("_page").eqNullSafe(F.col("_first"))).select("_page", "_digest", "_first"))
-    marked = rows.join(again, F.col(id_col).eqNullSafe(F.col("_page")) & (F.col("_sha1") == F.col("_digest")), "left")
-    return (marked.withColumn("record_type", F.when(F.col("_first").isNotNull(), "revisit").otherwise("response"))
-            .withColumn("refers_to", F.col("_first")).drop("_page", "_digest", "_first"))
+    firsts = (seen.groupBy(F.col(digest).alias("_same")).agg(F.min(page).alias(first), F.count(F.lit(1)).alias("_n"))
+              .where(F.col("_n") > 1).where(F.col(first).isNotNull()).drop("_n"))
+    # written, so that the join has an exchange of its own on both sides and splits a hot digest
+    firsts = cut(firsts, "first-pages")
+    again = (seen.join(firsts, seen[digest] == firsts["_same"])
+             .where(~F.col(page).eqNullSafe(F.col(first))).select(page, digest, first))
+    marked = rows.join(again, F.col(id_col).eqNullSafe(F.col(page)) & (F.col("_sha1") == F.col(digest)), "left")
+    return (marked.withColumn("record_type", F.when(F.col(first).isNotNull(), "revisit").otherwise("response"))
+            .withColumn("refers_to", F.col(first)).drop(page, digest, first))
 
 
 def _urn(key) -> str:

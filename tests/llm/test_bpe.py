@@ -93,6 +93,15 @@ def test_frequent_pretokens_are_bounded(spark, vocabulary):
     assert 2 <= len(counts.frequent_pretokens(docs, "text", vocabulary, 8)) <= 8
 
 
+def test_table_comes_from_a_sample_and_no_pretoken_is_shuffled(spark, vocabulary):
+    docs = spark.createDataFrame([(i, f"common word{i}") for i in range(2000)], "doc_id long, text string").repartition(6)
+    few = counts.frequent_pretokens(docs, "text", vocabulary, sample=100)
+    assert "common" in few and not any("word" in c and c != "word" and len(c) > 8 for c in few)
+    table = counts.length_table(docs, "text", vocabulary)
+    plan = counts.with_token_counts(docs, vocabulary, table=table)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
+
+
 def test_queries_match_the_library(spark, sf_dir):
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     ids = dict(zip(texts, (e.ids for e in LIBRARY.encode_batch(list(texts.values()), add_special_tokens=False))))

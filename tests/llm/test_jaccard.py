@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 import numpy as np
-from ordinalis.llm import graph, jaccard, queries, summary
+from ordinalis.llm import graph, jaccard, queries
 
 
 def shingles(text):
@@ -158,11 +158,20 @@ def test_what_similar_sets_share_is_never_overstated(spark):
     assert len(rows) > 300 and asked.where("own > common or a > own or b > own").count() == 0
 
 
-def test_most_frequent_items_are_bounded(spark):
-    counts = spark.createDataFrame([(i, i) for i in range(1, 200)], "item long, n long")
-    assert 0 < len(summary.most_frequent(counts, "item", "n", 50)) <= 50
-
-
 def test_query_over_all_documents(spark, sf_dir):
     texts = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(map(tuple, queries.op4_ngram_jaccard(spark, sf_dir).collect())) == sorted(brute(texts))
+
+
+def test_columns_may_have_working_names(spark):
+    text, names = " ".join(f"w{i}" for i in range(9)), ["_id", "_key", "_of", "_its"]
+    rows = [(1, text, *names), (2, text, *names), (3, None, *names), (4, "", *names)]
+    got = jaccard.keep_one(spark.createDataFrame(rows, ["doc_id", "text", *names])).collect()
+    assert sorted(r.doc_id for r in got) == [1, 3, 4] and all([r[n] for n in names] == names for r in got)
+
+
+def test_joins_by_hot_keys_have_written_sides(spark):
+    """One shingle in all sets, one giant component, one hub: no aggregate stands under a join without an exchange."""
+    edges = graph.components(spark.range(1, 2000).selectExpr("0L as a", "id as b"))
+    plan = edges._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and edges.where("component != 0").count() == 0

@@ -97,3 +97,9 @@ def test_labels_of_held_out_documents_are_never_read(spark, sf_dir, tmp_path):
     columns = ["doc_id", "lang_pred", "rejected"]
     assert (sorted(map(tuple, queries.op7_language_id(spark, str(tmp_path)).select(columns).collect()))
             == sorted(map(tuple, queries.op7_language_id(spark, sf_dir).select(columns).collect())))
+
+
+def test_columns_may_have_working_names(spark):
+    df = spark.createDataFrame([(i, "abc def " * 5, "x", "kept") for i in range(30)], "doc_id long, text string, lang string, _e string")
+    got = languages.identify(df, languages.fit(df)).collect()
+    assert all((r._e, r.lang_pred) == ("kept", "x") for r in got)

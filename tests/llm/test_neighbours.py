@@ -71,3 +71,16 @@ def test_every_vector_of_a_repeated_id_takes_part(spark, block_rows):
     got = neighbours.nearest(df, F.col("vec_id") % 20 == 0, 4, block_rows=block_rows).orderBy("rank").collect()
     pairs = sorted((-sum(a * b for a, b in zip(v, w)), i) for q, v in rows for i, w in rows if q == 0 != i)[:4]
     assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in got] == [(0, n, i, -s) for n, (s, i) in enumerate(pairs, 1)]
+
+
+@pytest.mark.parametrize("size", [1e160, 1e300, 1e-200])
+def test_large_and_small_doubles_lose_no_neighbour(spark, size):
+    rng = np.random.default_rng(4)
+    rows = [(20, [size, 1.0]), *((i, [float(x), float(y)]) for i, (x, y) in enumerate(rng.normal(size=(15, 2)), 1)), (40, [-size, size / 3])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(df, F.col("vec_id") % 20 == 0, 5).collect()
+    vectors = dict(rows)
+    for query in (20, 40):
+        score = lambda v: vectors[query][0] * vectors[v][0] + vectors[query][1] * vectors[v][1]
+        wanted = sorted(((score(v), -v) for v in vectors if v != query), reverse=True)[:5]
+        assert [(r.score, -r.vec_id) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == query] == wanted

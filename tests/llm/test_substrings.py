@@ -104,3 +104,11 @@ def test_query_over_all_documents(spark, sf_dir):
     expected = brute([r.text for r in docs], 35)
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in queries.op9_substring_dedup(spark, sf_dir).collect()}
     assert got == {r.doc_id: (n, gone, hashlib.sha256(kept.encode()).hexdigest()) for r, (n, gone, kept) in zip(docs, expected)}
+
+
+def test_columns_may_have_working_names(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    names = ["_id", "_text", "_key", "_of", "_its", "spans", "_spans", "_out"]
+    df = spark.createDataFrame([(1, text, *names), (2, text, *names)], ["doc_id", "text", *names])
+    got = substrings.remove_repeats(df).collect()
+    assert [r.n_removed for r in got] == [40, 40] and all([r[n] for n in names] == names for r in got)

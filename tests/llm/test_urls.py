@@ -34,7 +34,7 @@ def form(path):
     return tuple(out)
 
 
-def tree(rows, max_children=32, max_depth=8, z=1.96, least_labels=5, prior=0.1, strength=5.0):
+def tree(rows, max_children=32, max_depth=8, z=1.96, least_labels=5, prior=0.1, strength=5.0, unlabelled=0.1):
     """(host, form) -> (template, purity) by plain loops; rows: (host, form, bad)."""
     names = {(h, f): "" for h, f, _ in rows}
     for depth in range(max_depth):
@@ -58,14 +58,16 @@ def tree(rows, max_children=32, max_depth=8, z=1.96, least_labels=5, prior=0.1,
             labelled, bad = (sum(k[i] for k in kids.values()) for i in (0, 1))
             n, b = kids[c]
             alike = least_labels <= n < labelled and abs(b / n - bad / labelled) <= z * sqrt(bad / labelled * (1 - bad / labelled) / n)
-            new[h, f] = f"{name}/{'*' if len(kids) > max_children else '+' if alike else c}"
+            new[h, f] = f"{name}/{'*' if len(kids) > max_children and n < least_labels else '+' if alike else c}"
         names = new
-    total = defaultdict(lambda: [0, 0])
+    total = defaultdict(lambda: [0, 0, 0])
     for h, f, bad in rows:
         cell = total[h, names[h, f]]
         cell[0] += bad is not None
         cell[1] += bad or 0
-    return {k: (t, (total[k[0], t][1] + prior * strength) / (total[k[0], t][0] + strength)) for k, t in names.items()}
+        cell[2] += unlabelled * (bad is None)
+    return {k: (t, (total[k[0], t][1] + prior * (strength + total[k[0], t][2])) / (total[k[0], t][0] + strength + total[k[0], t][2]))
+            for k, t in names.items()}
 
 
 def expected(table, **options):
@@ -110,3 +112,18 @@ def test_query_over_all_pages(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
     found = {r.page_id: (r.host, r.path, r.rule, r.template, r.verdict) for r in queries.op5_url_templates(spark, sf_dir).collect()}
     assert found == dict(zip([r.page_id for r in pages], expected([r.url for r in pages])))
+
+
+@pytest.mark.parametrize("segments", [32, 33, 200])
+@pytest.mark.parametrize("blocked", [4, 40])
+def test_verdicts_do_not_turn_with_the_number_of_branches(spark, segments, blocked):
+    """Undecided pages of a host stay allowed, however many first segments it has beside the blocked one."""
+    rows = [f"http://x.net/es/{i}" for i in range(blocked)] + [f"http://x.net/s{chr(97 + i % 26)}{chr(97 + i // 26)}/a" for i in range(segments - 1)]
+    df = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    found = [r.verdict for r in urls.judge(df, queries.URL_RULES).orderBy("page_id").collect()]
+    assert found == ["block"] * blocked + ["allow"] * (segments - 1)
+
+
+def test_columns_may_have_working_names(spark):
+    df = spark.createDataFrame([(1, "http://x.net/es/1", "a", "b")], "page_id long, url string, _says string, _form string")
+    assert urls.judge(df, queries.URL_RULES).select("page_id", "_says", "_form", "verdict").collect() == [(1, "a", "b", "block")]

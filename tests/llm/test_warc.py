@@ -79,3 +79,20 @@ def test_query_over_all_pages(spark, sf_dir):
     for key in sorted(html):
         first.setdefault(html[key], key)
     assert found == {k: (len(v), sha(v), "response" if first[v] == k else "revisit", None if first[v] == k else first[v]) for k, v in html.items()}
+
+
+def test_hot_payloads_are_split_and_columns_may_have_working_names(spark):
+    """A third of the pages share a payload: the join by digest has an exchange on both sides."""
+    rows = [(i, "same" if i % 3 == 0 else f"own {i}", "x", "y") for i in range(3000)]
+    pages = spark.createDataFrame(rows, "page_id long, html string, _page string, _digest string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        made = warc.with_revisits(pages, "page_id", F.col("html"))
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        found = made.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "FileScan parquet [_same" in plan and "hashpartitioning(_same" in plan  # written, and with an exchange of its own
+    assert {(r.page_id, r.refers_to) for r in found} == {(i, 0 if i % 3 == 0 and i else None) for i in range(3000)}
+    assert all((r._page, r._digest) == ("x", "y") for r in found)
