@@ -409,6 +409,13 @@ SELECT CAST(run AS INT) AS run, CAST(fold AS INT) AS fold, count(id) AS n, count
     "detect_language": f"WITH {_detected('documents', 'doc_id')} SELECT id AS doc_id, language FROM found",
     "language_accuracy": f"WITH {_CROSS_DETECTED} SELECT lang, language, count(*) AS n FROM found GROUP BY lang, language",
     "translate_reviews": _TRANSLATE,
+    "translate_memo": """WITH edited AS (
+        SELECT doc_id, lang, CASE WHEN doc_id % 100 = 0 THEN text || ' (edited)' ELSE text END AS text FROM documents),
+        before AS (SELECT DISTINCT text, lang FROM documents)
+        SELECT e.doc_id, CASE WHEN coalesce(e.lang, 'unknown') IN ('en', 'unknown') THEN e.text
+                              WHEN b.text IS NULL THEN 'second: ' || e.text ELSE 'first: ' || e.text END AS translated_review,
+               CAST(NULL AS VARCHAR) AS translate_error
+        FROM edited e LEFT JOIN before b ON b.text = e.text AND b.lang = e.lang""",
     "encode_text_pair": _ENCODE,
     "epoch_metrics": _EPOCH_METRICS.format(""),
     "softmax_scores": f"WITH {EPOCH_LOGITS} SELECT epoch, id, " + ", ".join(

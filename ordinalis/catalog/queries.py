@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ordinalis.catalog import views
 from ordinalis.functions import ordinal, text as tx, vectors
 from ordinalis.operators import agreement, encode, ensemble, language, ranks, refine, regressors, sentiment, thresholds, translate
+from ordinalis.operators.memo import Memo
 from ordinalis.plans import features, review_run as whole, training
 from ordinalis.schema import FLAG_COLUMNS, onehot_names, prob_names
 from ordinalis.settings import MODEL_WEIGHTS, START_THRESHOLDS, Settings
@@ -285,6 +286,18 @@ def translate_reviews(spark, sf_dir):
     return out.select(*[c for c in out.columns if c in ("id", "review", "translated_review", "language")])
 
 
+@query
+def translate_memo(spark, sf_dir):
+    """All documents translated, then again after every hundredth was edited: the second
+    translator, told apart by its mark, is given the new texts only."""
+    memo = Memo(fresh_path(spark, "memo"), "marking translator")
+    docs = views.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    edited = docs.withColumn("text", F.when(F.col("doc_id") % 100 == 0, F.concat("text", F.lit(" (edited)"))).otherwise(F.col("text")))
+    cut(translate.translate_with(docs, "text", "lang", lambda texts, lang: ["first: " + t for t in texts], memo), "translated")
+    again = translate.translate_with(edited, "text", "lang", lambda texts, lang: ["second: " + t for t in texts], memo)
+    return again.select("doc_id", "translated_review", "translate_error")
+
+
 @query
 def encode_text_pair(spark, sf_dir):
     rows = views.reviews(spark, sf_dir).select("id", "review", "replyContent")

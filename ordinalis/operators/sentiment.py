@@ -18,6 +18,7 @@ from ordinalis.functions.text import fill_null
 from ordinalis.functions.vectors import argmax, smoothed_cross_entropy
 from ordinalis.operators.agreement import epoch_metrics
 from ordinalis.operators.distinct import map_distinct
+from ordinalis.operators.memo import Memo
 from ordinalis.operators.ranks import batch_assign, holdout_split, kfold_assign
 from ordinalis.schema import pca_names
 from ordinalis.settings import Settings
@@ -135,15 +136,17 @@ def _judge(vectors: DataFrame, classifier, settings: Settings, epoch: int) -> Da
                          loss.alias("_loss"))
 
 
-def score_with(df: DataFrame, review: str, reply: str, make_predict: Callable, batch_size: int = 256) -> DataFrame:
+def score_with(df: DataFrame, review: str, reply: str, make_predict: Callable, batch_size: int = 256,
+               memo: Memo | None = None) -> DataFrame:
     """``probs`` from a plugged-in model: ``make_predict()`` loads it once per Python worker
     and returns ``predict(reviews, replies) -> float array [n, K]``.
 
-    Each distinct (review, reply) pair is scored once, in Arrow batches.
+    Each distinct (review, reply) pair is scored once, in Arrow batches; with a ``memo`` once in
+    all runs that share it.
     """
     predict = predict_batch_udf(make_predict, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size)
     return map_distinct(_filled(df, review, reply), [review, reply],
-                        lambda pairs: pairs.withColumn("probs", predict(review, reply)))
+                        lambda pairs: pairs.withColumn("probs", predict(review, reply)), memo)
 
 
 def score_encoded(encoded: DataFrame, id_col: str, make_predict: Callable, max_length: int = 512,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -100,3 +101,28 @@ def read_small(spark: SparkSession, path: str) -> str | None:
         return bytes(stream.readAllBytes()).decode("utf-8")
     finally:
         stream.close()
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders at ``path``; none if there is no such folder."""
+    system, name = _file(spark, path)
+    if not system.exists(name):
+        return []
+    return [entry.getPath().getName() for entry in system.listStatus(name)]
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under ``path``."""
+    system, name = _file(spark, path)
+    return system.getContentSummary(name).getLength()
+
+
+def modified(spark: SparkSession, path: str) -> float:
+    """Hours since ``path`` itself was last changed."""
+    system, name = _file(spark, path)
+    return (time.time() * 1000 - system.getFileStatus(name).getModificationTime()) / 3_600_000
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    system, name = _file(spark, path)
+    system.delete(name, True)
