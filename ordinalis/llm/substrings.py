@@ -2,16 +2,16 @@
 
 A window is ``length`` consecutive words. Its anchor is the run of ``ANCHOR`` words in it
 with the smallest hash, so equal windows have equal anchors wherever they stand. Consecutive
-windows with the anchor in the same place form a segment. Counting anchors settles most
-text: an anchor seen once has no repeat, and segments that are equal as a whole repeat in all
-their windows. What is left, segments that share an anchor and differ somewhere, goes to a
-shard by its anchor. A shard holds an FM-index (a wavelet matrix of packed bits over the
-Burrows-Wheeler transform) of its distinct segments, bounded in words; the segments are
-streamed through backward search, which gives the windows that occur at least twice.
+windows with the anchor in the same place form a segment. An anchor seen once has no repeat. All
+other segments go to a shard by their anchor, each different one once with its number of copies as
+its weight. A shard holds an FM-index (a wavelet matrix of packed bits over the Burrows-Wheeler
+transform) of its segments, bounded in words; the segments are streamed through backward search,
+which gives the windows whose occurrences weigh two or more. These go back to every copy.
 
 An anchor with more than ``MOST_SEGMENTS`` different segments (a line that stands in a third
-of all documents) would make one shard too large: its windows are counted by their own hash
-together with the anchor instead, which is exact as well and spreads over all tasks.
+of all documents) would make one shard too large. Its segments are divided again by longer
+anchors, halfway to the window and then the whole window, which has one segment each; the shards of
+those hold indexes like all others.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ordinalis.llm.common import (cut_small, mix, run_hashes, size_at_most, small_batches, spare_names, word_hashes,
                                    worker_state, words_of)
@@ -46,12 +46,12 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(factors, dtype=np.uint64)
 
 
-def segments_of(words: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """(anchor, digest, first window, number of windows) of each segment of a document."""
+def segments_of(words: np.ndarray, length: int, size: int = ANCHOR) -> tuple[np.ndarray, ...]:
+    """(anchor, digest, first window, number of windows) of each segment of a document, by anchors of ``size`` words."""
     if len(words) < length:
         return (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),) * 2
-    runs = run_hashes(words, ANCHOR)
-    inside = length - ANCHOR + 1
+    runs = run_hashes(words, size)
+    inside = length - size + 1
     anchor = np.lib.stride_tricks.sliding_window_view(runs, inside).argmin(axis=1) + np.arange(len(words) - length + 1)
     first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
     count = np.diff(np.concatenate([first, [len(anchor)]]))
@@ -63,9 +63,9 @@ def segments_of(words: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
 
 
 class FmIndex:
-    """Counts the occurrences of word sequences of at most ``depth`` words."""
+    """Weighs the occurrences of word sequences of at most ``depth`` words; a segment counts ``weights`` times."""
 
-    def __init__(self, segments: list[np.ndarray], depth: int):
+    def __init__(self, segments: list[np.ndarray], depth: int, weights: np.ndarray | None = None):
         sizes = np.array([len(s) + 1 for s in segments])
         text = np.zeros(sizes.sum(), np.int64)  # symbol 0 ends each segment
         self.starts = np.cumsum(sizes) - sizes
@@ -75,6 +75,8 @@ class FmIndex:
         text[inside] += 1
         self.text, self.size = text, len(text)
         order = self._suffix_order(depth)
+        each = np.ones(len(segments), np.int64) if weights is None else weights
+        self._mass = np.concatenate([[0], np.cumsum(np.repeat(each, sizes)[order])])  # weight of the suffixes before each
         self._build(text[order - 1], len(symbols) + 1)  # the word before each suffix, circularly
 
     def _suffix_order(self, depth: int) -> np.ndarray:
@@ -123,7 +125,7 @@ class FmIndex:
         return base + both[:len(symbol)], base + both[len(symbol):]
 
     def repeated(self, which: np.ndarray, windows: np.ndarray, length: int) -> list[np.ndarray]:
-        """For each of the segments ``which``, with so many windows, whether each occurs twice.
+        """For each of the segments ``which``, with so many windows, whether each occurs twice by weight.
 
         A pattern from window ``s`` to the word ``e`` is searched from its end. Found twice, all
         its windows are repeated. Found once only from ``p`` on, no window that holds p..e is.
@@ -136,8 +138,8 @@ class FmIndex:
         live = np.arange(len(which))
         while len(live):
             low[live], high[live] = self.extend(self.text[base[live] + at[live]], low[live], high[live])
-            failed = live[high[live] - low[live] < 2]
-            done = live[(high[live] - low[live] >= 2) & (at[live] == s[live])]
+            once = self._mass[high[live]] - self._mass[low[live]] < 2
+            failed, done = live[once], live[~once & (at[live] == s[live])]
             for i in done:
                 found[i][s[i]:e[i] - length + 2] = True
             s[done] = e[done] - length + 2
@@ -161,6 +163,79 @@ def _ranges(mask: np.ndarray) -> Iterator[tuple[int, int]]:
     return zip(edges[::2].tolist(), edges[1::2].tolist())
 
 
+def _mark_hot(segments: DataFrame, rows: int) -> DataFrame:
+    """``segments`` (written; each different one once) with ``hot``: too many share its anchor for one shard."""
+    hot = cut_small(segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MOST_SEGMENTS)
+                    .select("anchor", F.lit(True).alias("hot")), "hot-anchors", rows)
+    return segments.join(hot, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+
+
+def _searched(parts: DataFrame, total: int, length: int, shard_words: int) -> DataFrame:
+    """(anchor, digest, spans) of the segments with repeated windows, from the index of their shard."""
+
+    def search(shard: pa.Table) -> pa.Table:
+        segments = [np.frombuffer(w, "<u8") for w in shard["words"].to_pylist()]
+        windows = np.array([len(s) - length + 1 for s in segments])
+        index = FmIndex(segments, max(map(len, segments)), shard["copies"].to_numpy())
+        spans = [[{"a": a, "b": b} for a, b in _ranges(mask)] for mask in index.repeated(np.arange(len(segments)), windows, length)]
+        column = pa.array(spans, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))
+        return shard.select(["anchor", "digest"]).append_column("spans", column).filter(pa.array([len(s) > 0 for s in spans]))
+
+    shards = max(1, math.ceil(total / shard_words))
+    return (parts.select("anchor", "digest", "copies", "words", F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("_shard"))
+            .groupBy("_shard").applyInArrow(search, "anchor long, digest long, spans array<struct<a: int, b: int>>"))
+
+
+def _divided(parts: DataFrame, length: int, size: int, shard_words: int) -> DataFrame:
+    """The same of segments of hot anchors (written), divided by anchors of ``size`` words first."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 100):
+                some = batch.slice(start, 100)
+                columns, sizes, words = [], [], []
+                for segment in some.column(3):
+                    own = np.frombuffer(segment.as_py(), "<u8")
+                    columns.append(segments_of(own, length, size))
+                    sizes.append(len(columns[-1][0]))
+                    words += [own[a:a + n + length - 1].tobytes() for a, n in zip(*columns[-1][2:])]
+                of = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+                anchor, digest, first, _ = (np.concatenate(c) for c in zip(*columns))
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.take(of) for c in some.columns[:3]), pa.array(anchor.view(np.int64)), pa.array(digest.view(np.int64)),
+                     pa.array(first.astype(np.int32)), pa.array(words, pa.binary())],
+                    names=["of_anchor", "of_digest", "copies", "anchor", "digest", "at", "words"])
+
+    pieces = cut(parts.select("anchor", "digest", "copies", "words").mapInArrow(
+        split, "of_anchor long, of_digest long, copies long, anchor long, digest long, at int, words binary"), "divided-segments")
+    rows = pieces.count()
+    often = cut_small(pieces.groupBy("anchor").agg(F.sum("copies").alias("n")).where("n > 1").select("anchor"), "divided-anchors", rows)
+    own = cut_small(pieces.join(often, "anchor", "left_semi").groupBy("anchor", "digest")
+                    .agg(F.sum("copies").alias("copies"), F.first("words").alias("words")), "divided-words", rows)
+    marked = _mark_hot(own, rows)
+    found = cut_small(_matches(marked, *_extent(marked, F.octet_length("words") / 8), length, size, shard_words), "divided-matches", rows)
+    shift = lambda w: F.struct((w["a"] + F.col("at")).alias("a"), (w["b"] + F.col("at")).alias("b"))
+    return (pieces.select("of_anchor", "of_digest", "anchor", "digest", "at").join(found, ["anchor", "digest"])
+            .groupBy(F.col("of_anchor").alias("anchor"), F.col("of_digest").alias("digest"))
+            .agg(F.flatten(F.collect_list(F.transform("spans", shift))).alias("spans")))  # of the windows of one segment
+
+
+def _extent(marked: DataFrame, words: Column) -> tuple[int, bool]:
+    """(words of the segments that aren't hot, whether there are hot ones)"""
+    row = marked.agg(F.sum(F.when(~F.col("hot"), words)).alias("words"), F.max("hot").alias("hot")).first()
+    return int(row.words or 0), bool(row.hot)
+
+
+def _matches(parts: DataFrame, total: int, any_hot: bool, length: int, size: int, shard_words: int) -> DataFrame:
+    """(anchor, digest, spans) of the segments ``parts`` (anchor, digest, copies, words, hot) that were made by anchors of
+    ``size`` words: ranges of windows, counted from the segment's first, that occur twice."""
+    found = _searched(parts.where(~F.col("hot")), total, length, shard_words)
+    if not any_hot:
+        return found
+    longer = length if size > ANCHOR else (ANCHOR + length + 1) // 2  # two segments with one whole window are equal
+    return found.unionByName(_divided(parts.where("hot"), length, longer, shard_words))
+
+
 def repeated_windows(docs: DataFrame, length: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
     """(_id, _key, spans): per document with repeats the sets of first and last-but-one window.
 
@@ -182,77 +257,43 @@ def repeated_windows(docs: DataFrame, length: int = WINDOW, shard_words: int = S
                 names=["_id", "_key", "anchor", "digest", "first", "windows"])
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The words of each wanted segment; of hot anchors the hash of each window instead."""
+        """The words of each wanted segment."""
         for batch in batches:
-            rows = {"_id": [], "_key": [], "anchor": [], "first": [], "windows": [], "copies": [], "words": [], "window": []}
-            for key, hash_, text, wanted in zip(*(c.to_pylist() for c in batch.columns)):
+            rows = {"anchor": [], "digest": [], "copies": [], "hot": [], "words": []}
+            for text, wanted in zip(*(c.to_pylist() for c in batch.columns)):
                 words = word_hashes(text)
                 for w in wanted:
-                    part = words[w["first"]:w["first"] + w["windows"] + length - 1]
-                    own = [None] if not w["hot"] else run_hashes(part, length).view(np.int64).tolist()
-                    rows["_id"] += [key] * len(own)
-                    rows["_key"] += [hash_] * len(own)
-                    rows["anchor"] += [w["anchor"]] * len(own)
-                    rows["first"] += [w["first"] + i for i in range(len(own))]
-                    rows["windows"] += [w["windows"]] * len(own)
-                    rows["copies"] += [w["copies"]] * len(own)
-                    rows["words"] += [None if w["hot"] else part.tobytes()] * len(own)
-                    rows["window"] += own
-            types = (batch.schema.field(0).type, pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int64())
+                    rows["words"].append(words[w["first"]:w["first"] + w["windows"] + length - 1].tobytes())
+                    for name in ("anchor", "digest", "copies", "hot"):
+                        rows[name].append(w[name])
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows.values(), types)], names=list(rows))
 
-    def search(shard: pa.Table) -> pa.Table:
-        segments = [np.frombuffer(w, "<u8") for w in shard["words"].to_pylist()]
-        windows, copies = shard["windows"].to_numpy().astype(np.int64), shard["copies"].to_numpy()
-        which = np.flatnonzero(copies == 1)
-        index = FmIndex(segments, max(map(len, segments)))
-        row, start, end = [], [], []
-        firsts = shard["first"].to_pylist()
-        for i, mask in zip(which.tolist(), index.repeated(which, windows[which], length)):
-            for a, b in _ranges(mask):
-                row.append(i)
-                start.append(firsts[i] + a)
-                end.append(firsts[i] + b)
-        of = shard.select(["_id", "_key"]).take(pa.array(row, pa.int64()))
-        return of.append_column("a", pa.array(start, pa.int32())).append_column("b", pa.array(end, pa.int32()))
-
     id_type = dict(docs.dtypes)["_id"]
     seen = cut(docs.select("_id", "_key", "_text").mapInArrow(
         anchors, f"_id {id_type}, _key long, anchor long, digest long, first int, windows int"), "anchors")
     rows = seen.count()
-    often = cut_small(seen.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high"))
-                .where("n > 1").select("anchor", (F.col("low") != F.col("high")).alias("mixed")), "repeated-anchors", rows)
-    shared = cut_small(seen.join(often, "anchor"), "shared-anchors", rows)
+    often = cut_small(seen.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "repeated-anchors", rows)
+    shared = cut_small(seen.join(often, "anchor", "left_semi"), "shared-anchors", rows)
     rows = shared.count()
-    span = [F.col("first").alias("a"), (F.col("first") + F.col("windows")).alias("b")]
-    equal = shared.where(~F.col("mixed")).select("_id", "_key", *span)
-
     one = F.min(F.struct("_id", "_key", "first", "windows")).alias("one")
-    distinct = cut_small(shared.where("mixed").groupBy("anchor", "digest").agg(F.count(F.lit(1)).alias("copies"), one)
-                   .select("anchor", "digest", "copies", "one.*"), "distinct-segments", rows)
-    copied = (shared.where("mixed").join(distinct.where("copies > 1").select("anchor", "digest"), ["anchor", "digest"], "left_semi")
-              .select("_id", "_key", *span))
-    kinds = cut_small(distinct.groupBy("anchor").agg((F.count(F.lit(1)) > MOST_SEGMENTS).alias("hot")), "anchor-kinds", rows)
-    wanted = cut_small(distinct.join(kinds, "anchor").groupBy("_id", "_key").agg(F.collect_list(
-        F.struct("anchor", "first", "windows", "copies", "hot")).alias("wanted")), "wanted-segments", rows)
-    total = wanted.select(F.explode("wanted").alias("w")).agg(F.sum(F.col("w.windows") + length)).first()[0] or 0
+    distinct = cut_small(shared.groupBy("anchor", "digest").agg(F.count(F.lit(1)).alias("copies"), one)
+                         .select("anchor", "digest", "copies", "one.*"), "distinct-segments", rows)
+    wanted = cut_small(_mark_hot(distinct, rows).groupBy("_id", "_key").agg(F.collect_list(
+        F.struct("anchor", "digest", "first", "windows", "copies", "hot")).alias("wanted")), "wanted-segments", rows)
+    total, any_hot = _extent(wanted.select(F.inline("wanted")), F.col("windows") + length - 1)
     texts = docs.select("_id", "_key", "_text")
     if size_at_most(wanted, _BROADCAST_DOCS):  # only the texts that are wanted are shuffled
         texts = texts.join(F.broadcast(wanted.select("_key")), "_key", "left_semi")
     texts = texts.dropDuplicates(["_id", "_key"])
-    parts = cut(texts.join(wanted, texts["_id"].eqNullSafe(wanted["_id"]) & (texts["_key"] == wanted["_key"]))
-                .select(texts["_id"], texts["_key"], "_text", "wanted")
-                .mapInArrow(take, f"_id {id_type}, _key long, anchor long, first int, windows int, copies long, words binary, window long"),
-                "segment-words")
-    shards = max(1, math.ceil(total / shard_words))
-    searched = (parts.where("words is not null")
-                .withColumn("_shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-                .groupBy("_shard").applyInArrow(search, f"_id {id_type}, _key long, a int, b int"))
-    single = parts.where("window is not null")
-    twice = single.groupBy("anchor", "window").agg(F.sum("copies").alias("n")).where("n > 1").select("anchor", "window")
-    hot = single.join(twice, ["anchor", "window"], "left_semi").select("_id", "_key", F.col("first").alias("a"), (F.col("first") + 1).alias("b"))
-    return cut_small(equal.unionByName(copied).unionByName(searched).unionByName(hot)
-                     .groupBy("_id", "_key").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "repeated-windows", rows)
+    parts = (texts.join(wanted, texts["_id"].eqNullSafe(wanted["_id"]) & (texts["_key"] == wanted["_key"]))
+             .select("_text", "wanted").mapInArrow(take, "anchor long, digest long, copies long, hot boolean, words binary"))
+    if any_hot:  # they are read twice
+        parts = cut(parts, "segment-words")
+    found = cut_small(_matches(parts, total, any_hot, length, ANCHOR, shard_words), "matches", rows)
+    spans = shared.join(found, ["anchor", "digest"]).select("_id", "_key", "first", F.inline("spans"))
+    return cut_small(spans.groupBy("_id", "_key").agg(F.collect_set(F.struct(
+        (F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b")).alias("b"))).alias("spans")), "repeated-windows", rows)
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = WINDOW) -> DataFrame:

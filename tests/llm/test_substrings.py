@@ -44,10 +44,10 @@ def mixture(seed, n=150):
     return texts + [None, "", " \t", " ".join(["again"] * 200), "é\x1cé\x85 x " * 30, " ".join(some(20_000, 20_000))] + texts[:3]
 
 
-@pytest.mark.parametrize("seed,length", [(1, 35), (2, 12), (3, 35)])
-def test_against_brute_force(spark, seed, length, monkeypatch):
-    if seed == 3:  # every mixed anchor is hot, or the shards are many
-        monkeypatch.setattr(substrings, "MOST_SEGMENTS", 3)
+@pytest.mark.parametrize("seed,length,most", [(1, 35, 4096), (2, 12, 4096), (3, 35, 3), (4, 35, 1), (5, 12, 1)])
+def test_against_brute_force(spark, seed, length, most, monkeypatch):
+    monkeypatch.setattr(substrings, "MOST_SEGMENTS", most)  # with 1, every anchor with different segments is divided, twice
+    if most == 3:
         monkeypatch.setattr(substrings, "_BROADCAST_DOCS", 0)
     texts = mixture(seed)
     df = spark.createDataFrame([(i, t, "clash", 1) for i, t in enumerate(texts)], "doc_id long, text string, n_words string, _id int").repartition(4)
@@ -88,6 +88,38 @@ def test_index_against_brute_force():
             assert mask.tolist() == [seen[tuple(s[i:i + length])] > 1 for i in range(n)]
 
 
+def test_index_weighs_segments():
+    rng = np.random.default_rng(2)
+    for _ in range(100):
+        length = int(rng.integers(3, 6))
+        segments = [rng.integers(1, 4, int(rng.integers(length, 2 * length + 3))).astype(np.uint64) for _ in range(int(rng.integers(1, 8)))]
+        weights = rng.integers(1, 4, len(segments))
+        windows = np.array([len(s) - length + 1 for s in segments])
+        seen = Counter()
+        for s, n, weight in zip(segments, windows, weights.tolist()):
+            seen.update({w: k * weight for w, k in Counter(tuple(s[i:i + length]) for i in range(n)).items()})
+        found = substrings.FmIndex(segments, max(map(len, segments)), weights).repeated(np.arange(len(segments)), windows, length)
+        for s, n, mask in zip(segments, windows, found):
+            assert mask.tolist() == [seen[tuple(s[i:i + length])] > 1 for i in range(n)]
+
+
+def test_a_line_in_a_third_of_the_texts_with_every_surrounding(spark, monkeypatch):
+    """Its anchor is hot; only where the words around it are the same too do windows repeat."""
+    monkeypatch.setattr(substrings, "MOST_SEGMENTS", 16)
+    rng = random.Random(6)
+    vocabulary, line = [f"w{i}" for i in range(5000)], [f"line{i}" for i in range(24)]
+    near = [rng.choices(vocabulary, k=6) for _ in range(3)]
+    texts = []
+    for i in range(300):
+        around = rng.choice(near) if i % 5 == 0 else []
+        passage = around + line + around if i % 3 == 0 else []
+        texts.append(" ".join(rng.choices(vocabulary, k=30) + passage + rng.choices(vocabulary, k=30)))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    expected = brute(texts, 35)
+    assert 0 < sum(gone > 0 for _, gone, _ in expected) < 60
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in substrings.remove_repeats(df).collect()} == dict(enumerate(expected))
+
+
 def test_segments_do_not_depend_on_their_place():
     rng = np.random.default_rng(1)
     text = rng.integers(0, 1 << 60, 500).astype(np.uint64)
