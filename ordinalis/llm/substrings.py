@@ -80,21 +80,23 @@ class FmIndex:
         self._build(text[order - 1], len(symbols) + 1)  # the word before each suffix, circularly
 
     def _suffix_order(self, depth: int) -> np.ndarray:
-        """Suffixes sorted by at least their first ``depth`` words, by doubling."""
-        rank, step = self.text, 1
-        order = np.argsort(rank, kind="stable")
-        while step < depth:
-            after = np.zeros(self.size, np.int64)
-            after[:-step] = rank[step:] + 1
-            key = rank * (self.size + 2) + after
-            order = np.argsort(key, kind="stable")
-            ordered = key[order]
-            rank = np.zeros(self.size, np.int64)
-            rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
-            if rank[order[-1]] == self.size - 1:
-                break
+        """Suffixes sorted by at least their first ``depth`` words, by doubling; only those that are
+        equal so far are sorted again. A rank is the first place of the suffixes that are equal."""
+        order = np.argsort(self.text)
+        places, key, rank, step = np.arange(self.size), self.text, np.zeros(self.size, np.int64), 1
+        while True:
+            ordered = key[order[places]] if step == 1 else key
+            new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+            rank[order[places]] = places[np.maximum.accumulate(np.where(new, np.arange(len(places)), 0))]
+            places = places[~(new & np.concatenate([new[1:], [True]]))]
+            if step >= depth or not len(places):
+                return order
+            some = order[places]
+            after = np.where(some + step < self.size, rank[np.minimum(some + step, self.size - 1)] + 1, 0)
+            key = rank[some] * (self.size + 2) + after
+            by = np.argsort(key)
+            order[places], key = some[by], key[by]
             step *= 2
-        return order
 
     def _build(self, transform: np.ndarray, symbols: int) -> None:
         before = np.concatenate([[0], np.cumsum(np.bincount(transform, minlength=symbols))])[:symbols]
@@ -213,7 +215,7 @@ def _divided(parts: DataFrame, length: int, size: int, shard_words: int) -> Data
     own = cut_small(pieces.join(often, "anchor", "left_semi").groupBy("anchor", "digest")
                     .agg(F.sum("copies").alias("copies"), F.first("words").alias("words")), "divided-words", rows)
     marked = _mark_hot(own, rows)
-    found = cut_small(_matches(marked, *_extent(marked, F.octet_length("words") / 8), length, size, shard_words), "divided-matches", rows)
+    found = cut(_matches(marked, *_extent(marked, F.octet_length("words") / 8), length, size, shard_words), "divided-matches")
     shift = lambda w: F.struct((w["a"] + F.col("at")).alias("a"), (w["b"] + F.col("at")).alias("b"))
     return (pieces.select("of_anchor", "of_digest", "anchor", "digest", "at").join(found, ["anchor", "digest"])
             .groupBy(F.col("of_anchor").alias("anchor"), F.col("of_digest").alias("digest"))
@@ -290,7 +292,7 @@ def repeated_windows(docs: DataFrame, length: int = WINDOW, shard_words: int = S
              .select("_text", "wanted").mapInArrow(take, "anchor long, digest long, copies long, hot boolean, words binary"))
     if any_hot:  # they are read twice
         parts = cut(parts, "segment-words")
-    found = cut_small(_matches(parts, total, any_hot, length, ANCHOR, shard_words), "matches", rows)
+    found = cut(_matches(parts, total, any_hot, length, ANCHOR, shard_words), "matches")
     spans = shared.join(found, ["anchor", "digest"]).select("_id", "_key", "first", F.inline("spans"))
     return cut_small(spans.groupBy("_id", "_key").agg(F.collect_set(F.struct(
         (F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b")).alias("b"))).alias("spans")), "repeated-windows", rows)
