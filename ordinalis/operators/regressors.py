@@ -6,8 +6,10 @@ regressor instead; staged stopping applies to GBTRegressor models only.
 
 Boosting that may stop early runs in blocks of rounds: each block is fitted to what the
 blocks before it leave over, its rounds are judged on the validation rows, and no further
-block is fitted once patience has run out. The first tree of a block counts in full, as the
-first tree of any such model does.
+block is fitted once patience has run out. A block is as long as patience is sure to look: the
+first has one round more than patience, each later one ends where patience would, counted from the
+best round so far. So no round is fitted in vain, and blocks are few whatever the curve does. The
+first tree of a block counts in full, as the first tree of any such model does.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ from ordinalis.operators.agreement import qwk
 from ordinalis.settings import Settings
 from ordinalis.storage import cut, shared_dir
 
-CHECKPOINT_EVERY = 10
+#: Rounds of a fit after which its residuals are written to the shared folder.
+CHECKPOINT_EVERY = 25
 
 #: Rows one task of a fit handles. A round is a handful of jobs, one per level of its tree, so a
 #: small table fits fastest in one task; a large one keeps its partitions.
@@ -221,9 +224,10 @@ def _fit_until_patience(learner: Learner, train: DataFrame, seed: int, settings:
     blocks, curve, best = [], [], 0
     while True:
         done = len(curve)
-        # no round is fitted that the rule would not look at
-        size = min(settings.round_block, settings.boost_rounds - done, max(best, 1) + settings.patience - done)
-        model = _without_checkpoints(learner.build(seed + done, replace(settings, boost_rounds=size))).fit(train)
+        # every round that the rule will look at whatever comes, and none that it would not
+        size = min(settings.boost_rounds, max(best, 1) + settings.patience) - done
+        size = min(size, settings.round_block or size)
+        model = learner.build(seed + done, replace(settings, boost_rounds=size)).fit(train)
         blocks.append(model)
         curve += _block_curve(learner, model, held)
         best = _best_round(curve, settings.patience)
@@ -240,11 +244,6 @@ def _fit_until_patience(learner: Learner, train: DataFrame, seed: int, settings:
         held = both.where("held").select("features", "score", "_y", "_base")
 
 
-def _without_checkpoints(estimator):
-    """A block starts from a written table and is short, so its own history needs no cutting."""
-    return estimator.copy({estimator.checkpointInterval: -1}) if estimator.hasParam("checkpointInterval") else estimator
-
-
 def _best_round(curve: list[float | None], patience: int, digits: int = 9) -> int:
     """The rule of ``best_iteration`` for a curve that is on the driver already."""
     best, at = -math.inf, 0
@@ -271,9 +270,12 @@ def _kappas(counts: list, rounds: int) -> list[float | None]:
     block's rounds that another job would only cost time."""
     import numpy as np
 
+    of_round: dict[int, list] = {}
+    for i, *pair in counts:
+        of_round.setdefault(i, []).append(pair)
     found = []
     for i in range(1, rounds + 1):
-        y, p, n = (np.array([r[c] for r in counts if r["iter"] == i]) for c in ("y", "p", "n"))
+        y, p, n = np.array(of_round[i]).T
         place = np.unique(np.concatenate([y, p]), return_inverse=True)[1].astype(float)
         a, b, n, total = place[:len(y)], place[len(y):], n.astype(float), float(n.sum())
         bottom = total * ((n * a * a).sum() + (n * b * b).sum()) - 2 * (n * a).sum() * (n * b).sum()

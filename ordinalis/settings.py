@@ -44,7 +44,7 @@ class Settings:
     weights: dict[str, float] = field(default_factory=lambda: dict(MODEL_WEIGHTS))
     boost_rounds: int = 1000
     patience: int = 100
-    round_block: int = 20  # rounds fitted before patience is looked at again
+    round_block: int | None = None  # longest block of rounds; None: as long as patience is sure to look
     refit_rounds: str = "all"  # or "mean_best": the folds' mean best round of the trial
     forest_trees: int = 80
     forest_depth: int = 7
