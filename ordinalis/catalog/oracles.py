@@ -404,6 +404,7 @@ SELECT CAST(run AS INT) AS run, CAST(fold AS INT) AS fold, count(id) AS n, count
     "profile_features": f"WITH {FEATURES} " + " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", '{t}' AS type, count({c}) AS non_null FROM features" for c, t in zip(_PROFILED, _PROFILED_TYPES)),
     "feature_table": _FEATURE_TABLE,
+    "feature_table_stream": _FEATURE_TABLE,
     "impute_days": f"WITH {FEATURES} SELECT id, coalesce(days_to_reply, -1) AS days_to_reply, CAST(days_to_reply IS NULL AS INT) AS days_missing FROM features",
 
     "detect_language": f"WITH {_detected('documents', 'doc_id')} SELECT id AS doc_id, language FROM found",
@@ -466,4 +467,5 @@ SELECT CAST(run AS INT) AS run, CAST(fold AS INT) AS fold, count(id) AS n, count
     "ensemble_test": f"""WITH {BEST} SELECT c.trial, c.id, {_digitize('c.prediction', [f'm.t{k}' for k in range(1, 5)])} AS label
         FROM combined c JOIN means m ON m.trial = c.trial""",
     "evaluate_run": _EVALUATE,
+    "evaluate_stream": _EVALUATE,
 }

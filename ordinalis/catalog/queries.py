@@ -17,6 +17,7 @@ from ordinalis.schema import FLAG_COLUMNS, onehot_names, prob_names
 from ordinalis.settings import MODEL_WEIGHTS, START_THRESHOLDS, Settings
 from ordinalis.sources import readers, writers
 from ordinalis.storage import cut, fresh_path
+from ordinalis.streaming import arrivals, scoring, voting
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -255,6 +256,27 @@ def feature_table(spark, sf_dir):
         _round("review_importance").alias("review_importance"))
 
 
+def _in_two_runs(spark: SparkSession, name: str, rows: DataFrame, first: Column, layout: list[str], run) -> None:
+    """``run(stream)`` on the rows of ``first`` as they arrive in files, then, started anew, on the rest."""
+    source = fresh_path(spark, name)
+    for part in (first, ~first):
+        rows.where(part).repartition(*layout).write.mode("append").parquet(source)
+        run(arrivals.arriving(spark, source, rows.schema, files_per_batch=2)).awaitTermination()
+
+
+@query
+def feature_table_stream(spark, sf_dir):
+    """``feature_table`` of reviews that arrive in files, with a restart halfway: each row once."""
+    made, checkpoint = fresh_path(spark, "streamed-features"), fresh_path(spark, "stream-checkpoint")
+    names = ["id", "split", "score", "text", "replyContent", "days_to_reply", *FLAG_COLUMNS, "review_length", "review_importance"]
+
+    def run(stream):
+        return scoring.write_scores(features.text_features(stream).select(*names), made, checkpoint)
+
+    _in_two_runs(spark, "arriving-reviews", views.reviews(spark, sf_dir), F.col("id") % 3 == 0, ["id"], run)
+    return spark.read.parquet(made).withColumn("review_importance", _round("review_importance"))
+
+
 # --- text model stages ---------------------------------------------------------------------
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -689,6 +711,19 @@ def evaluate_run(spark, sf_dir):
     return agreement.evaluate(votes, "y", "label").select("metric", "class", _round("value", 9).alias("value"))
 
 
+@query
+def evaluate_stream(spark, sf_dir):
+    """``evaluate_run`` of predictions that arrive a few trials at a time, the true classes with the
+    last trial only, with a restart halfway."""
+    rows = _labelled(spark, sf_dir).select("trial", "id", F.when(F.col("trial") == views.TRIALS - 1, F.col("y")).alias("y"), "label")
+    made, checkpoint = fresh_path(spark, "streamed-votes"), fresh_path(spark, "stream-checkpoint")
+    schema = voting.vote_stream(rows, ["id"]).schema
+    _in_two_runs(spark, "arriving-predictions", rows, F.col("trial") < views.TRIALS // 2, ["trial"],
+                 lambda stream: voting.write_votes(voting.vote_stream(stream, ["id"]), made, checkpoint))
+    done = voting.evaluate_votes(spark, made, schema, ["id"])
+    return done.select("metric", "class", _round("value", 9).alias("value"))
+
+
 # --- composite jobs -----------------------------------------------------------------------------------
 
 def _judged_evaluation(evaluation: DataFrame) -> DataFrame:

@@ -1,0 +1,113 @@
+"""Votes on a stream: batches, restarts, a batch that runs again, late labels, windows, empty input."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from ordinalis.operators import agreement, ensemble
+from ordinalis.streaming import arrivals, voting
+
+SCHEMA = "id long, y int, label int, at timestamp"
+
+
+class Folder:
+    """Files that arrive, and the votes of all runs over them."""
+
+    def __init__(self, spark, path, **window):
+        self.spark, self.path, self.window = spark, path, window
+        self.by = ["window", "id"] if window else ["id"]
+        spark.createDataFrame([], SCHEMA).write.parquet(str(path / "in"))
+
+    def arrive(self, rows):
+        rows = [(*row, None)[:4] if len(row) == 3 else row for row in rows]
+        self.spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(str(self.path / "in"))
+
+    def votes(self):
+        return voting.vote_stream(arrivals.arriving(self.spark, str(self.path / "in"), SCHEMA, 1), ["id"], **self.window)
+
+    def run(self):
+        voting.write_votes(self.votes(), str(self.path / "out"), str(self.path / "checkpoint")).awaitTermination()
+
+    def latest(self):
+        found = voting.latest_votes(self.spark, str(self.path / "out"), self.votes().schema, self.by)
+        return {tuple(row)[-3:] for row in found.collect()}
+
+
+@pytest.fixture
+def folder(spark, tmp_path):
+    return Folder(spark, tmp_path)
+
+
+def test_votes_change_as_rows_arrive_and_a_restart_counts_nothing_twice(spark, folder):
+    folder.arrive([(1, 2, 3), (2, 0, 0), (None, 1, 4)])
+    folder.run()
+    assert folder.latest() == {(1, 2, 3), (2, 0, 0), (None, 1, 4)}
+    folder.run()  # nothing new
+    folder.arrive([(1, 2, 2), (2, 0, None)])  # a tie goes to the smaller class; a row without a prediction
+    folder.run()
+    assert folder.latest() == {(1, 2, 2), (2, 0, 0), (None, 1, 4)}
+    folder.arrive([(1, 2, 3), (1, 2, 3)])
+    folder.run()
+    assert folder.latest() == {(1, 2, 3), (2, 0, 0), (None, 1, 4)}
+
+
+def test_equals_the_batch_vote_and_evaluation(spark, folder):
+    rows = [(i, i % 5, (i * 7 + t * 3) % 5) for t in range(6) for i in range(40)]
+    for start in range(0, len(rows), 50):
+        folder.arrive(rows[start:start + 50])
+        if start % 100:
+            folder.run()
+    folder.run()
+    batch = ensemble.vote_mode(spark.createDataFrame(rows, "id long, y int, label int"), ["id"], carry=["y"])
+    assert folder.latest() == {tuple(row) for row in batch.collect()}
+    got = voting.evaluate_votes(spark, str(folder.path / "out"), folder.votes().schema, ["id"])
+    key = lambda row: (row["metric"], row["class"])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, agreement.evaluate(batch, "y", "label").collect()), key=str)
+
+
+def test_a_true_class_may_come_later_or_never(spark, folder):
+    folder.arrive([(1, None, 3), (2, None, 1)])
+    folder.run()
+    judged = lambda: voting.evaluate_votes(spark, str(folder.path / "out"), folder.votes().schema, ["id"]).where("metric = 'support' AND class = 'accuracy'").first().value
+    assert folder.latest() == {(1, None, 3), (2, None, 1)} and judged() == 0
+    folder.arrive([(1, 3, None), (4, 2, None)])  # 4 has no prediction yet
+    folder.run()
+    assert folder.latest() == {(1, 3, 3), (2, None, 1), (4, 2, None)} and judged() == 1
+
+
+def test_an_unfinished_batch_is_not_read_and_one_that_runs_again_replaces_it(spark, folder):
+    folder.arrive([(1, 2, 3)])
+    folder.run()
+    done = sorted((folder.path / "out").glob("batch=*"))[-1]
+    torn = folder.path / "out" / "batch=99"
+    spark.createDataFrame([(1, 0, 0)], "id long, y int, label int").write.parquet(str(torn))
+    (torn / "_SUCCESS").unlink()
+    assert folder.latest() == {(1, 2, 3)}
+    # the driver was lost after the batch's write, before its commit
+    number = done.name.removeprefix("batch=")
+    for name in (number, f".{number}.crc"):
+        (folder.path / "checkpoint" / "commits" / name).unlink()
+    folder.run()
+    assert folder.latest() == {(1, 2, 3)}
+
+
+def test_windows_drop_what_comes_after_the_watermark(spark, tmp_path):
+    folder = Folder(spark, tmp_path, time="at", window="1 day", delay="1 hour")
+    day = lambda d, h=0: datetime(2024, 1, d, h)
+    folder.arrive([(1, 2, 3, day(1)), (1, 2, 2, day(2))])
+    folder.run()
+    assert folder.latest() == {(1, 2, 3), (1, 2, 2)}  # one vote a window
+    folder.arrive([(1, 2, 4, day(9))])
+    folder.run()
+    folder.arrive([(1, 2, 0, day(1, 5)), (1, 2, 0, day(1, 6))])  # long after the first day's counters went
+    folder.run()
+    assert folder.latest() == {(1, 2, 3), (1, 2, 2), (1, 2, 4)}
+
+
+def test_empty_input_and_strange_labels(spark, folder):
+    folder.run()
+    assert folder.latest() == set()
+    folder.arrive([(1, 0, 7)])
+    with pytest.raises(Exception, match="label outside the classes"):
+        folder.run()
