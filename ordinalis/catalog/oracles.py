@@ -324,8 +324,13 @@ placed AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || id), id) AS r, cou
 parts AS (SELECT id, score, r <= ceil(CAST(0.2 AS DOUBLE) * n) AS held FROM placed)"""
 
 
+# The same parts with a label that adds up three columns and a spread.
+NOISY = MATRIX.replace("CAST(least(4, floor(sum(l_quantity) / 40)) AS INT) AS score", """CAST(least(4, greatest(0, CAST(sum(l_quantity) AS BIGINT)
+    + CAST(round(max(l_tax) * 100) AS BIGINT) * 8 + count(*) * 12 + (l_orderkey * 37) % 41 - 20) // 80) AS INT) AS score""")
+
+
 def _fitted(name: str) -> str:
-    return f"WITH {MATRIX} SELECT id, score, '{name}' AS model, true AS in_range, true AS explains, true AS stopped FROM parts WHERE held"
+    return f"WITH {NOISY} SELECT id, score, '{name}' AS model, true AS in_range, true AS explains, true AS stopped FROM parts WHERE held"
 
 
 def _evaluated(ctes: str, source: str) -> str:
@@ -354,7 +359,7 @@ ORACLES: dict[str, str] = {
         review_importance, true AS distribution, true AS marked, CAST(1 AS INT) AS marks, true AS components FROM features""",
     **{f"fit_{name}": _fitted(name) for name in MODEL_WEIGHTS},
     "predict_test": f"WITH {MATRIX} " + " UNION ALL ".join(
-        f"SELECT id, '{name}' AS model, true AS in_range FROM parts WHERE held" for name in MODEL_WEIGHTS),
+        f"SELECT id, '{name}' AS model, true AS in_range, true AS explains FROM parts WHERE held" for name in MODEL_WEIGHTS),
     "refine_thresholds": """SELECT DISTINCT CAST(t.trial AS INT) AS trial, true AS recomputed, true AS no_worse, true AS ordered
         FROM orders, range(10) AS t(trial)""",
     "optimize_thresholds": _CHECKED_CUTS,
@@ -367,8 +372,8 @@ folded AS (SELECT run, fitted, id, CASE WHEN folds = 3 THEN ntile(3) OVER (PARTI
 SELECT CAST(run AS INT) AS run, CAST(fold AS INT) AS fold, count(id) AS n, count(DISTINCT id) AS ids, CAST(max(fitted) AS INT) AS fitted,
   true AS as_first FROM folded GROUP BY run, fold""",
     "kfold_oof": f"""WITH {MATRIX} SELECT CAST(0 AS INT) AS trial, id,
-        CAST(ntile(3) OVER (ORDER BY md5('42:' || id), id) - 1 AS INT) AS fold, score, true AS labelled FROM matrix""",
-    "train_ensemble": _evaluated(MATRIX, "parts WHERE NOT held"),
+        CAST(ntile(3) OVER (ORDER BY md5('42:' || id), id) - 1 AS INT) AS fold, score, true AS labelled, true AS agrees FROM matrix""",
+    "train_ensemble": f"SELECT *, true AS agrees, true AS test_agrees FROM ({_evaluated(MATRIX, 'parts WHERE NOT held')})",
     "review_run": _REVIEWED,
     "review_run_plug_ins": _REVIEWED,
 

@@ -451,25 +451,32 @@ def oof_scatter(spark, sf_dir):
 
 # --- regressors ----------------------------------------------------------------------------------
 
-def _order_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.order_features(spark, sf_dir)
+def _order_matrix(spark: SparkSession, sf_dir: str, score: str = "score") -> DataFrame:
+    rows = views.order_features(spark, sf_dir).withColumn("score", F.col(score))
     return cut(regressors.assemble(rows, ORDER_COLUMNS, ["id", "score"]), "order-matrix")
 
 
-def _holdout(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = ranks.holdout_split(_order_matrix(spark, sf_dir), "id", 0.2, 42)
+def _holdout(spark: SparkSession, sf_dir: str, score: str = "score") -> tuple[DataFrame, DataFrame]:
+    rows = ranks.holdout_split(_order_matrix(spark, sf_dir, score), "id", 0.2, 42)
     return rows.where(~F.col("is_validation")), rows.where("is_validation")
 
 
+#: A constant prediction has an error of the variance; a fit must leave less than this share of it.
+UNEXPLAINED = 0.25
+#: Out-of-fold labels must reach this kappa where the label follows from the columns.
+LEAST_KAPPA = 0.9
+
+
 def _fit_query(learner: regressors.Learner) -> Query:
+    """A fit of the noisy label, of which boosting must keep several rounds."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        train, held = _holdout(spark, sf_dir)
+        train, held = _holdout(spark, sf_dir, "noisy")
         fitted = regressors.fit_learner(learner, train, 42, QUERY_SETTINGS, held)
         made = cut(regressors.predict_long(held, [fitted], ["id", "score"]), "held-out")
         error = made.agg(F.avg(F.pow(F.col("prediction") - F.col("score"), 2)), F.var_pop("score")).first()
-        stopped = learner.stop_on is None or 1 <= fitted.rounds <= QUERY_SETTINGS.boost_rounds
+        stopped = learner.stop_on is None or 2 <= fitted.rounds < QUERY_SETTINGS.boost_rounds
         return made.select("id", "score", "model", F.col("prediction").between(-1, 5).alias("in_range"),
-                           F.lit(error[0] < 0.25 * error[1]).alias("explains"), F.lit(stopped).alias("stopped"))
+                           F.lit(error[0] < UNEXPLAINED * error[1]).alias("explains"), F.lit(stopped).alias("stopped"))
     return run
 
 
@@ -530,8 +537,11 @@ def kfold_oof_kept(spark, sf_dir):
 def predict_test(spark, sf_dir):
     """All learners refitted on the train rows, with the folds' mean best rounds."""
     train, test = _holdout(spark, sf_dir)
-    made = _refitted(train, test, QUERY_SETTINGS)
-    return made.select("id", "model", F.col("prediction").between(-1, 5).alias("in_range"))
+    made = cut(_refitted(train, test, QUERY_SETTINGS).join(test.select("id", "score"), "id"), "predicted-test")
+    error = made.groupBy("model").agg(F.avg(F.pow(F.col("prediction") - F.col("score"), 2)).alias("error"),
+                                      F.var_pop("score").alias("variance"))
+    explains = error.select("model", (F.col("error") < UNEXPLAINED * F.col("variance")).alias("explains"))
+    return made.join(explains, "model").select("id", "model", F.col("prediction").between(-1, 5).alias("in_range"), "explains")
 
 
 @query
@@ -735,15 +745,22 @@ def _judged_evaluation(evaluation: DataFrame) -> DataFrame:
 
 @query
 def kfold_oof(spark, sf_dir):
-    done = training.kfold_oof(_order_matrix(spark, sf_dir), QUERY_SETTINGS).labels
-    return done.select("trial", "id", "fold", "score", F.col("label").between(0, 4).alias("labelled"))
+    done = cut(training.kfold_oof(_order_matrix(spark, sf_dir), QUERY_SETTINGS).labels, "out-of-fold")
+    kappa = agreement.qwk(done, "score", "label").first()["qwk"]
+    return done.select("trial", "id", "fold", "score", F.col("label").between(0, 4).alias("labelled"),
+                       F.lit(kappa is not None and kappa >= LEAST_KAPPA).alias("agrees"))
 
 
 @query
 def train_ensemble(spark, sf_dir):
     train, test = _holdout(spark, sf_dir)
     run = training.train_ensemble(train.drop("is_validation"), test.select("id", "features"), QUERY_SETTINGS)
-    return _judged_evaluation(run.evaluation)
+    votes = cut(run.test_votes.join(test.select("id", "score"), "id"), "test-votes")
+    on_test = agreement.qwk(votes, "score", "label").first()["qwk"]
+    evaluation = cut(run.evaluation, "evaluation")
+    enough = (F.col("metric") != "qwk") | (F.col("value") >= LEAST_KAPPA)
+    return (_judged_evaluation(evaluation).join(evaluation.select("metric", "class", enough.alias("agrees")), ["metric", "class"])
+            .withColumn("test_agrees", F.lit(on_test is not None and on_test >= LEAST_KAPPA)))
 
 
 @query

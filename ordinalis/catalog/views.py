@@ -94,12 +94,16 @@ def epoch_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A learnable table: the label is a step function of ``sum_qty``."""
+    """A learnable table: ``score`` is a step function of ``sum_qty``; ``noisy`` adds up three columns and
+    a spread that none of them tells, so one tree does not find it."""
     total = F.sum("l_quantity")
-    return (table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("id"))
-            .agg(F.least(F.lit(4), F.floor(total / _d(40)).cast("int")).alias("score"), total.alias("sum_qty"),
+    tax = F.round(F.max("l_tax") * 100).cast("bigint")
+    added = (total.cast("bigint") + tax * 8 + F.count(F.lit(1)) * 12 + (F.col("l_orderkey") * 37) % 41 - 20)
+    noisy = F.least(F.lit(4), F.floor(F.greatest(F.lit(0), added) / 80)).cast("int")
+    return (table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
+            .agg(F.least(F.lit(4), F.floor(total / _d(40)).cast("int")).alias("score"), noisy.alias("noisy"), total.alias("sum_qty"),
                  F.avg("l_discount").alias("avg_disc"), F.max("l_tax").alias("max_tax"),
-                 F.count(F.lit(1)).alias("n_lines")))
+                 F.count(F.lit(1)).alias("n_lines")).withColumnRenamed("l_orderkey", "id"))
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
