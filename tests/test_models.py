@@ -435,3 +435,41 @@ def test_registered_queries_keep_the_full_patience():
 
     full, used = asdict(Settings()), asdict(QUERY_SETTINGS)
     assert {name for name in full if full[name] != used[name]} == {"num_trials", "num_folds", "refit_rounds"}
+
+
+def constant_columns(df, **more):
+    rounds = F.create_map(*[F.lit(x) for name in MODEL_WEIGHTS for x in (name, 1)])
+    return df.withColumns({name: F.lit(2.0) for name in MODEL_WEIGHTS} | {"rounds": rounds, "trial": F.lit(0)} | more)
+
+
+def test_queries_tell_a_constant_regressor(spark, monkeypatch):
+    from ordinalis.catalog.queries import QUERIES
+
+    class Constant:
+        def __init__(self, name):
+            self.name, self.rounds = name, 5
+
+        def score(self, df):
+            return df.withColumn(self.name, F.lit(2.0))
+
+    def refused(name, column):
+        rows = QUERIES[name](spark, "/root/testdata/sf0.001")
+        return rows.count() > 0 and rows.where(column).count() == 0
+
+    monkeypatch.setattr(regressors, "fit_learner", lambda learner, *a: Constant(learner.name))
+    assert all(refused(f"fit_{learner.name}", "explains") for learner in regressors.LEARNERS)
+    monkeypatch.setattr(training, "oof_predictions", lambda folded, *a, **k: constant_columns(folded.drop("features")))
+    monkeypatch.setattr(training, "refit_predictions", lambda train, test, *a, **k: constant_columns(test.select("id")))
+    assert refused("kfold_oof", "agrees") and refused("predict_test", "explains")
+    assert refused("train_ensemble", "metric = 'qwk' AND agrees") and refused("train_ensemble", "test_agrees")
+
+
+def test_blocks_are_as_long_as_patience_is_sure_to_look(matrix):
+    """The first block has a round more than patience, the next ones end where patience would."""
+    built = []
+    noisy = matrix.withColumn("score", F.col("score") + (F.col("id") % 5).cast("int") - 2)
+    settings = small_settings(boost_rounds=30, patience=6, round_block=None)
+    fitted = regressors.fit_learner(counted(regressors.LEARNERS[1], built), noisy, 42, settings, noisy.where("id % 5 = 0"))
+    sizes = [rounds for _, rounds in built]
+    assert sizes[0] == 7 and sum(sizes) == min(30, fitted.rounds + 6)
+    assert all(size <= 6 for size in sizes[1:])  # no block runs past the patience of its best round
