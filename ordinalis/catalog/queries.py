@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
@@ -16,7 +17,7 @@ from ordinalis.plans import features, review_run as whole, training
 from ordinalis.schema import FLAG_COLUMNS, onehot_names, prob_names
 from ordinalis.settings import MODEL_WEIGHTS, START_THRESHOLDS, Settings
 from ordinalis.sources import readers, writers
-from ordinalis.storage import cut, fresh_path
+from ordinalis.storage import cut, fresh_path, names_in
 from ordinalis.streaming import arrivals, scoring, voting
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -256,12 +257,15 @@ def feature_table(spark, sf_dir):
         _round("review_importance").alias("review_importance"))
 
 
-def _in_two_runs(spark: SparkSession, name: str, rows: DataFrame, first: Column, layout: list[str], run) -> None:
-    """``run(stream)`` on the rows of ``first`` as they arrive in files, then, started anew, on the rest."""
-    source = fresh_path(spark, name)
+def _in_two_runs(spark: SparkSession, name: str, rows: DataFrame, first: Column, run) -> None:
+    """``run(stream)`` on the rows of ``first``, whose files arrive a third at a time, then, started
+    anew, on the rest. The files are those that tasks write, whatever a key's share is."""
+    source, seen = fresh_path(spark, name), 0
     for part in (first, ~first):
-        rows.where(part).repartition(*layout).write.mode("append").parquet(source)
-        run(arrivals.arriving(spark, source, rows.schema, files_per_batch=2)).awaitTermination()
+        rows.where(part).write.mode("append").option("maxRecordsPerFile", 50_000).parquet(source)
+        files = sum(file.endswith(".parquet") for file in names_in(spark, source))
+        new, seen = files - seen, files
+        run(arrivals.arriving(spark, source, rows.schema, max(1, math.ceil(new / 3)))).awaitTermination()
 
 
 @query
@@ -273,7 +277,7 @@ def feature_table_stream(spark, sf_dir):
     def run(stream):
         return scoring.write_scores(features.text_features(stream).select(*names), made, checkpoint)
 
-    _in_two_runs(spark, "arriving-reviews", views.reviews(spark, sf_dir), F.col("id") % 3 == 0, ["id"], run)
+    _in_two_runs(spark, "arriving-reviews", views.reviews(spark, sf_dir), F.col("id") % 3 == 0, run)
     return spark.read.parquet(made).withColumn("review_importance", _round("review_importance"))
 
 
@@ -728,7 +732,7 @@ def evaluate_stream(spark, sf_dir):
     rows = _labelled(spark, sf_dir).select("trial", "id", F.when(F.col("trial") == views.TRIALS - 1, F.col("y")).alias("y"), "label")
     made, checkpoint = fresh_path(spark, "streamed-votes"), fresh_path(spark, "stream-checkpoint")
     schema = voting.vote_stream(rows, ["id"]).schema
-    _in_two_runs(spark, "arriving-predictions", rows, F.col("trial") < views.TRIALS // 2, ["trial"],
+    _in_two_runs(spark, "arriving-predictions", rows, F.col("trial") < views.TRIALS // 2,
                  lambda stream: voting.write_votes(voting.vote_stream(stream, ["id"]), made, checkpoint))
     done = voting.evaluate_votes(spark, made, schema, ["id"])
     return done.select("metric", "class", _round("value", 9).alias("value"))
