@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, functions as F
 
 from ordinalis.functions.ordinal import digitize, weighted_sum
 from ordinalis.settings import START_THRESHOLDS
 
+#: Rows that one task of ``oof_scatter`` holds in its hash tables.
+ROWS_PER_TASK = 250_000
+
+
 def ensemble_weighted(df: DataFrame, weights: dict[str, float], output: str = "prediction") -> DataFrame:
     """Wide predictions: one column per model, summed in place."""
     return df.withColumn(output, weighted_sum(weights))
@@ -48,10 +54,12 @@ def vote_mode(df: DataFrame, by: list[str], label: str = "label", num_classes: i
 def oof_scatter(parts: DataFrame, trial: str = "trial", id_col: str = "id") -> DataFrame:
     """Fold outputs as one out-of-fold table; two outputs for one (trial, id) raise.
 
-    Rows are laid out by id alone, which serves this check and a later vote per id alike.
+    Rows are laid out by id alone, which serves this check and a later vote per id alike, in as
+    many tasks as there are rows for: they are counted first, so what a task holds doesn't grow with them.
     """
     keep = [c for c in parts.columns if c not in (trial, id_col)]
-    once = parts.repartition(id_col).groupBy(trial, id_col).agg(
+    tasks = max(2, math.ceil(parts.count() / ROWS_PER_TASK))
+    once = parts.repartition(tasks, id_col).groupBy(trial, id_col).agg(
         F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in keep])
     problem = F.raise_error(F.concat(F.lit("row predicted twice in one trial: "), F.col(id_col).cast("string")))
     # a filter, because an unused column would be pruned together with its check

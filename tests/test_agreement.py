@@ -78,6 +78,15 @@ def test_out_of_fold_rows_must_be_unique(spark):
         ensemble.oof_scatter(rows.unionAll(rows.limit(1))).collect()
 
 
+def test_out_of_fold_rows_get_tasks_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(ensemble, "ROWS_PER_TASK", 100, raising=False)
+    rows = spark.range(2000).selectExpr("cast(id % 2 as int) as trial", "id div 2 as id", "id * 2 as label")
+    made = ensemble.oof_scatter(rows)
+    assert made.rdd.getNumPartitions() == 20
+    assert sorted(map(tuple, made.collect())) == sorted(map(tuple, rows.collect()))
+    assert ensemble.oof_scatter(rows.limit(0)).count() == 0
+
+
 def test_score_vectors(spark):
     logits = [[1.0, 3.0, 3.0, 0.0, -2.0], [1000.0, 0.0, 0.0, 0.0, 0.0]]
     df = spark.createDataFrame([(v, 2) for v in logits], "l array<double>, y int")
