@@ -115,3 +115,23 @@ def test_other_splits_in_the_second_scan_fail(spark, tmp_path, splits, monkeypat
     monkeypatch.setattr(splitcsv, "inside_quotes", lambda lines: {f: s[::2] for f, s in real(lines).items()})
     with pytest.raises(Exception, match="splits changed|parse|not a value"):
         readers.load_reviews(spark, str(tmp_path / "a.csv"), split_files=True).collect()
+
+
+def test_a_task_of_the_query_reads_many_splits(spark, sf_dir, monkeypatch):
+    """Splits stay at 16 KB; what grows with the files is how many of them a task reads."""
+    from ordinalis.catalog import queries
+
+    tasks, splits, load = [], [], queries.readers.load_reviews
+
+    def watched(session, path, **options):
+        lines = splitcsv._lines(session, path)
+        tasks.append(lines.rdd.getNumPartitions())
+        splits.append(lines.select("file", "split").distinct().count())
+        return load(session, path, **options)
+
+    monkeypatch.setattr(queries.readers, "load_reviews", watched)
+    monkeypatch.setattr(queries, "REVIEWS_PER_FILE", 100)
+    monkeypatch.setattr(spark.__class__.sparkContext.fget(spark).__class__, "defaultParallelism", property(lambda self: 2))
+    rows = queries.QUERIES["load_reviews_split"](spark, sf_dir)
+    assert rows.count() == 279 and splits[0] > tasks[0] and tasks[0] <= 5
+    assert spark.conf.get("spark.sql.files.maxPartitionNum", None) is None
