@@ -15,6 +15,9 @@ from ordinalis.storage import cut
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
+#: Cuts a worker of the last stage remembers: executors still hold what the stages before left behind.
+PACKING_CUTS = 50_000
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text looks like none of the learned languages go, and those without a letter."""
@@ -36,7 +39,7 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences."""
-    return packed(spark, docs)
+    return packed(spark, docs, PACKING_CUTS)
 
 
 STAGES = [("language_id", identify_language), ("ngram_jaccard_join", join_near_duplicates),

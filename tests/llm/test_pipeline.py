@@ -84,3 +84,11 @@ def test_odd_documents_pass_through_all_stages(spark, tmp_path):
 
 def test_names_are_plain():
     assert all(re.fullmatch(r"[a-z_]+", name) for name, _ in corpus_pipeline.STAGES)
+
+
+def test_packing_remembers_few_cuts(spark, monkeypatch):
+    """Workers of the last stage share an executor with what the stages before it left behind."""
+    asked = []
+    monkeypatch.setattr(corpus_pipeline, "packed", lambda session, docs, cached_cuts=200_000: asked.append(cached_cuts))
+    corpus_pipeline.pack_sequences(spark, None, "")
+    assert asked == [50_000]
