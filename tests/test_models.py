@@ -269,6 +269,29 @@ def test_blocks_add_up(matrix):
     assert after.where(F.abs(F.col("sum") - F.col("two")) > 1e-9).count() == 0
 
 
+def test_a_large_table_in_few_files_is_dealt_out_to_all_cores(spark, monkeypatch):
+    rows, cores = spark.range(0, 1000, 1, 1), spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(regressors, "ROWS_PER_TASK", 10)
+    dealt = regressors.for_fit(rows, 1000)
+    assert dealt.rdd.getNumPartitions() == 2 * cores and dealt.count() == 1000
+    assert regressors.for_fit(rows, 30).rdd.getNumPartitions() == 3
+    assert regressors.for_fit(spark.range(0, 30, 1, 8), 30).rdd.getNumPartitions() == 3
+
+
+def test_a_forest_of_few_nodes_a_pass_has_the_same_trees(matrix, monkeypatch):
+    forest, settings, trees = regressors.LEARNERS[3], small_settings(forest_trees=60), []
+    asked = []
+    copy = regressors.RandomForestRegressor.copy
+    monkeypatch.setattr(regressors.RandomForestRegressor, "copy", lambda self, extra=None: (asked.append(extra), copy(self, extra))[1])
+    for many in (10**9, 1):
+        monkeypatch.setattr(regressors, "MANY_ROWS", many)
+        model = regressors.fit_learner(forest, matrix, 42, settings).blocks[0]
+        trees.append(model.toDebugString.split("\n", 1)[1])
+    assert trees[0] == trees[1] and [list(extra.values()) for extra in asked if extra] == [[1]]
+    own = regressors.RandomForestRegressor(maxMemoryInMB=64, featureSubsetStrategy="all")
+    assert regressors._few_nodes(own, matrix) is own
+
+
 def test_every_learner_gets_its_trials_seed(matrix):
     built = []
     learners = tuple(counted(learner, built) for learner in regressors.LEARNERS)
