@@ -269,6 +269,13 @@ def test_blocks_add_up(matrix):
     assert after.where(F.abs(F.col("sum") - F.col("two")) > 1e-9).count() == 0
 
 
+def test_small_fits_overlap_until_all_cores_are_busy(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert training._at_a_time(spark, Settings(), 100) == 2 * cores
+    assert training._at_a_time(spark, Settings(), 10**9) == 1
+    assert training._at_a_time(spark, Settings(fit_threads=3), 100) == 3
+
+
 def test_a_large_table_in_few_files_is_dealt_out_to_all_cores(spark, monkeypatch):
     rows, cores = spark.range(0, 1000, 1, 1), spark.sparkContext.defaultParallelism
     monkeypatch.setattr(regressors, "ROWS_PER_TASK", 10)
