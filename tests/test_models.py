@@ -272,7 +272,7 @@ def test_blocks_add_up(matrix):
 def test_small_fits_overlap_until_all_cores_are_busy(spark):
     cores = spark.sparkContext.defaultParallelism
     assert training._at_a_time(spark, Settings(), 100) == 2 * cores
-    assert training._at_a_time(spark, Settings(), 10**9) == 1
+    assert training._at_a_time(spark, Settings(), 10**9) == 4
     assert training._at_a_time(spark, Settings(fit_threads=3), 100) == 3
 
 
