@@ -91,7 +91,7 @@ def op7_language_id(spark, sf_dir):
 
 def packed(spark: SparkSession, docs: DataFrame, cached_cuts: int = bpe.CACHED_CUTS) -> DataFrame:
     vocabulary = _vocabulary(spark)
-    pieces = packing.pack(docs, lambda text: bpe.loaded(vocabulary, cached_cuts).encode(text), END_ID)
+    pieces = packing.pack(docs, lambda text: bpe.loaded(vocabulary, cached_cuts, bpe.RankedBpe).encode(text), END_ID)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset")
 

@@ -81,3 +81,20 @@ def test_query_over_all_documents(spark, sf_dir):
             assert (r.start, r.ids_crc32, r.doc_tokens) == (at, zlib.crc32(ids[at:at + r.length].tobytes()), len(ids))
             at += r.length
         assert at == len(ids)
+
+
+def test_the_query_encodes_with_ranked_merges(spark, sf_dir, monkeypatch):
+    kinds, pack = [], packing.pack
+
+    def loaded(vocabulary, cached_cuts, kind=queries.bpe.WordEndBpe):
+        kinds.append(kind)
+        return kind(vocabulary.value, cached_cuts)
+
+    def pack_letters(docs, encode, end_id):
+        encode("word")  # here, not in a worker
+        return pack(docs.limit(5), letters, end_id)
+
+    monkeypatch.setattr(queries.bpe, "loaded", loaded)
+    monkeypatch.setattr(packing, "pack", pack_letters)
+    queries.op8_window_packing(spark, sf_dir)
+    assert kinds == [queries.bpe.RankedBpe]
