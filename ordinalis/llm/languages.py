@@ -265,9 +265,11 @@ def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     shared = spark.sparkContext.broadcast({"key": hash((spark.sparkContext.applicationId, id(models), len(sizes))),
                                            "languages": languages, "models": models})
     held = sample.where("_part = 0") if learned is not sample else sample
-    found = held.select("_lang", _entropies("_text", shared).alias("_e")).where("_e.letters > 0").select("_lang", "_e.*")
+    # written before it is filtered: a filter on what Python gives runs it twice, in two workers for each
+    # core, and idle workers stay and take turns with the others in whatever runs later
+    found = cut(held.select("_lang", _entropies("_text", shared).alias("_e")), "language-held-out")
     place = F.array_position(F.array(*map(F.lit, languages)), F.col("_lang")) - 1
-    found = cut(found.where(place == F.col("best")), "language-held-out")
+    found = found.where("_e.letters > 0").select("_lang", "_e.*").where(place == F.col("best"))
     letter_noise = F.stddev_pop("entropy") * F.sqrt(F.avg(F.least("letters", F.lit(200))))
     rows_of = {r["_lang"]: r for r in found.groupBy("_lang").agg(
         F.avg("entropy").alias("own"), F.avg("second").alias("foreign"), letter_noise.alias("noise")).collect()}

@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -99,6 +100,22 @@ def test_labels_of_held_out_documents_are_never_read(spark, sf_dir, tmp_path):
             == sorted(map(tuple, queries.op7_language_id(spark, sf_dir).select(columns).collect())))
 
 
+def test_no_task_scores_a_text_twice(spark, monkeypatch, capsys):
+    cut = languages.cut
+
+    def shown(df, *rest):
+        df.explain()
+        return cut(df, *rest)
+
+    monkeypatch.setattr(languages, "cut", shown)
+    labelled = corpus(spark)
+    kept = languages.identify(labelled, languages.fit(labelled)).where("not rejected").select("doc_id", "text", "lang")
+    kept.explain()
+    plans = capsys.readouterr().out.split("== Physical Plan ==")
+    # each Python step of a task takes a worker of its own, which stays
+    assert max(len(re.findall("ArrowEvalPython|MapInArrow", plan)) for plan in plans) == 1
+
+
 def test_columns_may_have_working_names(spark):
     df = spark.createDataFrame([(i, "abc def " * 5, "x", "kept") for i in range(30)], "doc_id long, text string, lang string, _e string")
     got = languages.identify(df, languages.fit(df)).collect()
