@@ -4,10 +4,12 @@ import re
 
 import numpy as np
 import pytest
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from ordinalis.operators import boosting, regressors
+from ordinalis.plans import training
+from ordinalis.settings import Settings
 from ordinalis.storage import cut
 from tests.small import small_settings
 
@@ -76,3 +78,44 @@ def test_other_estimators_and_losses_are_left_to_spark(rows):
 def test_missing_labels_are_refused(rows, label):
     with pytest.raises(Exception, match="(?i)null or NaN"):
         boosting.fit(GBTRegressor(labelCol="score", maxIter=1), rows.withColumn("score", F.expr(f"if(id = 7, {label}, double(score))")))
+
+
+@pytest.mark.parametrize("cells", [10**9, 1], ids=["in one task", "spread"])
+def test_a_forest_is_as_good_as_sparks_and_the_same_each_time(rows, monkeypatch, cells):
+    monkeypatch.setattr(boosting, "ALONE_CELLS", cells)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(boosting, "FOREST_SUMS", 3 * 16 * 100 * 7)  # several groups of trees
+    estimator = RandomForestRegressor(labelCol="score", numTrees=30, maxDepth=5, minInstancesPerNode=2, featureSubsetStrategy="all", seed=5)
+    theirs, ours, again = estimator.fit(rows), boosting.fit(estimator, rows), boosting.fit(estimator, rows)
+    error = lambda model: model.transform(rows).agg(F.avg(F.pow(F.col("prediction") - F.col("score"), 2))).first()[0]
+    assert error(ours) == pytest.approx(error(theirs), rel=0.05)
+    assert ours.toDebugString.split("\n", 1)[1] == again.toDebugString.split("\n", 1)[1]
+    assert len(ours.trees) == ours.getNumTrees == 30 and len({tree.toDebugString.split("\n", 1)[1] for tree in ours.trees}) == 30
+    assert ours.featureImportances.toArray() == pytest.approx(theirs.featureImportances.toArray(), abs=0.03)
+
+
+def test_one_tree_of_a_forest_is_sparks_on_the_rows_it_drew(rows, monkeypatch):
+    """The rows as often as the first tree saw them, given to Spark's lone tree."""
+    ours = boosting.fit(RandomForestRegressor(labelCol="score", numTrees=1, maxDepth=4, maxBins=999, minInstancesPerNode=2,
+                                              featureSubsetStrategy="all", seed=5), rows.coalesce(1))
+    rules = boosting.Rules(1, 1.0, 1.0, 4, 999, 2, 0.0, 5, 10)
+    times = boosting._times(rules, 0, (0, 0), 900)
+    assert 0.9 < times.mean() < 1.1 and 0.8 < times.var() < 1.2
+    here = rows.coalesce(1).collect()
+    drawn = rows.sparkSession.createDataFrame([row for row, n in zip(here, times) for _ in range(n)], rows.schema)
+    theirs = DecisionTreeRegressor(labelCol="score", maxDepth=4, maxBins=999, minInstancesPerNode=2).fit(drawn)
+    predicted = lambda model: np.array([r.prediction for r in model.transform(drawn).orderBy("id").collect()])
+    assert ((predicted(theirs) - predicted(ours)) ** 2).mean() < 0.02
+
+
+def test_a_small_forest_takes_few_jobs(spark, rows):
+    spark.sparkContext.setJobGroup("a forest", "")
+    regressors.fit_learner(regressors.LEARNERS[3], rows, 42, Settings())
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("a forest")) <= 12
+
+
+def test_fits_in_one_task_overlap_on_all_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert training._at_a_time(spark, Settings(), 100_000, 4) == 2 * cores
+    assert training._at_a_time(spark, Settings(), 10**9, 4) == 4
